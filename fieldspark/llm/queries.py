@@ -39,6 +39,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.jaccard_join import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.quality_rules import score_quality, train_quality
 
@@ -58,7 +64,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"))
 
 
-_QUERIES = (op1_token_output, op2_mixing, op3_token_counts, op4_exact_dedup, op6_quality_rules, op9_chat_format, op10_byte_bpe)
+_QUERIES = (op1_token_output, op2_mixing, op3_token_counts, op4_exact_dedup, op5_jaccard_join, op6_quality_rules, op9_chat_format, op10_byte_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
