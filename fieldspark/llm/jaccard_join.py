@@ -61,7 +61,8 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np
     counts = w.counts
     short = np.flatnonzero((counts > 0) & (counts < width))
     if len(short):
-        whole = np.array([int(mix(np.uint64(len(words[a:b])) + np.bitwise_xor.reduce(mix(words[a:b] + np.arange(b - a, dtype=np.uint64)))).item()) for a, b in zip(w.first[short], w.first[short + 1])], np.uint64)
+        sums = [np.bitwise_xor.reduce(mix(words[a:b] + np.arange(b - a, dtype=np.uint64))) for a, b in zip(w.first[short], w.first[short + 1])]
+        whole = mix(np.array(sums, np.uint64) + counts[short].astype(np.uint64))
         h, text = np.r_[h, whole], np.r_[text, short]
     key = np.sort(text.astype(np.uint64) << np.uint64(HASH_BITS) | h >> np.uint64(64 - HASH_BITS))
     key = key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key

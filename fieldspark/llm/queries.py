@@ -52,6 +52,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.lm_scoring import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.toxicity import score_toxicity, train_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.chat_format import format_chats
 
@@ -64,7 +77,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"))
 
 
-_QUERIES = (op1_token_output, op2_mixing, op3_token_counts, op4_exact_dedup, op5_jaccard_join, op6_quality_rules, op9_chat_format, op10_byte_bpe)
+_QUERIES = (op1_token_output, op2_mixing, op3_token_counts, op4_exact_dedup, op5_jaccard_join, op6_quality_rules, op7_lm_scoring, op8_toxicity, op9_chat_format, op10_byte_bpe)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
