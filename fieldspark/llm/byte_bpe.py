@@ -341,3 +341,18 @@ def round_trip_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, DIGESTS)
+
+
+def encode_checked(docs: DataFrame, ranks_path: str) -> DataFrame:
+    """Encode and decode: doc_id, n_tokens, ids (little-endian uint32), round_trip (whether decoding gives the text back)."""
+
+    def run(batches):
+        pairs = byte_pairs(ranks_path)
+        for batch in slices(batches, 256):
+            texts = texts_of(batch)
+            ids, n, _ = pairs.encode(texts)
+            parts = np.split(ids, np.cumsum(n)[:-1]) if len(n) else []
+            same = [pairs.decode(x) == t for x, t in zip(parts, texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in parts], pa.binary()), pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, round_trip boolean")

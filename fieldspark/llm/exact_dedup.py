@@ -134,24 +134,8 @@ def against_history(new: DataFrame, history: DataFrame, shards: int) -> DataFram
     return new.withColumn("shard", _shard_of(shards)).groupBy("shard").cogroup(history.groupBy("shard")).applyInPandas(_look_up, _FOUND)
 
 
-def exact_dedup(docs: DataFrame, is_history: Column | None = None, keep: list[str] | None = None) -> DataFrame:
-    """docs(doc_id, text) -> kept columns, keep_id, group_size, kept, text_sha256, one row per row of docs.
-
-    is_history marks rows that were there before (default: the older half, doc_id up to the middle of
-    the range); their distinct digests form the minimal perfect hash, the others are looked up in it,
-    and digests found in neither are grouped separately. The winner of equal texts is the largest
-    doc_id over both; null doc_id loses to any other and is kept only if it is alone with nulls (one of
-    them, chosen by nothing but the row, all of them being marked kept). Rows with equal doc_id and text
-    are all marked as the winner's. Null text counts as empty. Empty table: no rows.
-    """
-    keep = keep or ["doc_id"]
-    rows = docs.withColumn("text_sha256", digest(F.col("text"))).select(*dict.fromkeys(["doc_id", *keep]), "text_sha256")
-    if is_history is None:
-        ends = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
-        middle = None if ends["a"] is None else (ends["a"] + ends["b"]) // 2
-        is_history = F.col("doc_id") <= F.lit(middle)
-    rows = rows.withColumn("in_history", F.coalesce(is_history, F.lit(False)))
-    rows = materialize(rows, "dedup-digests")
+def equal_groups(rows: DataFrame) -> DataFrame:
+    """rows(doc_id, in_history, text_sha256), read more than once -> text_sha256, keep_id, group_size."""
     narrow = rows.select("doc_id", "in_history", F.unhex("text_sha256").alias("digest"))
     old = materialize(group_digests(narrow.where("in_history")), "dedup-history-groups")
     new = group_digests(narrow.where(~F.col("in_history")))
@@ -163,17 +147,41 @@ def exact_dedup(docs: DataFrame, is_history: Column | None = None, keep: list[st
     # a member's history entry is replaced by one that holds both; the rest of the history stays as it is
     both = members.select("digest", F.greatest("keep_id", "old_keep").alias("keep_id"), (F.col("rows") + F.col("old_rows")).alias("rows"))
     rest = old.join(members.select("digest"), "digest", "left_anti")
-    groups = both.unionByName(rest).unionByName(nonmembers).select(F.lower(F.hex("digest")).alias("text_sha256"), "keep_id", F.col("rows").alias("group_size"))
-    out = rows.join(groups, "text_sha256")
-    return out.select(*keep, "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return both.unionByName(rest).unionByName(nonmembers).select(F.lower(F.hex("digest")).alias("text_sha256"), "keep_id", F.col("rows").alias("group_size"))
+
+
+def _digests(docs: DataFrame, is_history: Column | None) -> DataFrame:
+    if is_history is None:
+        ends = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
+        middle = None if ends["a"] is None else (ends["a"] + ends["b"]) // 2
+        is_history = F.col("doc_id") <= F.lit(middle)
+    rows = docs.select("doc_id", F.coalesce(is_history, F.lit(False)).alias("in_history"), digest(F.col("text")).alias("text_sha256"))
+    return materialize(rows, "dedup-digests")
+
+
+def exact_dedup(docs: DataFrame, is_history: Column | None = None) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, keep_id, group_size, kept, text_sha256, one row per row of docs.
+
+    is_history marks rows that were there before (default: the older half, doc_id up to the middle of
+    the range); their distinct digests form the minimal perfect hash, the others are looked up in it,
+    and digests found in neither are grouped separately. The winner of equal texts is the largest
+    doc_id over both; a null doc_id loses to any other and wins only where all are null. Repeated rows
+    with the winner's doc_id and text are all marked kept. Null text counts as empty. Other columns are
+    ignored. Empty table: no rows.
+    """
+    rows = _digests(docs, is_history)
+    out = rows.join(equal_groups(rows), "text_sha256")
+    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
 
+def dedup_documents(docs: DataFrame, is_history: Column | None = None) -> DataFrame:
+    """docs without the rows that lose; of repeated rows that would all win (same doc_id and text) one stays.
 
-def dedup_documents(docs: DataFrame) -> DataFrame:
-    """docs without the rows that lose; of several equal rows that all win (same doc_id, same text) one stays."""
+    Texts move once, to the winner's digest and doc_id, so copies do not meet in one task.
+    """
     names = docs.columns
-    packed = docs.select("doc_id", "text", F.struct(*names).alias("dedup_row"))
-    groups = exact_dedup(packed, keep=["doc_id", "dedup_row"])
-    winners = groups.where("kept")
-    # rows that share doc_id and text with the winner: rare, so dropped by key after the winners are known
-    winners = winners.dropDuplicates(["text_sha256"])
-    return winners.select(*[F.col(f"dedup_row.`{c}`").alias(c) for c in names])
+    winners = equal_groups(_digests(docs, is_history)).select("text_sha256", "keep_id")
+    rows = docs.select(F.struct(*names).alias("dedup_row"), F.col("doc_id").alias("dedup_id"), digest(F.col("text")).alias("dedup_sha256"))
+    won = (F.col("dedup_sha256") == F.col("text_sha256")) & F.col("dedup_id").eqNullSafe(F.col("keep_id"))
+    kept = rows.join(winners, won, "left_semi").dropDuplicates(["dedup_sha256", "dedup_id"])
+    return kept.select(*[F.col(f"dedup_row.`{c}`").alias(c) for c in names])

@@ -283,17 +283,15 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             return labels
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL, keep: list[str] | None = None) -> DataFrame:
-    """docs(doc_id, text) -> kept columns, n_shingles, class_id, class_size, n_links, group_id, kept; one row per row.
+def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, n_shingles, class_id, class_size, n_links, group_id, kept, text_hash, group_key; one row per row.
 
     class_id: smallest doc_id of the texts with the same set (null only if all are null). n_links: other
     classes whose similarity to this one is at least the threshold. group_id: smallest class_id among the
-    classes that links join, directly or through others; kept: the rows of doc_id group_id in its class.
-    Null and empty texts have no windows: they form one class without links. Equal rows share a class.
-    Other columns are ignored; an empty table gives no rows.
+    classes that links join, directly or through others; kept: the rows of doc_id group_id. Null and empty
+    texts have no windows: they form one class without links. Equal rows share a class. Other columns are
+    ignored; an empty table gives no rows. text_hash and group_key identify text and group where ids do not.
     """
-    keep = keep or ["doc_id"]
-    spark = docs.sparkSession
     depth = matched_depth(threshold, recall)
     hashes = TREES * depth
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
@@ -332,20 +330,17 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
     info = classes.select("class_key", "class_id", "class_size").join(links, "class_key", "left").join(groups, "class_key", "left")
     info = info.withColumn("root", F.coalesce("root", "class_key"))
     firsts = info.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    info = info.join(firsts, "root").select("class_key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_id")
-    if keep == ["doc_id"]:
-        rows = sketches.select("doc_id", "n_shingles", "class_key")
-    else:
-        rows = docs.withColumn("jaccard_id", F.col("doc_id").cast("long")).withColumn("jaccard_hash", F.xxhash64("text")).select(*keep, "jaccard_id", "jaccard_hash")
-        keys = sketches.groupBy("doc_id", "text_hash").agg(F.first("n_shingles").alias("n_shingles"), F.first("class_key").alias("class_key")).withColumnRenamed("doc_id", "sketch_id")
-        rows = rows.join(keys, (F.col("jaccard_hash") == F.col("text_hash")) & F.col("jaccard_id").eqNullSafe(F.col("sketch_id"))).select(*keep, "n_shingles", "class_key")
+    info = info.join(firsts, "root").select("class_key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_id", F.col("root").alias("group_key"))
     kept = F.col("doc_id").eqNullSafe(F.col("group_id"))
-    return rows.join(info, "class_key").select(*keep, "n_shingles", "class_id", "class_size", "n_links", "group_id", kept.alias("kept"))
+    rows = sketches.select("doc_id", "n_shingles", "class_key", "text_hash").join(info, "class_key")
+    return rows.select("doc_id", "n_shingles", "class_id", "class_size", "n_links", "group_id", kept.alias("kept"), "text_hash", "group_key")
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """docs with one document of each group; of repeated rows of that document one stays. Columns as before."""
     names = docs.columns
-    packed = docs.select("doc_id", "text", F.struct(*names).alias("jaccard_row"))
-    kept = jaccard_join(packed, keep=["doc_id", "jaccard_row"], **options).where("kept")
-    return kept.dropDuplicates(["doc_id", "group_id", "class_id"]).select(*[F.col(f"jaccard_row.`{c}`").alias(c) for c in names])
+    stay = jaccard_join(docs.select("doc_id", "text"), **options).where("kept").groupBy("group_key").agg(F.first("doc_id").alias("stay_id"), F.min("text_hash").alias("stay_hash"))
+    rows = docs.select(F.struct(*names).alias("jaccard_row"), F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_hash"))
+    same = (F.col("row_hash") == F.col("stay_hash")) & F.col("row_id").eqNullSafe(F.col("stay_id"))
+    kept = rows.join(stay, same, "left_semi").dropDuplicates(["row_hash", "row_id"])
+    return kept.select(*[F.col(f"jaccard_row.`{c}`").alias(c) for c in names])

@@ -16,6 +16,7 @@ from fieldspark.session import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST_EPOCHS, RANGE_ROWS, SEED = 1.5, 2.0, 20_000, "mix"
+BROADCAST_ROWS = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -65,15 +66,17 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
     same = F.col("p.source").eqNullSafe(F.col("s.source"))
     plan = plan.alias("p").join(sizes.alias("s"), same).select("p.source", "p.source_size", "p.target", F.ceil(F.col("s.source_rows") / RANGE_ROWS).alias("ranges"))
     plan = materialize(plan, "mix-plan").withColumnRenamed("source", "plan_source")
-    # the number of sources is checked before they are sent to every executor
-    if plan.count() <= 10_000:
-        plan = F.broadcast(plan)
+    # the numbers of sources and ranges are checked before either goes to every executor
+    n = plan.agg(F.count(F.lit(1)).alias("sources"), F.coalesce(F.sum("ranges"), F.lit(0)).alias("ranges")).first()
+    small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    plan = small(plan, n["sources"])
     rows = rows.join(plan, rows.source.eqNullSafe(plan.plan_source)).drop("plan_source")
     share = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     rows = rows.withColumn("mix_range", F.floor(share * F.col("ranges")))
     totals = rows.groupBy("source", "mix_range").agg(F.sum("size").alias("range_size"))
     before = Window.partitionBy("source").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("source").alias("range_source"), F.col("mix_range").alias("range_no"), F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("range_before"))
+    totals = small(totals, n["ranges"])
     rows = rows.join(totals, rows.source.eqNullSafe(totals.range_source) & (rows.mix_range == totals.range_no)).drop("range_source", "range_no")
     within = Window.partitionBy("source", "mix_range").orderBy("mix_key", "size", "mix_tie").rowsBetween(Window.unboundedPreceding, -1)
     so_far = F.col("range_before") + F.coalesce(F.sum("size").over(within), F.lit(0))

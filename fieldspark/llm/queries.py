@@ -42,7 +42,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldspark.llm.jaccard_join import jaccard_join
 
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("text_hash", "group_key")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
