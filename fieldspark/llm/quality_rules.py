@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from fieldspark.llm.words import IS_WHITE, running_hash, slice_hashes, slices, texts_of, window_hashes, word_hashes, words_of
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
-SAMPLE_ROWS = 3000  # of each label
+SAMPLE_ROWS = 1500  # of each label
 KEEP_AT = 0.3  # least calibrated probability of good quality
 BUCKETS = 1 << 15  # of each kind of feature
 IS_SYMBOL = np.zeros(256, bool)
@@ -115,12 +115,14 @@ def fit_quality(texts: list[bytes], good: np.ndarray, steps: int = 150, rate: fl
     if not len(good) or good.min() == good.max():
         return QualityModel(np.zeros(3 * BUCKETS), 0.0, 1.0, 0.0 if not len(good) else (3.0 if good[0] else -3.0))
     apart = np.arange(len(texts)) % 4 == 3
-    parts = [hashed_features(texts[i : i + 200]) for i in range(0, len(texts), 200)]
-    key = np.concatenate([(t + 200 * k) * (3 * BUCKETS) + b for k, (t, b, _) in enumerate(parts)])
-    value = np.concatenate([s for _, _, s in parts])
-    key, inverse = np.unique(key, return_inverse=True)
-    value = np.bincount(inverse, value)
-    row, col = key // (3 * BUCKETS), key % (3 * BUCKETS)
+    parts = []
+    for i in range(0, len(texts), 200):
+        text, bucket, share = hashed_features(texts[i : i + 200])
+        key, inverse = np.unique(text * (3 * BUCKETS) + bucket, return_inverse=True)
+        value = np.bincount(inverse, share).astype(np.float32)
+        parts.append(((key // (3 * BUCKETS) + i).astype(np.int32), (key % (3 * BUCKETS)).astype(np.int32), value))
+    row, col, value = (np.concatenate(x) for x in zip(*parts))
+    del parts
     train = ~apart[row]
     r, c, v = row[train], col[train], value[train]
     size = np.where(good > 0, 0.5 / good.sum(), 0.5 / (1 - good).sum()) * ~apart
