@@ -59,7 +59,7 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
     """
     keep = keep or ["doc_id"]
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = docs.select(*keep, "source", word_count(F.col("text")).alias("size"), key.alias("mix_key"), F.xxhash64(*docs.columns).alias("mix_tie"))
+    rows = docs.select(*dict.fromkeys([*keep, "source"]), word_count(F.col("text")).alias("size"), key.alias("mix_key"), F.xxhash64(*docs.columns).alias("mix_tie"))
     rows = materialize(rows, "mix-keys")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     plan = source_targets(sizes.select("source", "source_size"), **targets)
