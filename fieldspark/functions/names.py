@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def clean_name(c: Column) -> Column:
@@ -14,7 +15,7 @@ def clean_name(c: Column) -> Column:
     return F.lower(F.regexp_replace(F.translate(c, "'\"", ""), r"(?U)[^\w.-]", "_"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_accents(s: pd.Series) -> pd.Series:
     """Letters without their accents (compatibility decomposition, combining marks dropped)."""
     return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))

@@ -18,7 +18,8 @@ def scan_pixels(spark: SparkSession, path: str, product: str, first: str, last:
 def read_region_csv(spark: SparkSession, path: str, schema: str = LAI_CSV, pattern: str = r"([^/]+)_LAI_STATS\.csv$") -> DataFrame:
     """One CSV a region as one table, the region out of the file's name; rows with unreadable dates go."""
     df = spark.read.schema(schema).csv(path, header=True).withColumn("region", F.regexp_extract("_metadata.file_path", pattern, 1))
-    return df.withColumn("date", F.try_to_date("Date", "dd/MM/yyyy")).where(F.col("date").isNotNull()).drop("Date")
+    parsed = F.try_to_date("Date", "dd/MM/yyyy").alias("date")  # names do not differ by case, so it replaces the text
+    return df.select("region", parsed, *[F.col(f"`{c}`") for c in df.columns if c not in ("region", "Date")]).where(F.col("date").isNotNull())
 
 
 def study_parts(files: DataFrame, pattern: str = r"([^/]+)/([^/]+)/(\d{4})/([^/]+)/[^/]*$", names: tuple[str, ...] = ("level", "study_id", "year", "timepoint"), path: str = "path") -> DataFrame:
