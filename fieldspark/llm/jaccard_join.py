@@ -262,7 +262,8 @@ def block_pairs(rows: DataFrame, key: str) -> DataFrame:
 def _by_group(rows: DataFrame, key: str) -> DataFrame:
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     group = [key, "left_block", "right_block"]
-    return rows.repartition(n, *group).sortWithinPartitions(*group)
+    # within a group by class, so that the same class stands first wherever it is: links then repeat and are dropped
+    return rows.repartition(n, *group).sortWithinPartitions(*group, "class_key")
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
