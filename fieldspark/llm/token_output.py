@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldspark.llm.token_counts import PIECES, byte_letters, normalise
 from fieldspark.llm.words import ragged, slices
 from fieldspark.session import materialize
 
@@ -50,91 +51,109 @@ DOC_SCHEMA = "part int, segment int, position long, doc_id long, before long, n_
 
 
 class _Model:
-    """Predictions of `lanes` blocks, kept in step."""
+    """Predictions of `lanes` blocks, kept in step. Arrays hold order 1 and order 2 one after the other, so one call serves both."""
 
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes, dtype=np.int64)
-        self.at = self.lane * SLOTS
-        self.one = np.zeros(lanes * SLOTS, np.uint32)
-        self.two = np.zeros(lanes * SLOTS, np.uint32)
+    def __init__(self, lanes: int, known_ids: np.ndarray | None = None):
+        """known_ids: the ids there are (for the encoder, which looks frequencies up by id)."""
+        self.lanes, self.lane = lanes, np.arange(lanes, dtype=np.int64)
+        self.tables = np.zeros(2 * lanes * SLOTS, np.uint32)  # an entry: predicted id and two bits of confidence
+        self.base = np.arange(2 * lanes, dtype=np.int64) * SLOTS
         # two probabilities of 16 bits for each pair of confidences: order-2 right; else order-1 right
-        start = np.array([[2000 + 15000 * c for _ in range(4)] for c in range(4)], np.int64).ravel()
-        other = np.array([[2000 + 12000 * c for c in range(4)] for _ in range(4)], np.int64).ravel()
-        self.right2, self.right1 = np.tile(start, lanes), np.tile(other, lanes)
-        self.mix_at = self.lane * 16
-        self.last = np.zeros(lanes, np.int64)
-        self.last2 = np.zeros(lanes, np.int64)
+        start = np.array([2000 + 15000 * (k >> 2) for k in range(16)] * lanes + [2000 + 12000 * (k & 3) for k in range(16)] * lanes)
+        self.right, self.mix_base = start.astype(np.int32), np.arange(2 * lanes, dtype=np.int64) * 16
+        self.last, self.last2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.slot = np.empty(2 * lanes, np.int64)
         self.seen: list[np.ndarray] = []
-        self.width = 0
+        self.ready = False
         self.renewals = 0
-        self.steps = 0
+        self.rank = None
+        if known_ids is not None:
+            self.rank = np.zeros(65536, np.int64)
+            self.rank[known_ids] = np.arange(len(known_ids))
+            self.by_id = np.zeros((lanes, len(known_ids)), np.uint32)
 
     def predict(self):
-        self.i1 = self.at + (self.last * 40503 >> 3 & SLOTS - 1)
-        self.i2 = self.at + ((self.last * 40503 + self.last2 * 60493) >> 4 & SLOTS - 1)
-        self.e1, self.e2 = self.one[self.i1], self.two[self.i2]
-        self.id1, self.id2 = (self.e1 >> 2).astype(np.int64), (self.e2 >> 2).astype(np.int64)
-        self.m = self.mix_at + ((self.e2 & 3) << 2 | self.e1 & 3)
-        self.q2, self.q1 = self.right2[self.m], self.right1[self.m]
-        self.w2 = self.q2
-        self.w1 = (65536 - self.q2) * self.q1 >> 16
+        n, a = self.lanes, self.last * np.uint32(40503)
+        self.slot[:n] = a >> np.uint32(17)
+        self.slot[n:] = (a + self.last2 * np.uint32(60493)) >> np.uint32(18)
+        self.slot &= SLOTS - 1
+        self.at = self.base + self.slot
+        self.entry = self.tables.take(self.at)
+        self.guess, self.sure = self.entry >> np.uint32(2), self.entry & np.uint32(3)
+        self.id1, self.id2 = self.guess[:n], self.guess[n:]
+        pair = self.sure[n:] << np.uint32(2) | self.sure[:n]
+        self.m = self.mix_base + np.concatenate((pair, pair))
+        self.q = self.right.take(self.m)
+        self.w2 = self.q[:n]
+        self.w1 = ((65536 - self.w2) * (self.q[n:] >> 4) >> 12).astype(np.int32)
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray):
-        self.right2[self.m] = self.q2 + (hit2 * 64000 + 512 - self.q2 >> 5)
-        self.right1[self.m] = self.q1 + ((hit1 * 64000 + 512 - self.q1 >> 5) * ~hit2)
-        for table, at, entry, guess in ((self.one, self.i1, self.e1, self.id1), (self.two, self.i2, self.e2, self.id2)):
-            right, sure = guess == ids, (entry & 3).astype(np.int64)
-            new = np.where(right, guess << 2 | np.minimum(sure + 1, 3), np.where(sure > 1, guess << 2 | sure - 2, ids << 2))
-            table[at] = new
+        """ids: uint32."""
+        n = self.lanes
+        step = np.concatenate((hit2, hit1)) * np.int32(64000)
+        step += 512
+        step -= self.q
+        step >>= 5
+        step[n:] *= ~hit2
+        self.right[self.m] = self.q + step
+        both = np.concatenate((ids, ids))
+        missed = np.where(self.sure > 1, self.entry - np.uint32(2), both << np.uint32(2))
+        self.tables[self.at] = np.where(self.guess == both, self.entry + (self.sure < 3), missed)
         self.last2, self.last = self.last, ids
         self.seen.append(ids)
-        self.steps += 1
-        if self.renewals < len(RENEW) and self.steps == RENEW[self.renewals]:
+        if self.renewals < len(RENEW) and len(self.seen) == RENEW[self.renewals]:
             self.renewals += 1
             self.renew()
 
     def renew(self):
         """Order-0 frequencies of each lane's ids so far, as ranges of 2**BITS, the escape's last."""
-        past = np.array(self.seen)  # steps x lanes
-        lanes, total = len(self.lane), 1 << BITS
-        self.symbols, self.starts, self.inverse = [], [], np.empty((lanes, total), np.uint16)
-        keys = np.sort((self.lane[None, :] << 16 | past).ravel())
+        steps, total = len(self.seen), 1 << BITS
+        keys = np.sort((self.lane[None, :] << 16 | np.array(self.seen).astype(np.int64)).ravel())
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        counts = np.diff(np.r_[first, len(keys)])
-        keys = keys[first]
-        owner = keys >> 16
-        bounds = np.searchsorted(owner, np.arange(lanes + 1))
-        n_sym = np.diff(bounds)
-        steps = len(past)
-        # an id's share of the room beside one slot each and the escape's
-        room = total - n_sym[owner] - np.maximum(total >> 5, 1)
-        keep = np.ones(len(keys), bool)
+        counts, keys = np.diff(np.r_[first, len(keys)]), keys[first]
+
+        def shares():
+            owner = keys >> 16
+            bounds = np.searchsorted(owner, np.arange(self.lanes + 1))
+            return owner, bounds, total - np.diff(bounds)[owner] - (total >> 5)
+
+        owner, bounds, room = shares()
         if (room < total >> 2).any():  # too many ids: only repeated ones are held
             keep = (room >= total >> 2) | (counts > 1)
-            keys, counts, owner = keys[keep], counts[keep], owner[keep]
-            bounds = np.searchsorted(owner, np.arange(lanes + 1))
-            n_sym = np.diff(bounds)
-            room = np.maximum(total - n_sym[owner] - (total >> 5), 0)
-        freq = 1 + counts * room // steps
-        cum = np.cumsum(freq)
-        before = np.r_[0, cum][bounds[:-1]]
-        start = cum - freq - before[owner]
-        used = np.r_[0, cum][bounds[1:]] - before
-        self.escape_at, self.escape_n = used, total - used
-        # by id for the encoder (a sorted list of lane and id), by slot for the decoder
-        self.keys, self.freq, self.start = keys, freq, start
-        lane_order = keys & 65535
-        fill = np.concatenate([np.r_[lane_order[bounds[i] : bounds[i + 1]], ESCAPE] for i in range(lanes)]).astype(np.uint16)
-        times = np.concatenate([np.r_[freq[bounds[i] : bounds[i + 1]], self.escape_n[i]] for i in range(lanes)])
-        self.inverse = np.repeat(fill, times).reshape(lanes, total)
-        self.width = total
-
-    def order0(self, lanes: np.ndarray, ids: np.ndarray):
+            keys, counts = keys[keep], counts[keep]
+            owner, bounds, room = shares()
+        freq = 1 + counts * np.maximum(room, 0) // steps  # one slot each, and a share of the rest
+        upto = np.r_[0, np.cumsum(freq)]
+        start = upto[:-1] - upto[bounds[:-1]][owner]
+        used = upto[bounds[1:]] - upto[bounds[:-1]]
+        if (used >= total).any():
+            raise AssertionError("an order-0 model has no room for its escape")
+        packed = (start << 15 | freq).astype(np.uint32)
+        self.escape = (used << 15 | total - used).astype(np.uint32)
+        if self.rank is not None:
+            self.by_id[:] = 0
+            self.by_id[owner, self.rank[keys & 65535]] = packed
+        else:  # by slot for the decoder: which symbol, the escape last in each lane
+            ends = bounds[1:] + np.arange(self.lanes)
+            self.symbol_id = np.insert(keys & 65535, bounds[1:], ESCAPE).astype(np.uint32)
+            self.symbol_range = np.insert(packed, bounds[1:], self.escape)
+            sizes = np.insert(freq, bounds[1:], total - used)
+            self.by_slot = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            assert len(self.by_slot) == self.lanes * total and len(ends) == self.lanes
+        self.ready = True
+
+    def range_of(self, lanes: np.ndarray, ids: np.ndarray):
         """(start, size, whether the id is in the model) of 2**BITS."""
-        k = lanes << 16 | ids
-        i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-        known = self.keys[i] == k
-        return np.where(known, self.start[i], self.escape_at[lanes]), np.where(known, self.freq[i], self.escape_n[lanes]), known
+        packed = self.by_id[lanes, self.rank[ids]]
+        known = packed > 0
+        packed = np.where(known, packed, self.escape[lanes])
+        return packed >> np.uint32(15), packed & np.uint32(32767), known
+
+    def at_slot(self, lanes: np.ndarray, slots: np.ndarray):
+        """(id, start, size) of places in 2**BITS."""
+        symbol = self.by_slot[(lanes << BITS) + slots]
+        packed = self.symbol_range[symbol]
+        return self.symbol_id[symbol], packed >> np.uint32(15), packed & np.uint32(32767)
 
 
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -145,7 +164,7 @@ class _Encoder:
 
     def __init__(self, lanes: int, most: int):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-        self.out, self.n = np.zeros((lanes, most), "<u4"), np.zeros(lanes, np.int64)
+        self.out, self.n = np.zeros((most, lanes), "<u4"), np.zeros(lanes, np.int64)  # lanes side by side: they fill up alike
 
     def put(self, lanes, start, size, bits):
         """lanes: None for all."""
@@ -160,22 +179,22 @@ class _Encoder:
             self.low[lanes], self.range[lanes] = low, width
 
     def _shift(self, lanes, low, width):
-        same = (low ^ (low + width)) <= _LOW32
-        small = width <= _LOW32
-        go = np.flatnonzero(same | small)
+        """A word goes out once the range is within 32 bits; where it straddles two words it is cut to the first."""
+        go = (width <= _LOW32).nonzero()[0]
         if len(go):
-            cut = go[~same[go]]
-            width[cut] = (~low[cut] + np.uint64(1)) & _LOW32
+            l, w = low[go], width[go]
+            w = np.where(l ^ (l + w) <= _LOW32, w, (~l + np.uint64(1)) & _LOW32)
             who = go if lanes is None else lanes[go]
-            self.out[who, self.n[who]] = (low[go] >> np.uint64(32)).astype(np.uint32)
-            self.n[who] += 1
-            low[go] <<= np.uint64(32)
-            width[go] <<= np.uint64(32)
+            n = self.n[who]
+            self.out[n, who] = l >> np.uint64(32)
+            self.n[who] = n + 1
+            low[go] = l << np.uint64(32)
+            width[go] = w << np.uint64(32)
         return low, width
 
     def end(self):
         for k in (32, 0):
-            self.out[np.arange(len(self.n)), self.n] = (self.low >> np.uint64(k) & _LOW32).astype(np.uint32)
+            self.out[self.n, np.arange(len(self.n))] = (self.low >> np.uint64(k) & _LOW32).astype(np.uint32)
             self.n += 1
 
 
@@ -194,17 +213,16 @@ class _Decoder:
     def take(self, lanes, start, size, r):
         low = (self.low if lanes is None else self.low[lanes]) + start.astype(np.uint64) * r
         width = r * size.astype(np.uint64)
-        same = (low ^ (low + width)) <= _LOW32
-        small = width <= _LOW32
-        go = np.flatnonzero(same | small)
+        go = (width <= _LOW32).nonzero()[0]
         if len(go):
-            cut = go[~same[go]]
-            width[cut] = (~low[cut] + np.uint64(1)) & _LOW32
+            l, w = low[go], width[go]
+            w = np.where(l ^ (l + w) <= _LOW32, w, (~l + np.uint64(1)) & _LOW32)
             who = go if lanes is None else lanes[go]
-            self.code[who] = self.code[who] << np.uint64(32) | self.words[self.at[who]].astype(np.uint64)
-            self.at[who] += 1
-            low[go] <<= np.uint64(32)
-            width[go] <<= np.uint64(32)
+            at = self.at[who]
+            self.code[who] = self.code[who] << np.uint64(32) | self.words.take(at, mode="clip").astype(np.uint64)
+            self.at[who] = at + 1
+            low[go] = l << np.uint64(32)
+            width[go] = w << np.uint64(32)
         if lanes is None:
             self.low, self.range = low, width
         else:
@@ -215,33 +233,35 @@ def encode_blocks(ids: np.ndarray, lanes: int) -> tuple[int, list[bytes], np.nda
     """Code ids in `lanes` blocks; (block length, codes, crc32 of each block)."""
     n = -(-len(ids) // lanes)
     lanes = -(-len(ids) // n)
-    grid = np.zeros(lanes * n, np.int64)
+    grid = np.zeros(lanes * n, np.uint32)
     grid[: len(ids)] = ids
+    model, coder = _Model(lanes, np.flatnonzero(np.bincount(grid))), _Encoder(lanes, n * 2 + 8)
     grid = np.ascontiguousarray(grid.reshape(lanes, n).T)
-    model, coder = _Model(lanes), _Encoder(lanes, n * 2 + 8)
-    full = np.full(lanes, 1, np.int64)
+    ones = np.ones(lanes, np.uint32)
     for step in range(n):
         now = grid[step]
         model.predict()
         hit2 = now == model.id2
         hit1 = (now == model.id1) & ~hit2
+        miss = ~(hit2 | hit1)
         w2, w1 = model.w2, model.w1
-        start = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
-        size = np.where(hit2, w2, np.where(hit1, w1, 65536 - w2 - w1))
+        upto = w2 + w1
+        start = w2 * hit1 + upto * miss
+        size = np.where(miss, 65536 - upto, np.where(hit2, w2, w1))
         coder.put(None, start, size, 16)
-        rest = np.flatnonzero(~(hit2 | hit1))
+        rest = miss.nonzero()[0]
         if len(rest):
-            if model.width:
-                start, size, known = model.order0(rest, now[rest])
+            if model.ready:
+                start, size, known = model.range_of(rest, now[rest])
                 coder.put(rest, start, size, BITS)
                 rest = rest[~known]
             if len(rest):
-                coder.put(rest, now[rest], full[: len(rest)], 16)
+                coder.put(rest, now[rest], ones[: len(rest)], 16)
         model.learn(now, hit2, hit1)
     coder.end()
     whole = ids.astype("<u4")
     crc = np.array([zlib.crc32(whole[i * n : (i + 1) * n]) for i in range(lanes)], "<u4")
-    return n, [coder.out[i, : coder.n[i]].tobytes() for i in range(lanes)], crc
+    return n, [coder.out[: coder.n[i], i].tobytes() for i in range(lanes)], crc
 
 
 def decode_blocks(n_ids: int, block_len: int, sizes: np.ndarray, crc: np.ndarray, payload: bytes) -> np.ndarray:
@@ -250,33 +270,32 @@ def decode_blocks(n_ids: int, block_len: int, sizes: np.ndarray, crc: np.ndarray
     words = np.frombuffer(payload + b"\0" * 16, "<u4")
     starts = np.r_[0, np.cumsum(sizes // 4)][:-1].astype(np.int64)
     model, coder = _Model(lanes), _Decoder(words, starts)
-    out = np.empty((block_len, lanes), np.int64)
-    end = len(words) - 1
-    full = np.full(lanes, 1, np.int64)
+    out = np.empty((block_len, lanes), np.uint32)
+    ones = np.ones(lanes, np.uint32)
     for step in range(block_len):
         model.predict()
         w2, w1 = model.w2, model.w1
+        upto = w2 + w1
         place, r = coder.peek(None, 16)
         hit2 = place < w2
-        hit1 = ~hit2 & (place < w2 + w1)
-        start = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
-        size = np.where(hit2, w2, np.where(hit1, w1, 65536 - w2 - w1))
+        miss = place >= upto
+        hit1 = ~(hit2 | miss)
+        start = w2 * hit1 + upto * miss
+        size = np.where(miss, 65536 - upto, np.where(hit2, w2, w1))
         coder.take(None, start, size, r)
         now = np.where(hit2, model.id2, model.id1)
-        rest = np.flatnonzero(~(hit2 | hit1))
+        rest = miss.nonzero()[0]
         if len(rest):
-            if model.width:
+            if model.ready:
                 place, r = coder.peek(rest, BITS)
-                ids = model.inverse[rest, place].astype(np.int64)
-                start, size, _ = model.order0(rest, ids)
+                ids, start, size = model.at_slot(rest, place)
                 coder.take(rest, start, size, r)
                 now[rest] = ids
                 rest = rest[ids == ESCAPE]
             if len(rest):
                 place, r = coder.peek(rest, 16)
-                coder.take(rest, place, full[: len(rest)], r)
+                coder.take(rest, place, ones[: len(rest)], r)
                 now[rest] = place
-            np.minimum(coder.at, end, out=coder.at)
         out[step] = now
         model.learn(now, hit2, hit1)
     ids = out.T.ravel()[:n_ids].astype("<u4")
@@ -297,6 +316,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library, self.most = Tokenizer.from_file(path), most
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.tokenize, self.letters = self.library.model.tokenize, byte_letters()
         self.clear()
 
     def clear(self):
@@ -304,8 +325,18 @@ class WordIds:
         self.flat, self.start, self.n = np.zeros(1 << 16, np.uint16), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.used = self.held = 0
 
+    def _ids(self, run: str) -> list[int]:
+        """Letters go straight to the library's model, after its own normalisation; runs with special strings through all of it."""
+        if any(mark in run for mark in self.specials):
+            return self.library.encode(run, add_special_tokens=False).ids
+        if run.isascii() and run.isalpha():
+            return [t.id for t in self.tokenize(run.lower())]
+        letters = self.letters
+        pieces = ("".join([letters[b] for b in p.encode("utf-8")]) for p in PIECES.findall(normalise(run)))
+        return [t.id for p in pieces for t in self.tokenize(p)]
+
     def _add(self, runs: list[bytes]):
-        ids = [x.ids for x in self.library.encode_batch_fast([r.decode("utf-8") for r in runs], add_special_tokens=False)]
+        ids = [self._ids(r.decode("utf-8")) for r in runs]
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for x in ids for i in x), np.int64, int(n.sum()))
         while self.used + len(flat) > len(self.flat):
