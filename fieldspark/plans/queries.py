@@ -91,25 +91,25 @@ def region_errors(spark, d):
 
 
 @query("""
-SELECT event_type, ts::DATE AS date, round(avg(value), 4) AS lai_mean, round(median(value), 4) AS lai_median, round(stddev_pop(value), 4) AS lai_std,
-  round(avg(0.0482 * value * value + 0.9161 * value + 0.0026), 4) AS lai_mean_adj, round(median(0.0482 * value * value + 0.9161 * value + 0.0026), 4) AS lai_median_adj,
-  round(stddev_pop(0.0482 * value * value + 0.9161 * value + 0.0026), 4) AS lai_std_adj, count(value) AS n_pixels, 0.0::DOUBLE AS cloud_pct
+SELECT event_type, ts::DATE AS date, round(avg(value), 8) AS lai_mean, round(median(value), 8) AS lai_median, round(stddev_pop(value), 8) AS lai_std,
+  round(avg(0.0482 * value * value + 0.9161 * value + 0.0026), 8) AS lai_mean_adj, round(median(0.0482 * value * value + 0.9161 * value + 0.0026), 8) AS lai_median_adj,
+  round(stddev_pop(0.0482 * value * value + 0.9161 * value + 0.0026), 8) AS lai_std_adj, count(value) AS n_pixels, 0.0::DOUBLE AS cloud_pct
 FROM events GROUP BY ALL""")
 def daily_stats(spark, d):
     """A1, P3, P4."""
     cells = table(spark, d, "events").select("event_type", F.to_date("ts").alias("date"), F.col("value").alias("v"), F.lit(1).alias("m"))
-    return _round(lai.daily_stats(cells, ["event_type", "date"], "wheat"), 4, *lai.STATS)
+    return _round(lai.daily_stats(cells, ["event_type", "date"], "wheat"), 8, *lai.STATS)
 
 
 @query("""
 WITH s AS (SELECT event_type, ts::DATE AS date, 100.0 * count(*) FILTER (value > 400) / count(*) AS cloud_pct, count(*) FILTER (value <= 400) AS n_pixels, avg(value) FILTER (value <= 400) AS m FROM events GROUP BY ALL)
-SELECT event_type, date, round(cloud_pct, 4) AS cloud_pct, n_pixels, CASE WHEN NOT (cloud_pct > 1.0 OR n_pixels = 0) THEN round(m, 4) END AS lai_mean FROM s""")
+SELECT event_type, date, round(cloud_pct, 8) AS cloud_pct, n_pixels, CASE WHEN NOT (cloud_pct > 1.0 OR n_pixels = 0) THEN round(m, 8) END AS lai_mean FROM s""")
 def missing_share(spark, d):
     """Values over 400 are missing; days with more than 1 percent missing keep their row without statistics."""
     v = F.when(F.col("value") <= 400, F.col("value"))
     cells = table(spark, d, "events").select("event_type", F.to_date("ts").alias("date"), v.alias("v"), F.lit(1).alias("m"))
     out = lai.reject_cloudy(lai.daily_stats(cells, ["event_type", "date"]), 0.01)
-    return _round(out.select("event_type", "date", "cloud_pct", "n_pixels", "lai_mean"), 4, "cloud_pct", "lai_mean")
+    return _round(out.select("event_type", "date", "cloud_pct", "n_pixels", "lai_mean"), 8, "cloud_pct", "lai_mean")
 
 
 @query("""SELECT user_id, json_extract(props, '$.k')::INT AS k, max(value) AS max_lai, round(max(-0.078 * value * value + 1.4 * value - 0.18), 4) AS max_lai_adj FROM events WHERE value >= 0 GROUP BY ALL""")
@@ -622,12 +622,12 @@ def extent_overlaps(spark, d):
 @query("""
 WITH p AS (SELECT floor(l_quantity)::INT AS ix, round(l_discount * 100)::INT AS iy, avg(l_extendedprice) AS v FROM lineitem GROUP BY ALL),
 t AS (SELECT a.i::INT AS ix, b.i::INT AS iy, a.i * 3.0 + 1.5 AS x, b.i * 2.0 + 1.0 AS y FROM generate_series(0, 16) a(i), generate_series(0, 5) b(i))
-SELECT t.ix, t.iy, round(v, 4) AS v FROM t LEFT JOIN p ON p.ix = floor(x)::INT AND p.iy = floor(y)::INT""")
+SELECT t.ix, t.iy, round(v, 8) AS v FROM t LEFT JOIN p ON p.ix = floor(x)::INT AND p.iy = floor(y)::INT""")
 def reproject_nearest(spark, d):
     """A coarser grid over the raster of line items."""
     px = table(spark, d, "lineitem").groupBy(F.floor("l_quantity").cast("int").alias("ix"), F.round(F.col("l_discount") * 100).cast("int").alias("iy")).agg(F.avg("l_extendedprice").alias("v"))
     grid = {"x0": 0.0, "y0": 0.0, "dx": 1.0, "dy": 1.0}
-    return _round(geo.reproject_nearest(geo.target_grid(spark, (0, 0, 51, 12), 3.0, 2.0), px, grid), 4, "v")
+    return _round(geo.reproject_nearest(geo.target_grid(spark, (0, 0, 51, 12), 3.0, 2.0), px, grid), 8, "v")
 
 
 @query("""
@@ -653,11 +653,11 @@ def zonal_polygons(spark, d):
 
 @query("""
 WITH p AS (SELECT l_suppkey AS region, CASE WHEN l_discount > 0.02 THEN l_quantity * 100 END AS v FROM lineitem)
-SELECT region, coalesce(trunc(avg(v))::INT, 0) AS mean_yield_kg_ha, coalesce(trunc(median(v))::INT, 0) AS median_yield_kg_ha, round(sum(CASE WHEN v IS NOT NULL THEN 0.04 END), 4) AS total_area_ha, coalesce(trunc(sum(v * 0.04))::BIGINT, 0) AS total_production_kg, coalesce(round(sum(v * 0.04) / 1000, 2), 0) AS total_production_ton FROM p GROUP BY 1""")
+SELECT region, coalesce(trunc(avg(v))::INT, 0) AS mean_yield_kg_ha, coalesce(trunc(median(v))::INT, 0) AS median_yield_kg_ha, round(sum(CASE WHEN v IS NOT NULL THEN 0.25 END), 4) AS total_area_ha, coalesce(trunc(sum(v * 0.25))::BIGINT, 0) AS total_production_kg, coalesce(round(sum(v * 0.25) / 1000, 3), 0) AS total_production_ton FROM p GROUP BY 1""")
 def region_totals(spark, d):
     """A5."""
     px = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("region"), F.when(F.col("l_discount") > 0.02, F.col("l_quantity") * 100).alias("v"))
-    return _round(_round(zonal.region_totals(px, F.lit(0.04)), 4, "total_area_ha"), 2, "total_production_ton")
+    return _round(_round(zonal.region_totals(px, F.lit(0.25)), 4, "total_area_ha"), 3, "total_production_ton")
 
 
 @query("""SELECT year, metric, value FROM (UNPIVOT (SELECT year(l_shipdate)::INT AS year, round(avg(l_quantity), 4) AS mean_quantity, round(avg(l_tax), 6) AS mean_tax FROM lineitem GROUP BY 1) ON mean_quantity, mean_tax INTO NAME metric VALUE value)""")

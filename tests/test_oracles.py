@@ -33,8 +33,9 @@ def con():
 def test_query(spark, con, name):
     got = all_queries()[name](spark, SF)
     rows = got.collect()
-    assert rows
-    if name in all_oracles():
+    if name not in all_oracles():
+        assert rows
+    else:
         want = con.execute(all_oracles()[name])
         names = [x[0] for x in want.description]
         assert sorted(names) == sorted(got.columns)
