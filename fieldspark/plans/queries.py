@@ -213,21 +213,21 @@ def date_runs(spark, d):
 
 def _gappy(spark, d) -> DataFrame:
     """Daily means of each event type, every third day blank."""
-    daily = table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("date")).agg(F.round(F.avg("value"), 4).alias("v"))
+    daily = table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("date")).agg(F.round(F.avg("value"), 8).alias("v"))
     return daily.withColumn("v", F.when(F.dayofyear("date") % 3 != 0, F.col("v")))
 
 
-_GAPPY = "SELECT event_type, ts::DATE AS date, CASE WHEN dayofyear(ts::DATE) % 3 <> 0 THEN round(avg(value), 4) END AS v FROM events GROUP BY event_type, ts::DATE"
+_GAPPY = "SELECT event_type, ts::DATE AS date, CASE WHEN dayofyear(ts::DATE) % 3 <> 0 THEN round(avg(value), 8) END AS v FROM events GROUP BY event_type, ts::DATE"
 
 
 @query(f"""
 WITH g AS ({_GAPPY}), i AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY date) AS i, CASE WHEN v IS NOT NULL THEN row_number() OVER (PARTITION BY event_type ORDER BY date) END AS k FROM g),
 b AS (SELECT event_type, date, v, i, last_value(k IGNORE NULLS) OVER w1 AS pk, last_value(v IGNORE NULLS) OVER w1 AS pv, first_value(k IGNORE NULLS) OVER w2 AS nk, first_value(v IGNORE NULLS) OVER w2 AS nv FROM i
   WINDOW w1 AS (PARTITION BY event_type ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), w2 AS (PARTITION BY event_type ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT event_type, date, round(coalesce(v, pv + (nv - pv) * (i - pk) / (nk - pk), pv, nv), 4) AS v FROM b""")
+SELECT event_type, date, round(coalesce(v, pv + (nv - pv) * (i - pk) / (nk - pk), pv, nv), 6) AS v FROM b""")
 def linear_fill(spark, d):
     """W5."""
-    return _round(series.linear_fill(_gappy(spark, d), ["event_type"], "date", ["v"]), 4, "v")
+    return _round(series.linear_fill(_gappy(spark, d), ["event_type"], "date", ["v"]), 6, "v")
 
 
 _HAT9 = [f"{x}::DOUBLE" for x in series.hat_matrix(9)[4]]
@@ -236,14 +236,14 @@ _SUM9 = " + ".join(f"{h} * {'lag' if k < 4 else 'lead'}(v, {abs(k - 4)}) OVER w"
 
 @query(f"""
 WITH g AS (SELECT * FROM ({_GAPPY}) WHERE v IS NOT NULL), s AS (SELECT event_type, date, v, {_SUM9} AS s FROM g WINDOW w AS (PARTITION BY event_type ORDER BY date))
-SELECT event_type, date, v AS unsmoothed, round(greatest(s, 0), 4) AS v FROM s WHERE s IS NOT NULL""")
+SELECT event_type, date, v AS unsmoothed, round(greatest(s, 0), 6) AS v FROM s WHERE s IS NOT NULL""")
 def savgol_smooth(spark, d):
     """W3 away from the ends, where the window is whole."""
     w = Window.partitionBy("event_type").orderBy("date")
     out = series.savgol_smooth(_gappy(spark, d), ["event_type"], "date", ["v"]).where(F.col("v").isNotNull())
     inner = F.row_number().over(w) > 4, F.row_number().over(w.orderBy(F.desc("date"))) > 4
     out = out.withColumns({"a": inner[0], "b": inner[1]}).where("a and b")
-    return out.select("event_type", "date", F.col("v Unsmoothed").alias("unsmoothed"), F.round("v", 4).alias("v"))
+    return out.select("event_type", "date", F.col("v Unsmoothed").alias("unsmoothed"), F.round("v", 6).alias("v"))
 
 
 @query()
