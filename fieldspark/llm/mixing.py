@@ -15,7 +15,7 @@ from fieldspark.llm.words import WORD_PATTERN
 from fieldspark.session import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
-SHARE, MOST_EPOCHS, RANGE_ROWS, SEED = 1.5, 2.0, 20_000, "mix"
+SHARE, MOST_EPOCHS, RANGE_ROWS, SEED = 1.5, 2.0, 500, "mix"
 BROADCAST_ROWS = 10_000
 
 
