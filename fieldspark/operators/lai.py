@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldspark.functions import dates
 from fieldspark.functions.pixels import adjust_for_crop, apply_mask, drop_negative
 from fieldspark.operators.series import akima_fill, every_day, savgol_smooth
 
@@ -96,3 +97,28 @@ def mosaic(pixels: DataFrame, keys: list[str], value: str, order_by: str) -> Dat
     """Of several rasters over a cell, the first valid value in a stated order (names, not file order)."""
     valid = F.when(F.col(value).isNotNull(), F.struct(F.col(order_by), F.col(value)))
     return pixels.groupBy(*keys).agg(F.min(valid)[value].alias(value))
+
+
+def daily_stats_on_mask(lai: DataFrame, mask: DataFrame, crop: str | None = None, exact: bool = True) -> DataFrame:
+    """A1, A2 as daily_stats over on_mask gives, without a row for every crop pixel and day.
+
+    Only pixels with a value are joined; a region's crop pixels are counted once, and those without a
+    value on a day follow by subtraction. Days on which a region has no pixel at all are added from the
+    table of days, which is as long as there are rasters.
+    """
+    crop_cells = mask.where("m = 1").select("region", "ix", "iy")
+    value = drop_negative(F.col("v"))
+    adj = [c.alias(n) for c, n in zip(stats(adjust_for_crop(value, crop), "x", exact), STATS[3:])]
+    seen = lai.where(F.col("v").isNotNull()).join(crop_cells, ["ix", "iy"]).groupBy("region", "date")
+    seen = seen.agg(*stats(value, "lai", exact), *adj, F.count(value).alias("n_pixels"), F.count("v").alias("__n"))
+    rows = mask.groupBy("region").agg(F.count_if(F.col("m") == 1).alias("__all")).crossJoin(lai.select("date").distinct())
+    out = rows.join(seen, ["region", "date"], "left").withColumn("n_pixels", F.coalesce("n_pixels", F.lit(0)))
+    share = F.coalesce(F.try_divide(100.0 * (F.col("__all") - F.coalesce("__n", F.lit(0))), F.col("__all")), F.lit(0.0))
+    return out.withColumn("cloud_pct", share).drop("__all", "__n")
+
+
+def means_by_plot_date(daily: DataFrame, keys: list[str], day: str, value: str) -> DataFrame:
+    """Means by year and reference date; whether a season crosses New Year is told by each key's dates."""
+    cross = daily.groupBy(*keys).agg(dates.is_cross_year(F.col(day)).alias("__cross"))
+    d = daily.join(cross, keys).withColumn("plot_date", dates.plot_date(F.col(day), F.col("__cross")))
+    return d.groupBy(*keys, F.year(day).alias("year"), "plot_date").agg(F.avg(value).alias(value))

@@ -128,3 +128,10 @@ def last_years(df: DataFrame, keys: list[str], day: str, years: int) -> DataFram
     """rows of the last N years of each key's range."""
     top = F.max(F.col(day).cast("date")).over(Window.partitionBy(*keys))
     return df.withColumn("__top", top).where(F.col(day).cast("date") >= F.add_months("__top", -12 * years)).drop("__top")
+
+
+def join_on_rounded(stats: DataFrame, centroids: DataFrame, digits: int = 2) -> DataFrame:
+    """Statistics and regions by coordinates rounded to a few decimals (a region column is the better key)."""
+    keys = lambda df: df.withColumns({"__lat": F.bround("latitude", digits), "__lon": F.bround("longitude", digits)})
+    right = keys(centroids).drop("latitude", "longitude")
+    return keys(stats).join(right, ["__lat", "__lon"]).drop("__lat", "__lon")

@@ -720,3 +720,200 @@ def weather_file_lines(spark, d):
     ev = table(spark, d, "events").groupBy(F.col("event_type").alias("region"), F.to_date("ts").alias("date")).agg(F.avg("value").alias("rain"), F.max("value").alias("maxt"), F.min("value").alias("mint"))
     heads = ev.groupBy("region").agg(F.avg("rain").alias("lat"), F.avg("mint").alias("lon"), F.avg("maxt").alias("tav"), F.max("rain").alias("amp"))
     return sinks.met_lines(ev, heads, ("year", "day", "maxt", "mint", "rain"))
+
+
+@query("""
+WITH s AS (SELECT l_discount AS latitude, l_tax AS longitude, count(*) AS n FROM lineitem GROUP BY ALL), c AS (SELECT p_partkey AS region, (p_size % 11) / 100.0 + 0.001 AS latitude, (p_partkey % 9) / 100.0 - 0.002 AS longitude FROM part)
+SELECT region, round(s.latitude, 4) AS latitude, round(s.longitude, 4) AS longitude, n FROM s JOIN c ON round(s.latitude, 2) = round(c.latitude, 2) AND round(s.longitude, 2) = round(c.longitude, 2)""")
+def rounded_join(spark, d):
+    """J6."""
+    s = table(spark, d, "lineitem").groupBy(F.col("l_discount").alias("latitude"), F.col("l_tax").alias("longitude")).agg(F.count(F.lit(1)).alias("n"))
+    c = table(spark, d, "part").select(F.col("p_partkey").alias("region"), (F.col("p_size") % 11 / 100.0 + 0.001).alias("latitude"), (F.col("p_partkey") % 9 / 100.0 - 0.002).alias("longitude"))
+    return _round(weather.join_on_rounded(s, c), 4, "latitude", "longitude").select("region", "latitude", "longitude", "n")
+
+
+@query("""
+WITH t AS (SELECT l_returnflag, l_shipdate::DATE AS d, l_quantity FROM lineitem), x AS (SELECT l_returnflag, bool_or(month(d) >= 7) AND bool_or(month(d) <= 6) AS c FROM t GROUP BY 1),
+p AS (SELECT l_returnflag, d, l_quantity, CASE WHEN c AND month(d) <= 6 THEN 2001 ELSE 2000 END AS y FROM t JOIN x USING (l_returnflag))
+SELECT l_returnflag, year(d)::INT AS year, make_date(y, month(d), CASE WHEN month(d) = 2 AND day(d) = 29 AND y = 2001 THEN 28 ELSE day(d) END) AS plot_date, round(avg(l_quantity), 8) AS l_quantity FROM p GROUP BY ALL""")
+def means_by_plot_date(spark, d):
+    """A17, P18."""
+    line = table(spark, d, "lineitem").select("l_returnflag", F.to_date("l_shipdate").alias("d"), "l_quantity")
+    return _round(lai.means_by_plot_date(line, ["l_returnflag"], "d", "l_quantity"), 8, "l_quantity")
+
+
+@query("""
+WITH l AS (SELECT user_id AS ix, (event_id % 7)::BIGINT AS iy, ts::DATE AS date, max(CASE WHEN value > 30 THEN value END) AS v FROM events GROUP BY ALL),
+m AS (SELECT (user_id % 10)::VARCHAR AS region, user_id AS ix, k AS iy FROM (SELECT DISTINCT user_id FROM events), generate_series(0, 4) g(k)),
+c AS (SELECT region, count(*) AS n FROM m GROUP BY 1), s AS (SELECT region, date, avg(v) AS mean, count(v) AS n FROM l JOIN m USING (ix, iy) GROUP BY ALL)
+SELECT c.region, d.date, round(s.mean, 8) AS lai_mean, coalesce(s.n, 0) AS n_pixels, round(100.0 * (c.n - coalesce(s.n, 0)) / c.n, 6) AS cloud_pct FROM c CROSS JOIN (SELECT DISTINCT date FROM l) d LEFT JOIN s USING (region, date)""")
+def masked_daily_stats(spark, d):
+    """Leaf area on a crop mask, percentages by subtraction."""
+    px = table(spark, d, "events").groupBy(F.col("user_id").alias("ix"), (F.col("event_id") % 7).alias("iy"), F.to_date("ts").alias("date")).agg(F.max(F.when(F.col("value") > 30, F.col("value"))).alias("v"))
+    cells = table(spark, d, "events").select(F.col("user_id").alias("ix")).distinct().withColumn("iy", F.explode(F.array(*[F.lit(k).cast("long") for k in range(5)])))
+    mask = cells.select((F.col("ix") % 10).cast("string").alias("region"), "ix", "iy", F.lit(1).alias("m"))
+    return _round(_round(lai.daily_stats_on_mask(px, mask).select("region", "date", "lai_mean", "n_pixels", "cloud_pct"), 8, "lai_mean"), 6, "cloud_pct")
+
+
+@query("""SELECT l_suppkey, min(l_shipdate::DATE) AS first_day, max(l_shipdate::DATE) AS last_day FROM lineitem GROUP BY 1""")
+def window_range(spark, d):
+    """A33."""
+    w = table(spark, d, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("a"))
+    return studies.window_range(w, "a", "a", ["l_suppkey"])
+
+
+@query("""
+WITH c AS (SELECT DISTINCT floor(l_extendedprice / 1000)::INT AS ix, floor(l_quantity)::INT AS iy FROM lineitem), e AS (SELECT l_suppkey, min(floor(l_extendedprice / 1000))::INT AS x1, min(floor(l_extendedprice / 1000))::INT + 3 AS x2, min(floor(l_quantity))::INT AS y1, max(floor(l_quantity))::INT - 20 AS y2 FROM lineitem GROUP BY 1)
+SELECT ix, iy, (EXISTS (SELECT 1 FROM e WHERE ix BETWEEN x1 AND x2 AND iy BETWEEN y1 AND y2))::INT AS covered FROM c""")
+def coverage_mask(spark, d):
+    """A26."""
+    line = table(spark, d, "lineitem").select("l_suppkey", F.floor(F.col("l_extendedprice") / 1000).cast("int").alias("ix"), F.floor("l_quantity").cast("int").alias("iy"))
+    ext = line.groupBy("l_suppkey").agg(F.min("ix").alias("ix_min"), (F.min("ix") + 3).alias("ix_max"), F.min("iy").alias("iy_min"), (F.max("iy") - 20).alias("iy_max")).where("iy_min <= iy_max")
+    return zonal.coverage_mask(line.select("ix", "iy").distinct(), ext, tile=16)
+
+
+@query("""
+WITH c AS (SELECT DISTINCT user_id AS region, (event_id % 3)::BIGINT AS ix, 0 AS iy FROM events), s AS (SELECT user_id AS region, max(value) AS rain FROM events WHERE ts < TIMESTAMP '2024-01-10' GROUP BY 1), m AS (SELECT user_id AS region, min(value) AS rain FROM events WHERE user_id % 2 = 0 GROUP BY 1)
+SELECT c.region, ix, iy, s.rain AS rain_single, m.rain AS rain_multi FROM c LEFT JOIN s USING (region) LEFT JOIN m USING (region)""")
+def attribute_layers(spark, d):
+    """Two attributes burnt on the cells of their regions."""
+    ev = table(spark, d, "events").withColumn("region", F.col("user_id"))
+    cells = ev.select("region", (F.col("event_id") % 3).alias("ix"), F.lit(0).alias("iy")).distinct()
+    single = ev.where("ts < timestamp'2024-01-10'").groupBy("region").agg(F.max("value").alias("rain"))
+    multi = ev.where("user_id % 2 = 0").groupBy("region").agg(F.min("value").alias("rain"))
+    return zonal.attribute_layers(cells, single, multi, ["rain"])
+
+
+@query("""SELECT event_type AS path, 48.5::DOUBLE AS latitude, 30.25::DOUBLE AS longitude, ts::DATE AS date, 0.0::DOUBLE AS radn, round(max(value), 2) AS maxt, round(min(value), 2) AS mint, CASE WHEN count(*) % 5 = 0 THEN 0.0 ELSE count(*) END::DOUBLE AS rain FROM events GROUP BY event_type, ts::DATE""")
+def parse_weather_files(spark, d):
+    """Weather file lines made from events, read back by header name; -999 becomes 0."""
+    ev = table(spark, d, "events").groupBy(F.col("event_type").alias("path"), F.to_date("ts").alias("date")).agg(F.max("value").alias("maxt"), F.min("value").alias("mint"), F.count(F.lit(1)).alias("n"))
+    rain = F.when(F.col("n") % 5 == 0, -999).otherwise(F.col("n"))
+    rows = ev.select("path", F.format_string("%d %d %.2f -999 %.2f %d", F.year("date"), F.dayofyear("date"), "maxt", "mint", rain).alias("value"))
+    heads = ev.select("path").distinct().select("path", F.explode(F.array(*map(F.lit, ("[weather.met.weather]", "latitude = 48.50  (DECIMAL DEGREES)", "Longitude = 30.25  (DECIMAL DEGREES)", "year day maxt radn mint rain", "() () (oC) (MJ/m^2) (oC) (mm)")))).alias("value"))
+    return readers.parse_met(heads.unionByName(rows)).select("path", "latitude", "longitude", "date", "radn", "maxt", "mint", "rain")
+
+
+@query("""
+WITH w AS (SELECT o_custkey, year(o_orderdate)::INT AS year, min(o_orderdate::DATE) AS a, max(o_orderdate::DATE) AS b FROM orders GROUP BY ALL), m AS (SELECT c_custkey AS o_custkey, y AS year FROM customer, (SELECT DISTINCT year(o_orderdate)::INT AS y FROM orders))
+SELECT m.o_custkey, m.year, CASE WHEN a IS NULL THEN 'a or b is missing or no date' ELSE 'a is not before b' END AS error FROM m LEFT JOIN w USING (o_custkey, year) WHERE a IS NULL OR a >= b""")
+def window_errors(spark, d):
+    """Date windows of every customer and year."""
+    o = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), F.to_date("o_orderdate").alias("a"))
+    win = o.groupBy("o_custkey", "year").agg(F.min("a").alias("a"), F.max("a").alias("b"))
+    wanted = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")).crossJoin(o.select("year").distinct())
+    return checks.window_errors(wanted, win, ["o_custkey", "year"], [("a", "b")])
+
+
+@query("""SELECT year(o_orderdate)::INT AS year, o_orderstatus AS timepoint, o_custkey % 50 AS level, count(DISTINCT o_orderpriority) AS n_studies FROM orders GROUP BY ALL HAVING count(DISTINCT o_orderpriority) > 1""")
+def several_studies(spark, d):
+    """Q8."""
+    o = table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.col("o_orderstatus").alias("timepoint"), (F.col("o_custkey") % 50).alias("level"), F.col("o_orderpriority").alias("study_id"))
+    return checks.several_studies(o)
+
+
+@query("""
+WITH a AS (SELECT l_suppkey, min(l_quantity) AS x0, max(l_quantity) AS y0 FROM lineitem WHERE l_tax > 0.04 GROUP BY 1), b AS (SELECT l_suppkey, min(l_extendedprice) AS x0, max(l_quantity) AS y0 FROM lineitem WHERE l_tax <= 0.04 GROUP BY 1)
+SELECT l_suppkey, 'origin' AS why FROM a JOIN b USING (l_suppkey) WHERE abs((b.x0 - a.x0) / 2 - round((b.x0 - a.x0) / 2)) > 1e-6 OR abs((b.y0 - a.y0) / 2 - round((b.y0 - a.y0) / 2)) > 1e-6""")
+def unaligned_grids(spark, d):
+    """Q5: grids whose origins are not whole pixels of 2 apart."""
+    line = table(spark, d, "lineitem")
+    rest = {"dx": F.lit(2.0), "dy": F.lit(2.0), "rx": F.lit(0.0), "ry": F.lit(0.0), "crs": F.lit("c")}
+    a = line.where("l_tax > 0.04").groupBy("l_suppkey").agg(F.min("l_quantity").alias("x0"), F.max("l_quantity").alias("y0")).withColumns(rest)
+    b = line.where("l_tax <= 0.04").groupBy("l_suppkey").agg(F.min("l_extendedprice").alias("x0"), F.max("l_quantity").alias("y0")).withColumns(rest)
+    return checks.unaligned(a, b, ["l_suppkey"]).withColumn("why", F.array_join("why", ","))
+
+
+@query("""SELECT o_orderpriority AS level, 'study' || (o_custkey % 20) AS study_id, year(o_orderdate)::VARCHAR AS year, 'T-' || o_orderstatus AS timepoint FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY ALL""")
+def study_parts(spark, d):
+    """Levels, studies, years and timepoints out of paths."""
+    o = table(spark, d, "orders")
+    path = F.concat(F.lit("/base/"), "o_orderpriority", F.lit("/study"), (F.col("o_custkey") % 20).cast("string"), F.lit("/"), F.year("o_orderdate").cast("string"), F.lit("/T-"), "o_orderstatus", F.lit("/agg.csv"))
+    return studies.distinct_parts(readers.study_parts(o.select(path.alias("path"))), "level", "study_id", "year", "timepoint")
+
+
+@query("""
+WITH s AS (SELECT event_id, user_id % 30 AS tile, ts::DATE AS day, hour(ts) % 2 AS sat, date_trunc('hour', ts) AS sensed, ts FROM events)
+SELECT lpad(tile::VARCHAR, 5, '0') AS tile, sensed, date_trunc('second', max(ts)) AS processed FROM s GROUP BY tile, sensed, sat""")
+def latest_scenes(spark, d):
+    """Scene ids made from events, parsed, and the latest processing of each sensing time kept."""
+    ev = table(spark, d, "events")
+    stamp = lambda c: F.date_format(c, "yyyyMMdd'T'HHmmss")
+    sat = F.when(F.hour("ts") % 2 == 0, "S2A").otherwise("S2B")
+    item = F.concat_ws("_", sat, F.lit("MSIL2A"), stamp(F.date_trunc("hour", "ts")), F.lit("R065"), F.concat(F.lit("T"), F.lpad((F.col("user_id") % 30).cast("string"), 5, "0")), stamp("ts"))
+    return simulation.latest_scene(dates.scene_fields(ev.select(item.alias("id")))).select(F.substring("tile", 2, 5).alias("tile"), "sensed", "processed")
+
+
+@query("""SELECT ts::DATE AS date, CASE WHEN bool_or(value > 420) THEN 'FINAL' ELSE 'PRELIM' END AS product FROM events WHERE value > 200 GROUP BY 1""")
+def preferred_product(spark, d):
+    """W7."""
+    files = table(spark, d, "events").where("value > 200").select(F.to_date("ts").alias("date"), F.when(F.col("value") > 420, "FINAL").otherwise("PRELIM").alias("product"))
+    return weather.prefer_final(files, 2)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_quantity AS sun_zenith, round(l_tax * 100) AS view_zenith FROM lineitem WHERE l_linenumber = 1 AND l_quantity < 20""")
+def granule_angles(spark, d):
+    """Angles out of metadata made from line items."""
+    q, v = F.col("l_quantity").cast("string"), F.round(F.col("l_tax") * 100).cast("string")
+    xml = F.concat(F.lit("<m><Mean_Sun_Angle><ZENITH_ANGLE unit='deg'>"), q, F.lit("</ZENITH_ANGLE><AZIMUTH_ANGLE unit='deg'>1</AZIMUTH_ANGLE></Mean_Sun_Angle><Mean_Viewing_Incidence_Angle bandId='8'><ZENITH_ANGLE unit='deg'>"), v, F.lit("</ZENITH_ANGLE></Mean_Viewing_Incidence_Angle></m>"))
+    line = table(spark, d, "lineitem").where("l_linenumber = 1 and l_quantity < 20")
+    return readers.granule_angles(line.select("l_orderkey", "l_linenumber", xml.alias("xml"))).select("l_orderkey", "l_linenumber", "sun_zenith", "view_zenith")
+
+
+@query("""SELECT n_name AS region, n_nationkey::DOUBLE AS lon, n_regionkey::DOUBLE + 40 AS lat, n_regionkey::VARCHAR AS zone, 16.0::DOUBLE AS area FROM nation""")
+def regions_from_geojson(spark, d):
+    """Feature documents made from nations, read as polygons with attributes and centroid."""
+    n = table(spark, d, "nation")
+    x, y = F.col("n_nationkey") * 10, F.col("n_regionkey") * 10
+    ring = F.array(F.array(x, y), F.array(x + 4, y), F.array(x + 4, y + 4), F.array(x, y + 4), F.array(x, y))
+    props = F.struct(F.col("n_name").alias("NAME"), F.col("n_regionkey").alias("zone"), F.format_string("POINT (%d %d)", "n_nationkey", F.col("n_regionkey") + 40).alias("centroid"))
+    feature = F.struct(props.alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    docs = n.groupBy("n_regionkey").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    return geo.area_centroid(readers.read_regions(spark, docs, "NAME")).select("region", "lon", "lat", F.col("attrs")["zone"].alias("zone"), "area")
+
+
+@query("""
+WITH g AS (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, l_returnflag AS crs FROM g QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_returnflag) = 1""")
+def common_crs(spark, d):
+    """The commonest system of each supplier's tiles, the first by name in a tie."""
+    return table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.mode("l_returnflag", True).alias("crs"))
+
+
+@query("""SELECT c_custkey, c_acctbal BETWEEN -50 AND 50 AS in_v2, c_acctbal BETWEEN -60 AND 60 AS in_v3 FROM customer""")
+def precipitation_bounds(spark, d):
+    """F11."""
+    c = table(spark, d, "customer")
+    return c.select("c_custkey", geo.in_bounds(F.lit(0.0), F.col("c_acctbal"), 2).alias("in_v2"), geo.in_bounds(F.lit(0.0), F.col("c_acctbal"), 3).alias("in_v3"))
+
+
+@query("""
+WITH f AS (SELECT DISTINCT event_type AS product, (user_id % 2 + 2)::INT AS version, ts::DATE AS date FROM events WHERE value > 150), w AS (SELECT p.product, d.date FROM (SELECT DISTINCT event_type AS product FROM events) p, (SELECT DISTINCT ts::DATE AS date FROM events) d)
+SELECT product, version, date FROM w, (VALUES (2), (3)) v(version) EXCEPT SELECT product, version, date FROM f""")
+def missing_products(spark, d):
+    """Q10."""
+    ev = table(spark, d, "events")
+    files = ev.where("value > 150").select(F.col("event_type").alias("product"), (F.col("user_id") % 2 + 2).cast("int").alias("version"), F.to_date("ts").alias("date"))
+    wanted = ev.select(F.col("event_type").alias("product")).distinct().crossJoin(ev.select(F.to_date("ts").alias("date")).distinct())
+    return checks.missing_products(files, wanted, spark.createDataFrame([(2,), (3,)], "version int"))
+
+
+@query("""
+WITH e AS (SELECT s_suppkey AS region, s_acctbal AS kg FROM supplier), f AS (SELECT l_suppkey AS region, max(l_extendedprice) AS f FROM lineitem WHERE l_tax > 0.07 AND l_quantity > 45 GROUP BY 1)
+SELECT e.region, kg, f.f, n_name AS zone, r.o AS o_ref FROM e JOIN f USING (region) LEFT JOIN (SELECT s_suppkey AS region, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) USING (region) LEFT JOIN (SELECT o_custkey AS region, max(o_totalprice) AS o FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1) r USING (region)""")
+def assembled_regions(spark, d):
+    """Estimate and factor inner, attributes and reference left."""
+    sup = table(spark, d, "supplier")
+    est = sup.select(F.col("s_suppkey").alias("region"), F.col("s_acctbal").alias("kg"))
+    fac = table(spark, d, "lineitem").where("l_tax > 0.07 and l_quantity > 45").groupBy(F.col("l_suppkey").alias("region")).agg(F.max("l_extendedprice").alias("f"))
+    attrs = sup.join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("region"), F.col("n_name").alias("zone"))
+    ref = table(spark, d, "orders").where("o_custkey % 3 = 0").groupBy(F.col("o_custkey").alias("region")).agg(F.max("o_totalprice").alias("o"))
+    return studies.assemble_regions(est, fac, attrs=attrs, keep=["zone"], reference=ref)
+
+
+@query("""SELECT s_suppkey AS region, s_name, rep AS reported_mean_yield_kg_ha FROM supplier LEFT JOIN (SELECT l_suppkey AS k, max(l_quantity) AS rep FROM lineitem WHERE l_linenumber = 7 GROUP BY 1) ON k = s_suppkey""")
+def with_reference(spark, d):
+    """Level statistics with reference yields, replacing a column of that name."""
+    section = table(spark, d, "supplier").select(F.col("s_suppkey").alias("region"), "s_name", F.lit(0.0).alias("reported_mean_yield_kg_ha"))
+    ref = zonal.extract_reference(table(spark, d, "lineitem").where("l_linenumber = 7").groupBy("l_suppkey").agg(F.max("l_quantity").alias("q")), "l_suppkey", "q")
+    return studies.with_reference(section, ref)
