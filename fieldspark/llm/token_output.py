@@ -18,7 +18,7 @@ The model of a block, per id: an order-2 table (hash of the last two ids) and an
 id) each predict one id and know how often they were right lately. Both confidences together choose
 two adaptive probabilities, which mix the predictions into one interval: order-2 hit, order-1 hit,
 or neither. In the last case an order-0 model codes the id: frequencies of the block's ids so far,
-renewed at growing distances, with an escape to 16 plain bits for ids not yet in it.
+renewed at growing distances; ids not yet in it escape to a list of plain 16 bits behind the code.
 All model arithmetic is on integers, so every machine decodes alike.
 """
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,9 @@ from fieldspark.llm.words import ragged, slices
 from fieldspark.session import materialize
 
 END_ID = 2
-SLOTS = 1 << 12  # entries of a prediction table
-BITS = 14  # of the order-0 frequencies' sum
-LANES, LEAST_BLOCK, SEGMENT_IDS = 512, 1024, 1 << 22
+SLOTS = 1 << 10  # entries of a prediction table
+BITS = 12  # of the order-0 frequencies' sum
+LANES, LEAST_BLOCK, SEGMENT_IDS = 2048, 1024, 1 << 22
 RENEW = tuple(64 * 4**i for i in range(12))  # ids after which the order-0 model is renewed
 ESCAPE = 65535  # no id: ids are below
 
@@ -70,7 +71,7 @@ class _Model:
         if known_ids is not None:
             self.rank = np.zeros(65536, np.int64)
             self.rank[known_ids] = np.arange(len(known_ids))
-            self.by_id = np.zeros((lanes, len(known_ids)), np.uint32)
+            self.by_id = np.zeros((lanes, len(known_ids)), np.uint16)
 
     def predict(self):
         n, a = self.lanes, self.last * np.uint32(40503)
@@ -128,174 +129,148 @@ class _Model:
         used = upto[bounds[1:]] - upto[bounds[:-1]]
         if (used >= total).any():
             raise AssertionError("an order-0 model has no room for its escape")
-        packed = (start << 15 | freq).astype(np.uint32)
-        self.escape = (used << 15 | total - used).astype(np.uint32)
+        # symbols of a lane: 0 the escape, then its ids; each with its start and size
+        place = 1 + np.arange(len(keys)) - bounds[:-1][owner]
+        self.symbol_at = bounds[:-1] + np.arange(self.lanes)
+        self.symbol_range = np.insert((start << 16 | freq).astype(np.uint32), bounds[:-1], (used << 16 | total - used).astype(np.uint32))
         if self.rank is not None:
             self.by_id[:] = 0
-            self.by_id[owner, self.rank[keys & 65535]] = packed
-        else:  # by slot for the decoder: which symbol, the escape last in each lane
-            ends = bounds[1:] + np.arange(self.lanes)
-            self.symbol_id = np.insert(keys & 65535, bounds[1:], ESCAPE).astype(np.uint32)
-            self.symbol_range = np.insert(packed, bounds[1:], self.escape)
-            sizes = np.insert(freq, bounds[1:], total - used)
-            self.by_slot = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-            assert len(self.by_slot) == self.lanes * total and len(ends) == self.lanes
+            self.by_id[owner, self.rank[keys & 65535]] = place
+        else:
+            self.symbol_id = np.insert((keys & 65535).astype(np.uint32), bounds[:-1], ESCAPE)
+            # in a lane's range the ids come first, the escape last
+            self.by_slot = np.repeat(np.insert(place.astype(np.uint16), bounds[1:], 0), np.insert(freq, bounds[1:], total - used))
         self.ready = True
 
     def range_of(self, lanes: np.ndarray, ids: np.ndarray):
         """(start, size, whether the id is in the model) of 2**BITS."""
-        packed = self.by_id[lanes, self.rank[ids]]
-        known = packed > 0
-        packed = np.where(known, packed, self.escape[lanes])
-        return packed >> np.uint32(15), packed & np.uint32(32767), known
+        place = self.by_id[lanes, self.rank[ids]]
+        packed = self.symbol_range[self.symbol_at[lanes] + place]
+        return packed >> np.uint32(16), packed & np.uint32(65535), place > 0
 
     def at_slot(self, lanes: np.ndarray, slots: np.ndarray):
         """(id, start, size) of places in 2**BITS."""
-        symbol = self.by_slot[(lanes << BITS) + slots]
+        symbol = self.symbol_at[lanes] + self.by_slot[(lanes << BITS) + slots]
         packed = self.symbol_range[symbol]
-        return self.symbol_id[symbol], packed >> np.uint32(15), packed & np.uint32(32767)
+        return self.symbol_id[symbol], packed >> np.uint32(16), packed & np.uint32(65535)
+
 
+_LOW32, _U32, _U16, _UBITS = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(16), np.uint64(BITS)
 
-_LOW32 = np.uint64(0xFFFFFFFF)
 
+class _Range:
+    """Carry-less range coder of 64 bits with words of 32, one to a lane.
 
-class _Encoder:
-    """Carry-less range coder of 64 bits with 32-bit output words, one to a lane."""
+    A step narrows each range at most twice (16 and BITS bits), then words go out where the range is
+    within 32 bits; one that straddles two words is cut to the first.
+    """
 
-    def __init__(self, lanes: int, most: int):
+    def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-        self.out, self.n = np.zeros((most, lanes), "<u4"), np.zeros(lanes, np.int64)  # lanes side by side: they fill up alike
-
-    def put(self, lanes, start, size, bits):
-        """lanes: None for all."""
-        low, width = (self.low, self.range) if lanes is None else (self.low[lanes], self.range[lanes])
-        r = width >> np.uint64(bits)
-        low = low + start.astype(np.uint64) * r
-        width = r * size.astype(np.uint64)
-        low, width = self._shift(lanes, low, width)
-        if lanes is None:
-            self.low, self.range = low, width
-        else:
-            self.low[lanes], self.range[lanes] = low, width
-
-    def _shift(self, lanes, low, width):
-        """A word goes out once the range is within 32 bits; where it straddles two words it is cut to the first."""
-        go = (width <= _LOW32).nonzero()[0]
-        if len(go):
-            l, w = low[go], width[go]
-            w = np.where(l ^ (l + w) <= _LOW32, w, (~l + np.uint64(1)) & _LOW32)
-            who = go if lanes is None else lanes[go]
-            n = self.n[who]
-            self.out[n, who] = l >> np.uint64(32)
-            self.n[who] = n + 1
-            low[go] = l << np.uint64(32)
-            width[go] = w << np.uint64(32)
-        return low, width
-
-    def end(self):
-        for k in (32, 0):
-            self.out[self.n, np.arange(len(self.n))] = (self.low >> np.uint64(k) & _LOW32).astype(np.uint32)
-            self.n += 1
-
-
-class _Decoder:
-    def __init__(self, words: np.ndarray, starts: np.ndarray):
-        """words: all blocks' words, with some to spare at the end; starts: each block's first."""
-        self.words, self.at = words, starts + 2
-        self.low, self.range = np.zeros(len(starts), np.uint64), np.full(len(starts), 0xFFFFFFFFFFFFFFFF, np.uint64)
-        self.code = words[starts].astype(np.uint64) << np.uint64(32) | words[starts + 1].astype(np.uint64)
-
-    def peek(self, lanes, bits):
-        low, width, code = (self.low, self.range, self.code) if lanes is None else (self.low[lanes], self.range[lanes], self.code[lanes])
-        r = width >> np.uint64(bits)
-        return np.minimum((code - low) // r, np.uint64((1 << bits) - 1)).astype(np.int64), r
-
-    def take(self, lanes, start, size, r):
-        low = (self.low if lanes is None else self.low[lanes]) + start.astype(np.uint64) * r
-        width = r * size.astype(np.uint64)
-        go = (width <= _LOW32).nonzero()[0]
-        if len(go):
-            l, w = low[go], width[go]
-            w = np.where(l ^ (l + w) <= _LOW32, w, (~l + np.uint64(1)) & _LOW32)
-            who = go if lanes is None else lanes[go]
-            at = self.at[who]
-            self.code[who] = self.code[who] << np.uint64(32) | self.words.take(at, mode="clip").astype(np.uint64)
-            self.at[who] = at + 1
-            low[go] = l << np.uint64(32)
-            width[go] = w << np.uint64(32)
-        if lanes is None:
-            self.low, self.range = low, width
-        else:
-            self.low[lanes], self.range[lanes] = low, width
+
+    def narrow(self, r, start, size):
+        self.low += start.astype(np.uint64) * r
+        self.range = r * size.astype(np.uint64)
+
+    def narrow_some(self, lanes, r, start, size):
+        self.low[lanes] += start.astype(np.uint64) * r
+        self.range[lanes] = r * size.astype(np.uint64)
+
+    def full(self):
+        """(lanes whose word is due, those words)."""
+        go = (self.range <= _LOW32).nonzero()[0]
+        low, width = self.low[go], self.range[go]
+        width = np.where(low ^ (low + width) <= _LOW32, width, (~low + np.uint64(1)) & _LOW32)
+        self.low[go] = low << _U32
+        self.range[go] = width << _U32
+        return go, low >> _U32
+
+
+def _split(model: _Model, hit2: np.ndarray, hit1: np.ndarray, miss: np.ndarray):
+    """(start, size) of 2**16 of what each lane saw."""
+    upto = model.w2 + model.w1
+    return model.w2 * hit1 + upto * miss, np.where(miss, 65536 - upto, np.where(hit2, model.w2, model.w1))
 
 
 def encode_blocks(ids: np.ndarray, lanes: int) -> tuple[int, list[bytes], np.ndarray]:
-    """Code ids in `lanes` blocks; (block length, codes, crc32 of each block)."""
+    """Code ids in `lanes` blocks; (block length, codes, crc32 of each block).
+
+    A block's code: number of words, the range coder's words, then the ids that escaped as 16 bits each.
+    """
     n = -(-len(ids) // lanes)
     lanes = -(-len(ids) // n)
     grid = np.zeros(lanes * n, np.uint32)
     grid[: len(ids)] = ids
-    model, coder = _Model(lanes, np.flatnonzero(np.bincount(grid))), _Encoder(lanes, n * 2 + 8)
-    grid = np.ascontiguousarray(grid.reshape(lanes, n).T)
-    ones = np.ones(lanes, np.uint32)
+    model, coder = _Model(lanes, np.flatnonzero(np.bincount(grid))), _Range(lanes)
+    whole = grid.reshape(lanes, n)
+    grid = np.ascontiguousarray(whole.T)
+    # lanes side by side, as they fill up alike
+    out, filled, escaped = np.zeros((n + 3, lanes), "<u4"), np.zeros(lanes, np.int64), np.zeros((n, lanes), bool)
     for step in range(n):
         now = grid[step]
         model.predict()
         hit2 = now == model.id2
         hit1 = (now == model.id1) & ~hit2
         miss = ~(hit2 | hit1)
-        w2, w1 = model.w2, model.w1
-        upto = w2 + w1
-        start = w2 * hit1 + upto * miss
-        size = np.where(miss, 65536 - upto, np.where(hit2, w2, w1))
-        coder.put(None, start, size, 16)
-        rest = miss.nonzero()[0]
-        if len(rest):
-            if model.ready:
-                start, size, known = model.range_of(rest, now[rest])
-                coder.put(rest, start, size, BITS)
-                rest = rest[~known]
-            if len(rest):
-                coder.put(rest, now[rest], ones[: len(rest)], 16)
+        coder.narrow(coder.range >> _U16, *_split(model, hit2, hit1, miss))
+        if model.ready:
+            rest = miss.nonzero()[0]
+            start, size, known = model.range_of(rest, now[rest])
+            coder.narrow_some(rest, coder.range[rest] >> _UBITS, start, size)
+            escaped[step, rest] = ~known
+        else:
+            escaped[step] = miss
+        go, words = coder.full()
+        at = filled[go]
+        out[at, go] = words
+        filled[go] = at + 1
         model.learn(now, hit2, hit1)
-    coder.end()
-    whole = ids.astype("<u4")
-    crc = np.array([zlib.crc32(whole[i * n : (i + 1) * n]) for i in range(lanes)], "<u4")
-    return n, [coder.out[: coder.n[i], i].tobytes() for i in range(lanes)], crc
+    for k in (_U32, np.uint64(0)):
+        out[filled, np.arange(lanes)] = coder.low >> k & _LOW32
+        filled += 1
+    out, escaped = np.ascontiguousarray(out.T), np.ascontiguousarray(escaped.T)
+    codes = []
+    for i in range(lanes):
+        plain = whole[i][escaped[i]].astype("<u2")
+        codes.append(np.uint32(filled[i]).tobytes() + out[i, : filled[i]].tobytes() + plain.tobytes() + b"\0" * (len(plain) % 2 * 2))
+    data = ids.astype("<u4")
+    crc = np.array([zlib.crc32(data[i * n : (i + 1) * n]) for i in range(lanes)], "<u4")
+    return n, codes, crc
 
 
 def decode_blocks(n_ids: int, block_len: int, sizes: np.ndarray, crc: np.ndarray, payload: bytes) -> np.ndarray:
     """The ids of all blocks; a block whose crc32 differs raises ValueError."""
     lanes = len(sizes)
     words = np.frombuffer(payload + b"\0" * 16, "<u4")
-    starts = np.r_[0, np.cumsum(sizes // 4)][:-1].astype(np.int64)
-    model, coder = _Model(lanes), _Decoder(words, starts)
+    plain = words.view("<u2")
+    first = np.r_[0, np.cumsum(sizes // 4)][:-1].astype(np.int64)
+    at, at_plain = first + 3, 2 * (first + 1 + words[first])
+    model, coder = _Model(lanes), _Range(lanes)
+    code = words.take(first + 1, mode="clip").astype(np.uint64) << _U32 | words.take(first + 2, mode="clip").astype(np.uint64)
     out = np.empty((block_len, lanes), np.uint32)
-    ones = np.ones(lanes, np.uint32)
     for step in range(block_len):
         model.predict()
         w2, w1 = model.w2, model.w1
-        upto = w2 + w1
-        place, r = coder.peek(None, 16)
+        r = coder.range >> _U16
+        place = ((code - coder.low) // r).astype(np.int64)
         hit2 = place < w2
-        miss = place >= upto
+        miss = place >= w2 + w1
         hit1 = ~(hit2 | miss)
-        start = w2 * hit1 + upto * miss
-        size = np.where(miss, 65536 - upto, np.where(hit2, w2, w1))
-        coder.take(None, start, size, r)
+        coder.narrow(r, *_split(model, hit2, hit1, miss))
         now = np.where(hit2, model.id2, model.id1)
         rest = miss.nonzero()[0]
-        if len(rest):
-            if model.ready:
-                place, r = coder.peek(rest, BITS)
-                ids, start, size = model.at_slot(rest, place)
-                coder.take(rest, start, size, r)
-                now[rest] = ids
-                rest = rest[ids == ESCAPE]
-            if len(rest):
-                place, r = coder.peek(rest, 16)
-                coder.take(rest, place, ones[: len(rest)], r)
-                now[rest] = place
+        if model.ready:
+            r = coder.range[rest] >> _UBITS
+            place = np.minimum((code[rest] - coder.low[rest]) // r, np.uint64((1 << BITS) - 1)).astype(np.int64)
+            ids, start, size = model.at_slot(rest, place)
+            coder.narrow_some(rest, r, start, size)
+            now[rest] = ids
+            rest = rest[ids == ESCAPE]
+        now[rest] = plain.take(at_plain[rest], mode="clip")
+        at_plain[rest] += 1
+        go, _ = coder.full()
+        code[go] = code[go] << _U32 | words.take(at[go], mode="clip").astype(np.uint64)
+        at[go] += 1
         out[step] = now
         model.learn(now, hit2, hit1)
     ids = out.T.ravel()[:n_ids].astype("<u4")
@@ -309,7 +284,7 @@ class WordIds:
     """Ids of texts by the tokenizers library, each distinct run between white space encoded once.
 
     The tokenizer drops white space and merges nothing across it, so a text's ids are those of its
-    runs. Text is cut at space, tab and line feed only; other white space is left to the library.
+    runs. Text is cut at space and \\x09-\\x0D; other white space is left to the normaliser.
     """
 
     def __init__(self, path: str, most: int = 700_000):
@@ -354,15 +329,14 @@ class WordIds:
         """(ids of all texts, number of ids of each)."""
         if self.held > self.most:
             self.clear()
-        runs = [t.replace(b"\n", b" ").replace(b"\t", b" ").split(b" ") for t in texts]
-        get = self.known.get
-        at = [[get(r, -1) for r in of] for of in runs]
-        missing = {r for of, is_ in zip(runs, at) if -1 in is_ for r, i in zip(of, is_) if i < 0}
-        if missing:
-            self._add(list(missing))
-            at = [[get(r) for r in of] if -1 in is_ else is_ for of, is_ in zip(runs, at)]
-        n_runs = np.fromiter(map(len, at), np.int64, len(at))
-        which = np.fromiter((i for of in at for i in of), np.int64, int(n_runs.sum()))
+        runs = [t.split() for t in texts]
+        n_runs = np.fromiter(map(len, runs), np.int64, len(runs))
+        flat = list(chain.from_iterable(runs))
+        which = list(map(self.known.get, flat))
+        if None in which:
+            self._add(list({r for r, i in zip(flat, which) if i is None}))
+            which = list(map(self.known.get, flat))
+        which = np.array(which, np.int64)
         n = self.n[which]
         ids = self.flat[ragged(self.start[which], n)]
         total = np.r_[0, np.cumsum(n)]
