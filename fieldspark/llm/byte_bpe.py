@@ -170,7 +170,7 @@ def _boundaries_between(points: np.ndarray, first: np.ndarray, mark: np.ndarray)
 class BytePairs:
     """Ids of slices by ranks, each distinct slice merged once."""
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 300_000):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.most = most

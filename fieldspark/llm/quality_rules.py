@@ -19,7 +19,7 @@ from fieldspark.llm.words import IS_WHITE, running_hash, slice_hashes, slices, t
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SAMPLE_ROWS = 1500  # of each label
-KEEP_AT = 0.3  # least calibrated probability of good quality
+KEEP_AT = 0.5  # least calibrated probability of good quality
 BUCKETS = 1 << 15  # of each kind of feature
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -158,10 +158,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int,
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean"
 
 
-def _score(model: QualityModel, keep_at: float, carry: list[str]):
+def _score(model: QualityModel, keep_at: float, carry: list[str], column: str = "text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            texts = texts_of(batch)
+        for batch in slices(batches, column=column):
+            texts = texts_of(batch, column)
             f = base_features(texts)
             failed, p = base_failed(f), model.probability(texts)
             new = [pa.array(f[k], pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
@@ -189,7 +189,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
 def filter_documents(docs: DataFrame, model: QualityModel, keep_at: float = KEEP_AT) -> DataFrame:
     """docs without the rows that the rules reject; columns as before."""
     names = docs.columns
-    rows = docs.select("text", F.struct(*names).alias("quality_row"))
+    rows = docs.select(F.struct(*names).alias("quality_row"))
     row_type = rows.schema["quality_row"].dataType.simpleString()
-    scored = rows.mapInArrow(_score(model, keep_at, ["quality_row"]), f"quality_row {row_type}, " + SCHEMA)
+    scored = rows.mapInArrow(_score(model, keep_at, ["quality_row"], "quality_row.text"), f"quality_row {row_type}, " + SCHEMA)
     return scored.where("kept").select(*[F.col(f"quality_row.`{c}`").alias(c) for c in names])

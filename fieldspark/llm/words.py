@@ -46,9 +46,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(31)
 
 
+def column_of(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """A column, or a field of a struct column by its path a.b."""
+    name, _, rest = column.partition(".")
+    found = batch.column(batch.schema.get_field_index(name))
+    return pc.struct_field(found, rest) if rest else found
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 of a string column; null counts as empty."""
-    return [b"" if x is None else x for x in batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()).to_pylist()]
+    return [b"" if x is None else x for x in column_of(batch, column).cast(pa.large_binary()).to_pylist()]
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -60,10 +67,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, most_bytes: int = 3 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, most_bytes: int = 1 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Smaller batches: at most so many rows and bytes of text, or a single row."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(column_of(batch, column)), 0).to_numpy(zero_copy_only=False)
         total, i = np.cumsum(sizes, dtype=np.int64), 0
         while i < len(sizes):
             done = int(total[i - 1]) if i else 0
