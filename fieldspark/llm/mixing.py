@@ -55,11 +55,12 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
     budget's edge is taken in part, so a source's taken words are its target rounded down. Null text:
     size 0, taken 0. Null source: a source of its own, last in order. Equal rows: told apart by nothing,
     so either may be the one at the edge; rows with equal doc_id are ordered by size and a hash of all
-    columns. Empty table: no rows. A source without words gets target 0.
+    columns but those of maps. Empty table: no rows. A source without words gets target 0.
     """
     keep = keep or ["doc_id"]
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = docs.select(*dict.fromkeys([*keep, "source"]), word_count(F.col("text")).alias("size"), key.alias("mix_key"), F.xxhash64(*docs.columns).alias("mix_tie"))
+    hashable = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
+    rows = docs.select(*dict.fromkeys([*keep, "source"]), word_count(F.col("text")).alias("size"), key.alias("mix_key"), F.xxhash64(*hashable).alias("mix_tie"))
     rows = materialize(rows, "mix-keys")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     plan = source_targets(sizes.select("source", "source_size"), **targets)
