@@ -329,8 +329,9 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
     groups = connected_components(verified.where("b is not null"), "jaccard-groups").withColumnRenamed("node", "class_key")
 
     info = classes.select("class_key", "class_id", "class_size").join(links, "class_key", "left").join(groups, "class_key", "left")
-    info = info.withColumn("root", F.coalesce("root", "class_key"))
-    firsts = info.groupBy("root").agg(F.min("class_id").alias("group_id"))
+    info = materialize(info.withColumn("root", F.coalesce("root", "class_key")), "jaccard-info")
+    # written before it is joined, so that both sides are plain exchanges and a large group's rows can be split
+    firsts = materialize(info.groupBy("root").agg(F.min("class_id").alias("group_id")), "jaccard-firsts")
     info = info.join(firsts, "root").select("class_key", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_id", F.col("root").alias("group_key"))
     kept = F.col("doc_id").eqNullSafe(F.col("group_id"))
     rows = sketches.select("doc_id", "n_shingles", "class_key", "text_hash").join(info, "class_key")
