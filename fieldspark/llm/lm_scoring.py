@@ -6,10 +6,10 @@ class, then of the word in it), and other words share one unknown word. The prob
 word in full is that of "unknown" times its add-one share among the tokens outside the vocabulary, so
 the model is a proper distribution over all token strings it has counts for plus one for the rest.
 
-Training: a fixed share of the training documents, dealt out to trainers; each runs truncated
-backpropagation through time in numpy from the same start, and their weights are averaged, ROUNDS
-times. Scoring: documents stand in lanes one after another; the state is carried through a document
-from its first token to its last and cleared between documents.
+Training: all training documents, dealt out to ROUNDS rounds and their trainers, each document to one;
+a trainer runs truncated backpropagation through time in numpy from the round's start, and the weights
+of a round's trainers are averaged. Scoring: documents stand in lanes one after another; the state is
+carried through a document from its first token to its last and cleared between documents.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ END = b""  # the end token: no word is empty
 CLASSES, CLASS = 64, 64
 VOCAB = CLASSES * CLASS  # with the end token and the unknown word
 INPUT, HIDDEN = 16, 24
-SHARE, ROUNDS = 16, 2  # one of SHARE training documents trains the network, split over the rounds
+ROUNDS = 2  # the training documents are split over the rounds
 TRAINER_TOKENS = 500_000
 KNOWN_COUNTS = 65_536  # tokens whose counts every task holds; the others' are joined
 SPAN, LANES, RATE = 16, 64, 4e-3
@@ -109,15 +109,19 @@ def pack(w: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([w[k].ravel() for k in SHAPES]).astype(np.float32)
 
 
-def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
+def views(flat: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k, shape in SHAPES.items():
         n = int(np.prod(shape))
-        out[k] = np.array(flat[at : at + n], np.float32).reshape(shape)
+        out[k] = flat[at : at + n].reshape(shape)
         at += n
     return out
 
 
+def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
+    return views(np.array(flat, np.float32))
+
+
 def start_weights(counts: np.ndarray) -> dict[str, np.ndarray]:
     """Small random weights; the biases are the unigram's logarithms, so training starts from there."""
     rng = np.random.Generator(np.random.PCG64(7))
@@ -217,79 +221,103 @@ def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int,
     return out
 
 
+def _softmax_loss(x: np.ndarray, at: np.ndarray) -> float:
+    """Summed loss of the chosen columns; x turns into its gradient."""
+    rows = np.arange(len(at))
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[rows, at]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    x /= total[:, None]
+    x[rows, at] -= 1
+    return float((np.log(total) - chosen).sum())
+
+
 def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: float = RATE) -> tuple[dict[str, np.ndarray], float]:
-    """One pass of truncated backpropagation: spans of SPAN steps, state carried on; (weights, mean loss in nats)."""
+    """One pass of truncated backpropagation: spans of SPAN steps, state carried on; (weights, mean loss in nats).
+
+    Only the recurrence goes step by step; what does not wait for it is taken for a whole span at once.
+    """
     tokens, first, _ = lanes_of(docs, LANES)
-    m = {k: np.zeros_like(v) for k, v in w.items()}
-    v2 = {k: np.zeros_like(v) for k, v in w.items()}
-    lanes = tokens.shape[1]
-    h, last, loss, count, t = np.zeros((lanes, HIDDEN), np.float32), np.full(lanes, end), 0.0, 0, 0
+    flat = pack(w)
+    grad, m, v2, spare = (np.zeros_like(flat) for _ in range(4))
+    w, g = views(flat), views(grad)
+    lanes, h2, h3 = tokens.shape[1], 2 * HIDDEN, 3 * HIDDEN
+    priors = np.concatenate([np.full((1, lanes), end, tokens.dtype), tokens[:-1]])
+    priors[(priors < 0) | first] = end
+    keep = (~first).astype(np.float32)[:, :, None]
+    h, loss, count, t = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, 0
     for begin in range(0, len(tokens), SPAN):
-        span = range(begin, min(begin + SPAN, len(tokens)))
-        kept = []
-        for s in span:
-            live = tokens[s] >= 0
-            new = first[s]
-            h = h * ~new[:, None]
-            last = np.where(new, end, last)
-            e = w["embed"][last]
-            x = e @ w["wx"] + w["bg"]
+        target, prior, kept = tokens[begin : begin + SPAN].ravel(), priors[begin : begin + SPAN].ravel(), keep[begin : begin + SPAN]
+        steps = len(kept)
+        e = w["embed"][prior]
+        x = (e @ w["wx"] + w["bg"]).reshape(steps, lanes, h3)
+        before, un, cand, after = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(4))
+        rz = np.empty((steps, lanes, h2), np.float32)
+        for s in range(steps):
+            h = np.multiply(h, kept[s], out=before[s])
             u = h @ w["uh"]
-            rz = _sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-            r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-            un = u[:, 2 * HIDDEN :]
-            cand = np.tanh(x[:, 2 * HIDDEN :] + r * un)
-            after = cand + z * (h - cand)
-            kept.append((h, last, e, r, z, un, cand, after, new, live))
-            h, last = after, np.where(live, tokens[s], last)
-        hidden = np.concatenate([k[7] for k in kept])
-        target = np.concatenate([tokens[s] for s in span])
-        live = np.concatenate([k[9] for k in kept])
-        n = int(live.sum())
-        kind, place = np.where(live, target, 0) // CLASS, np.where(live, target, 0) % CLASS
-        g = {k: np.zeros_like(x) for k, x in w.items()}
-        lp = _log_softmax(hidden @ w["wc"] + w["bc"])
-        loss -= float(lp[np.arange(len(kind)), kind][live].sum())
-        d = np.exp(lp)
-        d[np.arange(len(kind)), kind] -= 1
-        d *= live[:, None] / np.float32(n)
-        g["wc"], g["bc"] = hidden.T @ d, d.sum(axis=0)
-        dh_all = d @ w["wc"].T
-        for c, at in _by_class(kind):
-            at = at[live[at]]
-            if not len(at):
-                continue
-            lp = _log_softmax(hidden[at] @ w["wo"][c] + w["bo"][c])
-            loss -= float(lp[np.arange(len(at)), place[at]].sum())
-            d = np.exp(lp)
-            d[np.arange(len(at)), place[at]] -= 1
-            d /= np.float32(n)
-            g["wo"][c], g["bo"][c] = hidden[at].T @ d, d.sum(axis=0)
-            dh_all[at] += d @ w["wo"][c].T
+            rz[s] = _sigmoid(x[s, :, :h2] + u[:, :h2])
+            un[s] = u[:, h2:]
+            np.tanh(x[s, :, h2:] + rz[s, :, :HIDDEN] * un[s], out=cand[s])
+            h = np.add(cand[s], rz[s, :, HIDDEN:] * (h - cand[s]), out=after[s])
+        grad[:] = 0
+        live = np.flatnonzero(target >= 0)
+        order = live[np.argsort(target[live] // CLASS, kind="stable")]  # by class
+        n, hidden = len(order), after.reshape(-1, HIDDEN)[order]
+        kind, place = target[order] // CLASS, target[order] % CLASS
+        at = np.searchsorted(kind, np.arange(CLASSES + 1))
+        spans = [(c, a, b) for c, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
+        d = hidden @ w["wc"] + w["bc"]
+        loss += _softmax_loss(d, kind)
+        d /= np.float32(n)
+        g["wc"][:], g["bc"][:] = hidden.T @ d, d.sum(axis=0)
+        back = d @ w["wc"].T
+        d, part = np.empty((n, CLASS), np.float32), np.empty((n, HIDDEN), np.float32)
+        for c, a, b in spans:
+            np.matmul(hidden[a:b], w["wo"][c], out=d[a:b])
+        d += w["bo"][kind]
+        loss += _softmax_loss(d, place)
+        d /= np.float32(n)
+        for c, a, b in spans:
+            np.matmul(hidden[a:b].T, d[a:b], out=g["wo"][c])
+            np.matmul(d[a:b], w["wo"][c].T, out=part[a:b])
+        back += part
+        g["bo"][[c for c, _, _ in spans]] = np.add.reduceat(d, [a for _, a, _ in spans])
+        dh_all = np.zeros((steps * lanes, HIDDEN), np.float32)
+        dh_all[order] = back
+        dh_all = dh_all.reshape(steps, lanes, HIDDEN)
+        r, z = rz[:, :, :HIDDEN], rz[:, :, HIDDEN:]
+        to_z, to_n, to_r = (before - cand) * z * (1 - z), (1 - z) * (1 - cand * cand), un * r * (1 - r)
+        dx, du = (np.empty((steps, lanes, h3), np.float32) for _ in range(2))
         dh = np.zeros((lanes, HIDDEN), np.float32)
-        for i in range(len(kept) - 1, -1, -1):
-            before, prior, e, r, z, un, cand, _, new, _ = kept[i]
-            dh = dh + dh_all[i * lanes : (i + 1) * lanes]
-            dz = dh * (before - cand) * z * (1 - z)
-            dn = dh * (1 - z) * (1 - cand * cand)
-            dr = dn * un * r * (1 - r)
-            dx = np.concatenate([dr, dz, dn], axis=1)
-            du = np.concatenate([dr, dz, dn * r], axis=1)
-            g["wx"] += e.T @ dx
-            g["bg"] += dx.sum(axis=0)
-            g["uh"] += before.T @ du
-            np.add.at(g["embed"], prior, dx @ w["wx"].T)
-            dh = (dh * z + du @ w["uh"].T) * ~new[:, None]
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-        scale = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+        across = np.ascontiguousarray(w["uh"].T)
+        for i in range(steps - 1, -1, -1):
+            dh = dh + dh_all[i]
+            dn = np.multiply(dh, to_n[i], out=dx[i, :, h2:])
+            np.multiply(dn, to_r[i], out=dx[i, :, :HIDDEN])
+            np.multiply(dh, to_z[i], out=dx[i, :, HIDDEN:h2])
+            du[i, :, :h2] = dx[i, :, :h2]
+            np.multiply(dn, r[i], out=du[i, :, h2:])
+            dh = (dh * z[i] + du[i] @ across) * kept[i]
+        dx, du = dx.reshape(-1, h3), du.reshape(-1, h3)
+        g["wx"][:], g["bg"][:], g["uh"][:] = e.T @ dx, dx.sum(axis=0), before.reshape(-1, HIDDEN).T @ du
+        same = np.argsort(prior, kind="stable")
+        starts = np.flatnonzero(np.diff(prior[same], prepend=-1))
+        g["embed"][prior[same[starts]]] = np.add.reduceat((dx @ w["wx"].T)[same], starts)
+        norm = float(np.sqrt(grad @ grad))
+        grad *= np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         t += 1
         count += n
         step = np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t) / (1 + t / 2000))
-        for k, x in w.items():
-            gk = g[k] * scale
-            m[k] += np.float32(0.1) * (gk - m[k])
-            v2[k] += np.float32(0.01) * (gk * gk - v2[k])
-            x -= step * m[k] / (np.sqrt(v2[k]) + np.float32(1e-6))
+        m += np.multiply(np.subtract(grad, m, out=spare), np.float32(0.1), out=spare)
+        grad *= grad
+        v2 += np.multiply(np.subtract(grad, v2, out=spare), np.float32(0.01), out=spare)
+        np.sqrt(v2, out=spare)
+        spare += np.float32(1e-6)
+        np.divide(m, spare, out=spare)
+        spare *= step
+        flat -= spare
     return w, loss / max(1, count)
 
 
@@ -312,12 +340,43 @@ class Vocabulary:
         self.counts = np.array([counts.get(END, 0), self.outside_tokens] + [counts.get(t, 0) for t in words[1:]], np.float64)
 
 
+_SEQUENCES = "round int, trainer long, doc_id long, ids binary"
+
+
+def _sequences(vocab: Vocabulary, trainers: int):
+    """Training documents as ids of two bytes, each dealt to a round and a trainer; equal rows of a task are spread."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        find, unknown = vocab.ids.get, vocab.unknown
+        for batch in slices(batches, 4096, 6 << 20):
+            rounds, dealt, doc_ids, ids = [], [], [], []
+            for d, key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), texts_of(batch)):
+                if is_held_out(d):
+                    continue
+                at = (key + seen[key] * 0x9E3779B97F4A7C15) % (1 << 64)
+                seen[key] += 1
+                rounds.append(at % ROUNDS)
+                dealt.append((at >> 16) % trainers)
+                doc_ids.append(d)
+                ids.append(np.array([find(t, unknown) for t in tokens_of(text)], np.uint16).tobytes())
+            cols = [pa.array(rounds, pa.int32()), pa.array(dealt, pa.int64()), pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _SEQUENCES.split(", ")])
+
+    return run
+
+
+def training_sequences(docs: DataFrame, vocab: Vocabulary, trainers: int) -> DataFrame:
+    """round, trainer, doc_id, ids: a row for each training document."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.withColumn("key", F.xxhash64("text", "doc_id")).mapInArrow(_sequences(vocab, trainers), _SEQUENCES)
+
+
 def _trainer(vocab: Vocabulary, flat: np.ndarray):
     def run(rows):
-        rows = rows.sort_values(["doc_id", "text"])
-        ids = vocab.ids
-        docs = [np.array([ids.get(t, vocab.unknown) for t in tokens_of(x.encode("utf-8"))], np.int32) for x in rows["text"]]
-        w, loss = train(unpack(flat), docs, ids[END])
+        rows = rows.sort_values(["doc_id", "ids"])
+        docs = [np.frombuffer(x, np.uint16).astype(np.int32) for x in rows["ids"]]
+        w, loss = train(unpack(flat), docs, vocab.ids[END])
         return pd.DataFrame({"weights": [pack(w)], "loss": [loss], "n": [sum(map(len, docs))]})
 
     return run
@@ -326,12 +385,10 @@ def _trainer(vocab: Vocabulary, flat: np.ndarray):
 def train_network(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
     """Weights after ROUNDS rounds of trainers and averages; the averages are taken by Spark, weight by weight."""
     flat = pack(start_weights(vocab.counts))
-    pick = F.pmod(F.xxhash64("doc_id"), F.lit(SHARE * ROUNDS))
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
-    trainers = max(2, -(-vocab.all_tokens // (SHARE * ROUNDS * TRAINER_TOKENS)))
-    sample = materialize(docs.where((pick < ROUNDS) & ~F.coalesce(held_out, F.lit(False))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), pick.alias("round")), "lm-sample")
+    trainers = max(2, -(-vocab.all_tokens // (ROUNDS * TRAINER_TOKENS)))
+    sequences = materialize(training_sequences(docs, vocab, trainers), "lm-sequences")
     for r in range(ROUNDS):
-        part = sample.where(F.col("round") == r).withColumn("trainer", F.pmod(F.xxhash64("text", "doc_id"), F.lit(trainers)))
+        part = sequences.where(F.col("round") == r).drop("round")
         trained = part.groupBy("trainer").applyInPandas(_trainer(vocab, flat), "weights array<float>, loss double, n long")
         trained = materialize(trained, "lm-weights")
         mean = trained.select("n", F.posexplode("weights").alias("i", "w")).groupBy("i").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w"))

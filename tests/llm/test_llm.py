@@ -344,6 +344,25 @@ def test_lm_gradients():
     assert losses[0] > losses[1] > losses[2]
 
 
+def test_lm_learns_from_every_training_document(spark):
+    from fieldspark.llm import lm_scoring as m
+
+    words = Counter({b"": 40, b"a": 400, b"b": 400, b"c": 400})
+    vocab = m.Vocabulary(words.most_common(), words.total(), len(words))
+    start = m.pack(m.start_weights(vocab.counts))
+    schema = "doc_id long, text string"
+    numbered = spark.createDataFrame([(i, "a b c " * (3 + i % 9)) for i in range(40)], schema)
+    one_key = spark.createDataFrame([(None, "a b c " * (3 + i % 9)) for i in range(40)], schema)
+    for docs in (numbered, one_key):
+        kept = [(r["doc_id"], tuple([*lower(r["text"]).split(), b""])) for r in docs.collect() if not m.is_held_out(r["doc_id"])]
+        dealt = m.training_sequences(docs, vocab, 2).collect()
+        names = {i: t for t, i in vocab.ids.items()}
+        assert Counter((r["doc_id"], tuple(names[i] for i in np.frombuffer(r["ids"], np.uint16))) for r in dealt) == Counter(kept)
+        assert {r["round"] for r in dealt} == {0, 1}
+        assert {(r["round"], r["trainer"]) for r in dealt} == {(0, 0), (0, 1), (1, 0), (1, 1)}
+        assert not np.array_equal(m.train_network(docs, vocab), start)
+
+
 def brute_kernel(s, t, n=3, lam=0.8):
     total = 0.0
     for a in itertools.combinations(range(len(s)), n):
