@@ -11,7 +11,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,14 +94,40 @@ def clip_to_cell(ring: list[tuple[float, float]], xa: float, ya: float, xb: floa
     return sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(points, points[1:] + points[:1])) / 2
 
 
-def _clip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+def ring_signs(rings: list[np.ndarray]) -> list[int]:
+    """1 for outlines, -1 for holes, whatever their order and direction: rings (n x 2) in an even number of others are outlines.
+
+    Rings may touch but not cross, so most midpoints of a ring's edges tell whether it lies in another.
+    """
+    middles = [(r[1:] + r[:-1]) / 2 for r in rings]
+    out = []
+    for i, m in enumerate(middles):
+        depth = 0
+        for j, r in enumerate(rings):
+            if i == j or len(m) == 0 or len(r) < 4 or (rings[i].min(axis=0) < r.min(axis=0)).any() or (rings[i].max(axis=0) > r.max(axis=0)).any():
+                continue
+            (x1, y1), (x2, y2) = r[:-1].T, r[1:].T
+            within = 0
+            for x, y in m:
+                at = np.flatnonzero((y1 > y) != (y2 > y))
+                within += int((x < x1[at] + (y - y1[at]) * (x2[at] - x1[at]) / (y2[at] - y1[at])).sum()) % 2
+            depth += 2 * within > len(m)
+        out.append(-1 if depth % 2 else 1)
+    return out
+
+
+def _signs(column: pa.Array) -> pa.Array:
+    return pa.array([ring_signs([np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in rings]) for rings in column.to_pylist()], pa.list_(pa.int32()))
+
+
+def _clip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """On Arrow: rings of a region differ in length, which nested pandas columns cannot hold."""
+    for batch in batches:
         out = []
-        for rings, xa, ya, xb, yb in zip(pdf["rings"], pdf["xa"], pdf["ya"], pdf["xb"], pdf["yb"]):
-            areas = [abs(clip_to_cell([(p["x"], p["y"]) for p in ring][:-1], xa, ya, xb, yb)) for ring in rings]
-            # the first ring is the outline, the others are holes in it
-            out.append(max(0.0, areas[0] - sum(areas[1:])) / ((xb - xa) * (yb - ya)) if areas else 0.0)
-        yield pdf.drop(columns=["rings", "xa", "ya", "xb", "yb"]).assign(weight=np.array(out, float))
+        for rings, signs, xa, ya, xb, yb in zip(*[batch.column(c).to_pylist() for c in ("rings", "signs", "xa", "ya", "xb", "yb")]):
+            areas = [s * abs(clip_to_cell([(p["x"], p["y"]) for p in ring][:-1], xa, ya, xb, yb)) for ring, s in zip(rings, signs)]
+            out.append(max(0.0, sum(areas)) / ((xb - xa) * (yb - ya)))
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("region", "ix", "iy")], pa.array(out, pa.float64())], ["region", "ix", "iy", "weight"])
 
 
 def coverage(regions: DataFrame, x0: float, y0: float, dx: float, dy: float) -> DataFrame:
@@ -109,8 +135,9 @@ def coverage(regions: DataFrame, x0: float, y0: float, dx: float, dy: float) ->
 
     Cells with all corners inside and no edge across get 1.0 from built-in functions; only those that an
     edge may cross go to Python, to be clipped. Each ring's edges are cut out for the cell's row first.
+    A region may have several parts, holes, and parts within holes: rings count by how they are nested.
     """
-    r = with_edges(regions).select("region", "rings", "edges", "xmin", "xmax", "ymin", "ymax")
+    r = with_edges(regions).select("region", "rings", F.arrow_udf(_signs, "array<int>")("rings").alias("signs"), "edges", "xmin", "xmax", "ymin", "ymax")
     low = lambda c, o, d: F.floor((F.col(c) - o) / d)
     r = r.withColumn("iy", F.explode(F.sequence(F.least(low("ymin", y0, dy), low("ymax", y0, dy)), F.greatest(low("ymin", y0, dy), low("ymax", y0, dy)))))
     r = r.withColumn("ix", F.explode(F.sequence(F.least(low("xmin", x0, dx), low("xmax", x0, dx)), F.greatest(low("xmin", x0, dx), low("xmax", x0, dx)))))
@@ -119,9 +146,9 @@ def coverage(regions: DataFrame, x0: float, y0: float, dx: float, dy: float) ->
     near = F.exists("edges", lambda e: (F.least(e.x1, e.x2) <= F.col("xb")) & (F.greatest(e.x1, e.x2) >= F.col("xa")) & (F.least(e.y1, e.y2) <= F.col("yb")) & (F.greatest(e.y1, e.y2) >= F.col("ya")))
     r = r.withColumn("near", near)
     whole = r.where(~F.col("near") & inside(F.col("edges"), (F.col("xa") + F.col("xb")) / 2, (F.col("ya") + F.col("yb")) / 2)).select("region", "ix", "iy", F.lit(1.0).alias("weight"))
-    edge = r.where("near").select("region", "ix", "iy", "rings", "xa", "ya", "xb", "yb")
+    edge = r.where("near").select("region", "ix", "iy", "rings", "signs", "xa", "ya", "xb", "yb")
     kinds = {f.name: f.dataType.simpleString() for f in edge.schema}
-    clipped = edge.mapInPandas(_clip, f"region {kinds['region']}, ix {kinds['ix']}, iy {kinds['iy']}, weight double")
+    clipped = edge.mapInArrow(_clip, f"region {kinds['region']}, ix {kinds['ix']}, iy {kinds['iy']}, weight double")
     return whole.unionByName(clipped.where("weight > 0"))
 
 

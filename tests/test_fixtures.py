@@ -296,6 +296,21 @@ def test_coverage_adds_up(spark):
     assert ("tiny", 30, 30) in cells and ("a", 0, 0) not in cells and ("a", 1, 0) not in cells and ("a", 1, 1) in cells
 
 
+def test_coverage_of_several_parts(spark):
+    ring = lambda x, y, s: square("", x, y, s)[1][0]
+    parts = [
+        ("two", [ring(0.25, 0.25, 2.0), ring(5.5, 5.5, 2.0), ring(9.2, 9.2, 0.5)]),
+        ("island", [ring(0.3, 0.3, 8.0), ring(1.5, 1.5, 4.0)[::-1], ring(2.2, 2.2, 1.1), ring(12.4, 0.1, 0.5)]),
+        ("touching", [ring(0.5, 0.5, 1.0), ring(1.5, 1.5, 1.0), [(3.0, 3.0), (7.0, 3.0), (7.0, 7.0), (3.0, 7.0), (3.0, 3.0)], [(3.0, 3.0), (5.5, 3.5), (3.5, 5.5), (3.0, 3.0)]]),
+    ]
+    cover = geo.coverage(spark.createDataFrame(parts, RINGS), 0.0, 0.0, 1.0, 1.0)
+    got = {(r.region, r.ix, r.iy): r.weight for r in cover.collect()}
+    total = {name: sum(w for (region, _, _), w in got.items() if region == name) for name, _ in parts}
+    assert total == pytest.approx({"two": 4 + 4 + 0.25, "island": 64 - 16 + 1.21 + 0.25, "touching": 1 + 1 + 16 - 3})
+    assert got["two", 5, 5] == pytest.approx(0.25) and got["two", 9, 9] == pytest.approx(0.25) and got["two", 6, 6] == 1
+    assert got["island", 2, 2] == pytest.approx(0.64) and ("island", 4, 4) not in got and got["island", 12, 0] == pytest.approx(0.25)
+
+
 def test_zonal(spark):
     px = spark.createDataFrame([(x, y, 3000.0 if y >= 1 else None, 1) for x in range(10) for y in range(10)], "ix long, iy long, v double, covered int")
     regions = spark.createDataFrame([("A", [[(0.0, 0.0), (5.0, 0.0), (5.0, 10.0), (0.0, 10.0), (0.0, 0.0)]]), ("B", [[(5.0, 0.0), (10.0, 0.0), (10.0, 10.0), (5.0, 10.0), (5.0, 0.0)]])], RINGS)
