@@ -169,8 +169,23 @@ class PrefixCounter:
                 self.counts[run] = n
         return n
 
+    def cut(self, run: bytes, room: int) -> int:
+        """Bytes of the longest beginning of a run within room tokens, by the counts at its prefixes; letters that compose stay together."""
+        text = run.decode("utf-8")
+        counts, best, at, n_bytes = self.prefixes(text), 0, 0, 0
+        pieces, special = [], self.special.findall(text) if self.special else []
+        for k, part in enumerate(self.special.splititer(text) if self.special else [text]):
+            starts = [i for i, c in enumerate(part) if i == 0 or not (unicodedata.category(c)[0] == "M" or "\u1160" <= c <= "\u11ff")]
+            pieces += [(len(normalise(part[i:j])), part[i:j]) for i, j in zip(starts, [*starts[1:], len(part)])]
+            pieces += [(1, x) for x in special[k : k + 1]]
+        for steps, piece in pieces:
+            at, n_bytes = at + steps, n_bytes + len(piece.encode("utf-8"))
+            if counts[at] <= room:
+                best = n_bytes
+        return best
+
     def text(self, text: bytes, limit: int | None = None) -> tuple[int, int]:
-        """(tokens of the whole text, bytes of the longest beginning that ends at a space and is within limit tokens)."""
+        """(tokens of the whole text, bytes of the longest beginning within limit tokens)."""
         known, slow = self.counts.get, self.run
         runs = text.replace(b"\n", b" ").replace(b"\t", b" ").split(b" ")
         counts = [slow(r) if n is None else n for r, n in zip(runs, map(known, runs))]
@@ -178,7 +193,9 @@ class PrefixCounter:
         if limit is None or total <= limit:
             return total, len(text)
         fits = int(np.searchsorted(np.cumsum(counts), limit, side="right"))
-        return total, sum(map(len, runs[:fits])) + max(0, fits - 1)
+        before = sum(map(len, runs[:fits]))
+        inside = self.cut(runs[fits], limit - sum(counts[:fits]))
+        return total, before + (fits + inside if inside else max(0, fits - 1))
 
 
 def normalise(text: str) -> str:
@@ -202,7 +219,7 @@ SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_byte
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_bytes (UTF-8), n_tokens, over_limit, fit_bytes, one row per row.
 
-    fit_bytes: where the text can be cut, at a space, tab or line feed, to stay within limit tokens.
+    fit_bytes: where the text can be cut to stay within limit tokens, also inside a run without spaces.
     Null text counts as empty (0, 0, false, 0); null doc_id stays null; equal rows give equal rows;
     other columns are ignored; an empty table gives no rows. No shuffle; memory is bound by the cache.
     """

@@ -167,6 +167,23 @@ def test_token_counts_of_every_prefix(spark, docs, empty):
     assert count_tokens(empty, path).count() == 0
 
 
+def test_token_cut_inside_a_run():
+    from tokenizers import Tokenizer
+
+    from fieldspark.llm.token_counts import PrefixCounter
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, c = Tokenizer.from_file(path), PrefixCounter(path)
+    count = lambda s: len(t.encode(s, add_special_tokens=False).ids)
+    for text in ["日本語の文字を切る" * 9, "aGVsbG8gd29ybGQx" * 9, "some words, then " + "Unbroken.Run/of-parts" * 8, "e\u0301a\u0308İΣ" * 20]:
+        n, fit = c.text(text.encode(), 30)
+        ends = [len(text[:i].encode()) for i in range(len(text) + 1)]
+        assert n == count(text) > 30 and fit in ends and fit > 0
+        i = ends.index(fit)
+        assert count(text[:i]) <= 30
+        assert all(count(text[:j]) > 30 for j in range(i + 3, len(text) + 1))
+
+
 def lower(text):
     return (text or "").encode().lower()
 
