@@ -1,20 +1,31 @@
 """N-gram Jaccard join: a MinHash LSH forest, then exact verification.
 
 Texts become sets of hashed five-word windows (A-Z lower-cased; a text of one to four words is one
-window). Equal sets form a class, and only classes are compared. A class's signature holds the levels
-of all trees of the forest; in each tree the classes, sorted by signature, form a prefix trie. A match
-starts at the longest prefix, which is shortened level by level until pairs at the threshold meet in
-some tree with the target recall; what a longer prefix matches, the shorter one matches too, so the
-node at the last depth holds all candidates. Within a node, signatures are compared whole, which drops
-pairs far below the threshold; what is left links classes to candidate components. Component by
-component all pairs are verified on the full sets.
+window). Equal sets form a class, and only classes are compared. A class's signature holds LEVELS
+minima for each of TREES trees; the classes that share a prefix of a tree's minima are a node of that
+tree's trie. A node is named by a hash of its prefix, so Spark's shuffle sorts the tries.
+
+Matching starts at the longest prefix. Pairs met there, counted by their agreement, tell how many
+pairs of each similarity there are and so which share of them a shorter prefix would meet: the prefix
+is shortened to the first length that reaches the target recall, at the least to the length at which
+pairs at the threshold itself reach it. At the shorter length only nodes that still hold classes of
+different components are looked at, so a group of near copies is not compared again.
+
+Within a node, signatures are compared whole, which drops pairs far below the threshold; what is left
+links classes to candidate components. Component by component all pairs are verified on the full sets.
+Windows are compared by HASH_BITS bits of a hash: two different windows of one comparison look equal
+with probability 2**-HASH_BITS.
 
 Nodes and components of any size are cut into blocks, and each pair of blocks is a group of its own:
-no group holds more than two blocks, and pairs are counted where they are compared, never written out.
+no group holds more than two blocks. Pairs are counted where they are compared, never written out:
+a block writes one link for each class that hangs on another, a pair of blocks one for each two
+components that it joins. A large node whose classes are mostly near one another is not compared at
+all: its classes are all linked to the first, which can only add candidates.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from math import comb
 
@@ -27,7 +38,7 @@ from fieldspark.llm.words import mix, slices, texts_of, window_hashes, word_hash
 from fieldspark.session import materialize
 
 WIDTH, THRESHOLD = 5, 0.8
-TREES, LEVELS, RECALL = 24, 12, 0.9999
+TREES, LEVELS, RECALL = 24, 8, 0.9999
 BLOCK = 256
 HASH_BITS = 54  # of a window
 BROADCAST_ROWS = 200_000
@@ -41,6 +52,24 @@ def matched_depth(threshold: float, recall: float = RECALL, trees: int = TREES,
     return depth
 
 
+def shortened_depth(met: dict[int, int], hashes: int, depth: int, floor: int, threshold: float, recall: float = RECALL, trees: int = TREES) -> int:
+    """The longest prefix, depth at most and floor at least, that reaches the recall on the pairs there are.
+
+    met[k]: pairs met at depth, once for each tree, of which k of all hashes agree. The depth hashes by
+    which they met say nothing about their similarity s, the others estimate it; a pair of similarity s
+    is met in trees * s**depth trees on average, which turns meetings into numbers of pairs.
+    """
+    s = np.array([(k - depth) / (hashes - depth) for k in met])
+    pairs = np.array(list(met.values()), float)[s >= threshold]
+    s = s[s >= threshold]
+    if not len(s):
+        return floor
+    pairs = pairs / s**depth
+    while depth > floor and (pairs * (1 - s**depth) ** trees).sum() > (1 - recall) * pairs.sum():
+        depth -= 1
+    return depth
+
+
 def least_agreement(threshold: float, hashes: int, miss: float = 1e-6) -> int:
     """Equal hashes that a pair at the threshold has all but surely: fewer have at most probability `miss`."""
     below, k = 0.0, 0
@@ -136,40 +165,80 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict
         yield held
 
 
-def _star(linked: np.ndarray) -> list[tuple[int, int]]:
-    """(member, first member) of the components of a symmetric boolean matrix, singles left out."""
-    m = len(linked)
-    root = np.full(m, -1)
-    out = []
-    for i in range(m):
-        if root[i] >= 0 or not linked[i].any():
-            continue
-        root[i], front = i, np.array([i])
-        while len(front):
-            reach = np.flatnonzero(linked[front].any(axis=0) & (root < 0))
-            root[reach] = i
-            out += [(int(j), i) for j in reach]
-            front = reach
-    return out
+def _roots(linked: np.ndarray) -> np.ndarray:
+    """First member of each member's component of a symmetric boolean matrix."""
+    root = np.full(len(linked), -1)
+    for i in range(len(linked)):
+        if root[i] < 0:
+            root[i], front = i, np.array([i])
+            while len(front):
+                front = np.flatnonzero(linked[front].any(axis=0) & (root < 0))
+                root[front] = i
+    return root
+
+
+def spanning_links(linked: np.ndarray, block: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join what the matrix joins: in one block, each member with the first of its component;
+    between two blocks (whose own groups write those), the firsts of components that meet across them."""
+    own = _roots(linked & (block[:, None] == block[None, :]))
+    if (block == block[0]).all():
+        return [(i, int(r)) for i, r in enumerate(own) if r != i]
+    heads, place = np.unique(own, return_inverse=True)
+    i, j = np.nonzero(linked & (block[:, None] != block[None, :]))
+    met = np.zeros((len(heads), len(heads)), bool)
+    met[place[i], place[j]] = True
+    return [(int(heads[k]), int(heads[r])) for k, r in enumerate(_roots(met)) if r != k]
+
+
+def _agreement(signature: list[bytes]) -> np.ndarray:
+    sig = np.frombuffer(b"".join(signature), "<u2").reshape(len(signature), -1)
+    same = np.zeros((len(sig), len(sig)), np.int16)
+    for k in range(sig.shape[1]):
+        same += sig[:, k, None] == sig[None, :, k]
+    np.fill_diagonal(same, 0)
+    return same
+
+
+def _dense(least: int):
+    """Whether at least half of a node's first block hangs together."""
+
+    def run(batches):
+        nodes, dense = [], []
+        for g in _groups(batches, ["node"]):
+            root = _roots(_agreement(g["signature"]) >= least)
+            nodes.append(g["node"][0])
+            dense.append(bool(2 * np.bincount(root).max() >= len(root)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(dense, pa.bool_())], ["node", "dense"])
+
+    return run
+
+
+_CANDIDATES = "a binary, b binary, agreement int, pairs long"
 
 
 def _candidates(least: int):
+    """Links of each group, and for all groups of the task together the pairs of each agreement (a and b null)."""
+
     def run(batches):
-        a, b = [], []
+        a, b, met = [], [], Counter()
+
+        def flush(of=()):
+            cols = [pa.array(a + [None] * len(of), pa.binary()), pa.array(b + [None] * len(of), pa.binary())]
+            cols += [pa.array([None] * len(a) + [k for k, _ in of], pa.int32()), pa.array([None] * len(a) + [n for _, n in of], pa.int64())]
+            return pa.RecordBatch.from_arrays(cols, ["a", "b", "agreement", "pairs"])
+
         for g in _groups(batches, ["node", "left_block", "right_block"]):
-            sig = np.frombuffer(b"".join(g["signature"]), "<u2").reshape(len(g["signature"]), -1)
-            same = np.zeros((len(sig), len(sig)), np.int16)
-            for k in range(sig.shape[1]):
-                same += sig[:, k, None] == sig[None, :, k]
-            linked = same >= least
-            np.fill_diagonal(linked, False)
-            for i, j in _star(linked):
+            same = _agreement(g["signature"])
+            linked, block = same >= least, np.array(g["block"])
+            counted = linked if g["left_block"][0] == g["right_block"][0] else linked & (block[:, None] != block[None, :])
+            met.update(same[np.triu(counted)].tolist())
+            for i, j in spanning_links(linked, block):
                 a.append(g["class_key"][i])
                 b.append(g["class_key"][j])
             if len(a) > 5000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                yield flush()
                 a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        yield flush(list(met.items()))
 
     return run
 
@@ -219,14 +288,12 @@ def _verify(threshold: float):
             inner = intersections(sets)
             linked = inner >= share * (size[:, None] + size[None, :]) - 1e-9
             np.fill_diagonal(linked, False)
-            if g["left_block"][0] != g["right_block"][0]:
-                linked &= block[:, None] != block[None, :]
-            links = linked.sum(axis=1)
+            links = (linked if g["left_block"][0] == g["right_block"][0] else linked & (block[:, None] != block[None, :])).sum(axis=1)
             for i in np.flatnonzero(links):
                 a.append(keys[i])
                 b.append(None)
                 n.append(int(links[i]))
-            for i, j in _star(linked):
+            for i, j in spanning_links(linked, block):
                 a.append(keys[i])
                 b.append(keys[j])
                 n.append(0)
@@ -252,10 +319,13 @@ def _with_sets(width: int):
     return run
 
 
+def _block():
+    return F.pmod(F.xxhash64("class_key"), F.col("blocks")).cast("int")
+
+
 def block_pairs(rows: DataFrame, key: str) -> DataFrame:
     """rows(key, class_key, blocks, ...) -> each row once for every pair of blocks that its own is in."""
-    own = F.pmod(F.xxhash64("class_key"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+    rows = rows.withColumn("block", _block()).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
     return rows.withColumn("left_block", F.least("block", "other")).withColumn("right_block", F.greatest("block", "other")).drop("other", "blocks")
 
 
@@ -284,6 +354,55 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             return labels
 
 
+def prefix_nodes(classes: DataFrame, depth: int) -> DataFrame:
+    """classes(class_key, n, signature) -> node, class_key for each tree: the node at this depth."""
+    tree, step = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))), 2 * LEVELS
+    rows = classes.where("n > 0").select("class_key", "signature", tree.alias("tree"))
+    return rows.select("class_key", F.xxhash64("tree", F.expr(f"substring(signature, tree * {step} + 1, {2 * depth})")).alias("node"))
+
+
+def candidate_links(classes: DataFrame, depth: int, threshold: float, parts: DataFrame | None = None) -> DataFrame:
+    """Links between classes that meet in some tree at this depth and agree enough, with the pairs met by agreement.
+
+    parts(node, root): components known already; nodes within one of them are left out. Written.
+    """
+    least = least_agreement(threshold, TREES * LEVELS)
+    nodes = prefix_nodes(classes, depth)
+    count = [F.count(F.lit(1)).alias("m")]
+    if parts is not None:
+        known = parts.select(F.col("node").alias("class_key"), "root")
+        nodes = nodes.join(known, "class_key", "left").withColumn("root", F.coalesce("root", "class_key"))
+        count += [F.min("root").alias("r0"), F.max("root").alias("r1")]
+    nodes = materialize(nodes, "jaccard-nodes")
+    full = nodes.groupBy("node").agg(*count).where("m > 1" if parts is None else "m > 1 and r0 <> r1")
+    members = nodes.join(full, "node").select("node", "class_key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    members = materialize(members.join(classes.select("class_key", "signature"), "class_key"), "jaccard-members")
+    small, large = members.where("blocks = 1"), members.where("blocks > 1")
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = large.where(_block() == 0).select("node", "signature").repartition(n, "node").sortWithinPartitions("node")
+    dense = materialize(first.mapInArrow(_dense(least), "node long, dense boolean").where("dense").select("node"), "jaccard-dense")
+    pairs = small.unionByName(large.join(dense, "node", "left_anti"))
+    near = _by_group(block_pairs(pairs, "node"), "node").select("node", "left_block", "right_block", "block", "class_key", "signature")
+    met = near.mapInArrow(_candidates(least), _CANDIDATES)
+    crowd = large.join(dense, "node").select("node", "class_key")
+    heads = materialize(crowd.groupBy("node").agg(F.min("class_key").alias("b")), "jaccard-heads")
+    stars = crowd.join(heads, "node").where("class_key <> b").select(F.col("class_key").alias("a"), "b").distinct()
+    return materialize(met.unionByName(stars.withColumns({"agreement": F.lit(None).cast("int"), "pairs": F.lit(None).cast("long")})), "jaccard-links")
+
+
+def candidate_components(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """node (a class), root: components of the candidate pairs, by prefixes shortened as the pairs met call for."""
+    links = candidate_links(classes, LEVELS, threshold)
+    met = {r["agreement"]: r["n"] for r in links.where("a is null").groupBy("agreement").agg(F.sum("pairs").alias("n")).collect()}  # a row an agreement
+    edges = links.where("a is not null").select("a", "b").distinct()
+    parts = connected_components(edges, "jaccard-candidates")
+    depth = shortened_depth(met, TREES * LEVELS, LEVELS, matched_depth(threshold, recall), threshold, recall)
+    if depth < LEVELS:
+        more = candidate_links(classes, depth, threshold, parts).where("a is not null").select("a", "b").distinct()
+        parts = connected_components(more.unionByName(parts.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))), "jaccard-candidates")
+    return parts
+
+
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, recall: float = RECALL) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, class_id, class_size, n_links, group_id, kept, text_hash, group_key; one row per row.
 
@@ -293,8 +412,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
     texts have no windows: they form one class without links. Equal rows share a class. Other columns are
     ignored; an empty table gives no rows. text_hash and group_key identify text and group where ids do not.
     """
-    depth = matched_depth(threshold, recall)
-    hashes = TREES * depth
+    hashes = TREES * LEVELS
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     schema = "doc_id long, text_hash long, class_key binary, n_shingles long, signature binary"
     sketches = materialize(text.mapInArrow(_sketch(hashes, width), schema), "jaccard-sketches")
@@ -302,18 +420,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("class_size"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
     )
     classes = materialize(classes.select("class_key", F.col("rep.doc_id").alias("class_id"), F.col("rep.text_hash").alias("rep_hash"), "class_size", "n", "signature"), "jaccard-classes")
-
-    # candidates: nodes of each tree with two classes or more
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
-    step = 2 * depth
-    nodes = classes.where("n > 0").select("class_key", "signature", tree.alias("tree")).select("class_key", F.xxhash64("tree", F.expr(f"substring(signature, tree * {step} + 1, {step})")).alias("node"))
-    nodes = materialize(nodes, "jaccard-nodes")
-    full = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = nodes.join(full, "node").select("node", "class_key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    members = members.join(classes.select("class_key", "signature"), "class_key")
-    near = _by_group(block_pairs(members, "node"), "node").select("node", "left_block", "right_block", "class_key", "signature")
-    edges = near.mapInArrow(_candidates(least_agreement(threshold, hashes)), "a binary, b binary").distinct()
-    parts = connected_components(edges, "jaccard-candidates")
+    parts = candidate_components(classes, threshold, recall)
 
     # verification: the sets of the classes in components, block by block
     sizes = parts.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))

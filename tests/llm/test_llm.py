@@ -279,6 +279,70 @@ def test_jaccard_blocks_count_each_pair_once(spark, monkeypatch):
     assert j.matched_depth(0.8, 0.9999) == 5 and 1 - (1 - 0.8**5) ** j.TREES >= 0.9999
 
 
+def near_group(m, seed=1):
+    """m different texts about one base, each with a few words changed."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for k in range(m):
+        w = list(base)
+        for _ in range(1 + k % 2):
+            w[rng.randrange(150)] = f"n{rng.randrange(10**6)}"
+        rows.append((k, " ".join(w)))
+    return rows
+
+
+def test_jaccard_links_written_grow_with_a_group(spark, monkeypatch):
+    from fieldspark.llm import jaccard_join as j
+
+    monkeypatch.setattr(j, "BLOCK", 16)
+    written = {}
+
+    def seen(df, name, write=j.materialize):
+        out = write(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(j, "materialize", seen)
+    sizes = {}
+    for m in (80, 320):
+        written.clear()
+        got = j.jaccard_join(spark.createDataFrame(near_group(m), "doc_id long, text string")).collect()
+        assert {r["group_id"] for r in got} == {0} and {r["class_size"] for r in got} == {1}
+        sizes[m] = dict(written)
+    for name in ("jaccard-links", "jaccard-candidates-edges", "jaccard-groups-edges"):
+        assert sizes[320][name] <= 6 * sizes[80][name]  # four times the texts; pairs would be sixteen times
+
+
+def test_jaccard_links_between_blocks_join_what_the_matrix_joins():
+    from fieldspark.llm.jaccard_join import _roots, spanning_links
+
+    rng = np.random.default_rng(3)
+    for share in (0.01, 0.05, 0.5):
+        linked = np.triu(rng.random((40, 40)) < share, 1)
+        linked |= linked.T
+        block = np.arange(40) % 2
+        inner = [np.flatnonzero(block == k) for k in (0, 1)]
+        links = spanning_links(linked, block)
+        for at in inner:
+            links += [(int(at[i]), int(at[k])) for i, k in spanning_links(linked[np.ix_(at, at)], np.zeros(len(at)))]
+        joined = np.zeros_like(linked)
+        for i, k in links:
+            joined[i, k] = joined[k, i] = True
+        assert (_roots(joined) == _roots(linked)).all() and len(links) < 40
+
+
+def test_jaccard_prefix_is_shortened_as_the_pairs_call_for():
+    from fieldspark.llm import jaccard_join as j
+
+    hashes = j.TREES * j.LEVELS
+    depth = lambda met: j.shortened_depth(met, hashes, j.LEVELS, 5, 0.8)
+    assert depth({}) == 5 and depth({100: 9}) == 5  # nothing seen above the threshold
+    assert depth({hashes - 4: 1000}) == j.LEVELS  # near copies meet at the longest prefix
+    assert depth({int(0.82 * hashes): 1000}) == 5
+    assert depth({hashes - 4: 1000, int(0.82 * hashes): 1}) > depth({hashes - 4: 1000, int(0.82 * hashes): 1000})
+
+
 def test_quality_base_rules(spark, docs, empty):
     from fieldspark.llm.quality_rules import QualityModel, base_features, filter_documents, fit_quality, score_quality
 
