@@ -31,7 +31,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.llm.words import mix, slices, texts_of, window_hashes, word_hashes, words_of
@@ -336,12 +336,21 @@ def _by_group(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(n, *group).sortWithinPartitions(*group, "class_key")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Fewer edges with the same components: a node keeps the link to its smallest neighbour below it; the
+    others of them are linked to that one instead, where the links of many nodes coincide."""
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    edges = edges.withColumn("low", F.min("b").over(Window.partitionBy("a")))
+    return edges.select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b")).distinct()
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """edges(a, b) -> node, root (smallest node of its component), for nodes with an edge.
 
-    Labels go to neighbours and are then replaced by their own label, until none changes; each round is
+    Edges are contracted twice, for the same group met in several trees has as many stars. Labels go to neighbours and are then replaced by their own label, until none changes; each round is
     written to the shared folder. The rounds grow with the logarithm of the longest path.
     """
+    edges = materialize(contracted(contracted(edges)), f"{name}-few")
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), f"{name}-0")
     while True:
