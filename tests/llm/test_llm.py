@@ -485,6 +485,37 @@ def test_toxicity(spark, docs, empty):
     assert isinstance(fit_toxicity([], np.zeros(0)), ToxicityModel)
 
 
+def test_toxicity_of_given_labels_by_language(spark):
+    """Held-out documents of the given tables: at least this share of the toxic ones, hardly a clean one."""
+    from fieldspark.llm.toxicity import score_toxicity, train_toxicity
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    known = docs.join(labels, "doc_id").select(docs.doc_id, "text", "lang", "toxic").cache()
+    found = score_toxicity(known.select("doc_id", "text"), train_toxicity(docs, labels)).where("held_out")
+    rows = found.join(known.select("doc_id", "lang", "toxic"), "doc_id").collect()
+    caught, clean = defaultdict(list), []
+    for r in rows:
+        if r["toxic"]:
+            caught[r["lang"]].append(r["predicted"])
+        else:
+            clean.append(r["predicted"])
+    assert sum(clean) <= 0.01 * len(clean)
+    share = {k: sum(v) / len(v) for k, v in caught.items()}
+    assert share["en"] > 0.85 and share["de"] > 0.6 and share["es"] > 0.6 and share["fr"] > 0.4
+
+
+def test_kernel_of_odd_words():
+    from fieldspark.llm.toxicity import MARK, kernels, own_kernels, parts_of
+
+    some = [MARK + "idiot", "eee", "aab", "zz", "abcdefghijkl", MARK + "été"]
+    k = kernels(some, some)
+    for i, a in enumerate(some):
+        for j, b in enumerate(some):
+            assert abs(k[i, j] - brute_kernel(a, b)) < 1e-3
+    assert np.allclose(own_kernels(some), np.diag(k), atol=1e-3)
+    assert parts_of("x" * 60)[0][0] == MARK and set(map(len, parts_of("x" * 60)[:-1])) == {24} and parts_of("12") == [MARK]
+
+
 def test_chat_format(spark):
     from fieldspark.llm.chat_format import format_chats
 
