@@ -10,15 +10,17 @@ will do. One row is a *segment* of whole documents in ascending doc_id order:
   block_bytes          little-endian uint32, bytes of each block
   block_crc            little-endian uint32, crc32 of each block's ids as little-endian uint32
   payload              the blocks' codes, one after another
+  base_ids, base_freq  little-endian uint16 and uint32: the segment's ids and their frequencies
 
-Every block starts from a fresh model, so blocks decode alone and a damaged one is found by its crc.
-A segment's blocks are coded side by side, one block to a lane of the numpy arrays.
+Every block starts from the segment's frequencies and empty tables, so blocks decode alone and a
+damaged one is found by its crc. A segment's blocks are coded side by side, one block to a lane of
+the numpy arrays.
 
 The model of a block, per id: an order-2 table (hash of the last two ids) and an order-1 table (last
 id) each predict one id and know how often they were right lately. Both confidences together choose
 two adaptive probabilities, which mix the predictions into one interval: order-2 hit, order-1 hit,
-or neither. In the last case an order-0 model codes the id: frequencies of the block's ids so far,
-renewed at growing distances; ids not yet in it escape to a list of plain 16 bits behind the code.
+or neither. In the last case the order-0 frequencies code the id; they are the segment's, so a block
+need not learn them and no id is unknown. Ids are below 65536; a larger one is an error.
 All model arithmetic is on integers, so every machine decodes alike.
 """
 
@@ -33,30 +35,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.token_counts import PIECES, byte_letters, normalise
+from fieldspark.llm.token_counts import PIECES, byte_letters
 from fieldspark.llm.words import ragged, slices
 from fieldspark.session import materialize
 
 END_ID = 2
 SLOTS = 1 << 10  # entries of a prediction table
-BITS = 12  # of the order-0 frequencies' sum
-LANES, LEAST_BLOCK, SEGMENT_IDS = 2048, 1024, 1 << 22
-RENEW = tuple(64 * 4**i for i in range(12))  # ids after which the order-0 model is renewed
-ESCAPE = 65535  # no id: ids are below
+FLAG_BITS, BITS = 12, 18  # of the hits' shares and of the order-0 frequencies' sum: 32 together at most
+LANES, LEAST_BLOCK, SEGMENT_IDS = 2048, 2048, 1 << 22
+IDS = 1 << 16  # ids are below
 
 SEGMENT_SCHEMA = (
     "part int, segment int, n_docs long, n_tokens long, doc_ids binary, doc_null binary, doc_tokens binary, "
-    "block_len long, block_bytes binary, block_crc binary, payload binary"
+    "block_len long, block_bytes binary, block_crc binary, base_ids binary, base_freq binary, payload binary"
 )
 DOC_SCHEMA = "part int, segment int, position long, doc_id long, before long, n_tokens long, ids_crc32 long"
 
 
+def base_frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids there are, their frequencies of 2**BITS): at least 1 each."""
+    counts = np.bincount(ids)
+    known = np.flatnonzero(counts)
+    room = (1 << BITS) - len(known)
+    freq = 1 + counts[known] * room // len(ids)
+    freq[counts[known].argmax()] += (1 << BITS) - freq.sum()
+    return known.astype("<u2"), freq.astype("<u4")
+
+
 class _Model:
     """Predictions of `lanes` blocks, kept in step. Arrays hold order 1 and order 2 one after the other, so one call serves both."""
 
-    def __init__(self, lanes: int, known_ids: np.ndarray | None = None):
-        """known_ids: the ids there are (for the encoder, which looks frequencies up by id)."""
-        self.lanes, self.lane = lanes, np.arange(lanes, dtype=np.int64)
+    def __init__(self, lanes: int, known: np.ndarray, freq: np.ndarray):
+        self.lanes = lanes
         self.tables = np.zeros(2 * lanes * SLOTS, np.uint32)  # an entry: predicted id and two bits of confidence
         self.base = np.arange(2 * lanes, dtype=np.int64) * SLOTS
         # two probabilities of 16 bits for each pair of confidences: order-2 right; else order-1 right
@@ -64,14 +74,10 @@ class _Model:
         self.right, self.mix_base = start.astype(np.int32), np.arange(2 * lanes, dtype=np.int64) * 16
         self.last, self.last2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
         self.slot = np.empty(2 * lanes, np.int64)
-        self.seen: list[np.ndarray] = []
-        self.ready = False
-        self.renewals = 0
-        self.rank = None
-        if known_ids is not None:
-            self.rank = np.zeros(65536, np.int64)
-            self.rank[known_ids] = np.arange(len(known_ids))
-            self.by_id = np.zeros((lanes, len(known_ids)), np.uint16)
+        self.known, self.freq = known.astype(np.uint32), freq.astype(np.uint64)
+        self.start = np.r_[0, np.cumsum(freq, dtype=np.uint64)].astype(np.uint64)
+        self.place = np.zeros(IDS, np.uint16)
+        self.place[known] = np.arange(len(known))
 
     def predict(self):
         n, a = self.lanes, self.last * np.uint32(40503)
@@ -85,8 +91,9 @@ class _Model:
         pair = self.sure[n:] << np.uint32(2) | self.sure[:n]
         self.m = self.mix_base + np.concatenate((pair, pair))
         self.q = self.right.take(self.m)
-        self.w2 = self.q[:n]
-        self.w1 = ((65536 - self.w2) * (self.q[n:] >> 4) >> 12).astype(np.int32)
+        share = self.q >> (16 - FLAG_BITS)
+        self.w2 = share[:n]
+        self.w1 = 1 + (((1 << FLAG_BITS) - 2 - self.w2) * share[n:] >> FLAG_BITS)  # so that neither has a share too
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray):
         """ids: uint32."""
@@ -101,67 +108,19 @@ class _Model:
         missed = np.where(self.sure > 1, self.entry - np.uint32(2), both << np.uint32(2))
         self.tables[self.at] = np.where(self.guess == both, self.entry + (self.sure < 3), missed)
         self.last2, self.last = self.last, ids
-        self.seen.append(ids)
-        if self.renewals < len(RENEW) and len(self.seen) == RENEW[self.renewals]:
-            self.renewals += 1
-            self.renew()
-
-    def renew(self):
-        """Order-0 frequencies of each lane's ids so far, as ranges of 2**BITS, the escape's last."""
-        steps, total = len(self.seen), 1 << BITS
-        keys = np.sort((self.lane[None, :] << 16 | np.array(self.seen).astype(np.int64)).ravel())
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        counts, keys = np.diff(np.r_[first, len(keys)]), keys[first]
-
-        def shares():
-            owner = keys >> 16
-            bounds = np.searchsorted(owner, np.arange(self.lanes + 1))
-            return owner, bounds, total - np.diff(bounds)[owner] - (total >> 5)
-
-        owner, bounds, room = shares()
-        if (room < total >> 2).any():  # too many ids: only repeated ones are held
-            keep = (room >= total >> 2) | (counts > 1)
-            keys, counts = keys[keep], counts[keep]
-            owner, bounds, room = shares()
-        freq = 1 + counts * np.maximum(room, 0) // steps  # one slot each, and a share of the rest
-        upto = np.r_[0, np.cumsum(freq)]
-        start = upto[:-1] - upto[bounds[:-1]][owner]
-        used = upto[bounds[1:]] - upto[bounds[:-1]]
-        if (used >= total).any():
-            raise AssertionError("an order-0 model has no room for its escape")
-        # symbols of a lane: 0 the escape, then its ids; each with its start and size
-        place = 1 + np.arange(len(keys)) - bounds[:-1][owner]
-        self.symbol_at = bounds[:-1] + np.arange(self.lanes)
-        self.symbol_range = np.insert((start << 16 | freq).astype(np.uint32), bounds[:-1], (used << 16 | total - used).astype(np.uint32))
-        if self.rank is not None:
-            self.by_id[:] = 0
-            self.by_id[owner, self.rank[keys & 65535]] = place
-        else:
-            self.symbol_id = np.insert((keys & 65535).astype(np.uint32), bounds[:-1], ESCAPE)
-            # in a lane's range the ids come first, the escape last
-            self.by_slot = np.repeat(np.insert(place.astype(np.uint16), bounds[1:], 0), np.insert(freq, bounds[1:], total - used))
-        self.ready = True
-
-    def range_of(self, lanes: np.ndarray, ids: np.ndarray):
-        """(start, size, whether the id is in the model) of 2**BITS."""
-        place = self.by_id[lanes, self.rank[ids]]
-        packed = self.symbol_range[self.symbol_at[lanes] + place]
-        return packed >> np.uint32(16), packed & np.uint32(65535), place > 0
-
-    def at_slot(self, lanes: np.ndarray, slots: np.ndarray):
-        """(id, start, size) of places in 2**BITS."""
-        symbol = self.symbol_at[lanes] + self.by_slot[(lanes << BITS) + slots]
-        packed = self.symbol_range[symbol]
-        return self.symbol_id[symbol], packed >> np.uint32(16), packed & np.uint32(65535)
-
-
-_LOW32, _U32, _U16, _UBITS = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(16), np.uint64(BITS)
+
+    def by_slot(self) -> np.ndarray:
+        """The place of the id at each place of 2**BITS."""
+        return np.repeat(np.arange(len(self.known), dtype=np.uint16), self.freq.astype(np.int64))
+
+
+_LOW32, _U32, _UFLAG, _UBITS = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(FLAG_BITS), np.uint64(BITS)
 
 
 class _Range:
     """Carry-less range coder of 64 bits with words of 32, one to a lane.
 
-    A step narrows each range at most twice (16 and BITS bits), then words go out where the range is
+    A step narrows each range at most twice (FLAG_BITS and BITS bits), then words go out where the range is
     within 32 bits; one that straddles two words is cut to the first.
     """
 
@@ -187,39 +146,32 @@ class _Range:
 
 
 def _split(model: _Model, hit2: np.ndarray, hit1: np.ndarray, miss: np.ndarray):
-    """(start, size) of 2**16 of what each lane saw."""
+    """(start, size) of 2**FLAG_BITS of what each lane saw."""
     upto = model.w2 + model.w1
-    return model.w2 * hit1 + upto * miss, np.where(miss, 65536 - upto, np.where(hit2, model.w2, model.w1))
+    return model.w2 * hit1 + upto * miss, np.where(miss, (1 << FLAG_BITS) - upto, np.where(hit2, model.w2, model.w1))
 
 
-def encode_blocks(ids: np.ndarray, lanes: int) -> tuple[int, list[bytes], np.ndarray]:
-    """Code ids in `lanes` blocks; (block length, codes, crc32 of each block).
-
-    A block's code: number of words, the range coder's words, then the ids that escaped as 16 bits each.
-    """
+def encode_blocks(ids: np.ndarray, lanes: int, base: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[int, list[bytes], np.ndarray]:
+    """Code ids in `lanes` blocks; (block length, codes, crc32 of each block). base: base_frequencies(ids)."""
     n = -(-len(ids) // lanes)
     lanes = -(-len(ids) // n)
-    grid = np.zeros(lanes * n, np.uint32)
+    known, freq = base or base_frequencies(ids)
+    grid = np.full(lanes * n, known[0], np.uint32)
     grid[: len(ids)] = ids
-    model, coder = _Model(lanes, np.flatnonzero(np.bincount(grid))), _Range(lanes)
-    whole = grid.reshape(lanes, n)
-    grid = np.ascontiguousarray(whole.T)
+    model, coder = _Model(lanes, known, freq), _Range(lanes)
+    grid = np.ascontiguousarray(grid.reshape(lanes, n).T)
     # lanes side by side, as they fill up alike
-    out, filled, escaped = np.zeros((n + 3, lanes), "<u4"), np.zeros(lanes, np.int64), np.zeros((n, lanes), bool)
+    out, filled = np.zeros((n + 3, lanes), "<u4"), np.zeros(lanes, np.int64)
     for step in range(n):
         now = grid[step]
         model.predict()
         hit2 = now == model.id2
         hit1 = (now == model.id1) & ~hit2
         miss = ~(hit2 | hit1)
-        coder.narrow(coder.range >> _U16, *_split(model, hit2, hit1, miss))
-        if model.ready:
-            rest = miss.nonzero()[0]
-            start, size, known = model.range_of(rest, now[rest])
-            coder.narrow_some(rest, coder.range[rest] >> _UBITS, start, size)
-            escaped[step, rest] = ~known
-        else:
-            escaped[step] = miss
+        coder.narrow(coder.range >> _UFLAG, *_split(model, hit2, hit1, miss))
+        rest = miss.nonzero()[0]
+        place = model.place[now[rest]]
+        coder.narrow_some(rest, coder.range[rest] >> _UBITS, model.start[place], model.freq[place])
         go, words = coder.full()
         at = filled[go]
         out[at, go] = words
@@ -228,46 +180,37 @@ def encode_blocks(ids: np.ndarray, lanes: int) -> tuple[int, list[bytes], np.nda
     for k in (_U32, np.uint64(0)):
         out[filled, np.arange(lanes)] = coder.low >> k & _LOW32
         filled += 1
-    out, escaped = np.ascontiguousarray(out.T), np.ascontiguousarray(escaped.T)
-    codes = []
-    for i in range(lanes):
-        plain = whole[i][escaped[i]].astype("<u2")
-        codes.append(np.uint32(filled[i]).tobytes() + out[i, : filled[i]].tobytes() + plain.tobytes() + b"\0" * (len(plain) % 2 * 2))
+    out = np.ascontiguousarray(out.T)
+    codes = [out[i, : filled[i]].tobytes() for i in range(lanes)]
     data = ids.astype("<u4")
     crc = np.array([zlib.crc32(data[i * n : (i + 1) * n]) for i in range(lanes)], "<u4")
     return n, codes, crc
 
 
-def decode_blocks(n_ids: int, block_len: int, sizes: np.ndarray, crc: np.ndarray, payload: bytes) -> np.ndarray:
+def decode_blocks(n_ids: int, block_len: int, sizes: np.ndarray, crc: np.ndarray, payload: bytes, base: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The ids of all blocks; a block whose crc32 differs raises ValueError."""
     lanes = len(sizes)
     words = np.frombuffer(payload + b"\0" * 16, "<u4")
-    plain = words.view("<u2")
     first = np.r_[0, np.cumsum(sizes // 4)][:-1].astype(np.int64)
-    at, at_plain = first + 3, 2 * (first + 1 + words[first])
-    model, coder = _Model(lanes), _Range(lanes)
-    code = words.take(first + 1, mode="clip").astype(np.uint64) << _U32 | words.take(first + 2, mode="clip").astype(np.uint64)
+    at = first + 2
+    model, coder = _Model(lanes, *base), _Range(lanes)
+    by_slot = model.by_slot()
+    code = words.take(first, mode="clip").astype(np.uint64) << _U32 | words.take(first + 1, mode="clip").astype(np.uint64)
     out = np.empty((block_len, lanes), np.uint32)
     for step in range(block_len):
         model.predict()
-        w2, w1 = model.w2, model.w1
-        r = coder.range >> _U16
+        r = coder.range >> _UFLAG
         place = ((code - coder.low) // r).astype(np.int64)
-        hit2 = place < w2
-        miss = place >= w2 + w1
+        hit2 = place < model.w2
+        miss = place >= model.w2 + model.w1
         hit1 = ~(hit2 | miss)
         coder.narrow(r, *_split(model, hit2, hit1, miss))
         now = np.where(hit2, model.id2, model.id1)
         rest = miss.nonzero()[0]
-        if model.ready:
-            r = coder.range[rest] >> _UBITS
-            place = np.minimum((code[rest] - coder.low[rest]) // r, np.uint64((1 << BITS) - 1)).astype(np.int64)
-            ids, start, size = model.at_slot(rest, place)
-            coder.narrow_some(rest, r, start, size)
-            now[rest] = ids
-            rest = rest[ids == ESCAPE]
-        now[rest] = plain.take(at_plain[rest], mode="clip")
-        at_plain[rest] += 1
+        r = coder.range[rest] >> _UBITS
+        place = by_slot[np.minimum((code[rest] - coder.low[rest]) // r, np.uint64((1 << BITS) - 1)).astype(np.int64)]
+        coder.narrow_some(rest, r, model.start[place], model.freq[place])
+        now[rest] = model.known[place]
         go, _ = coder.full()
         code[go] = code[go] << _U32 | words.take(at[go], mode="clip").astype(np.uint64)
         at[go] += 1
@@ -292,6 +235,7 @@ class WordIds:
 
         self.library, self.most = Tokenizer.from_file(path), most
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special_bytes, self.special_id = [x.encode() for x in self.specials], self.library.token_to_id(self.specials[-1]) if self.specials else None
         self.tokenize, self.letters = self.library.model.tokenize, byte_letters()
         self.clear()
 
@@ -300,20 +244,41 @@ class WordIds:
         self.flat, self.start, self.n = np.zeros(1 << 16, np.uint16), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.used = self.held = 0
 
-    def _ids(self, run: str) -> list[int]:
-        """Letters go straight to the library's model, after its own normalisation; runs with special strings through all of it."""
-        if any(mark in run for mark in self.specials):
-            return self.library.encode(run, add_special_tokens=False).ids
-        if run.isascii() and run.isalpha():
-            return [t.id for t in self.tokenize(run.lower())]
-        letters = self.letters
-        pieces = ("".join([letters[b] for b in p.encode("utf-8")]) for p in PIECES.findall(normalise(run)))
-        return [t.id for p in pieces for t in self.tokenize(p)]
+    def _ids(self, runs: list[bytes]) -> list[list[int]]:
+        """ASCII runs go straight to the library's model, after its own normalisation; all others through all of the library,
+        those without special strings many at once, with a special string between them."""
+        out: list = [None] * len(runs)
+        others = []
+        for k, run in enumerate(runs):
+            if any(mark in run for mark in self.special_bytes):
+                out[k] = self.library.encode(run.decode("utf-8"), add_special_tokens=False).ids
+            elif not run.isascii():
+                others.append(k)
+            elif run.isalpha():
+                out[k] = [t.id for t in self.tokenize(run.lower().decode())]
+            else:
+                out[k] = [t.id for p in PIECES.findall(run.lower().decode()) for t in self.tokenize("".join([self.letters[b] for b in p.encode()]))]
+        for i in range(0, len(others), 256):
+            some = others[i : i + 256]
+            texts = [runs[k].decode("utf-8") for k in some]
+            found = self._apart(texts) if self.specials else None
+            for k, ids in zip(some, found or [self.library.encode(t, add_special_tokens=False).ids for t in texts]):
+                out[k] = ids
+        return out
+
+    def _apart(self, texts: list[str]) -> list[list[int]] | None:
+        ids = np.array(self.library.encode(f" {self.specials[-1]} ".join(texts), add_special_tokens=False).ids, np.int64)
+        ends = np.flatnonzero(ids == self.special_id)
+        if len(ends) != len(texts) - 1:
+            return None
+        return [x.tolist() for x in np.split(ids, np.stack((ends, ends + 1), 1).ravel())[::2]]
 
     def _add(self, runs: list[bytes]):
-        ids = [self._ids(r.decode("utf-8")) for r in runs]
+        ids = self._ids(runs)
         n = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for x in ids for i in x), np.int64, int(n.sum()))
+        if len(flat) and flat.max() >= IDS:
+            raise ValueError(f"id {flat.max()} does not fit: ids are below {IDS}")
         while self.used + len(flat) > len(self.flat):
             self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
         while self.held + len(n) > len(self.n):
@@ -357,7 +322,8 @@ def word_ids(path: str) -> WordIds:
 def _segment(part: int, number: int, doc_ids: list, tokens: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint16)
     lanes = max(1, min(LANES, len(flat) // LEAST_BLOCK))
-    block_len, codes, crc = encode_blocks(flat, lanes) if len(flat) else (0, [], np.zeros(0, "<u4"))
+    base = base_frequencies(flat) if len(flat) else (np.zeros(0, "<u2"), np.zeros(0, "<u4"))
+    block_len, codes, crc = encode_blocks(flat, lanes, base) if len(flat) else (0, [], np.zeros(0, "<u4"))
     null = np.array([d is None for d in doc_ids], np.uint8)
     row = {
         "part": part,
@@ -370,6 +336,8 @@ def _segment(part: int, number: int, doc_ids: list, tokens: list[int], ids: list
         "block_len": block_len,
         "block_bytes": np.array([len(c) for c in codes], "<u4").tobytes(),
         "block_crc": crc.tobytes(),
+        "base_ids": base[0].tobytes(),
+        "base_freq": base[1].tobytes(),
         "payload": b"".join(codes),
     }
     types = {"part": pa.int32(), "segment": pa.int32(), "n_docs": pa.int64(), "n_tokens": pa.int64(), "block_len": pa.int64()}
@@ -377,6 +345,9 @@ def _segment(part: int, number: int, doc_ids: list, tokens: list[int], ids: list
 
 
 def _write_part(path: str, end_id: int):
+    if not 0 <= end_id < IDS:
+        raise ValueError(f"id {end_id} does not fit: ids are below {IDS}")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -419,7 +390,7 @@ def segment_ids(row: dict) -> np.ndarray:
     sizes = np.frombuffer(row["block_bytes"], "<u4").astype(np.int64)
     if not len(sizes):
         return np.zeros(0, "<u4")
-    return decode_blocks(row["n_tokens"], row["block_len"], sizes, np.frombuffer(row["block_crc"], "<u4"), row["payload"])
+    return decode_blocks(row["n_tokens"], row["block_len"], sizes, np.frombuffer(row["block_crc"], "<u4"), row["payload"], (np.frombuffer(row["base_ids"], "<u2"), np.frombuffer(row["base_freq"], "<u4")))
 
 
 def _read_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

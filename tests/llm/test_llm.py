@@ -80,22 +80,23 @@ def test_token_files_round_trip(spark, docs, empty):
 
 @pytest.mark.parametrize("n,kinds", [(1, 1), (5, 3), (3000, 2), (9000, 49408), (20000, 300)])
 def test_blocks_decode_alone_and_damage_is_found(n, kinds):
-    from fieldspark.llm.token_output import decode_blocks, encode_blocks
+    from fieldspark.llm.token_output import base_frequencies, decode_blocks, encode_blocks
 
     rng = np.random.default_rng(n)
     ids = np.minimum(rng.geometric(min(0.9, 8 / kinds), n), kinds) - 1
     block, codes, crc = encode_blocks(ids.astype(np.uint16), max(1, n // 1500))
     sizes = np.array([len(c) for c in codes])
-    assert (decode_blocks(n, block, sizes, crc, b"".join(codes)) == ids).all()
+    base = base_frequencies(ids)
+    assert (decode_blocks(n, block, sizes, crc, b"".join(codes), base) == ids).all()
     for i, c in enumerate(codes):  # each block by itself
         part = ids[i * block : (i + 1) * block]
-        one = decode_blocks(len(part), block, sizes[i : i + 1], crc[i : i + 1] if len(part) == block else np.array([zlib.crc32(part.astype("<u4"))]), c)
+        one = decode_blocks(len(part), block, sizes[i : i + 1], crc[i : i + 1] if len(part) == block else np.array([zlib.crc32(part.astype("<u4"))]), c, base)
         assert (one == part).all()
     if n > 100:
         bad = bytearray(codes[0])
         bad[len(bad) // 2] ^= 255
         with pytest.raises(ValueError, match="damaged"):
-            decode_blocks(n, block, sizes, crc, bytes(bad) + b"".join(codes[1:]))
+            decode_blocks(n, block, sizes, crc, bytes(bad) + b"".join(codes[1:]), base)
 
 
 def test_repeats_compress():
@@ -106,6 +107,51 @@ def test_repeats_compress():
     assert sum(map(len, codes)) < 0.15 * 2 * len(ids)
 
 
+@pytest.fixture(scope="module")
+def words_49k():
+    from fieldspark.llm.token_output import WordIds
+
+    return WordIds(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_real_ids_take_fewer_bits_than_their_entropy_and_zlib(spark, words_49k):
+    from fieldspark.llm.token_output import SEGMENT_IDS, base_frequencies, encode_blocks
+
+    texts = [(r["text"] or "").encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    ids, _ = words_49k.encode(texts)
+    ids = ids[:SEGMENT_IDS]
+    base = base_frequencies(ids)
+    _, codes, _ = encode_blocks(ids, len(ids) // 2048, base)
+    bits = 8 * (sum(map(len, codes)) + 6 * len(base[0])) / len(ids)
+    share = np.bincount(ids)[base[0]] / len(ids)
+    # a short table's header still weighs here: some 0.2 bits an id
+    assert bits < -(share * np.log2(share)).sum() + 0.1 and bits < 0.95 * 8 * len(zlib.compress(ids.astype("<u2").tobytes(), 9)) / len(ids)
+
+
+def test_ids_of_every_code_point_are_the_librarys(words_49k):
+    import unicodedata
+
+    points = [chr(c) for c in range(1, 0x2FA20) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Co"]
+    texts = [f"{c} a{c}b {c}{c}" for c in points]
+    for i in range(0, len(texts), 5000):
+        part = texts[i : i + 5000]
+        ids, n = words_49k.encode([t.encode() for t in part])
+        ends = np.cumsum(n)
+        for t, a, b, x in zip(part, ends - n, ends, words_49k.library.encode_batch(part, add_special_tokens=False)):
+            assert ids[a:b].tolist() == x.ids, (t, hex(ord(t[0])))
+
+
+def test_ids_beyond_sixteen_bits_are_an_error(words_49k, docs):
+    from fieldspark.llm import token_output as o
+
+    with pytest.raises(ValueError, match="does not fit"):
+        o.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=70000)
+    tight = o.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    tight._ids = lambda runs: [[65536] for _ in runs]
+    with pytest.raises(ValueError, match="does not fit"):
+        tight.encode([b"x"])
+
+
 def test_mixing_is_exact(spark, docs, empty):
     from fieldspark.llm.mixing import mix_documents, mixing_plan
 
