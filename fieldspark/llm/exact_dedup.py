@@ -138,8 +138,8 @@ def equal_groups(rows: DataFrame) -> DataFrame:
     """rows(doc_id, in_history, text_sha256), read more than once -> text_sha256, keep_id, group_size."""
     narrow = rows.select("doc_id", "in_history", F.unhex("text_sha256").alias("digest"))
     old = materialize(group_digests(narrow.where("in_history")), "dedup-history-groups")
-    new = group_digests(narrow.where(~F.col("in_history")))
-    shards = max(1, -(-old.count() // SHARD_DIGESTS))
+    new = materialize(group_digests(narrow.where(~F.col("in_history"))), "dedup-new-groups")
+    shards = max(1, -(-max(old.count(), new.count()) // SHARD_DIGESTS))  # either side of a shard is bounded
     history = materialize(build_history(old, shards), "dedup-history")
     found = materialize(against_history(new, history, shards), "dedup-found")
     members = found.where(F.col("old_rows").isNotNull())
@@ -152,8 +152,7 @@ def equal_groups(rows: DataFrame) -> DataFrame:
 
 def _digests(docs: DataFrame, is_history: Column | None) -> DataFrame:
     if is_history is None:
-        ends = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
-        middle = None if ends["a"] is None else (ends["a"] + ends["b"]) // 2
+        middle = docs.agg(F.percentile_approx("doc_id", 0.5).alias("middle")).first()["middle"]
         is_history = F.col("doc_id") <= F.lit(middle)
     rows = docs.select("doc_id", F.coalesce(is_history, F.lit(False)).alias("in_history"), digest(F.col("text")).alias("text_sha256"))
     return materialize(rows, "dedup-digests")
@@ -162,8 +161,8 @@ def _digests(docs: DataFrame, is_history: Column | None) -> DataFrame:
 def exact_dedup(docs: DataFrame, is_history: Column | None = None) -> DataFrame:
     """docs(doc_id, text) -> doc_id, keep_id, group_size, kept, text_sha256, one row per row of docs.
 
-    is_history marks rows that were there before (default: the older half, doc_id up to the middle of
-    the range); their distinct digests form the minimal perfect hash, the others are looked up in it,
+    is_history marks rows that were there before (default: the older half, doc_id up to about
+    the median); their distinct digests form the minimal perfect hash, the others are looked up in it,
     and digests found in neither are grouped separately. The winner of equal texts is the largest
     doc_id over both; a null doc_id loses to any other and wins only where all are null. Repeated rows
     with the winner's doc_id and text are all marked kept. Null text counts as empty. Other columns are

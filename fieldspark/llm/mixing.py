@@ -3,7 +3,8 @@
 Every row gets a hash-random key; rows of a source are taken in the order of their keys until the
 source's budget of tokens is used up. The keys are uniform, so equal ranges of keys hold equal
 shares: a source is cut into as many ranges as its rows call for, and running totals are a window
-within a range plus the totals of the ranges before it. No source meets in one task.
+within a range plus the totals of the ranges before it, which are summed the same way once more:
+within a stretch of RANGES ranges, and over the totals of the stretches. So no task holds a source.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from fieldspark.llm.words import WORD_PATTERN
 from fieldspark.session import materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
-SHARE, MOST_EPOCHS, RANGE_ROWS, SEED = 1.5, 2.0, 500, "mix"
+SHARE, MOST_EPOCHS, RANGE_ROWS, RANGES, SEED = 1.5, 2.0, 500, 1000, "mix"
 BROADCAST_ROWS = 10_000
 
 
@@ -74,9 +75,15 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
     rows = rows.join(plan, rows.source.eqNullSafe(plan.plan_source)).drop("plan_source")
     share = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     rows = rows.withColumn("mix_range", F.floor(share * F.col("ranges")))
-    totals = rows.groupBy("source", "mix_range").agg(F.sum("size").alias("range_size"))
-    before = Window.partitionBy("source").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(F.col("source").alias("range_source"), F.col("mix_range").alias("range_no"), F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("range_before"))
+    totals = rows.groupBy("source", "mix_range").agg(F.sum("size").alias("range_size")).withColumn("stretch", F.floor(F.col("mix_range") / RANGES))
+    totals = materialize(totals, "mix-ranges")
+    upto = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    sum_before = lambda column, *keys: F.coalesce(F.sum(column).over(upto(*keys)), F.lit(0))
+    stretches = totals.groupBy(F.col("source").alias("stretch_source"), F.col("stretch").alias("stretch_no")).agg(F.sum("range_size").alias("stretch_size"))
+    stretches = stretches.select("stretch_source", "stretch_no", sum_before("stretch_size", "stretch_source", "stretch_no").alias("stretch_before"))
+    totals = totals.withColumn("in_stretch", sum_before("range_size", "source", "stretch", "mix_range"))
+    totals = totals.join(stretches, totals.source.eqNullSafe(stretches.stretch_source) & (totals.stretch == stretches.stretch_no))
+    totals = totals.select(F.col("source").alias("range_source"), F.col("mix_range").alias("range_no"), (F.col("stretch_before") + F.col("in_stretch")).alias("range_before"))
     totals = small(totals, n["ranges"])
     rows = rows.join(totals, rows.source.eqNullSafe(totals.range_source) & (rows.mix_range == totals.range_no)).drop("range_source", "range_no")
     within = Window.partitionBy("source", "mix_range").orderBy("mix_key", "size", "mix_tie").rowsBetween(Window.unboundedPreceding, -1)

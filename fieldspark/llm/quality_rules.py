@@ -150,6 +150,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int,
         part = labels.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         pick = part if pick is None else pick.unionByName(part)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id")
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # one text of a doc_id, whatever its copies
     got = texts.select(F.xxhash64("doc_id").alias("h"), "doc_id", "label", F.encode("text", "UTF-8").alias("text")).collect()
     got.sort(key=lambda x: (x["h"], x["doc_id"], x["label"], bytes(x["text"])))
     return [bytes(x["text"]) for x in got], np.array([x["label"] for x in got], np.float64)

@@ -256,6 +256,35 @@ def test_exact_dedup(spark, docs, empty):
     assert sorted(slot) == list(range(5000)) and (lookup_mph(sizes, bits, x) == slot).all()  # minimal and perfect
 
 
+def test_exact_dedup_shards_follow_the_larger_side(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from fieldspark.llm import exact_dedup as e
+
+    monkeypatch.setattr(e, "SHARD_DIGESTS", 50)
+    made = []
+    monkeypatch.setattr(e, "against_history", lambda new, history, shards, f=e.against_history: made.append(shards) or f(new, history, shards))
+    rows = [(0, "t0"), (10**12, "t1")] + [(10**6 + i, f"t{i % 190}") for i in range(200)]
+    got = e.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 1).collect()  # one row of history
+    assert made == [4]
+    keep = {}
+    for d, t in rows:
+        keep[t] = max(keep.get(t, 0), d)
+    assert {(r["doc_id"], r["keep_id"]) for r in got} == {(d, keep[t]) for d, t in rows}
+    e.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()  # an outlying id
+    assert made[1] in (2, 3)
+
+
+def test_mixing_prefix_sums_of_two_levels(spark, docs, monkeypatch):
+    from fieldspark.llm import mixing as m
+
+    want = sorted(map(str, m.mixing_plan(docs, keep=["doc_id", "source"]).collect()))
+    monkeypatch.setattr(m, "RANGE_ROWS", 3)
+    monkeypatch.setattr(m, "RANGES", 4)
+    monkeypatch.setattr(m, "BROADCAST_ROWS", 1)
+    assert sorted(map(str, m.mixing_plan(docs, keep=["doc_id", "source"]).collect())) == want
+
+
 def shingles(text):
     w = lower(text).split()
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
