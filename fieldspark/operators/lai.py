@@ -52,11 +52,19 @@ def reject_cloudy(daily: DataFrame, threshold: float) -> DataFrame:
 
 
 def lai_series(cells: DataFrame, region: str = "region", cloud: float = 0.5, crop: str | None = None) -> DataFrame:
-    """A1 -> F4 -> W11 -> W3 -> W4: one smoothed, gap-filled row for each region and day."""
+    """A1 -> F4 -> W11 -> W3 -> W4: one row for each region and day. All six statistics are smoothed; means and
+    medians are gap-filled, smoothed and unsmoothed."""
     daily = reject_cloudy(daily_stats(cells, [region, "date"], crop), cloud)
     full = every_day(daily, [region], "date")
     names = ["lai_mean", "lai_median", "lai_mean_adj", "lai_median_adj"]
-    return akima_fill(savgol_smooth(full, [region], "date", names), [region], "date", names)
+    return akima_fill(savgol_smooth(full, [region], "date", STATS), [region], "date", [*names, *[f"{c} Unsmoothed" for c in names]])
+
+
+def legacy_daily_stats(cells: DataFrame, keys: list[str], max_keys: list[str], day: str = "date") -> tuple[DataFrame, DataFrame]:
+    """Mean and standard deviation of each day only, and the season's maximum of each pixel."""
+    value = drop_negative(F.col("v"))
+    daily = cells.groupBy(*keys, day).agg(F.avg(value).alias("lai_mean"), F.stddev_pop(value).alias("lai_std"))
+    return daily, season_max(cells, max_keys).select(*max_keys, "max_lai")
 
 
 def season_max(cells: DataFrame, keys: list[str], crop: str | None = None) -> DataFrame:

@@ -78,13 +78,13 @@ def eval_metrics_rollup(spark, d):
 
 @query("""
 WITH p AS (SELECT l_suppkey AS region, round(avg(l_extendedprice), 2) AS pred, sum(l_quantity) AS area FROM lineitem GROUP BY 1),
-o AS (SELECT s_suppkey AS region, CASE WHEN s_suppkey % 3 <> 0 THEN s_acctbal END AS mean, s_acctbal * 100 AS kg FROM supplier WHERE s_suppkey % 7 <> 0),
+o AS (SELECT s_suppkey AS region, CASE WHEN s_suppkey % 3 <> 0 THEN s_acctbal END AS mean, s_acctbal * 100 AS kg FROM supplier),
 m AS (SELECT region, pred, coalesce(mean, kg / area) AS obs FROM p JOIN o USING (region))
 SELECT region::VARCHAR AS region, pred, round(obs, 4) AS obs, round(round(pred - obs, 4), 1) AS error, CASE WHEN obs <> 0 THEN round(round(100 * (pred - obs) / obs, 4), 1) END AS rel_error FROM m WHERE obs IS NOT NULL""")
 def region_errors(spark, d):
     """Predictions joined with reported yields, some of them derived from production."""
     pred = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("region")).agg(F.round(F.avg("l_extendedprice"), 2).alias("mean_yield_kg_ha"), F.sum("l_quantity").alias("total_area_ha"))
-    obs = table(spark, d, "supplier").where("s_suppkey % 7 <> 0").select(F.col("s_suppkey").alias("region"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_acctbal")).alias("reported_mean_yield_kg_ha"), (F.col("s_acctbal") * 100).alias("reported_production_kg"))
+    obs = table(spark, d, "supplier").select(F.col("s_suppkey").alias("region"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_acctbal")).alias("reported_mean_yield_kg_ha"), (F.col("s_acctbal") * 100).alias("reported_production_kg"))
     m = evaluate.match(pred, obs)
     e = F.round(F.round(F.col("pred") - F.col("obs"), 4), 1)
     return m.select("region", "pred", F.round("obs", 4).alias("obs"), e.alias("error"), F.when(F.col("obs") != 0, F.round(F.round(100 * (F.col("pred") - F.col("obs")) / F.col("obs"), 4), 1)).alias("rel_error"))
@@ -542,25 +542,25 @@ def last_years(spark, d):
     return weather.last_years(table(spark, d, "lineitem"), ["l_returnflag"], "l_shipdate", 2).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT user_id, value, event_id FROM events WHERE value > 450 UNION ALL SELECT user_id, NULL, event_id FROM events WHERE value < 0.05""")
+@query("""SELECT user_id, value, event_id FROM events WHERE value > 250 UNION ALL SELECT user_id, NULL, event_id FROM events WHERE value <= 250""")
 def union_missing_columns(spark, d):
     """Tables with unequal columns, by name."""
     ev = table(spark, d, "events")
-    return ev.where("value > 450").select("user_id", "value", "event_id").unionByName(ev.where("value < 0.05").select("event_id", "user_id"), allowMissingColumns=True)
+    return ev.where("value > 250").select("user_id", "value", "event_id").unionByName(ev.where("value <= 250").select("event_id", "user_id"), allowMissingColumns=True)
 
 
-@query("""SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 15""")
+@query("""SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL HAVING count(*) > 1""")
 def duplicate_keys(spark, d):
-    """Q3: keys with more rows than one, here those with many."""
-    return checks.duplicate_keys(table(spark, d, "events"), ["user_id", "event_type"]).where("n > 15")
+    """Q3: keys with more rows than one."""
+    return checks.duplicate_keys(table(spark, d, "events"), ["user_id", "event_type"])
 
 
 @query("""
-WITH g AS (SELECT l_suppkey, l_returnflag AS crs, round(l_tax, 2) AS dx, round(l_discount, 2) AS dy FROM lineitem WHERE l_linenumber = 1)
+WITH g AS (SELECT l_suppkey, l_returnflag AS crs, round(l_tax, 2) AS dx, round(l_discount, 2) AS dy FROM lineitem)
 SELECT l_suppkey, count(DISTINCT crs) AS n_crs, round(max(dx) - min(dx), 4) AS dx_spread, round(max(dy) - min(dy), 4) AS dy_spread FROM g GROUP BY 1 HAVING n_crs > 1 OR max(dx) - min(dx) > 1e-10 OR max(dy) - min(dy) > 1e-10""")
 def mixed_grids(spark, d):
     """Q4."""
-    g = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_suppkey", F.col("l_returnflag").alias("crs"), F.round("l_tax", 2).alias("dx"), F.round("l_discount", 2).alias("dy"))
+    g = table(spark, d, "lineitem").select("l_suppkey", F.col("l_returnflag").alias("crs"), F.round("l_tax", 2).alias("dx"), F.round("l_discount", 2).alias("dy"))
     return _round(checks.mixed_grids(g, ["l_suppkey"]), 4, "dx_spread", "dy_spread")
 
 
@@ -677,12 +677,12 @@ def day_chunks(spark, d):
 
 
 @query("""SELECT s_suppkey AS region, s_name, n, max_price FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_quantity > 49 GROUP BY 1) ON l_suppkey = s_suppkey
-LEFT JOIN (SELECT l_suppkey AS k, max(l_extendedprice) AS max_price FROM lineitem WHERE l_tax > 0.07 AND l_suppkey % 2 = 0 GROUP BY 1) ON k = s_suppkey""")
+LEFT JOIN (SELECT l_suppkey AS k, max(l_extendedprice) AS max_price FROM lineitem WHERE l_tax > 0.07 GROUP BY 1) ON k = s_suppkey""")
 def primary_table(spark, d):
     """J2, T1, T5."""
     line, sup = table(spark, d, "lineitem"), table(spark, d, "supplier")
     sims = line.where("l_quantity > 49").groupBy(F.col("l_suppkey").alias("cleaned_name")).agg(F.count(F.lit(1)).alias("n"))
-    daily = line.where("l_tax > 0.07 and l_suppkey % 2 = 0").groupBy(F.col("l_suppkey").alias("cleaned_name")).agg(F.max("l_extendedprice").alias("max_price"))
+    daily = line.where("l_tax > 0.07").groupBy(F.col("l_suppkey").alias("cleaned_name")).agg(F.max("l_extendedprice").alias("max_price"))
     return studies.primary_table(sup.select(F.col("s_suppkey").alias("region"), F.col("s_suppkey").alias("cleaned_name"), "s_name"), sims, daily).drop("cleaned_name")
 
 
@@ -773,14 +773,14 @@ def coverage_mask(spark, d):
 
 
 @query("""
-WITH c AS (SELECT DISTINCT user_id AS region, (event_id % 3)::BIGINT AS ix, 0 AS iy FROM events), s AS (SELECT user_id AS region, max(value) AS rain FROM events WHERE ts < TIMESTAMP '2024-01-10' GROUP BY 1), m AS (SELECT user_id AS region, min(value) AS rain FROM events WHERE user_id % 2 = 0 GROUP BY 1)
+WITH c AS (SELECT DISTINCT user_id AS region, (event_id % 3)::BIGINT AS ix, 0 AS iy FROM events), s AS (SELECT user_id AS region, max(value) AS rain FROM events WHERE ts < TIMESTAMP '2024-01-10' GROUP BY 1), m AS (SELECT user_id AS region, min(value) AS rain FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY 1)
 SELECT c.region, ix, iy, s.rain AS rain_single, m.rain AS rain_multi FROM c LEFT JOIN s USING (region) LEFT JOIN m USING (region)""")
 def attribute_layers(spark, d):
     """Two attributes burnt on the cells of their regions."""
     ev = table(spark, d, "events").withColumn("region", F.col("user_id"))
     cells = ev.select("region", (F.col("event_id") % 3).alias("ix"), F.lit(0).alias("iy")).distinct()
     single = ev.where("ts < timestamp'2024-01-10'").groupBy("region").agg(F.max("value").alias("rain"))
-    multi = ev.where("user_id % 2 = 0").groupBy("region").agg(F.min("value").alias("rain"))
+    multi = ev.where("ts >= timestamp'2024-01-20'").groupBy("region").agg(F.min("value").alias("rain"))
     return zonal.attribute_layers(cells, single, multi, ["rain"])
 
 
@@ -844,20 +844,20 @@ def latest_scenes(spark, d):
     return simulation.latest_scene(dates.scene_fields(ev.select(item.alias("id")))).select(F.substring("tile", 2, 5).alias("tile"), "sensed", "processed")
 
 
-@query("""SELECT ts::DATE AS date, CASE WHEN bool_or(value > 420) THEN 'FINAL' ELSE 'PRELIM' END AS product FROM events WHERE value > 200 GROUP BY 1""")
+@query("""SELECT ts::DATE AS date, CASE WHEN bool_or(value > 420) THEN 'FINAL' ELSE 'PRELIM' END AS product FROM events GROUP BY 1""")
 def preferred_product(spark, d):
     """W7."""
-    files = table(spark, d, "events").where("value > 200").select(F.to_date("ts").alias("date"), F.when(F.col("value") > 420, "FINAL").otherwise("PRELIM").alias("product"))
+    files = table(spark, d, "events").select(F.to_date("ts").alias("date"), F.when(F.col("value") > 420, "FINAL").otherwise("PRELIM").alias("product"))
     return weather.prefer_final(files, 2)
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_quantity AS sun_zenith, round(l_tax * 100) AS view_zenith FROM lineitem WHERE l_linenumber = 1 AND l_quantity < 20""")
+@query("""SELECT l_partkey, max(l_quantity) AS sun_zenith, round(max(l_tax) * 100) AS view_zenith FROM lineitem GROUP BY 1""")
 def granule_angles(spark, d):
-    """Angles out of metadata made from line items."""
-    q, v = F.col("l_quantity").cast("string"), F.round(F.col("l_tax") * 100).cast("string")
+    """Angles out of metadata made for each part of the line items."""
+    granules = table(spark, d, "lineitem").groupBy("l_partkey").agg(F.max("l_quantity").cast("string").alias("q"), F.round(F.max("l_tax") * 100).cast("string").alias("v"))
+    q, v = F.col("q"), F.col("v")
     xml = F.concat(F.lit("<m><Mean_Sun_Angle><ZENITH_ANGLE unit='deg'>"), q, F.lit("</ZENITH_ANGLE><AZIMUTH_ANGLE unit='deg'>1</AZIMUTH_ANGLE></Mean_Sun_Angle><Mean_Viewing_Incidence_Angle bandId='8'><ZENITH_ANGLE unit='deg'>"), v, F.lit("</ZENITH_ANGLE></Mean_Viewing_Incidence_Angle></m>"))
-    line = table(spark, d, "lineitem").where("l_linenumber = 1 and l_quantity < 20")
-    return readers.granule_angles(line.select("l_orderkey", "l_linenumber", xml.alias("xml"))).select("l_orderkey", "l_linenumber", "sun_zenith", "view_zenith")
+    return readers.granule_angles(granules.select("l_partkey", xml.alias("xml"))).select("l_partkey", "sun_zenith", "view_zenith")
 
 
 @query("""SELECT n_name AS region, n_nationkey::DOUBLE AS lon, n_regionkey::DOUBLE + 40 AS lat, n_regionkey::VARCHAR AS zone, 16.0::DOUBLE AS area FROM nation""")
@@ -900,20 +900,20 @@ def missing_products(spark, d):
 
 @query("""
 WITH e AS (SELECT s_suppkey AS region, s_acctbal AS kg FROM supplier), f AS (SELECT l_suppkey AS region, max(l_extendedprice) AS f FROM lineitem WHERE l_tax > 0.07 AND l_quantity > 45 GROUP BY 1)
-SELECT e.region, kg, f.f, n_name AS zone, r.o AS o_ref FROM e JOIN f USING (region) LEFT JOIN (SELECT s_suppkey AS region, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) USING (region) LEFT JOIN (SELECT o_custkey AS region, max(o_totalprice) AS o FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1) r USING (region)""")
+SELECT e.region, kg, f.f, n_name AS zone, r.o AS o_ref FROM e JOIN f USING (region) LEFT JOIN (SELECT s_suppkey AS region, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey) USING (region) LEFT JOIN (SELECT o_custkey AS region, max(o_totalprice) AS o FROM orders GROUP BY 1) r USING (region)""")
 def assembled_regions(spark, d):
     """Estimate and factor inner, attributes and reference left."""
     sup = table(spark, d, "supplier")
     est = sup.select(F.col("s_suppkey").alias("region"), F.col("s_acctbal").alias("kg"))
     fac = table(spark, d, "lineitem").where("l_tax > 0.07 and l_quantity > 45").groupBy(F.col("l_suppkey").alias("region")).agg(F.max("l_extendedprice").alias("f"))
     attrs = sup.join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("region"), F.col("n_name").alias("zone"))
-    ref = table(spark, d, "orders").where("o_custkey % 3 = 0").groupBy(F.col("o_custkey").alias("region")).agg(F.max("o_totalprice").alias("o"))
+    ref = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("region")).agg(F.max("o_totalprice").alias("o"))
     return studies.assemble_regions(est, fac, attrs=attrs, keep=["zone"], reference=ref)
 
 
-@query("""SELECT s_suppkey AS region, s_name, rep AS reported_mean_yield_kg_ha FROM supplier LEFT JOIN (SELECT l_suppkey AS k, max(l_quantity) AS rep FROM lineitem WHERE l_linenumber = 7 GROUP BY 1) ON k = s_suppkey""")
+@query("""SELECT s_suppkey AS region, s_name, rep AS reported_mean_yield_kg_ha FROM supplier LEFT JOIN (SELECT l_suppkey AS k, max(CASE WHEN l_linenumber = 7 THEN l_quantity END) AS rep FROM lineitem GROUP BY 1) ON k = s_suppkey""")
 def with_reference(spark, d):
     """Level statistics with reference yields, replacing a column of that name."""
     section = table(spark, d, "supplier").select(F.col("s_suppkey").alias("region"), "s_name", F.lit(0.0).alias("reported_mean_yield_kg_ha"))
-    ref = zonal.extract_reference(table(spark, d, "lineitem").where("l_linenumber = 7").groupBy("l_suppkey").agg(F.max("l_quantity").alias("q")), "l_suppkey", "q")
+    ref = zonal.extract_reference(table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.max(F.when(F.col("l_linenumber") == 7, F.col("l_quantity"))).alias("q")), "l_suppkey", "q")
     return studies.with_reference(section, ref)

@@ -25,7 +25,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from fieldspark.plans import queries  # noqa: F401
+    from fieldspark.plans import queries, sources  # noqa: F401
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
