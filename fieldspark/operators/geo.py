@@ -134,12 +134,14 @@ def coverage(regions: DataFrame, x0: float, y0: float, dx: float, dy: float) ->
     """(region, ix, iy, weight) with the share of each cell that the polygon covers, cells without any left out.
 
     Cells with all corners inside and no edge across get 1.0 from built-in functions; only those that an
-    edge may cross go to Python, to be clipped. Each ring's edges are cut out for the cell's row first.
+    edge may cross go to Python, to be clipped. A row of cells carries only the edges that reach its height.
     A region may have several parts, holes, and parts within holes: rings count by how they are nested.
     """
     r = with_edges(regions).select("region", "rings", F.arrow_udf(_signs, "array<int>")("rings").alias("signs"), "edges", "xmin", "xmax", "ymin", "ymax")
     low = lambda c, o, d: F.floor((F.col(c) - o) / d)
     r = r.withColumn("iy", F.explode(F.sequence(F.least(low("ymin", y0, dy), low("ymax", y0, dy)), F.greatest(low("ymin", y0, dy), low("ymax", y0, dy)))))
+    row = y0 + F.col("iy") * dy, y0 + (F.col("iy") + 1) * dy
+    r = r.withColumn("edges", F.filter("edges", lambda e: (F.least(e.y1, e.y2) <= F.greatest(*row)) & (F.greatest(e.y1, e.y2) >= F.least(*row))))
     r = r.withColumn("ix", F.explode(F.sequence(F.least(low("xmin", x0, dx), low("xmax", x0, dx)), F.greatest(low("xmin", x0, dx), low("xmax", x0, dx)))))
     xs, ys = (x0 + F.col("ix") * dx, x0 + (F.col("ix") + 1) * dx), (y0 + F.col("iy") * dy, y0 + (F.col("iy") + 1) * dy)
     r = r.withColumns({"xa": F.least(*xs), "xb": F.greatest(*xs), "ya": F.least(*ys), "yb": F.greatest(*ys)})
@@ -153,17 +155,46 @@ def coverage(regions: DataFrame, x0: float, y0: float, dx: float, dy: float) ->
 
 
 def area_centroid(regions: DataFrame) -> DataFrame:
-    """Area and centroid by sums over the edges (in an equal-area system); holes run the other way round.
+    """Area and centroid by sums over the edges (in an equal-area system).
 
-    Rings are turned so that outlines count once and holes are subtracted by their own signed area.
+    A ring counts by its own unsigned area, added or subtracted by how rings are nested, so neither the
+    order nor the direction of outlines and holes matters.
     """
-    r = with_edges(regions)
-    cross = lambda e: e.x1 * e.y2 - e.x2 * e.y1
-    total = lambda f: F.aggregate("edges", F.lit(0.0), lambda acc, e: acc + f(e))
-    a = total(cross) / 2
-    cx = F.try_divide(total(lambda e: (e.x1 + e.x2) * cross(e)), 6 * a)
-    cy = F.try_divide(total(lambda e: (e.y1 + e.y2) * cross(e)), 6 * a)
-    return r.select(*[c for c in regions.columns if c != "rings"], F.abs(a).alias("area"), cx.alias("cx"), cy.alias("cy"))
+    r = with_edges(regions).withColumn("signs", F.arrow_udf(_signs, "array<int>")("rings"))
+    cross = lambda p, q: p.x * q.y - q.x * p.y
+    around = lambda ring, f: F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(ring) - 1, F.lit(1))), F.lit(0.0), lambda acc, i: acc + F.coalesce(f(F.get(ring, i - 1), F.get(ring, i)), F.lit(0.0)))
+
+    def part(ring: Column, sign: Column) -> Column:
+        area = around(ring, cross) / 2
+        turned = sign * F.signum(area)
+        return F.struct((sign * F.abs(area)).alias("a"), (turned * around(ring, lambda p, q: (p.x + q.x) * cross(p, q))).alias("x"), (turned * around(ring, lambda p, q: (p.y + q.y) * cross(p, q))).alias("y"))
+
+    r = r.withColumn("parts", F.zip_with("rings", "signs", part))
+    total = lambda c: F.aggregate("parts", F.lit(0.0), lambda acc, x: acc + x[c])
+    return r.select(*[c for c in regions.columns if c != "rings"], total("a").alias("area"), F.try_divide(total("x"), 6 * total("a")).alias("cx"), F.try_divide(total("y"), 6 * total("a")).alias("cy"))
+
+
+def polygon_parts(rings: list[np.ndarray]) -> list[list[int]]:
+    """Numbers of the rings of each part: its outline, then the holes that lie in it and in no smaller outline."""
+    signs = ring_signs(rings)
+    box = [(*r.min(axis=0), *r.max(axis=0)) for r in rings]
+    size = [abs(float(r[:-1, 0] @ r[1:, 1] - r[1:, 0] @ r[:-1, 1])) for r in rings]
+    parts = {i: [i] for i, s in enumerate(signs) if s > 0}
+    for i, s in enumerate(signs):
+        if s < 0:
+            around = [j for j in parts if box[j][0] <= box[i][0] and box[j][1] <= box[i][1] and box[j][2] >= box[i][2] and box[j][3] >= box[i][3] and ring_signs([rings[j], rings[i]])[1] < 0]
+            parts[min(around, key=size.__getitem__)].append(i)
+    return list(parts.values())
+
+
+def _parts(column: pa.Array) -> pa.Array:
+    found = [polygon_parts([np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in rings or [] if ring]) for rings in column.to_pylist()]
+    return pa.array(found, pa.list_(pa.list_(pa.int32())))
+
+
+def parts_of(rings: Column) -> Column:
+    """array<array<int>>: the rings of each part of a region, outlines first; empty rings do not count."""
+    return F.arrow_udf(_parts, "array<array<int>>")(rings)
 
 
 def cell_index(v: Column, origin: float, step: float) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldspark.operators.geo import parts_of
+
 #: Units of the weather file's columns.
 MET_UNITS = {"year": "()", "day": "()", "radn": "(MJ/m^2)", "maxt": "(oC)", "mint": "(oC)", "meant": "(oC)", "rain": "(mm)", "wind": "(m/s)"}
 
@@ -44,11 +46,16 @@ def write_met(met: DataFrame, heads: DataFrame, path: str, partitions: int = 200
 
 
 def features(df: DataFrame, rings: str = "rings", drop: tuple[str, ...] = ("edges",)) -> DataFrame:
-    """One GeoJSON feature a row, all other columns as properties."""
+    """One GeoJSON feature a row, all other columns as properties; a region of several parts is a MultiPolygon."""
     props = [c for c in df.columns if c != rings and c not in drop]
-    coords = F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p.x, p.y)))
-    geometry = F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates"))
-    return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*props).alias("properties"), geometry.alias("geometry"))).alias("value"))
+    df = df.select(*props, F.filter(rings, lambda r: F.size(r) > 0).alias("__rings")).withColumn("__parts", parts_of(F.col("__rings")))
+    line = lambda i: F.transform(F.get("__rings", i), lambda p: F.array(p.x, p.y))
+    coords = F.transform("__parts", lambda part: F.transform(part, line))
+    single = F.struct(F.lit("Polygon").alias("type"), F.get(coords, F.lit(0)).alias("coordinates"))
+    several = F.struct(F.lit("MultiPolygon").alias("type"), coords.alias("coordinates"))
+    geometry = F.when(F.size("__parts") == 1, F.to_json(single)).otherwise(F.to_json(several))
+    text = [F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(*props)), F.lit(',"geometry":'), geometry, F.lit("}")]
+    return df.select(F.concat(*text).alias("value"))
 
 
 def write_features(df: DataFrame, path: str) -> None:

@@ -466,3 +466,32 @@ def test_plan_prunes_columns_and_days(spark, tmp_path):
     sinks.write_table(df, str(tmp_path / "px"), ["date"])
     plan = readers.scan_pixels(spark, str(tmp_path / "px"), "lai", "2024-01-02", "2024-01-03", (0, 50, 0, 3)).select("ix", "v")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(ix,0)" in plan
+
+
+def test_area_and_features_of_nested_rings(spark):
+    import json
+
+    from fieldspark.operators.geo import area_centroid, polygon_parts
+    from fieldspark.sources.sinks import features
+
+    box = lambda x, y, n, turn=1: [(x, y), (x + n, y), (x + n, y + n), (x, y + n), (x, y)][::turn]
+    shape = "region string, rings array<array<struct<x: double, y: double>>>"
+    rows = [
+        ("hole wound like its shell", [box(0.0, 0.0, 4.0), box(1.0, 1.0, 2.0)]),
+        ("hole first", [box(1.0, 1.0, 2.0, -1), box(0.0, 0.0, 4.0)]),
+        ("two parts", [box(0.0, 0.0, 2.0), box(10.0, 0.0, 2.0, -1)]),
+        ("island in a hole", [box(0.0, 0.0, 9.0), box(1.0, 1.0, 6.0), box(2.0, 2.0, 2.0)]),
+    ]
+    df = spark.createDataFrame(rows, shape)
+    got = {r.region: (r.area, round(r.cx, 6), round(r.cy, 6)) for r in area_centroid(df).collect()}
+    assert got["hole wound like its shell"] == got["hole first"] == (12.0, 2.0, 2.0)
+    assert got["two parts"] == (8.0, 6.0, 1.0)
+    x = (81 * 4.5 - 36 * 4 + 4 * 3) / 49
+    assert got["island in a hole"] == (49.0, round(x, 6), round(x, 6))
+    made = {f["properties"]["region"]: f["geometry"] for f in (json.loads(r.value) for r in features(df).collect())}
+    assert made["hole first"]["type"] == "Polygon" and [len(r) for r in made["hole first"]["coordinates"]] == [5, 5] and made["hole first"]["coordinates"][0][1] == [4.0, 0.0]
+    assert made["two parts"]["type"] == "MultiPolygon" and len(made["two parts"]["coordinates"]) == 2
+    assert [len(p) for p in made["island in a hole"]["coordinates"]] == [2, 1]
+    import numpy as np
+
+    assert polygon_parts([np.array(r) for r in rows[3][1]]) == [[0, 1], [2]]
