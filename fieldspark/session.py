@@ -1,23 +1,31 @@
-"""Session helpers shared by every query: import path of the workers, shared folder, table reads."""
+"""Session helpers shared by every query: the package on the workers, shared folder, table reads."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def ensure_importable(spark: SparkSession) -> SparkSession:
-    """Let the Python workers import this package wherever the driver was started."""
-    env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "")
-    if _ROOT not in have.split(os.pathsep):
-        env["PYTHONPATH"] = _ROOT + (os.pathsep + have if have else "")
+    """Ship this package to the executors, once an application, so that their Python workers can import it."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        at = os.path.join(tempfile.mkdtemp(prefix="spark-"), "fieldspark.zip")  # the driver's own; Spark serves it
+        with zipfile.ZipFile(at, "w") as z:
+            for folder, _, files in os.walk(os.path.join(_ROOT, "fieldspark")):
+                for f in files:
+                    if f.endswith(".py"):
+                        z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), _ROOT))
+        spark.sparkContext.addPyFile(at)
+        _SHIPPED.add(app)
     return spark
 
 
