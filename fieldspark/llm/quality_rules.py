@@ -75,6 +75,8 @@ def hashed_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     grams = raw[:-3] | raw[1:-2] << 8 | raw[2:-1] << 16 | raw[3:] << 24 if len(raw) > 3 else np.zeros(0, np.uint32)
     grams = (grams * np.uint32(0x9E3779B1)) >> np.uint32(17)
     gram_text = np.repeat(np.arange(len(texts)), np.diff(w.text_at))[: len(grams)]
+    inside = np.arange(4, len(grams) + 4) <= w.text_at[gram_text + 1]  # none reaches into the next text
+    grams, gram_text = grams[inside], gram_text[inside]
     kinds = [(of, (words & np.uint64(BUCKETS - 1)).astype(np.int64)), (of[first], (pairs & np.uint64(BUCKETS - 1)).astype(np.int64)), (gram_text, grams.astype(np.int64))]
     text = np.concatenate([t for t, _ in kinds])
     bucket = np.concatenate([b + k * BUCKETS for k, (_, b) in enumerate(kinds)])
