@@ -75,18 +75,24 @@ def token_counts(docs: DataFrame) -> DataFrame:
 def commonest(counts: DataFrame, most: int = KNOWN_COUNTS) -> list[tuple[bytes, int]]:
     """At most so many of the commonest tokens, all those from some count on: a histogram of counts tells from which.
 
-    So the driver gets a bounded table whatever the number of partitions.
+    So the driver gets a bounded table whatever the number of partitions. If the tokens of the highest
+    step are too many by themselves, a share of them is taken by hash, half of the bound on average.
     """
-    steps = counts.groupBy(F.floor(F.log2("c") * 16).alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).collect()
+    step = F.floor(F.log2("c") * 16)
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).collect()
     least, total = None, 0
     for r in sorted(steps, key=lambda r: -r["step"]):
         total += r["n"]
         if total > most:
             break
         least = r["least"]
-    if least is None:
+    if not steps:
         return []
-    got = [(bytes(r["token"]), r["c"]) for r in counts.where(F.col("c") >= least).collect()]
+    wanted = F.col("c") >= least if least is not None else None
+    if wanted is None:
+        top = max(steps, key=lambda r: r["step"])
+        wanted = (step == top["step"]) & (F.pmod(F.xxhash64("token"), F.lit(top["n"])) < most // 2)
+    got = [(bytes(r["token"]), r["c"]) for r in counts.where(wanted).collect()]
     return sorted(got, key=lambda x: (-x[1], x[0]))
 
 
@@ -462,7 +468,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = materialize(rows.mapInArrow(_score(vocab, flat), _PARTS), "lm-parts")
     rare = parts.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")).select("row", F.col("x.rare").alias("token"), F.col("x.rare_n").alias("n"))
-    found = rare.join(counts.hint("shuffle_hash"), "token")
+    found = rare.join(counts, "token")
     added = found.groupBy("row").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
     out = parts.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "model").join(added, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
