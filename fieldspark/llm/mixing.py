@@ -18,6 +18,7 @@ from fieldspark.session import materialize
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST_EPOCHS, RANGE_ROWS, RANGES, SEED = 1.5, 2.0, 500, 1000, "mix"
 BROADCAST_ROWS = 10_000
+HOT_ROWS = 10_000  # rows of one doc_id from which on they are ordered by doc_id and row, not by doc_id alone
 
 
 def word_count(text: Column) -> Column:
@@ -56,13 +57,21 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
     budget's edge is taken in part, so a source's taken words are its target rounded down. Null text:
     size 0, taken 0. Null source: a source of its own, last in order. Equal rows: told apart by nothing,
     so either may be the one at the edge; rows with equal doc_id are ordered by size and a hash of all
-    columns but those of maps. Empty table: no rows. A source without words gets target 0.
+    columns but those of maps. A doc_id (or null) that more than HOT_ROWS rows share is no key: its rows
+    get keys by doc_id and that hash, so they spread over all ranges; equal rows of it share one still.
+    Empty table: no rows. A source without words gets target 0.
     """
     keep = keep or ["doc_id"]
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     hashable = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
     rows = docs.select(*dict.fromkeys([*keep, "source"]), word_count(F.col("text")).alias("size"), key.alias("mix_key"), F.xxhash64(*hashable).alias("mix_tie"))
     rows = materialize(rows, "mix-keys")
+    small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    hot = rows.groupBy(F.col("mix_key").alias("hot_key")).agg(F.count(F.lit(1)).alias("hot_rows")).where(F.col("hot_rows") > HOT_ROWS)
+    hot = materialize(hot.select("hot_key"), "mix-hot")
+    if n_hot := hot.count():
+        spread = F.when(F.col("hot_key").isNull(), F.col("mix_key")).otherwise(F.md5(F.concat_ws(":", "mix_key", F.col("mix_tie").cast("string"))))
+        rows = rows.join(small(hot, n_hot), F.col("mix_key") == F.col("hot_key"), "left").withColumn("mix_key", spread).drop("hot_key")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     plan = source_targets(sizes.select("source", "source_size"), **targets)
     same = F.col("p.source").eqNullSafe(F.col("s.source"))
@@ -70,7 +79,6 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
     plan = materialize(plan, "mix-plan").withColumnRenamed("source", "plan_source")
     # the numbers of sources and ranges are checked before either goes to every executor
     n = plan.agg(F.count(F.lit(1)).alias("sources"), F.coalesce(F.sum("ranges"), F.lit(0)).alias("ranges")).first()
-    small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
     plan = small(plan, n["sources"])
     rows = rows.join(plan, rows.source.eqNullSafe(plan.plan_source)).drop("plan_source")
     share = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))

@@ -285,6 +285,26 @@ def test_mixing_prefix_sums_of_two_levels(spark, docs, monkeypatch):
     assert sorted(map(str, m.mixing_plan(docs, keep=["doc_id", "source"]).collect())) == want
 
 
+def test_mixing_spreads_a_doc_id_that_many_rows_share(spark, docs, monkeypatch):
+    from fieldspark.llm import mixing as m
+
+    rows = [(None, "one two three " * (i % 7 + 1) + str(i), "en", "a", i, None) for i in range(400)]
+    rows += [(i, "four five", "en", "a" if i % 2 else "b", i, None) for i in range(300)]
+    table = spark.createDataFrame(rows, docs.schema).repartition(3)
+    monkeypatch.setattr(m, "RANGE_ROWS", 20)
+    monkeypatch.setattr(m, "HOT_ROWS", 50)
+    got = m.mixing_plan(table, keep=["doc_id", "source"]).collect()
+    assert len(got) == len(rows) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
+    for s in "ab":
+        mine = [r for r in got if r["source"] == s]
+        assert sum(r["taken"] for r in mine) == math.floor(mine[0]["target"])
+    # the rows without doc_id do not stand together: some are taken more often, some less, and so are the others
+    once = [r["doc_id"] is None for r in got if r["source"] == "a" and r["taken"] == r["size"]]
+    assert once and any(once) and not all(once)
+    again = m.mixing_plan(table.repartition(5), keep=["doc_id", "source"]).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+
+
 def shingles(text):
     w = lower(text).split()
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
@@ -447,6 +467,16 @@ def test_quality_base_rules(spark, docs, empty):
     assert isinstance(fit_quality([b"x", b"y"], np.ones(2)), QualityModel)
 
 
+def test_quality_of_a_text_does_not_depend_on_its_neighbours():
+    from fieldspark.llm.quality_rules import fit_quality
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(0, 30))).encode() for _ in range(80)] + [b"", b"a", b"ab", "é".encode()]
+    model = fit_quality(texts, np.array([len(t) % 2 for t in texts], np.float64))
+    alone = np.array([model.probability([t])[0] for t in texts])
+    assert np.allclose(model.probability(texts), alone, atol=1e-9)
+
+
 def test_lm_scores(spark, docs, empty):
     from fieldspark.llm.lm_scoring import is_held_out, lm_scores
 
@@ -469,6 +499,16 @@ def test_lm_scores(spark, docs, empty):
     assert lm_scores(empty).count() == 0
 
 
+def test_commonest_tokens_when_one_step_of_counts_has_too_many(spark):
+    from fieldspark.llm.lm_scoring import commonest
+
+    counts = spark.range(4000).selectExpr("cast(cast(id as string) as binary) as token", "cast(1 as long) as c")
+    got = commonest(counts, 1000)
+    assert 300 < len(got) < 700 and all(c == 1 for _, c in got)
+    assert commonest(counts, 4000) == sorted(((str(i).encode(), 1) for i in range(4000)))
+    assert commonest(counts.where("false"), 10) == []
+
+
 def test_lm_is_a_distribution_and_learns_order():
     from fieldspark.llm import lm_scoring as m
 
