@@ -98,16 +98,13 @@ def commonest(counts: DataFrame, most: int = KNOWN_COUNTS) -> list[tuple[bytes,
 
 # --- the network ---------------------------------------------------------------------------------
 
-#: name -> shape; all weights travel as one array in this order
+#: name -> shape; all weights travel as one array in this order. Gates are reset, update, candidate; the last row of wx, wc and wo is the bias
 SHAPES = {
     "embed": (VOCAB, INPUT),
-    "wx": (INPUT, 3 * HIDDEN),
-    "uh": (HIDDEN, 3 * HIDDEN),
-    "bg": (3 * HIDDEN,),
-    "wc": (HIDDEN, CLASSES),
-    "bc": (CLASSES,),
-    "wo": (CLASSES, HIDDEN, CLASS),
-    "bo": (CLASSES, CLASS),
+    "wx": (3, INPUT + 1, HIDDEN),
+    "uh": (3, HIDDEN, HIDDEN),
+    "wc": (HIDDEN + 1, CLASSES),
+    "wo": (CLASSES, HIDDEN + 1, CLASS),
 }
 
 
@@ -132,35 +129,54 @@ def start_weights(counts: np.ndarray) -> dict[str, np.ndarray]:
     """Small random weights; the biases are the unigram's logarithms, so training starts from there."""
     rng = np.random.Generator(np.random.PCG64(7))
     w = {k: rng.normal(0, 0.1, shape).astype(np.float32) for k, shape in SHAPES.items()}
-    w["bg"][:] = 0
     full = (np.resize(counts, VOCAB) * (np.arange(VOCAB) < len(counts)) + 0.5).reshape(CLASSES, CLASS)
-    w["bc"] = np.log(full.sum(axis=1) / full.sum()).astype(np.float32)
-    w["bo"] = np.log(full / full.sum(axis=1, keepdims=True)).astype(np.float32)
+    w["wx"][:, -1] = 0
+    w["wc"][-1] = np.log(full.sum(axis=1) / full.sum())
+    w["wo"][:, -1] = np.log(full / full.sum(axis=1, keepdims=True))
     return w
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
 
+def _exponentials(x: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials of x, their sums by row), x shifted in place: by one number, or by each row's where rows lie far apart."""
+    x -= x.max(initial=-np.inf)
+    e = np.exp(x, out=out)
+    total = np.einsum("ij->i", e)
+    if len(x) and total.min() < 1e-25:
+        x -= x.max(axis=1, keepdims=True)
+        e = np.exp(x, out=out)
+        total = np.einsum("ij->i", e)
+    return e, total
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
+def _chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithms of the softmax of each row at one column; x is shifted."""
+    _, total = _exponentials(x)
+    return x[np.arange(len(at)), at] - np.log(total)
 
-def _by_class(kind: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    order = np.argsort(kind, kind="stable")
-    at = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    return [(c, order[at[c] : at[c + 1]]) for c in range(CLASSES) if at[c + 1] > at[c]]
+
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
 
 
 def log_probabilities(w: dict[str, np.ndarray], hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural logarithms of the targets' probabilities, a row of hidden for each."""
-    kind, place = target // CLASS, target % CLASS
-    rows = np.arange(len(target))
-    out = _log_softmax(hidden @ w["wc"] + w["bc"])[rows, kind]
-    for c, at in _by_class(kind):
-        out[at] += _log_softmax(hidden[at] @ w["wo"][c] + w["bo"][c])[np.arange(len(at)), place[at]]
+    order = np.argsort((target // CLASS).astype(np.uint8), kind="stable")
+    hidden, kind, place = _with_one(hidden[order]), target[order] // CLASS, target[order] % CLASS
+    sums = _chosen(hidden @ w["wc"], kind)
+    at = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    for c, (a, b) in enumerate(zip(at[:-1], at[1:])):
+        if b > a:
+            sums[a:b] += _chosen(hidden[a:b] @ w["wo"][c], place[a:b])
+    out = np.empty_like(sums)
+    out[order] = sums
     return out
 
 
@@ -187,17 +203,17 @@ def lanes_of(docs: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray,
     return np.ascontiguousarray(tokens.T), np.ascontiguousarray(first.T), np.ascontiguousarray(number.T)
 
 
-def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, lanes: int = 256, held: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, lanes: int = 512, held: int = 1 << 13) -> np.ndarray:
     """Sum of the natural log-probabilities of each document's tokens (each ends with the end token)."""
     out = np.zeros(len(docs))
     tokens, first, number = lanes_of(docs, lanes)
     if not tokens.size:
         return out
-    gates = w["embed"] @ w["wx"] + w["bg"]  # of each input word
-    uh_rz, uh_n, h2 = np.ascontiguousarray(w["uh"][:, : 2 * HIDDEN]), np.ascontiguousarray(w["uh"][:, 2 * HIDDEN :]), 2 * HIDDEN
-    alive = (tokens >= 0).sum(axis=1)
+    gates = np.matmul(_with_one(w["embed"]), w["wx"])  # of each input word
+    alive = (tokens >= 0).sum(axis=1).tolist()
     h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
     last = np.full(tokens.shape[1], end)
+    starts = first.any(axis=1).tolist()
     hs, ts, ds, n = [], [], [], 0
 
     def flush():
@@ -206,17 +222,22 @@ def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int,
             out[:] += np.bincount(np.concatenate(ds), log_probabilities(w, np.concatenate(hs), np.concatenate(ts)), len(docs))
         hs, ts, ds, n = [], [], [], 0
 
-    for step in range(len(tokens)):
-        k = alive[step]
-        now, new = tokens[step, :k], first[step, :k]
+    for step, k in enumerate(alive):
+        now = tokens[step, :k]
         h, last = h[:k], last[:k]
-        if new.any():
+        if starts[step]:
+            new = first[step, :k]
             h = h * ~new[:, None]
             last = np.where(new, end, last)
-        x = gates[last]
-        rz = _sigmoid(x[:, :h2] + h @ uh_rz)
-        cand = np.tanh(x[:, h2:] + rz[:, :HIDDEN] * (h @ uh_n))
-        h = cand + rz[:, HIDDEN:] * (h - cand)
+        x = gates.take(last, axis=1)
+        u = np.matmul(h, w["uh"])
+        r, z = _sigmoid(np.add(x[:2], u[:2], out=x[:2]))
+        cand = np.multiply(r, u[2], out=u[2])
+        cand += x[2]
+        np.tanh(cand, out=cand)
+        h = h - cand
+        h *= z
+        h += cand
         hs.append(h)
         ts.append(now)
         ds.append(number[step, :k])
@@ -227,98 +248,120 @@ def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int,
     return out
 
 
-def _softmax_loss(x: np.ndarray, at: np.ndarray) -> float:
-    """Summed loss of the chosen columns; x turns into its gradient."""
-    rows = np.arange(len(at))
-    x -= x.max(axis=1, keepdims=True)
-    chosen = x[rows, at]
-    np.exp(x, out=x)
-    total = x.sum(axis=1)
-    x /= total[:, None]
-    x[rows, at] -= 1
-    return float((np.log(total) - chosen).sum())
+def _softmax_loss(x: np.ndarray, at: np.ndarray, out: np.ndarray) -> float:
+    """Summed loss of the chosen columns; out is the gradient of its mean, x is shifted."""
+    rows, n = np.arange(len(at)), np.float32(len(at))
+    _, total = _exponentials(x, out)
+    out *= (1 / (total * n))[:, None]
+    out[rows, at] -= 1 / n
+    return float((np.log(total) - x[rows, at]).sum())
 
 
 def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: float = RATE) -> tuple[dict[str, np.ndarray], float]:
     """One pass of truncated backpropagation: spans of SPAN steps, state carried on; (weights, mean loss in nats).
 
-    Only the recurrence goes step by step; what does not wait for it is taken for a whole span at once.
+    Only the recurrence goes step by step; what does not wait for it is taken for a whole span at once,
+    in arrays that all spans share.
     """
     tokens, first, _ = lanes_of(docs, LANES)
     flat = pack(w)
     grad, m, v2, spare = (np.zeros_like(flat) for _ in range(4))
     w, g = views(flat), views(grad)
-    lanes, h2, h3 = tokens.shape[1], 2 * HIDDEN, 3 * HIDDEN
+    lanes = tokens.shape[1]
     priors = np.concatenate([np.full((1, lanes), end, tokens.dtype), tokens[:-1]])
     priors[(priors < 0) | first] = end
+    priors = priors.astype(np.uint16)
     keep = (~first).astype(np.float32)[:, :, None]
+    kinds = np.where(tokens < 0, CLASSES, tokens // CLASS).astype(np.uint8)
+    places = (tokens % CLASS).astype(np.uint8)
+    full = min(SPAN, len(tokens)) * lanes
+    new = lambda *shape: np.empty(shape, np.float32)
+    e_all, hidden_all = np.ones((full, INPUT + 1), np.float32), np.ones((full, HIDDEN + 1), np.float32)
+    x_all, u_all, du_all, rz_all, de_all = new(3, full, HIDDEN), new(3, full, HIDDEN), new(3, full, HIDDEN), new(2, full, HIDDEN), new(3, full, INPUT)
+    before_all, cand_all, after_all, dn_all, dh_rows, back_all, part_all = (new(full, HIDDEN) for _ in range(7))
+    logits_all, d_all = new(full, CLASS), new(full, CLASS)
+    gap, across = new(lanes, HIDDEN), new(3, lanes, HIDDEN)
     h, loss, count, t = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, 0
     for begin in range(0, len(tokens), SPAN):
-        target, prior, kept = tokens[begin : begin + SPAN].ravel(), priors[begin : begin + SPAN].ravel(), keep[begin : begin + SPAN]
+        kept, prior = keep[begin : begin + SPAN], priors[begin : begin + SPAN].ravel()
         steps = len(kept)
-        e = w["embed"][prior]
-        x = (e @ w["wx"] + w["bg"]).reshape(steps, lanes, h3)
-        before, un, cand, after = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(4))
-        rz = np.empty((steps, lanes, h2), np.float32)
+        rows = steps * lanes
+        e, x, u, du, rz, de = e_all[:rows], x_all[:, :rows], u_all[:, :rows], du_all[:, :rows], rz_all[:, :rows], de_all[:, :rows]
+        before, cand, after, dn, dh_all = before_all[:rows], cand_all[:rows], after_all[:rows], dn_all[:rows], dh_rows[:rows]
+        e[:, :INPUT] = w["embed"][prior]
+        np.matmul(e, w["wx"], out=x)
         for s in range(steps):
-            h = np.multiply(h, kept[s], out=before[s])
-            u = h @ w["uh"]
-            rz[s] = _sigmoid(x[s, :, :h2] + u[:, :h2])
-            un[s] = u[:, h2:]
-            np.tanh(x[s, :, h2:] + rz[s, :, :HIDDEN] * un[s], out=cand[s])
-            h = np.add(cand[s], rz[s, :, HIDDEN:] * (h - cand[s]), out=after[s])
-        grad[:] = 0
-        live = np.flatnonzero(target >= 0)
-        order = live[np.argsort(target[live] // CLASS, kind="stable")]  # by class
-        n, hidden = len(order), after.reshape(-1, HIDDEN)[order]
-        kind, place = target[order] // CLASS, target[order] % CLASS
+            a, b = s * lanes, s * lanes + lanes
+            h = np.multiply(h, kept[s], out=before[a:b])
+            us = np.matmul(h, w["uh"], out=u[:, a:b])
+            r, z = _sigmoid(np.add(x[:2, a:b], us[:2], out=rz[:, a:b]))
+            c = np.multiply(r, us[2], out=cand[a:b])
+            c += x[2, a:b]
+            np.tanh(c, out=c)
+            np.subtract(h, c, out=gap)
+            np.multiply(gap, z, out=gap)
+            h = np.add(c, gap, out=after[a:b])
+        kind = kinds[begin : begin + SPAN].ravel()
+        order = np.argsort(kind, kind="stable")  # by class, after which the places where a lane is over
+        kind = kind[order]
         at = np.searchsorted(kind, np.arange(CLASSES + 1))
-        spans = [(c, a, b) for c, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
-        d = hidden @ w["wc"] + w["bc"]
-        loss += _softmax_loss(d, kind)
-        d /= np.float32(n)
-        g["wc"][:], g["bc"][:] = hidden.T @ d, d.sum(axis=0)
-        back = d @ w["wc"].T
-        d, part = np.empty((n, CLASS), np.float32), np.empty((n, HIDDEN), np.float32)
+        n = int(at[-1])
+        order, kind, at = order[:n], kind[:n], at.tolist()
+        place = places[begin : begin + SPAN].ravel()[order]
+        spans = [(c, a, b) for c, (a, b) in enumerate(zip(at[:-1], at[1:])) if b > a]
+        hidden, logits, d, back, part = hidden_all[:n], logits_all[:n], d_all[:n], back_all[:n], part_all[:n]
+        hidden[:, :HIDDEN] = after[order]
+        loss += _softmax_loss(np.matmul(hidden, w["wc"], out=logits), kind, d)
+        np.matmul(hidden.T, d, out=g["wc"])
+        np.matmul(d, w["wc"][:-1].T, out=back)
         for c, a, b in spans:
-            np.matmul(hidden[a:b], w["wo"][c], out=d[a:b])
-        d += w["bo"][kind]
-        loss += _softmax_loss(d, place)
-        d /= np.float32(n)
+            np.matmul(hidden[a:b], w["wo"][c], out=logits[a:b])
+        loss += _softmax_loss(logits, place, d)
+        g["wo"][:] = 0
         for c, a, b in spans:
             np.matmul(hidden[a:b].T, d[a:b], out=g["wo"][c])
-            np.matmul(d[a:b], w["wo"][c].T, out=part[a:b])
+            np.matmul(d[a:b], w["wo"][c, :-1].T, out=part[a:b])
         back += part
-        g["bo"][[c for c, _, _ in spans]] = np.add.reduceat(d, [a for _, a, _ in spans])
-        dh_all = np.zeros((steps * lanes, HIDDEN), np.float32)
+        dh_all[:] = 0
         dh_all[order] = back
-        dh_all = dh_all.reshape(steps, lanes, HIDDEN)
-        r, z = rz[:, :, :HIDDEN], rz[:, :, HIDDEN:]
-        to_z, to_n, to_r = (before - cand) * z * (1 - z), (1 - z) * (1 - cand * cand), un * r * (1 - r)
-        dx, du = (np.empty((steps, lanes, h3), np.float32) for _ in range(2))
+        r, z = rz
+        to_z, to_n, to_r = (before - cand) * z * (1 - z), (1 - z) * (1 - cand * cand), u[2] * r * (1 - r)
         dh = np.zeros((lanes, HIDDEN), np.float32)
-        across = np.ascontiguousarray(w["uh"].T)
+        turned = np.ascontiguousarray(w["uh"].transpose(0, 2, 1))
         for i in range(steps - 1, -1, -1):
-            dh = dh + dh_all[i]
-            dn = np.multiply(dh, to_n[i], out=dx[i, :, h2:])
-            np.multiply(dn, to_r[i], out=dx[i, :, :HIDDEN])
-            np.multiply(dh, to_z[i], out=dx[i, :, HIDDEN:h2])
-            du[i, :, :h2] = dx[i, :, :h2]
-            np.multiply(dn, r[i], out=du[i, :, h2:])
-            dh = (dh * z[i] + du[i] @ across) * kept[i]
-        dx, du = dx.reshape(-1, h3), du.reshape(-1, h3)
-        g["wx"][:], g["bg"][:], g["uh"][:] = e.T @ dx, dx.sum(axis=0), before.reshape(-1, HIDDEN).T @ du
+            a, b = i * lanes, i * lanes + lanes
+            dh += dh_all[a:b]
+            now = np.multiply(dh, to_n[a:b], out=dn[a:b])
+            np.multiply(now, to_r[a:b], out=du[0, a:b])
+            np.multiply(dh, to_z[a:b], out=du[1, a:b])
+            np.multiply(now, r[a:b], out=du[2, a:b])
+            np.matmul(du[:, a:b], turned, out=across)
+            dh *= z[a:b]
+            for one in across:
+                dh += one
+            dh *= kept[i]
+        np.matmul(e.T, du[:2], out=g["wx"][:2])
+        np.matmul(e.T, dn, out=g["wx"][2])
+        np.matmul(before.T, du, out=g["uh"])
+        np.matmul(du[:2], w["wx"][:2, :-1].transpose(0, 2, 1), out=de[:2])
+        np.matmul(dn, w["wx"][2, :-1].T, out=de[2])
+        de[0] += de[1]
+        de[0] += de[2]
         same = np.argsort(prior, kind="stable")
-        starts = np.flatnonzero(np.diff(prior[same], prepend=-1))
-        g["embed"][prior[same[starts]]] = np.add.reduceat((dx @ w["wx"].T)[same], starts)
+        ordered = prior[same]
+        starts = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+        g["embed"][:] = 0
+        g["embed"][ordered[starts]] = np.add.reduceat(de[0][same], starts)
         norm = float(np.sqrt(grad @ grad))
-        grad *= np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         t += 1
         count += n
         step = np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t) / (1 + t / 2000))
-        m += np.multiply(np.subtract(grad, m, out=spare), np.float32(0.1), out=spare)
+        grad *= np.float32(0.1 * min(1.0, 1.0 / max(norm, 1e-9)))  # its square carries the 0.01 of v2
+        m *= np.float32(0.9)
+        m += grad
         grad *= grad
-        v2 += np.multiply(np.subtract(grad, v2, out=spare), np.float32(0.01), out=spare)
+        v2 *= np.float32(0.99)
+        v2 += grad
         np.sqrt(v2, out=spare)
         spare += np.float32(1e-6)
         np.divide(m, spare, out=spare)

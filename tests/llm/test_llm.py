@@ -538,6 +538,30 @@ def test_lm_gradients():
         trained, _ = m.train({k: v.copy() for k, v in w.items()}, docs, 0, rate=rate)
         losses.append(-m.score_documents(trained, docs, 0).sum())
     assert losses[0] > losses[1] > losses[2]
+    # the first step moves each weight by the rate against the sign of its gradient: held against differences of the loss
+    moved, _ = m.train({k: v.copy() for k, v in w.items()}, docs, 0, rate=1e-3)
+    for name in m.SHAPES:
+        touched = np.flatnonzero(np.abs(moved[name] - w[name]).ravel() > 5e-4)
+        checked = 0
+        for i in rng.permutation(touched)[:100]:
+            loss = []
+            for eps in (-0.05, 0.05):
+                v = {k: x.copy() for k, x in w.items()}
+                v[name].ravel()[i] += eps
+                loss.append(-m.score_documents(v, docs, 0).sum())
+            if abs(loss[1] - loss[0]) > 1e-3:
+                checked += 1
+                assert (loss[1] > loss[0]) == (moved[name].ravel()[i] < w[name].ravel()[i])
+        assert checked >= 10, name
+
+
+def test_lm_sums_of_rows_that_lie_far_apart():
+    from fieldspark.llm.lm_scoring import _chosen
+
+    x = np.array([[0, 1, 2], [500, 501, 502], [-700, 0, 700]], np.float32)
+    want = np.log(np.exp(2.0) / (1 + np.exp(1.0) + np.exp(2.0)))
+    assert np.allclose(_chosen(x.copy(), np.array([2, 2, 2])), [want, want, 0], atol=1e-5)
+    assert len(_chosen(x[:0].copy(), np.array([], int))) == 0
 
 
 def test_lm_learns_from_every_training_document(spark):
