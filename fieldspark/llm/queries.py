@@ -77,7 +77,42 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"))
 
 
-_QUERIES = (op1_token_output, op2_mixing, op3_token_counts, op4_exact_dedup, op5_jaccard_join, op6_quality_rules, op7_lm_scoring, op8_toxicity, op9_chat_format, op10_byte_bpe)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from fieldspark.llm.warc import archive_pages
+    from fieldspark.session import shared_folder
+
+    return archive_pages(table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.merkle import merkle_manifest, tampered_text
+
+    return merkle_manifest(table(spark, sf_dir, "documents"), tampered_text())
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldspark.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+_QUERIES = (
+    op1_token_output,
+    op2_mixing,
+    op3_token_counts,
+    op4_exact_dedup,
+    op5_jaccard_join,
+    op6_quality_rules,
+    op7_lm_scoring,
+    op8_toxicity,
+    op9_chat_format,
+    op10_byte_bpe,
+    op11_warc,
+    op12_merkle_manifest,
+    op13_prefix_trie,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
