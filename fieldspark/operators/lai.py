@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.functions import dates
 from fieldspark.functions.pixels import adjust_for_crop, apply_mask, drop_negative
-from fieldspark.operators.series import akima_fill, every_day, savgol_smooth
+from fieldspark.operators.series import akima_filled, dealt_out, every_day_of, gathered, smoothed
 
 STATS = ["lai_mean", "lai_median", "lai_std", "lai_mean_adj", "lai_median_adj", "lai_std_adj"]
 
@@ -53,11 +53,11 @@ def reject_cloudy(daily: DataFrame, threshold: float) -> DataFrame:
 
 def lai_series(cells: DataFrame, region: str = "region", cloud: float = 0.5, crop: str | None = None) -> DataFrame:
     """A1 -> F4 -> W11 -> W3 -> W4: one row for each region and day. All six statistics are smoothed; means and
-    medians are gap-filled, smoothed and unsmoothed."""
+    medians are gap-filled, smoothed and unsmoothed. A region's days are gathered once."""
     daily = reject_cloudy(daily_stats(cells, [region, "date"], crop), cloud)
-    full = every_day(daily, [region], "date")
     names = ["lai_mean", "lai_median", "lai_mean_adj", "lai_median_adj"]
-    return akima_fill(savgol_smooth(full, [region], "date", STATS), [region], "date", [*names, *[f"{c} Unsmoothed" for c in names]])
+    series = smoothed(every_day_of(gathered(daily, [region], "date"), [region], "date"), STATS)
+    return dealt_out(akima_filled(series, "date", [*names, *[f"{c} Unsmoothed" for c in names]]), [region])
 
 
 def legacy_daily_stats(cells: DataFrame, keys: list[str], max_keys: list[str], day: str = "date") -> tuple[DataFrame, DataFrame]:

@@ -246,24 +246,103 @@ def savgol_smooth(spark, d):
     return out.select("event_type", "date", F.col("v Unsmoothed").alias("unsmoothed"), F.round("v", 6).alias("v"))
 
 
-@query()
+def _smooth_sql(rows: str) -> str:
+    """CTEs from `rows`(series, date, v) to fit(series, date, v): W3 over the valid values of each series."""
+    hats = ", ".join(f"({w}, {r}, {j}, {h!r}::DOUBLE)" for w in (4, 5, 7, 9) for r, row in enumerate(series.hat_matrix(w)) for j, h in enumerate(row))
+    return f"""
+hat(w, r, j, h) AS (VALUES {hats}),
+known AS (SELECT series, date, v, row_number() OVER (PARTITION BY series ORDER BY date) - 1 AS k, count(*) OVER (PARTITION BY series) AS n FROM {rows} WHERE v IS NOT NULL),
+sized AS (SELECT *, CASE WHEN n >= 9 THEN 9 WHEN n > 4 AND n % 2 = 0 THEN n - 1 ELSE n END AS w FROM known),
+begun AS (SELECT *, least(greatest(k - (w - 1) // 2, 0), n - w) AS b FROM sized),
+fit AS (
+  SELECT s.series, s.date, greatest(sum(hat.h * y.v), 0) AS v FROM begun s JOIN hat ON hat.w = s.w AND hat.r = s.k - s.b JOIN known y ON y.series = s.series AND y.k = s.b + hat.j GROUP BY s.series, s.date
+  UNION ALL SELECT series, date, v FROM known WHERE n < 4
+)"""
+
+
+def _akima_sql(rows: str) -> str:
+    """CTEs from `rows`(series, date, v) to curve(series, date, v, filled): W4."""
+    return f"""
+steps AS (
+  SELECT series, date, v, (lead(v) OVER s - v) / (lead(date) OVER s - date) AS m, lead(date) OVER s AS next_date, lead(v) OVER s AS next_v
+  FROM {rows} WHERE v IS NOT NULL WINDOW s AS (PARTITION BY series ORDER BY date)
+), around AS (SELECT *, lag(m) OVER s AS p, lag(m, 2) OVER s AS p2, lead(m) OVER s AS m1 FROM steps WINDOW s AS (PARTITION BY series ORDER BY date)),
+inner_slopes AS (SELECT *, coalesce(m, 2 * p - p2, p) AS c, coalesce(p, 2 * m - m1, m) AS b FROM around),
+slopes AS (SELECT *, coalesce(m1, 2 * c - b) AS d, coalesce(p2, 2 * b - c) AS a FROM inner_slopes),
+bends AS (SELECT *, abs(d - c) + abs(b - a) AS bend, max(abs(d - c) + abs(b - a)) OVER (PARTITION BY series) AS top FROM slopes),
+knots AS (SELECT *, CASE WHEN bend <= 1e-9 * top THEN (b + c) / 2 ELSE (abs(d - c) * b + abs(b - a) * c) / bend END AS slope FROM bends),
+pieces AS (SELECT series, date, v, slope, next_date, next_v, lead(slope) OVER (PARTITION BY series ORDER BY date) AS next_slope FROM knots),
+placed AS (
+  SELECT r.series, r.date, r.v, q.v AS y0, q.slope AS d0, q.next_v AS y1, q.next_slope AS d1, q.next_date - q.date AS h, (r.date - q.date) / (q.next_date - q.date) AS u
+  FROM {rows} r ASOF LEFT JOIN pieces q ON r.series = q.series AND r.date >= q.date
+), curve AS (
+  SELECT series, date, CASE WHEN v IS NULL AND y1 IS NOT NULL THEN greatest((2 * u ** 3 - 3 * u ** 2 + 1) * y0 + (u ** 3 - 2 * u ** 2 + u) * h * d0 + (3 * u ** 2 - 2 * u ** 3) * y1 + (u ** 3 - u ** 2) * h * d1, 0) ELSE v END AS v,
+    v IS NULL AND y1 IS NOT NULL AS filled
+  FROM placed
+)"""
+
+
+@query(f"""
+WITH g AS (SELECT event_type AS series, date, v FROM ({_GAPPY})), {_smooth_sql("g")}
+SELECT g.series AS event_type, g.date, round(fit.v, 6) AS v, g.v AS unsmoothed FROM g LEFT JOIN fit ON g.series = fit.series AND g.date = fit.date""")
 def savgol_smooth_whole(spark, d):
-    """W3 with its ends; held against a numpy version in tests."""
-    return series.savgol_smooth(_gappy(spark, d), ["event_type"], "date", ["v"]).withColumnRenamed("v Unsmoothed", "unsmoothed")
+    """W3 with its ends."""
+    return _round(series.savgol_smooth(_gappy(spark, d), ["event_type"], "date", ["v"]).withColumnRenamed("v Unsmoothed", "unsmoothed"), 6, "v")
 
 
-@query()
+_FILLED = ["lai_mean", "lai_median", "lai_mean_adj", "lai_median_adj"]
+
+
+@query(f"""
+WITH cells AS (SELECT event_type AS region, ts::DATE AS date, CASE WHEN dayofyear(ts) % 3 <> 0 AND value >= 0 THEN value END AS v FROM events),
+adjusted AS (SELECT *, 0.0482 * v * v + 0.9161 * v + 0.0026 AS a FROM cells),
+daily AS (
+  SELECT region, date, avg(v) AS lai_mean, median(v) AS lai_median, stddev_pop(v) AS lai_std, avg(a) AS lai_mean_adj, median(a) AS lai_median_adj, stddev_pop(a) AS lai_std_adj,
+    count(v) AS n_pixels, 100.0 * (count(*) - count(v)) / count(*) AS cloud_pct FROM adjusted GROUP BY ALL
+), kept AS (SELECT region, date, n_pixels, cloud_pct, {", ".join(f"CASE WHEN cloud_pct <= 50 AND n_pixels > 0 THEN {c} END AS {c}" for c in lai.STATS)} FROM daily),
+spine AS (SELECT region, unnest(generate_series(min(date), max(date), INTERVAL 1 DAY))::DATE AS date FROM kept GROUP BY region),
+long AS (SELECT region || '/' || name AS series, region, name, date, v FROM (FROM spine LEFT JOIN kept USING (region, date)) UNPIVOT INCLUDE NULLS (v FOR name IN ({", ".join(lai.STATS)}))), {_smooth_sql("long")},
+every_series AS (
+  SELECT l.series || '/smooth' AS series, l.region, l.name, l.date, fit.v FROM long l LEFT JOIN fit ON fit.series = l.series AND fit.date = l.date
+  UNION ALL SELECT series || '/raw', region, name || '_unsmoothed', date, v FROM long
+), wanted AS (SELECT series, date, v FROM every_series WHERE name NOT LIKE 'lai_std%'), {_akima_sql("wanted")},
+whole AS (SELECT b.region, b.date, b.name, CASE WHEN c.series IS NULL THEN b.v ELSE c.v END AS v, coalesce(c.filled, FALSE) AS filled FROM every_series b LEFT JOIN curve c ON c.series = b.series AND c.date = b.date)
+SELECT w.region, w.date, {", ".join(f"round(max(v) FILTER (name = '{c}{end}'), 6) AS {c}{end}" for c in lai.STATS for end in ("", "_unsmoothed"))},
+  any_value(k.n_pixels) AS n_pixels, round(any_value(k.cloud_pct), 6) AS cloud_pct, max(filled::INT) AS interpolated
+FROM whole w LEFT JOIN kept k ON k.region = w.region AND k.date = w.date GROUP BY w.region, w.date""")
 def akima_fill(spark, d):
-    """A1 -> F4 -> W11 -> W3 -> W4, the flagship; held against a numpy version in tests."""
+    """A1 -> F4 -> W11 -> W3 -> W4, the flagship."""
     cells = table(spark, d, "events").select(F.col("event_type").alias("region"), F.to_date("ts").alias("date"), F.when(F.dayofyear("ts") % 3 != 0, F.col("value")).alias("v"), F.lit(1).alias("m"))
     out = lai.lai_series(cells, cloud=0.5, crop="wheat")
-    return out.select(*[F.col(c).alias(c.replace(" ", "_").lower()) for c in out.columns])
+    out = out.select(*[F.col(c).alias(c.replace(" ", "_").lower()) for c in out.columns])
+    return _round(out, 6, *[c for c in out.columns if c.startswith("lai_") or c == "cloud_pct"])
 
 
-@query()
+@query(f"""
+WITH RECURSIVE g AS ({_GAPPY}),
+known AS (SELECT event_type, date, v, row_number() OVER s - 1 AS k, count(*) OVER (PARTITION BY event_type) AS n, lead(date) OVER s - date AS h, (lead(v) OVER s - v) / (lead(date) OVER s - date) AS m FROM g WHERE v IS NOT NULL WINDOW s AS (PARTITION BY event_type ORDER BY date)),
+sides AS (SELECT event_type, k, n, lag(h) OVER s AS a, h AS b, m - lag(m) OVER s AS bend FROM known WINDOW s AS (PARTITION BY event_type ORDER BY k)),
+eq AS (
+  SELECT event_type, k, n, CASE WHEN k = 1 THEN 0 WHEN k = n - 2 THEN a - b * b / a ELSE a END AS lo, CASE WHEN k = n - 2 THEN 0 WHEN k = 1 THEN b - a * a / b ELSE b END AS hi,
+    2.0::DOUBLE * (a + b) + CASE WHEN k = 1 THEN a * (a + b) / b ELSE 0 END + CASE WHEN k = n - 2 THEN b * (a + b) / a ELSE 0 END AS mid, 6 * bend AS r
+  FROM sides WHERE n >= 4 AND k BETWEEN 1 AND n - 2
+), forth AS (
+  SELECT event_type, k, n, hi / mid AS c, r / mid AS r FROM eq WHERE k = 1
+  UNION ALL SELECT e.event_type, e.k, e.n, e.hi / (e.mid - e.lo * f.c), (e.r - e.lo * f.r) / (e.mid - e.lo * f.c) FROM forth f JOIN eq e ON e.event_type = f.event_type AND e.k = f.k + 1
+), back AS (
+  SELECT event_type, k, r AS s FROM forth WHERE k = n - 2
+  UNION ALL SELECT f.event_type, f.k, f.r - f.c * b.s FROM back b JOIN forth f ON f.event_type = b.event_type AND f.k = b.k - 1
+), ends AS (
+  SELECT event_type, k, s FROM back
+  UNION ALL SELECT k.event_type, 0, ((k.h + j.h) * x.s - k.h * y.s) / j.h FROM known k JOIN known j ON j.event_type = k.event_type AND j.k = 1 JOIN back x ON x.event_type = k.event_type AND x.k = 1 JOIN back y ON y.event_type = k.event_type AND y.k = 2 WHERE k.k = 0
+  UNION ALL SELECT k.event_type, k.n - 1, ((k.h + j.h) * x.s - k.h * y.s) / j.h FROM known k JOIN known j ON j.event_type = k.event_type AND j.k = k.n - 3 JOIN back x ON x.event_type = k.event_type AND x.k = k.n - 2 JOIN back y ON y.event_type = k.event_type AND y.k = k.n - 3 WHERE k.k = k.n - 2 AND k.n >= 4
+  UNION ALL SELECT k.event_type, j.k, CASE WHEN k.n = 3 THEN 2 * (i.m - k.m) / (k.h + i.h) ELSE 0 END FROM known k JOIN known j ON j.event_type = k.event_type LEFT JOIN known i ON i.event_type = k.event_type AND i.k = 1 WHERE k.k = 0 AND k.n < 4
+), pieces AS (SELECT k.*, e.s, lead(e.s) OVER (PARTITION BY k.event_type ORDER BY k.k) AS s1 FROM known k JOIN ends e ON e.event_type = k.event_type AND e.k = k.k),
+placed AS (SELECT g.event_type, g.date, g.v, p.h, p.m, p.s, p.s1, p.v AS y, g.date - p.date AS d FROM g ASOF LEFT JOIN pieces p ON g.event_type = p.event_type AND g.date >= p.date)
+SELECT event_type, date, round(CASE WHEN v IS NULL THEN y + d * (m - h * (2 * s + s1) / 6) + d * d * s / 2 + d * d * d * (s1 - s) / (6 * h) ELSE v END, 6) AS v, (v IS NULL AND h IS NOT NULL)::INT AS interpolated FROM placed""")
 def spline_fill(spark, d):
-    """W10; held against its defining equations in tests."""
-    return series.spline_fill(_gappy(spark, d), ["event_type"], "date", "v")
+    """W10."""
+    return _round(series.spline_fill(_gappy(spark, d), ["event_type"], "date", "v"), 6, "v")
 
 
 @query("""SELECT user_id, event_type, event_id, ts, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")

@@ -202,10 +202,64 @@ def test_linear_and_runs_and_spine(spark):
     assert series.every_day(d.distinct().withColumn("v", F.lit(1)), ["k"], "d").where("v is null").count() == 3
 
 
+def not_a_knot(x, y, at):
+    """Plain version: values of the cubic spline whose first and last two pieces are each one cubic, by a full system."""
+    n, h = len(x), np.diff(x)
+    out = np.full(len(at), np.nan)
+    inside = (at >= x[0]) & (at <= x[-1])
+    if n < 4:
+        out[inside] = np.polyval(np.polyfit(x - x[0], y, n - 1), at[inside] - x[0])
+        return out
+    a, r = np.zeros((n, n)), np.zeros(n)
+    slope = np.diff(y) / h
+    a[0, :3] = [h[1], -(h[0] + h[1]), h[0]]
+    a[-1, -3:] = [h[-1], -(h[-2] + h[-1]), h[-2]]
+    for i in range(1, n - 1):
+        a[i, i - 1 : i + 2] = [h[i - 1], 2 * (h[i - 1] + h[i]), h[i]]
+        r[i] = 6 * (slope[i] - slope[i - 1])
+    m = np.linalg.solve(a, r)
+    i = np.clip(np.searchsorted(x, at[inside], side="right") - 1, 0, n - 2)
+    d = at[inside] - x[i]
+    out[inside] = y[i] + d * (slope[i] - h[i] * (2 * m[i] + m[i + 1]) / 6) + d * d * m[i] / 2 + d**3 * (m[i + 1] - m[i]) / (6 * h[i])
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 30])
+def test_spline_against_a_full_system(spark, n):
+    rng = np.random.default_rng(n)
+    at = np.cumsum(rng.integers(1, 5, n)) + 3
+    values = rng.random(n) * 10
+    rows = [("a", day("2024-01-01") + dt.timedelta(days=i), float(values[list(at).index(i)]) if i in at else None) for i in range(int(at[-1]) + 4)]
+    got = [r.v for r in series.spline_fill(spark.createDataFrame(rows, "k string, d date, v double"), ["k"], "d", "v").orderBy("d").collect()]
+    want = not_a_knot(at.astype(float), values, np.arange(len(rows), dtype=float)) if n > 1 else [values[0] if i == at[0] else np.nan for i in range(len(rows))]
+    for a, b in zip(got, want):
+        assert (a is None) == bool(np.isnan(b)) and (a is None or a == pytest.approx(b, abs=1e-9))
+
+
+def test_series_are_gathered_once(spark):
+    """Several columns and series with days left out: as one column and series at a time, and without windows or Python."""
+    rng = np.random.default_rng(2)
+    rows = [(k, day("2023-12-01") + dt.timedelta(days=int(i)), float(rng.random()) if rng.random() < 0.6 else None, float(rng.random()) if rng.random() < 0.3 else None, "x") for k in ("a", "b", None) for i in rng.permutation(40)[:25]]
+    df = spark.createDataFrame(rows, "k string, d date, v double, w double, note string").repartition(3)
+    out = series.akima_fill(series.savgol_smooth(df, ["k"], "d", ["v", "w"]), ["k"], "d", ["v", "w", "v Unsmoothed"])
+    assert set(out.columns) == {"k", "d", "v", "w", "note", "v Unsmoothed", "w Unsmoothed", "interpolated"}
+    both = {(r.k, r.d): r for r in out.collect()}
+    for c in ("v", "w"):
+        alone = series.akima_fill(series.savgol_smooth(df, ["k"], "d", [c]), ["k"], "d", [c])
+        assert {(r.k, r.d): r[c] for r in alone.collect()} == {k: r[c] for k, r in both.items()}
+    full = series.dealt_out(series.every_day_of(series.gathered(df, ["k"], "d"), ["k"], "d"), ["k"]).select("k", "d", "v", "w", "note")
+    spine = series.every_day(df, ["k"], "d").where("k is not null").select("k", "d", "v", "w", "note")
+    assert sorted(map(repr, full.where("k is not null").collect())) == sorted(map(repr, spine.collect()))
+    for plan in (series.savgol_smooth(df, ["k"], "d", ["v", "w"]), series.akima_fill(df, ["k"], "d", ["v", "w"]), series.spline_fill(df, ["k"], "d", "v")):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        # the test's own repartition is the other exchange
+        assert text.count("Exchange") == 2 and "Window" not in text and "Python" not in text and "Pandas" not in text
+
+
 def test_spline(spark):
     x = np.array([0.0, 1, 3, 4, 7, 9])
     cubic = lambda t: 0.3 * t**3 - 2 * t**2 + t + 40
-    assert series.not_a_knot(x, cubic(x), np.array([2.0, 5, 6, 8])) == pytest.approx(cubic(np.array([2.0, 5, 6, 8])))  # a cubic is its own spline
+    assert not_a_knot(x, cubic(x), np.array([2.0, 5, 6, 8])) == pytest.approx(cubic(np.array([2.0, 5, 6, 8])))  # a cubic is its own spline
     rows = [("a", day("2024-01-01") + dt.timedelta(days=i), float(cubic(i)) if i in x else None) for i in range(11)]
     got = series.spline_fill(spark.createDataFrame(rows, "k string, d date, v double"), ["k"], "d", "v").orderBy("d").collect()
     assert got[5].v == pytest.approx(cubic(5)) and got[5].interpolated == 1 and got[10].v is None and got[0].interpolated == 0
