@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldspark.operators.selection import SMALL, select_by_weight
+from fieldspark.session import materialize
+
 from fieldspark.functions.names import keep_original_year, reported_mean
 
 
@@ -70,16 +73,15 @@ def weighted_mean(x: Column, w: Column) -> Column:
     return F.try_divide(F.sum(F.when(both, x * w)), F.sum(F.when(both, w)))
 
 
-def weighted_median(df: DataFrame, keys: list[str], value: str, weight: str, order_by: list[str] | None = None, out: str = "weighted_median") -> DataFrame:
-    """The smallest value up to which half of the weight lies.
+def weighted_median(df: DataFrame, keys: list[str], value: str, weight: str, out: str = "weighted_median", small: int = SMALL) -> DataFrame:
+    """The smallest value up to which half of the weight lies, by refining a histogram of weights (see selection).
 
-    Weights are summed by value first, so the window sees distinct values; a running sum by value gives
-    the same answer as one by row, as the rows of a value stand together.
+    Weights are summed by value first; a group of any number of values is never in one task, only the last
+    `small` values around its median are put in order.
     """
-    rows = df.where(F.col(value).isNotNull() & F.col(weight).isNotNull()).groupBy(*keys, F.col(value).alias("__x")).agg(F.sum(weight).alias("__w"))
-    up_to = Window.partitionBy(*keys).orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumns({"__cum": F.sum("__w").over(up_to), "__all": F.sum("__w").over(Window.partitionBy(*keys))})
-    return rows.where(F.col("__cum") >= F.col("__all") / 2).groupBy(*keys).agg(F.min("__x").alias(out))
+    rows = df.where(F.col(value).isNotNull() & F.col(weight).isNotNull()).groupBy(*keys, F.col(value).alias("x")).agg(F.sum(weight).alias("w"))
+    found = select_by_weight(materialize(rows, "select-weights"), keys, [F.col("total") / 2], small)
+    return found.select(*keys, F.col("x").alias(out))
 
 
 def aggregate_level(est: DataFrame, level: str) -> DataFrame:

@@ -290,11 +290,35 @@ def reproject_bilinear(target: DataFrame, pixels: DataFrame, grid: dict[str, flo
     return target.select("ix", "iy").join(found, ["ix", "iy"], "left")
 
 
+def _tiles(df: DataFrame, levels: list[int]) -> DataFrame:
+    """Rectangles on the tiles they touch, of their own level (side 2^level, at least their longer side) and every level above."""
+    tile = lambda c, level: F.floor(F.col(c) / F.pow(F.lit(2.0), level))
+    df = df.withColumn("on", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda x: x >= F.col("level"))))
+    span = lambda a, b: F.sequence(tile(a, F.col("on")), tile(b, F.col("on")))
+    return df.withColumn("tx", F.explode(span("xmin", "xmax"))).withColumn("ty", F.explode(span("ymin", "ymax")))
+
+
 def overlaps(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pairs of extents (name, xmin, ymin, xmax, ymax) that share an area; both are tables of files, not of pixels."""
-    b = b.select(*[F.col(c).alias(f"b_{c}") for c in ("name", "xmin", "ymin", "xmax", "ymax")])
-    meet = (F.greatest("xmin", "b_xmin") < F.least("xmax", "b_xmax")) & (F.greatest("ymin", "b_ymin") < F.least("ymax", "b_ymax"))
-    return a.join(b, meet).select("name", "b_name")
+    """Pairs of extents (name, xmin, ymin, xmax, ymax) that share an area.
+
+    Both sides go to tiles of as many sizes as the rectangles have, at most four a size for each, and meet by
+    an equi-join on the tiles of the larger one's size; a pair counts only in the tile that holds the lower
+    left corner of what they share. Missing or empty extents meet nothing.
+    """
+
+    def sized(df: DataFrame) -> DataFrame:
+        side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+        df = df.select("name", "xmin", "ymin", "xmax", "ymax").where("xmin < xmax AND ymin < ymax")
+        return df.withColumn("level", F.ceil(F.log2(side)).cast("int"))
+
+    a, b = sized(a), sized(b)
+    # powers of two between the least and the greatest side: few, whatever the number of rectangles
+    levels = sorted(r["level"] for r in a.select("level").union(b.select("level")).distinct().collect())
+    b = _tiles(b, levels).select("on", "tx", "ty", *[F.col(c).alias(f"b_{c}") for c in ("name", "xmin", "ymin", "xmax", "ymax", "level")])
+    met = _tiles(a, levels).join(b, ["on", "tx", "ty"]).where(F.col("on") == F.greatest("level", "b_level"))
+    left, low = F.greatest("xmin", "b_xmin"), F.greatest("ymin", "b_ymin")
+    here = lambda v, t: F.floor(v / F.pow(F.lit(2.0), F.col("on"))) == F.col(t)
+    return met.where((left < F.least("xmax", "b_xmax")) & (low < F.least("ymax", "b_ymax")) & here(left, "tx") & here(low, "ty")).select("name", "b_name")
 
 
 def union_extent(grids: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.functions import dates
 from fieldspark.functions.pixels import adjust_for_crop, apply_mask, drop_negative
+from fieldspark.operators.selection import SMALL, largest_group, medians
 from fieldspark.operators.series import akima_filled, dealt_out, every_day_of, gathered, smoothed
 
 STATS = ["lai_mean", "lai_median", "lai_std", "lai_mean_adj", "lai_median_adj", "lai_std_adj"]
@@ -34,15 +35,26 @@ def missing_share(value: Column, counted: Column) -> Column:
     return F.coalesce(F.try_divide(100.0 * F.count_if(value.isNull() & counted), F.count_if(counted)), F.lit(0.0))
 
 
-def daily_stats(cells: DataFrame, keys: list[str], crop: str | None = None, exact: bool = True) -> DataFrame:
+def daily_stats(cells: DataFrame, keys: list[str], crop: str | None = None, exact: bool = True, small: int = SMALL) -> DataFrame:
     """A1, A2, A36 over cells(keys..., v, m): raw and adjusted statistics, valid pixels, cloud/snow percent.
 
-    For zones, keys hold the zone's id or nothing but the date.
+    For zones, keys hold the zone's id or nothing but the date. A task sorts up to `small` pixels of a group
+    for its median; where a group has more, all medians are found by refining histograms, with the same result.
     """
     value = drop_negative(F.col("v"))
     adjusted = adjust_for_crop(value, crop)
+    counts = [F.count(value).alias("n_pixels"), missing_share(value, F.col("m") == 1).alias("cloud_pct")]
     adj = [c.alias(n) for c, n in zip(stats(adjusted, "x", exact), STATS[3:])]
-    return cells.groupBy(*keys).agg(*stats(value, "lai", exact), *adj, F.count(value).alias("n_pixels"), missing_share(value, F.col("m") == 1).alias("cloud_pct"))
+    if not exact or largest_group(cells, keys) <= small:
+        return cells.groupBy(*keys).agg(*stats(value, "lai", exact), *adj, *counts)
+    rest = [*stats(value, "lai"), *adj]
+    out = cells.groupBy(*keys).agg(*[c for k, c in enumerate(rest) if k not in (1, 4)], *counts)
+    found = medians(cells, keys, {"lai_median": value, "lai_median_adj": adjusted}, small)
+    found = found.select(*[F.col(k).alias(f"__m_{k}") for k in keys], "lai_median", "lai_median_adj")
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__m_{k}"))
+    return out.join(found, on, "left").select(*keys, *STATS, "n_pixels", "cloud_pct")
 
 
 def reject_cloudy(daily: DataFrame, threshold: float) -> DataFrame:

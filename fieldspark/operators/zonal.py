@@ -89,13 +89,20 @@ def coverage_warnings(zonal: DataFrame) -> DataFrame:
     return zonal.select("region", "coverage_pct", level.alias("warning")).where(F.col("warning").isNotNull())
 
 
-def target_resolution(grids: DataFrame, project) -> DataFrame:
-    """The commonest system's sample tile, its width in the target system over its pixels.
+def target_resolution(grids: DataFrame, project, existing: DataFrame | None = None) -> DataFrame:
+    """Crs and resolution of the target: those of what is there already, else of the commonest system's sample tile.
 
-    grids(product, crs, xmin, ymin, xmax, ymax, width); project(x, y) gives target coordinates.
+    grids(product, crs, xmin, ymin, xmax, ymax, width): the tile's width in the target system over its
+    pixels, with project(x, y) giving target coordinates. existing(path, crs, dx): the first output by
+    path wins over all tiles; if it has no system, that is an error.
     """
     common = grids.groupBy().agg(F.mode("crs", True).alias("crs"))
     tile = grids.join(common, "crs").groupBy("crs").agg(F.min_by(F.struct("xmin", "ymin", "xmax", "width"), "product").alias("t"))
     left, _ = project(F.col("t.xmin"), F.col("t.ymin"))
     right, _ = project(F.col("t.xmax"), F.col("t.ymin"))
-    return tile.select("crs", F.try_divide(right - left, F.col("t.width")).alias("resolution"))
+    sample = tile.select(F.lit(1).alias("order"), "crs", F.try_divide(right - left, F.col("t.width")).alias("resolution"))
+    if existing is not None:
+        first = existing.groupBy().agg(F.min(F.struct("path", "crs", "dx")).alias("f")).where(F.col("f").isNotNull())
+        crs = F.when(F.col("f.crs").isNull(), F.raise_error(F.lit("the existing output has no reference system"))).otherwise(F.col("f.crs"))
+        sample = sample.unionByName(first.select(F.lit(0).alias("order"), crs.alias("crs"), F.abs("f.dx").alias("resolution")))
+    return sample.groupBy().agg(F.min(F.struct("order", "crs", "resolution")).alias("s")).where(F.col("s").isNotNull()).select("s.crs", "s.resolution")

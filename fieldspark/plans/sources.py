@@ -16,7 +16,7 @@ from fieldspark.plans.queries import _POLYGONS, _regions, _round
 from fieldspark.plans.registry import query
 from fieldspark.session import shared_folder, table
 from fieldspark.sources import readers, sinks
-from fieldspark.streaming import jobs
+from fieldspark.streaming import jobs, ledger
 
 
 def _folder(spark, name: str) -> str:
@@ -334,6 +334,44 @@ def target_resolution(spark, d):
     return _round(zonal.target_resolution(g, geo.equal_area_cylinder), 4, "resolution")
 
 
+@query("""
+WITH o AS (SELECT l_returnflag AS crs, -(l_linenumber * 2.5) AS dx, l_linestatus || '/' || l_orderkey || '.tif' AS path FROM lineitem)
+SELECT crs, abs(dx)::DOUBLE AS resolution FROM o ORDER BY path, crs, dx LIMIT 1""")
+def existing_resolution(spark, d):
+    """Outputs that are there set the target, not the sample tile."""
+    line = table(spark, d, "lineitem")
+    g = line.select(F.col("l_orderkey").alias("product"), F.col("l_returnflag").alias("crs"), F.col("l_tax").alias("xmin"), F.col("l_discount").alias("ymin"), (F.col("l_tax") + F.col("l_quantity")).alias("xmax"), F.col("l_discount").alias("ymax"), F.lit(100).alias("width"))
+    there = line.select(F.concat("l_linestatus", F.lit("/"), F.col("l_orderkey").cast("string"), F.lit(".tif")).alias("path"), F.col("l_returnflag").alias("crs"), (-(F.col("l_linenumber") * 2.5)).alias("dx"))
+    return zonal.target_resolution(g, geo.equal_area_cylinder, there)
+
+
+@query("""
+WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS name, l_quantity AS xmin, l_extendedprice / 1000 AS ymin, l_quantity + l_linenumber * l_discount AS xmax, l_extendedprice / 1000 + l_tax * 10 AS ymax FROM lineitem),
+s AS (SELECT s_suppkey AS name, abs(s_acctbal) / 200 AS xmin, s_suppkey % 100 * 1.0 AS ymin, abs(s_acctbal) / 200 + s_nationkey * 0.3 AS xmax, s_suppkey % 100 + 1.5 AS ymax FROM supplier)
+SELECT r.name, s.name AS b_name FROM r JOIN s ON greatest(r.xmin, s.xmin) < least(r.xmax, s.xmax) AND greatest(r.ymin, s.ymin) < least(r.ymax, s.ymax)""")
+def overlapping_boxes(spark, d):
+    """Small boxes of line items against boxes of suppliers, of many sizes, by tiles."""
+    boxes = table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("name"), F.col("l_quantity").alias("xmin"), (F.col("l_extendedprice") / 1000).alias("ymin"), (F.col("l_quantity") + F.col("l_linenumber") * F.col("l_discount")).alias("xmax"), (F.col("l_extendedprice") / 1000 + F.col("l_tax") * 10).alias("ymax"))
+    x = F.abs("s_acctbal") / 200
+    wide = table(spark, d, "supplier").select(F.col("s_suppkey").alias("name"), x.alias("xmin"), (F.col("s_suppkey") % 100).cast("double").alias("ymin"), (x + F.col("s_nationkey") * 0.3).alias("xmax"), (F.col("s_suppkey") % 100 + 1.5).alias("ymax"))
+    return geo.overlaps(boxes, wide)
+
+
+@query("""SELECT event_type, user_id, max(value) AS max_lai, count(*) AS n_pixels FROM events GROUP BY ALL""")
+def folded_ranges(spark, d):
+    """R2: overlapping ranges of days in three batches, one of them run twice; every landed day is read once and counted once."""
+    at, out = _folder(spark, "landed-days"), _folder(spark, "season")
+    px = table(spark, d, "events").select("event_type", "user_id", F.to_date("ts").alias("date"), F.col("value").alias("v"))
+    px.write.partitionBy("date").parquet(at)
+    ends = px.groupBy("event_type").agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    part = lambda x, y: ends.select("event_type", F.date_add("a", F.floor(F.datediff("b", "a") * F.lit(x)).cast("int")).alias("first"), F.date_add("a", F.ceil(F.datediff("b", "a") * F.lit(y)).cast("int")).alias("last"))
+    wanted = [part(0.4, 0.7), part(0.1, 0.5).unionByName(part(0.6, 0.8)), part(0.0, 1.0)]
+    landed = spark.read.schema(px.schema).parquet(at)
+    for number in (0, 1, 1, 2):
+        ledger.fold_ranges(landed, wanted[number], out, number, ["event_type"], ["user_id"])
+    return ledger.folded(spark, out)
+
+
 @query("""SELECT user_id, max(value) AS max_lai FROM events GROUP BY 1""")
 def streamed_maximum(spark, d):
     """R2: the running maximum of each key, over landed files, as the stream leaves it."""
