@@ -18,7 +18,6 @@ from fieldspark.session import materialize
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST_EPOCHS, RANGE_ROWS, RANGES, SEED = 1.5, 2.0, 500, 1000, "mix"
 BROADCAST_ROWS = 10_000
-HOT_ROWS = 10_000  # rows of one doc_id from which on they are ordered by doc_id and row, not by doc_id alone
 
 
 def word_count(text: Column) -> Column:
@@ -56,22 +55,17 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
     taken is in words: whole epochs of the source, then the rows whose keys come first; the row at the
     budget's edge is taken in part, so a source's taken words are its target rounded down. Null text:
     size 0, taken 0. Null source: a source of its own, last in order. Equal rows: told apart by nothing,
-    so either may be the one at the edge; rows with equal doc_id are ordered by size and a hash of all
-    columns but those of maps. A doc_id (or null) that more than HOT_ROWS rows share is no key: its rows
-    get keys by doc_id and that hash, so they spread over all ranges; equal rows of it share one still.
-    Empty table: no rows. A source without words gets target 0.
+    so either may be the one at the edge. Keys come of doc_id and text, so rows that share a doc_id (or have
+    none) are spread over all ranges like any others; rows equal in both are in one range, ordered by a hash of
+    all columns but those of maps. Empty table: no rows. A source without words gets target 0.
     """
     keep = keep or ["doc_id"]
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    said = F.when(F.col("text").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.md5("text")))
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), said))
     hashable = [c for c, kind in docs.dtypes if "map<" not in kind]  # maps have no hash
     rows = docs.select(*dict.fromkeys([*keep, "source"]), word_count(F.col("text")).alias("size"), key.alias("mix_key"), F.xxhash64(*hashable).alias("mix_tie"))
     rows = materialize(rows, "mix-keys")
     small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
-    hot = rows.groupBy(F.col("mix_key").alias("hot_key")).agg(F.count(F.lit(1)).alias("hot_rows")).where(F.col("hot_rows") > HOT_ROWS)
-    hot = materialize(hot.select("hot_key"), "mix-hot")
-    if n_hot := hot.count():
-        spread = F.when(F.col("hot_key").isNull(), F.col("mix_key")).otherwise(F.md5(F.concat_ws(":", "mix_key", F.col("mix_tie").cast("string"))))
-        rows = rows.join(small(hot, n_hot), F.col("mix_key") == F.col("hot_key"), "left").withColumn("mix_key", spread).drop("hot_key")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     plan = source_targets(sizes.select("source", "source_size"), **targets)
     same = F.col("p.source").eqNullSafe(F.col("s.source"))
@@ -106,8 +100,9 @@ def mixing_plan(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as whole epochs say, then the part at the budget's edge.
 
-    Only the one document a source at its budget's edge is shortened, to the words that fit. Columns
-    are those of docs; names used inside cannot clash, as the documents travel in one struct.
+    Only the one document a source at its budget's edge is shortened, to the words that fit, and its n_chars,
+    if there is such a column, is that of the shorter text. Columns are those of docs; names used inside
+    cannot clash, as the documents travel in one struct.
     """
     names = docs.columns
     packed = docs.select("doc_id", "text", "source", F.struct(*names).alias("mix_row"))
@@ -121,4 +116,13 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     whole = F.when(F.col("size") == 0, F.array_repeat(F.col("mix_row.text"), 1)).otherwise(F.array_repeat(F.col("mix_row.text"), copies.cast("int")))
     texts = F.concat(whole, F.when(rest > 0, F.array(first)).otherwise(F.array().cast("array<string>")))
     rows = plan.select("mix_row", F.explode(texts).alias("mix_text"))
-    return rows.select(*[F.col("mix_text").alias("text") if c == "text" else F.col(f"mix_row.`{c}`").alias(c) for c in names])
+    cut = ~F.col("mix_text").eqNullSafe(F.col("mix_row.text"))
+    kinds = dict(docs.dtypes)
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("mix_text").alias(c)
+        whole = F.col(f"mix_row.`{c}`")
+        return (F.when(cut, F.length("mix_text").cast(kinds[c])).otherwise(whole) if c == "n_chars" else whole).alias(c)
+
+    return rows.select(*[column(c) for c in names])

@@ -5,7 +5,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["op2_mixing"] = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS k
+         md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || CASE WHEN text IS NULL THEN '-' ELSE '=' || md5(text) END) AS k
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, ([3.0, 1.0, 2.0])[(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS w
@@ -40,20 +40,21 @@ FROM d JOIN g USING (text_sha256)
 """
 
 ORACLES["op9_chat_format"] = r"""
-WITH t AS (
-  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, length(text) NULLS FIRST) AS place,
-         count(*) OVER (PARTITION BY conv_id) AS n_turns
-  FROM conversations
+WITH k AS (SELECT *, CASE WHEN conv_id IS NULL THEN 'n' || row_number() OVER () ELSE 'c' || conv_id END AS chat FROM conversations),
+t AS (
+  SELECT chat, conv_id, role, text, row_number() OVER (PARTITION BY chat ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(text) NULLS FIRST) AS place,
+         count(*) OVER (PARTITION BY chat) AS n_turns
+  FROM k
 ), p AS (
-  SELECT conv_id, place, n_turns, md5(string_agg(md5(CASE WHEN role IS NULL THEN '0' ELSE '1' || role END) || md5(CASE WHEN text IS NULL THEN '0' ELSE '1' || text END), '') OVER (PARTITION BY conv_id ORDER BY place)) AS h
+  SELECT chat, conv_id, place, n_turns, md5(string_agg(md5(CASE WHEN role IS NULL THEN '0' ELSE '1' || role END) || md5(CASE WHEN text IS NULL THEN '0' ELSE '1' || text END), '') OVER (PARTITION BY chat ORDER BY place)) AS h
   FROM t
 ), w AS (
-  SELECT h, place AS n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM p WHERE place = n_turns GROUP BY h, place
+  SELECT h, place AS n_turns, first(chat ORDER BY conv_id NULLS LAST, chat) AS chat, min(conv_id) AS conv_id, count(*) AS copies FROM p WHERE place = n_turns GROUP BY h, place
 ), m AS (
   SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.h = w.h AND p.place = w.n_turns AND p.place < p.n_turns)
 ), r AS (
-  SELECT m.conv_id, m.copies, m.n_turns, string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), '' ORDER BY place) AS rendered
-  FROM m JOIN t ON t.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY ALL
+  SELECT m.chat, m.conv_id, m.copies, m.n_turns, string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), '' ORDER BY place) AS rendered
+  FROM m JOIN t ON t.chat = m.chat GROUP BY ALL
 )
 SELECT conv_id, copies::BIGINT AS copies, n_turns::BIGINT AS n_turns, length(rendered)::BIGINT AS n_chars, rendered FROM r
 """

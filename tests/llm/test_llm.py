@@ -292,7 +292,6 @@ def test_mixing_spreads_a_doc_id_that_many_rows_share(spark, docs, monkeypatch):
     rows += [(i, "four five", "en", "a" if i % 2 else "b", i, None) for i in range(300)]
     table = spark.createDataFrame(rows, docs.schema).repartition(3)
     monkeypatch.setattr(m, "RANGE_ROWS", 20)
-    monkeypatch.setattr(m, "HOT_ROWS", 50)
     got = m.mixing_plan(table, keep=["doc_id", "source"]).collect()
     assert len(got) == len(rows) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
     for s in "ab":
@@ -658,15 +657,26 @@ def test_kernel_of_odd_words():
 def test_chat_format(spark):
     from fieldspark.llm.chat_format import format_chats
 
-    chats = {1: ["hi", "a", "b"], 2: ["hi", "a"], 3: ["hi", "a", "c"], 4: ["hi", "a", "b"], 5: ["hi"], 6: [None, ""], 7: [None], 8: [""], None: ["hi", "a", "c", "d"]}
+    chats = {1: ["hi", "a", "b"], 2: ["hi", "a"], 3: ["hi", "a", "c"], 4: ["hi", "a", "b"], 5: ["hi"], 6: [None, ""], 7: [None], 8: [""]}
     rows = [(c, i, "user" if i % 2 == 0 else "assistant", t, "extra") for c, ts in chats.items() for i, t in enumerate(ts)]
-    rows.append((9, 0, None, "x", "extra"))
-    got = {r["conv_id"]: r for r in format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, h1 string").repartition(3)).collect()}
-    # 2 and 5 prefix longer ones, 3 prefixes the one without id, 4 repeats 1, 7 prefixes 6; 8's empty text is not null
-    assert set(got) == {1, 6, 8, 9, None}
-    assert got[1]["copies"] == 2 and got[1]["n_turns"] == 3
+    rows += [(9, 0, None, "x", "extra"), (None, 0, "user", "hi", "e"), (None, 4, "user", "alone", "e"), (None, 2, "user", "alone", "e"), (None, 1, None, "x", "e"), (None, 0, "user", None, "e"), (10, 3, "user", "alone", "e")]
+    rows += [(11, 5, "bot", "lonely", "e")] * 2 + [(None, 5, "bot", "lonely", "e"), (None, 6, "bot", "nobody", "e")]
+    # long: 3000 turns, and its first 2999 logged apart
+    rows += [(c, i, "user", f"turn {i}", "e") for c in (12, 13) for i in range(3000 - (c == 13))]
+    # turns of equal number, role and length, in logs that each hold one more
+    rng = random.Random(7)
+    for c in range(40):
+        first = [rng.choice("abcdefgh") * 3 + f"{c:02d}" for _ in range(3)]
+        rows += [(100 + 2 * c + k, t, "user", x, "e") for k in range(2) for t, x in [(c, y) for y in first] + [(c + 1, "next")] * k]
+    got_rows = format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, h1 string").repartition(3)).collect()
+    got = {r["conv_id"]: r for r in got_rows if r["conv_id"] is not None}
+    # 2, 5 and a turn without id prefix longer ones, 4 repeats 1, 7 and another turn prefix 6; 8's empty text is not null
+    assert set(got) == {1, 3, 6, 8, 9, 10, 11, 12} | {101 + 2 * c for c in range(40)}
+    assert got[1]["copies"] == 2 and got[1]["n_turns"] == 3 and got[9]["copies"] == 2 and got[10]["copies"] == 3 and got[11]["copies"] == 1
     assert got[1]["rendered"] == "<|user|>\nhi<|end|>\n<|assistant|>\na<|end|>\n<|user|>\nb<|end|>\n"
     assert got[9]["rendered"] == "<|unknown|>\nx<|end|>\n"
+    assert got[12]["n_turns"] == 3000 and got[12]["rendered"].endswith("<|user|>\nturn 2999<|end|>\n")
+    assert [(r["copies"], r["n_turns"], r["rendered"]) for r in got_rows if r["conv_id"] is None] == [(1, 1, "<|bot|>\nnobody<|end|>\n")]
     assert format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
