@@ -12,13 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.llm.words import IS_WHITE, running_hash, slice_hashes, slices, texts_of, window_hashes, word_hashes, words_of
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
-SAMPLE_ROWS = 1500  # of each label
+SAMPLE_ROWS, SAMPLE_BYTES = 1500, 32_000_000  # of each label
 KEEP_AT = 0.5  # least calibrated probability of good quality
 BUCKETS = 1 << 15  # of each kind of feature
 IS_SYMBOL = np.zeros(256, bool)
@@ -143,7 +143,11 @@ def fit_quality(texts: list[bytes], good: np.ndarray, steps: int = 150, rate: fl
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int, allowed=None) -> tuple[list[bytes], np.ndarray]:
-    """Up to `rows` texts of each label (0, 1), the first in order of a hash of doc_id. Bounded, so it may go to the driver."""
+    """Up to `rows` texts and SAMPLE_BYTES bytes of each label (0, 1), the first in order of a hash of doc_id.
+
+    Both bounds hold whatever the texts, so the sample may go to the driver. Bytes shorten the number of texts,
+    never a text; one of over a hundredth of SAMPLE_BYTES is passed over.
+    """
     labels = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
     if allowed is not None:
         labels = labels.where(allowed)
@@ -151,7 +155,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int,
     for label in (0, 1):
         part = labels.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         pick = part if pick is None else pick.unionByName(part)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id")
+    sizes = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("size")).join(F.broadcast(pick), "doc_id").groupBy("doc_id", "label").agg(F.max("size").alias("size"))
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")  # over `rows` rows of a label at most
+    fits = sizes.where(F.col("size") <= SAMPLE_BYTES // 100).withColumn("so_far", F.sum("size").over(order)).where(F.col("so_far") <= SAMPLE_BYTES)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(fits.select("doc_id", "label")), "doc_id")
     texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # one text of a doc_id, whatever its copies
     got = texts.select(F.xxhash64("doc_id").alias("h"), "doc_id", "label", F.encode("text", "UTF-8").alias("text")).collect()
     got.sort(key=lambda x: (x["h"], x["doc_id"], x["label"], bytes(x["text"])))

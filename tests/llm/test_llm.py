@@ -654,6 +654,23 @@ def test_kernel_of_odd_words():
     assert parts_of("x" * 60)[0][0] == MARK and set(map(len, parts_of("x" * 60)[:-1])) == {24} and parts_of("12") == [MARK]
 
 
+def test_labelled_samples_are_bounded_in_bytes(spark, monkeypatch):
+    from fieldspark.llm import quality_rules as q
+
+    monkeypatch.setattr(q, "SAMPLE_BYTES", 20_000)
+    rows = [(i, "w" * (5000 if i % 3 == 0 else 150)) for i in range(400)] + [(7, "w" * 150), (None, "x"), (900, None)]
+    labels = [(i, i % 2) for i in range(400)] + [(900, 1), (7, 1), (None, 0)]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality long")
+    texts, label = q.labelled_sample(docs, marks, "quality", 1000)
+    for k in (0, 1):
+        mine = [t for t, x in zip(texts, label) if x == k]
+        assert 100 < len(mine) <= 134 and sum(map(len, mine)) <= 20_000 and max(map(len, mine)) == 150  # whole texts, the long ones passed over
+    few, _ = q.labelled_sample(docs, marks, "quality", 10)
+    assert len(few) <= 20
+    monkeypatch.setattr(q, "SAMPLE_BYTES", 10)
+    assert q.labelled_sample(docs.where("doc_id < 400"), marks, "quality", 1000)[0] == []
+
+
 def test_chat_format(spark):
     from fieldspark.llm.chat_format import format_chats
 
