@@ -83,12 +83,36 @@ def level_table_errors(df: DataFrame, name: str, reference: str | None, year: st
     return out + [f"level name {x!r} holds a colon or space" for x in levels if ":" in x or " " in x]
 
 
-def complete_regions(products: DataFrame, names: list[str]) -> DataFrame:
-    """Q15: regions that have every one of these products; semi-join with it."""
-    return products.where(F.col("product").isin(names)).groupBy("region").agg(F.countDistinct("product").alias("n")).where(F.col("n") == len(set(names))).select("region")
+def complete_regions(products: DataFrame, names: list[str] | DataFrame) -> DataFrame:
+    """Q15: regions that have every one of these products (a list or a table with column product); semi-join with it."""
+    if isinstance(names, list):
+        return products.where(F.col("product").isin(names)).groupBy("region").agg(F.countDistinct("product").alias("n")).where(F.col("n") == len(set(names))).select("region")
+    wanted = names.select("product").distinct()
+    have = products.join(wanted, "product", "left_semi").groupBy("region").agg(F.countDistinct("product").alias("n"))
+    return have.join(wanted.agg(F.count(F.lit(1)).alias("n")), "n").select("region")
 
 
 def days_between_rows(df: DataFrame, keys: list[str], day: str) -> DataFrame:
     """Days since the row before, to look for gaps."""
     w = Window.partitionBy(*keys).orderBy(day)
     return df.withColumn("gap_days", F.datediff(day, F.lag(day).over(w)))
+
+
+def level_errors(columns: DataFrame, levels: DataFrame) -> DataFrame:
+    """Q13 over many levels: (level, error) of levels(level, name_column, reference_column, year_column) whose tables have columns(level, column, kind).
+
+    A level needs its name column; a reference column must be there, numeric, and have a year column that is
+    there too; a level's name may hold neither colon nor space.
+    """
+    held = columns.groupBy("level").agg(F.map_from_entries(F.collect_set(F.struct("column", "kind"))).alias("__held"))
+    df = levels.join(held, "level", "left").withColumn("__held", F.coalesce("__held", F.create_map().cast("map<string,string>")))
+    kind = lambda c: F.when(F.col(c).isNotNull(), F.try_element_at("__held", F.col(c)))
+    numeric = kind("reference_column").rlike("^(double|float|int|bigint|smallint|tinyint|decimal)")
+    found = [
+        F.when(F.col("level").rlike("[: ]"), F.lit("level name holds a colon or space")),
+        F.when(F.col("name_column").isNull(), F.lit("no name column is set")),
+        F.when(F.col("name_column").isNotNull() & kind("name_column").isNull(), F.concat(F.lit("no column "), "name_column")),
+        F.when(F.col("reference_column").isNotNull() & ~F.coalesce(numeric, F.lit(False)), F.concat(F.lit("column "), "reference_column", F.lit(" is missing or not numeric"))),
+        F.when(F.col("reference_column").isNotNull() & kind("year_column").isNull(), F.concat(F.lit("column "), "reference_column", F.lit(" needs a year column"))),
+    ]
+    return df.select("level", F.explode(F.array_compact(F.array(*found))).alias("error"))

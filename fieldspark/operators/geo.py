@@ -393,3 +393,43 @@ def pixel_area(lon: Column, lat: Column, width: Column | float, height: Column |
     x1, y1 = equal_area_cylinder(lon, lat)
     x2, y2 = equal_area_cylinder(lon + width, lat + height)
     return F.abs((x2 - x1) * (y2 - y1))
+
+
+_Z_BITS = 31
+
+
+def z_code(ix: Column, iy: Column) -> Column:
+    """Bits of column and row interleaved, so that cells near one another have codes near one another; both within 2^30 of 0."""
+
+    def spread(v: Column) -> Column:
+        v = v.cast("long") + F.lit(1 << _Z_BITS - 1)
+        for shift in (16, 8, 4, 2, 1):
+            keep = sum((1 << shift) - 1 << at for at in range(0, 64, 2 * shift)) & (1 << 63) - 1
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(keep))
+        return v
+
+    return spread(ix).bitwiseOR(F.shiftleft(spread(iy), 1))
+
+
+def z_ranges(window: tuple[int, int, int, int], most: int = 64) -> list[tuple[int, int]]:
+    """Ranges of codes that hold all cells of a window (ix_min, ix_max, iy_min, iy_max), ends included; at most `most`, so they may hold others too."""
+    x0, x1, y0, y1 = (v + (1 << _Z_BITS - 1) for v in window)
+    if x0 > x1 or y0 > y1:
+        return []
+    whole, open_squares = [], [(_Z_BITS, 0, 0, 0)]  # bits of the side, its code, its corner
+    while open_squares and len(whole) + len(open_squares) + 3 <= most:
+        bits, code, x, y = open_squares.pop(0)
+        side = 1 << bits - 1
+        for k in range(4):
+            cx, cy, c = x + (k & 1) * side, y + (k >> 1) * side, code + k * side * side
+            if cx > x1 or cy > y1 or cx + side <= x0 or cy + side <= y0:
+                continue
+            inside = cx >= x0 and cy >= y0 and cx + side - 1 <= x1 and cy + side - 1 <= y1
+            whole.append((c, c + side * side - 1)) if inside or bits == 1 else open_squares.append((bits - 1, c, cx, cy))
+    ranges, out = sorted(whole + [(c, c + (1 << 2 * b) - 1) for b, c, _, _ in open_squares]), []
+    for a, b in ranges:
+        if out and out[-1][1] + 1 == a:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out

@@ -6,24 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions import dates
-from fieldspark.functions.pixels import adjust_for_crop, apply_mask, drop_negative
+from fieldspark.functions.pixels import adjust_for_crop, drop_negative
 from fieldspark.operators.selection import SMALL, largest_group, medians
 from fieldspark.operators.series import akima_filled, dealt_out, every_day_of, gathered, smoothed
 
 STATS = ["lai_mean", "lai_median", "lai_std", "lai_mean_adj", "lai_median_adj", "lai_std_adj"]
 
 
-def on_mask(lai: DataFrame, mask: DataFrame) -> DataFrame:
-    """Crop-mask cells with the leaf area of the same grid index; cells outside the raster are missing.
-
-    lai(date, ix, iy, v), mask(region, ix, iy, m). Days come from lai, so a day's raster may be smaller
-    than the mask.
-    """
-    days = lai.select("date").distinct()
-    cells = mask.join(days)  # days are few: one row for each raster
-    return cells.join(lai, ["date", "ix", "iy"], "left").withColumn("v", apply_mask(F.col("v"), F.col("m")))
-
-
 def stats(value: Column, name: str, exact: bool = True) -> list[Column]:
     """A1: mean, median, population standard deviation. exact=False: the median by quantile sketch, in bounded memory."""
     median = F.median(value) if exact else F.percentile_approx(value, 0.5, 10_000)
@@ -35,26 +24,32 @@ def missing_share(value: Column, counted: Column) -> Column:
     return F.coalesce(F.try_divide(100.0 * F.count_if(value.isNull() & counted), F.count_if(counted)), F.lit(0.0))
 
 
-def daily_stats(cells: DataFrame, keys: list[str], crop: str | None = None, exact: bool = True, small: int = SMALL) -> DataFrame:
-    """A1, A2, A36 over cells(keys..., v, m): raw and adjusted statistics, valid pixels, cloud/snow percent.
-
-    For zones, keys hold the zone's id or nothing but the date. A task sorts up to `small` pixels of a group
-    for its median; where a group has more, all medians are found by refining histograms, with the same result.
-    """
+def _group_stats(rows: DataFrame, keys: list[str], crop: str | None, exact: bool, small: int, counts: list[Column]) -> DataFrame:
+    """Raw and adjusted statistics of v by keys, then counts. A task sorts up to `small` pixels of a group for its
+    median; where a group has more, all medians are found by refining histograms, with the same result."""
     value = drop_negative(F.col("v"))
     adjusted = adjust_for_crop(value, crop)
-    counts = [F.count(value).alias("n_pixels"), missing_share(value, F.col("m") == 1).alias("cloud_pct")]
-    adj = [c.alias(n) for c, n in zip(stats(adjusted, "x", exact), STATS[3:])]
-    if not exact or largest_group(cells, keys) <= small:
-        return cells.groupBy(*keys).agg(*stats(value, "lai", exact), *adj, *counts)
-    rest = [*stats(value, "lai"), *adj]
-    out = cells.groupBy(*keys).agg(*[c for k, c in enumerate(rest) if k not in (1, 4)], *counts)
-    found = medians(cells, keys, {"lai_median": value, "lai_median_adj": adjusted}, small)
+    every = [*stats(value, "lai", exact), *[c.alias(n) for c, n in zip(stats(adjusted, "x", exact), STATS[3:])]]
+    if not exact or largest_group(rows, keys) <= small:
+        return rows.groupBy(*keys).agg(*every, *counts)
+    out = rows.groupBy(*keys).agg(*[c for k, c in enumerate(every) if k not in (1, 4)], *counts)
+    found = medians(rows, keys, {"lai_median": value, "lai_median_adj": adjusted}, small)
     found = found.select(*[F.col(k).alias(f"__m_{k}") for k in keys], "lai_median", "lai_median_adj")
     on = F.lit(True)
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__m_{k}"))
-    return out.join(found, on, "left").select(*keys, *STATS, "n_pixels", "cloud_pct")
+    both = out.join(found, on, "left")
+    return both.select(*keys, *STATS, *[c for c in out.columns if c not in (*keys, *STATS)])
+
+
+def daily_stats(cells: DataFrame, keys: list[str], crop: str | None = None, exact: bool = True, small: int = SMALL) -> DataFrame:
+    """A1, A2, A36 over cells(keys..., v, m): raw and adjusted statistics, valid pixels, cloud/snow percent.
+
+    For zones, keys hold the zone's id or nothing but the date.
+    """
+    value = drop_negative(F.col("v"))
+    counts = [F.count(value).alias("n_pixels"), missing_share(value, F.col("m") == 1).alias("cloud_pct")]
+    return _group_stats(cells, keys, crop, exact, small, counts)
 
 
 def reject_cloudy(daily: DataFrame, threshold: float) -> DataFrame:
@@ -119,18 +114,16 @@ def mosaic(pixels: DataFrame, keys: list[str], value: str, order_by: str) -> Dat
     return pixels.groupBy(*keys).agg(F.min(valid)[value].alias(value))
 
 
-def daily_stats_on_mask(lai: DataFrame, mask: DataFrame, crop: str | None = None, exact: bool = True) -> DataFrame:
-    """A1, A2 as daily_stats over on_mask gives, without a row for every crop pixel and day.
+def daily_stats_on_mask(lai: DataFrame, mask: DataFrame, crop: str | None = None, exact: bool = True, small: int = SMALL) -> DataFrame:
+    """daily_stats over lai(date, ix, iy, v) on mask(region, ix, iy, m), without a row for every crop pixel and day.
 
-    Only pixels with a value are joined; a region's crop pixels are counted once, and those without a
+    Cells outside a day's raster are missing. Only pixels with a value are joined; a region's crop pixels are counted once, and those without a
     value on a day follow by subtraction. Days on which a region has no pixel at all are added from the
     table of days, which is as long as there are rasters.
     """
     crop_cells = mask.where("m = 1").select("region", "ix", "iy")
-    value = drop_negative(F.col("v"))
-    adj = [c.alias(n) for c, n in zip(stats(adjust_for_crop(value, crop), "x", exact), STATS[3:])]
-    seen = lai.where(F.col("v").isNotNull()).join(crop_cells, ["ix", "iy"]).groupBy("region", "date")
-    seen = seen.agg(*stats(value, "lai", exact), *adj, F.count(value).alias("n_pixels"), F.count("v").alias("__n"))
+    seen = lai.where(F.col("v").isNotNull()).join(crop_cells, ["ix", "iy"])
+    seen = _group_stats(seen, ["region", "date"], crop, exact, small, [F.count(drop_negative(F.col("v"))).alias("n_pixels"), F.count("v").alias("__n")])
     rows = mask.groupBy("region").agg(F.count_if(F.col("m") == 1).alias("__all")).crossJoin(lai.select("date").distinct())
     out = rows.join(seen, ["region", "date"], "left").withColumn("n_pixels", F.coalesce("n_pixels", F.lit(0)))
     share = F.coalesce(F.try_divide(100.0 * (F.col("__all") - F.coalesce("__n", F.lit(0))), F.col("__all")), F.lit(0.0))

@@ -99,3 +99,46 @@ def feature_documents(features: DataFrame, series: DataFrame, name: str = "regio
 def distinct_parts(df: DataFrame, *columns: str) -> DataFrame:
     """U5, S3."""
     return df.select(*columns).distinct().orderBy(*columns)
+
+
+def level_documents(base: DataFrame, series: DataFrame, levels: list[str], estimates: DataFrame | None = None, day: str = "date", value: str = "value", flag: str = "interpolated") -> DataFrame:
+    """(level, name, document, children): a JSON feature of every region of every level, and the collection of its children's features.
+
+    base has a row a region with its name at each of levels, coarsest first, and the last one names it in
+    series(name, day, value, flag). A feature holds the means over the days that all its base regions have,
+    its days, whether any value of a day was filled, its children's names, and the columns of
+    estimates(level, name, ...), null without a row there. Levels are put together from the bottom, each by one
+    grouping and one join; children stand in order of name; those of the last level have none.
+    """
+    lowest = levels[-1]
+    known = base.select(*levels).distinct().where(F.col(lowest).isNotNull())
+    wide = series.select(F.col(lowest), F.col(day).cast("string").alias("__day"), F.col(value).alias("__value"), F.col(flag).cast("int").alias("__flag"))
+    features = None
+    for i, level in enumerate(levels):
+        inner = i + 1 < len(levels)
+        members = known.where(F.col(level).isNotNull()).groupBy(F.col(level).alias("name")).agg(
+            F.countDistinct(lowest).alias("__members"), (F.sort_array(F.collect_set(levels[i + 1])) if inner else F.array().cast("array<string>")).alias("subregions")
+        )
+        rows = known.select(F.col(level).alias("name"), lowest).distinct().join(wide, lowest)
+        days = rows.groupBy("name", "__day").agg(F.avg("__value").alias("v"), F.max("__flag").alias("f"), F.countDistinct(lowest).alias("__have"))
+        common = days.join(members.select("name", "__members"), "name").where("__have = __members")
+        nested = common.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("__day", "v", "f"))).alias("s"))
+        one = members.join(nested, "name", "left").select(
+            F.lit(i).alias("level"), "name", "subregions", F.lit(inner).alias("isAggregated"), F.col("s.v").alias("timeSeries"), F.col("s.__day").alias("dateLabels"), F.col("s.f").alias("interpolationFlags")
+        )
+        features = one if features is None else features.unionByName(one)
+    if estimates is not None:
+        features = features.join(estimates, ["level", "name"], "left")
+    properties = [c for c in features.columns if c != "level"]
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties")), {"ignoreNullFields": "false"})
+    docs = features.select("level", "name", feature.alias("document"))
+    pairs = None
+    for i in range(len(levels) - 1):
+        pair = known.select(F.lit(i).alias("level"), F.col(levels[i]).alias("name"), F.col(levels[i + 1]).alias("child")).distinct()
+        pairs = pair if pairs is None else pairs.unionByName(pair)
+    if pairs is None:
+        return docs.withColumn("children", F.lit(None).cast("string"))
+    below = docs.select((F.col("level") - 1).alias("level"), F.col("name").alias("child"), F.col("document").alias("__d"))
+    kept = pairs.join(below, ["level", "child"]).groupBy("level", "name").agg(F.sort_array(F.collect_list(F.struct("child", "__d"))).alias("__c"))
+    collection = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join("__c.__d", ","), F.lit("]}"))
+    return docs.join(kept.select("level", "name", collection.alias("children")), ["level", "name"], "left")

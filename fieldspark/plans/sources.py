@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions import dates, names, pixels
-from fieldspark.operators import evaluate, geo, lai, simulation, studies, weather, zonal
+from fieldspark.operators import checks, evaluate, geo, lai, simulation, studies, weather, zonal
 from fieldspark.plans.queries import _POLYGONS, _regions, _round
 from fieldspark.plans.registry import query
 from fieldspark.session import shared_folder, table
@@ -29,7 +29,7 @@ def scan_pixels(spark, d):
     """Pixels written in partitions of product, then one product, a range of days and a window read."""
     px = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("product"), F.to_date("l_shipdate").alias("date"), F.floor("l_quantity").cast("int").alias("ix"), F.round(F.col("l_discount") * 100).cast("int").alias("iy"), F.col("l_extendedprice").alias("v"))
     at = _folder(spark, "pixels")
-    sinks.write_table(px, at, ["product"])
+    sinks.write_pixels(px, at, ["product"], files=8)
     found = lai.between_days(readers.scan_pixels(spark, at, "R", "1990-01-01", "1999-12-31", (5, 40, 1, 8)), F.lit("1996-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
     return _round(found.groupBy("product", "date", "ix", "iy").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v")), 2, "v")
 
@@ -212,6 +212,79 @@ def projections(spark, d):
     return _round(_round(_round(p.withColumns({"lon": lon, "lat": lat}), 6, "lon", "lat"), 3, "albers_x", "albers_y", "cyl_x", "cyl_y"), 1, "pixel_m2")
 
 
+_E2 = geo.WGS84_F * (2 - geo.WGS84_F)
+_EP2 = _E2 / (1 - _E2)
+
+
+@query(f"""
+WITH p AS (SELECT c_custkey, radians(50 + c_acctbal / 2000) AS phi, radians(c_acctbal / 4000) AS lam FROM customer),
+a AS (SELECT *, {geo.WGS84_A}::DOUBLE / sqrt(1 - {_E2}::DOUBLE * sin(phi) ** 2) AS n, tan(phi) ** 2 AS t, {_EP2}::DOUBLE * cos(phi) ** 2 AS c, lam * cos(phi) AS a FROM p),
+m AS (SELECT *, {geo.WGS84_A}::DOUBLE * ({1 - _E2 / 4 - 3 * _E2**2 / 64 - 5 * _E2**3 / 256}::DOUBLE * phi - {3 * _E2 / 8 + 3 * _E2**2 / 32 + 45 * _E2**3 / 1024}::DOUBLE * sin(2 * phi) + {15 * _E2**2 / 256 + 45 * _E2**3 / 1024}::DOUBLE * sin(4 * phi) - {35 * _E2**3 / 3072}::DOUBLE * sin(6 * phi)) AS m FROM a)
+SELECT c_custkey, round(500000 + 0.9996::DOUBLE * n * (a + (1 - t + c) * a ** 3 / 6 + (5 - 18 * t + t ** 2 + 72 * c - {58 * _EP2}::DOUBLE) * a ** 5 / 120), 3) AS easting,
+  round(0.9996::DOUBLE * (m + n * tan(phi) * (a ** 2 / 2 + (5 - t + 9 * c + 4 * c ** 2) * a ** 4 / 24 + (61 - 58 * t + t ** 2 + 600 * c - {330 * _EP2}::DOUBLE) * a ** 6 / 720)), 3) AS northing FROM m""")
+def utm_coordinates(spark, d):
+    """Transverse Mercator of zone 36, around its middle of 33 degrees."""
+    x, y = geo.utm(33 + F.col("c_acctbal") / 4000, 50 + F.col("c_acctbal") / 2000, 36)
+    return _round(table(spark, d, "customer").select("c_custkey", x.alias("easting"), y.alias("northing")), 3, "easting", "northing")
+
+
+@query("""SELECT l_suppkey, round(avg(yearly), 4) AS rain, round(3.6 * sum(s) / sum(n), 4) AS wind FROM (SELECT l_suppkey, year(l_shipdate) AS y, sum(l_tax) AS yearly, sum(l_quantity) AS s, count(l_quantity) AS n FROM lineitem GROUP BY ALL) GROUP BY l_suppkey""")
+def wind_means(spark, d):
+    """Wind is meant in metres a second and given in kilometres an hour."""
+    met = table(spark, d, "lineitem").select("l_suppkey", F.col("l_shipdate").alias("date"), F.col("l_tax").alias("rain"), F.col("l_quantity").alias("wind"))
+    return _round(weather.location_stats(met, ["l_suppkey"], means=("wind",)), 4, "rain", "wind")
+
+
+@query("""
+WITH cols AS (SELECT l_suppkey, l_returnflag AS c, CASE WHEN max(l_extendedprice) > 50000 THEN 'double' ELSE 'string' END AS kind FROM lineitem GROUP BY 1, 2 UNION ALL SELECT l_suppkey, l_linestatus, 'int' FROM lineitem GROUP BY 1, 2),
+s AS (SELECT s_suppkey, CASE WHEN s_nationkey % 5 = 0 THEN s_name || ' ' || s_suppkey ELSE replace(s_name, '#', CASE WHEN s_nationkey % 7 = 0 THEN ':' ELSE '_' END) END AS level, CASE WHEN s_nationkey % 6 <> 0 THEN CASE WHEN s_nationkey % 4 = 0 THEN 'X' ELSE 'A' END END AS name_column,
+  CASE WHEN s_nationkey % 3 <> 0 THEN 'R' END AS reference_column, CASE WHEN s_nationkey % 2 = 0 THEN 'O' END AS year_column FROM supplier),
+h AS (SELECT s.*, n.kind AS nk, r.kind AS rk, y.kind AS yk FROM s LEFT JOIN cols n ON n.l_suppkey = s_suppkey AND n.c = name_column LEFT JOIN cols r ON r.l_suppkey = s_suppkey AND r.c = reference_column LEFT JOIN cols y ON y.l_suppkey = s_suppkey AND y.c = year_column)
+SELECT level, 'level name holds a colon or space' AS error FROM h WHERE contains(level, ':') OR contains(level, ' ')
+UNION ALL SELECT level, 'no name column is set' FROM h WHERE name_column IS NULL
+UNION ALL SELECT level, 'no column ' || name_column FROM h WHERE name_column IS NOT NULL AND nk IS NULL
+UNION ALL SELECT level, 'column R is missing or not numeric' FROM h WHERE reference_column IS NOT NULL AND rk IS DISTINCT FROM 'double'
+UNION ALL SELECT level, 'column R needs a year column' FROM h WHERE reference_column IS NOT NULL AND yk IS NULL""")
+def level_tables(spark, d):
+    """Q13: what is wrong with the tables of many levels, from their columns and settings."""
+    line, sup = table(spark, d, "lineitem"), table(spark, d, "supplier")
+    cols = line.groupBy("l_suppkey", F.col("l_returnflag").alias("column")).agg(F.when(F.max("l_extendedprice") > 50000, "double").otherwise("string").alias("kind"))
+    cols = cols.unionByName(line.select("l_suppkey", F.col("l_linestatus").alias("column"), F.lit("int").alias("kind")).distinct())
+    key = F.col("s_nationkey")
+    name = F.when(key % 5 == 0, F.concat_ws(" ", "s_name", "s_suppkey")).otherwise(F.replace("s_name", F.lit("#"), F.when(key % 7 == 0, ":").otherwise("_")))
+    levels = sup.select("s_suppkey", name.alias("level"), F.when(key % 6 != 0, F.when(key % 4 == 0, "X").otherwise("A")).alias("name_column"), F.when(key % 3 != 0, "R").alias("reference_column"), F.when(key % 2 == 0, "O").alias("year_column"))
+    return checks.level_errors(cols.join(levels.select(F.col("s_suppkey").alias("l_suppkey"), "level"), "l_suppkey").drop("l_suppkey"), levels.drop("s_suppkey"))
+
+
+@query("""
+WITH b AS (SELECT r_name, n_name, s_name, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+x AS (SELECT b.*, strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS date, avg(l_quantity) AS value, max((l_returnflag = 'R')::INT) AS f FROM lineitem JOIN b ON l_suppkey = s_suppkey GROUP BY ALL),
+g AS (SELECT 0 AS level, r_name AS name, s_name, date, value, f FROM x UNION ALL SELECT 1, n_name, s_name, date, value, f FROM x UNION ALL SELECT 2, s_name, s_name, date, value, f FROM x),
+m AS (SELECT 0 AS level, r_name AS name, count(*) AS n FROM b GROUP BY 2 UNION ALL SELECT 1, n_name, count(*) FROM b GROUP BY 2 UNION ALL SELECT 2, s_name, count(*) FROM b GROUP BY 2),
+d AS (SELECT level, name, date, avg(value) AS value, max(f) AS f FROM g JOIN m USING (level, name) GROUP BY level, name, date HAVING count(DISTINCT s_name) = max(n)),
+t AS (SELECT level, name, count(*) AS n_days, min(date) AS first_day, max(date) AS last_day, sum(value) AS total, sum(f) AS flags FROM d GROUP BY ALL),
+k AS (SELECT DISTINCT 0 AS level, r_name AS name, n_name AS child FROM b UNION SELECT DISTINCT 1, n_name, s_name FROM b),
+c AS (SELECT level, name, count(*) AS n_children, string_agg(child, ',' ORDER BY child) AS children FROM k GROUP BY ALL),
+e AS (SELECT 0 AS level, r_name AS name, sum(s_acctbal) AS area FROM b JOIN supplier USING (s_suppkey) GROUP BY 2 UNION ALL SELECT 1, n_name, sum(s_acctbal) FROM b JOIN supplier USING (s_suppkey) GROUP BY 2)
+SELECT m.level::INT AS level, m.name, coalesce(n_days, 0)::INT AS n_days, first_day, last_day, round(total, 3) AS total, flags::BIGINT AS flags, round(area, 2) AS area, coalesce(n_children, 0)::INT AS n_children, coalesce(children, '') AS child_names, children AS nested_names
+FROM m LEFT JOIN t USING (level, name) LEFT JOIN c USING (level, name) LEFT JOIN e USING (level, name)""")
+def hierarchy_json(spark, d):
+    """Documents of three levels with series and children, read back out of their JSON."""
+    sup = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    line = table(spark, d, "lineitem").join(sup.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
+    series = line.groupBy("s_name", F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd").alias("date")).agg(F.avg("l_quantity").alias("value"), F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("interpolated"))
+    areas = [sup.groupBy(F.lit(i).alias("level"), F.col(c).alias("name")).agg(F.sum("s_acctbal").alias("total_area")) for i, c in enumerate(("r_name", "n_name"))]
+    docs = studies.level_documents(sup.select("r_name", "n_name", "s_name"), series, ["r_name", "n_name", "s_name"], areas[0].unionByName(areas[1]))
+    kind = "struct<properties:struct<name:string,subregions:array<string>,timeSeries:array<double>,dateLabels:array<string>,interpolationFlags:array<int>,total_area:double>>"
+    p = docs.withColumn("p", F.from_json("document", kind)["properties"]).withColumn("c", F.from_json("children", f"struct<features:array<{kind}>>")["features"])
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    return p.select(
+        "level", F.col("p.name").alias("name"), F.coalesce(F.size("p.dateLabels"), F.lit(0)).alias("n_days"), F.array_min("p.dateLabels").alias("first_day"), F.array_max("p.dateLabels").alias("last_day"), F.round(total("p.timeSeries"), 3).alias("total"),
+        total(F.transform("p.interpolationFlags", lambda x: x.cast("double"))).cast("long").alias("flags"), F.round("p.total_area", 2).alias("area"), F.size("p.subregions").alias("n_children"), F.array_join("p.subregions", ",").alias("child_names"),
+        F.array_join(F.transform("c", lambda x: x["properties"]["name"]), ",").alias("nested_names"),
+    )
+
+
 @query("""SELECT c_custkey, 4 AS n_edges, c_custkey::DOUBLE AS xmin, c_custkey + 2.0::DOUBLE AS xmax FROM customer WHERE c_acctbal >= 0""")
 def usable_rings(spark, d):
     """rings without area or of too few points are left out, and polygons that have no other."""

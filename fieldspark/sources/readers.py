@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fieldspark.operators.geo import z_ranges
+
 LAI_CSV = "`Date` string, `n_pixels` int, `interpolated` int, `LAI Mean` double, `LAI Median` double, `LAI Std` double, `LAI Mean Adjusted` double, `LAI Median Adjusted` double, `LAI Std Adjusted` double, `Cloud or Snow Percentage` double"
 MET = ("radn", "maxt", "mint", "meant", "rain", "wind")
 
 
 def scan_pixels(spark: SparkSession, path: str, product: str, first: str, last: str, window: tuple[int, int, int, int] | None = None) -> DataFrame:
-    """Days by partition, a window (ix_min, ix_max, iy_min, iy_max) by row groups."""
+    """Days by partition, a window (ix_min, ix_max, iy_min, iy_max) by ranges of Z-order where pixels were written in it."""
     df = spark.read.parquet(path).where((F.col("product") == product) & F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-    return df.where(F.col("ix").between(*window[:2]) & F.col("iy").between(*window[2:])) if window else df
+    if window and "z" in df.columns:
+        near = F.lit(False)
+        for low, high in z_ranges(window):
+            near = near | F.col("z").between(low, high)
+        df = df.where(near)
+    df = df.where(F.col("ix").between(*window[:2]) & F.col("iy").between(*window[2:])) if window else df
+    return df.drop("z")
 
 
 def read_region_csv(spark: SparkSession, path: str, schema: str = LAI_CSV, pattern: str = r"([^/]+)_LAI_STATS\.csv$") -> DataFrame:

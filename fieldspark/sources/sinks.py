@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.operators.geo import parts_of
+from fieldspark.operators.geo import parts_of, z_code
 
 #: Units of the weather file's columns.
 MET_UNITS = {"year": "()", "day": "()", "radn": "(MJ/m^2)", "maxt": "(oC)", "mint": "(oC)", "meant": "(oC)", "rain": "(mm)", "wind": "(m/s)"}
@@ -17,6 +17,15 @@ def write_table(df: DataFrame, path: str, parts: list[str] | None = None, kind:
     w.parquet(path) if kind == "parquet" else w.option("header", True).csv(path)
 
 
+def write_pixels(df: DataFrame, path: str, parts: list[str], files: int = 200, page_rows: int = 20_000) -> None:
+    """pixels(ix, iy, ...) in partitions, in Z-order within each and over its files, with their code in `z`.
+
+    A window's cells lie in few ranges of codes, so scan_pixels reads few files, row groups and pages.
+    """
+    df = df.withColumn("z", z_code(F.col("ix"), F.col("iy"))).repartitionByRange(files, *parts, "z").sortWithinPartitions(*parts, "z")
+    df.write.mode("overwrite").option("parquet.page.row.count.limit", page_rows).partitionBy(*parts).parquet(path)
+
+
 def met_lines(met: DataFrame, heads: DataFrame, columns: tuple[str, ...] = ("year", "day", "radn", "maxt", "mint", "meant", "rain", "wind")) -> DataFrame:
     """(region, order, line) of weather files: five header lines, two column lines, then a row a day padded to 8 signs.
 

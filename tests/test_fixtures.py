@@ -110,15 +110,21 @@ def test_pixels(spark):
     assert one(spark.range(1).select(pixels.keep_s2_pixel(F.lit(4), F.lit(None).cast("int"), F.lit(20), 50, 10)))[0] is False
 
 
+def on_mask(px, mask):
+    """Plain version of J10: a row for every mask cell and day, missing outside the raster."""
+    cells = mask.crossJoin(px.select("date").distinct())
+    return cells.join(px, ["date", "ix", "iy"], "left").withColumn("v", pixels.apply_mask(F.col("v"), F.col("m")))
+
+
 def test_daily_stats_and_clouds(spark):
     lai_px = spark.createDataFrame([("2024-01-01", 0, 0, 1.0), ("2024-01-01", 1, 0, None), ("2024-01-01", 0, 1, 3.0), ("2024-01-01", 1, 1, 5.0), ("2024-01-02", 0, 0, 2.0)], "date string, ix int, iy int, v double")
     mask = spark.createDataFrame([("r", x, y, 1) for x in range(2) for y in range(2)] + [("r", 5, 5, 0)], "region string, ix int, iy int, m int")
-    daily = lai.daily_stats(lai.on_mask(lai_px, mask), ["region", "date"])
+    daily = lai.daily_stats(on_mask(lai_px, mask), ["region", "date"])
     got = {r.date: r for r in lai.reject_cloudy(daily, 0.5).collect()}
     a, b = got["2024-01-01"], got["2024-01-02"]
     assert (a.n_pixels, a.lai_mean, a.lai_median, a.cloud_pct) == (3, 3, 3, 25.0) and a.lai_std == pytest.approx(1.632993, abs=1e-6)
     assert b.lai_mean is None and b.cloud_pct == 75.0 and b.n_pixels == 1
-    top = {(r.ix, r.iy): r.max_lai for r in lai.season_max(lai.on_mask(lai_px, mask), ["ix", "iy"]).collect()}
+    top = {(r.ix, r.iy): r.max_lai for r in lai.season_max(on_mask(lai_px, mask), ["ix", "iy"]).collect()}
     assert top == {(0, 0): 2, (1, 0): None, (0, 1): 3, (1, 1): 5, (5, 5): None}
     assert one(lai.valid_regions(mask, 3)).n_crop == 4 and lai.valid_regions(mask, 4).count() == 0
 
@@ -126,7 +132,7 @@ def test_daily_stats_and_clouds(spark):
 def test_mask_keeps_each_pixel_in_place(spark):
     px = spark.createDataFrame([("d", x, y, float(10 * x + y)) for x in range(4) for y in range(4)], "date string, ix int, iy int, v double")
     mask = spark.createDataFrame([("r", x, y, int((x + y) % 2)) for x in range(-1, 6) for y in range(4)], "region string, ix int, iy int, m int")
-    for r in lai.on_mask(px, mask).collect():
+    for r in on_mask(px, mask).collect():
         inside = 0 <= r.ix < 4 and r.m == 1
         assert r.v == (10 * r.ix + r.iy if inside else None)
 

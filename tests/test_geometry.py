@@ -129,3 +129,44 @@ def test_plans_stay_in_built_in_functions(spark):
     for df in (geo.coverage(regions, 0.0, 0.0, 1.0, 1.0), geo.area_centroid(regions), geo.points_in_polygons(pts, regions, 1.0), geo.region_cells(regions, 0.0, 0.0, 1.0, 1.0)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "NestedLoop", "Cartesian"))
+
+
+def scanned_rows(df):
+    """Rows that the scan of a DataFrame gave out, after row groups and pages were left out."""
+    df._jdf.queryExecution().executedPlan().execute().count()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_windows_read_few_pixels(spark):
+    import uuid
+
+    from fieldspark.session import shared_folder
+    from fieldspark.sources import readers, sinks
+
+    at = f"{shared_folder(spark)}/test-{uuid.uuid4().hex}"
+    side = 400
+    px = spark.range(side * side).select(F.lit("R").alias("product"), F.lit("2024-01-01").cast("date").alias("date"), (F.col("id") % side - 150).cast("int").alias("ix"), (F.floor(F.col("id") / side) - 90).cast("int").alias("iy"), F.col("id").cast("double").alias("v"))
+    sinks.write_pixels(px.repartition(5), at, ["product"], files=6, page_rows=500)
+    for window in ((-20, 20, -20, 20), (100, 140, 200, 210), (-150, 249, 0, 0), (5, 4, 0, 9), (-1, 0, -1, 0)):
+        found = readers.scan_pixels(spark, at, "R", "2023-01-01", "2025-01-01", window)
+        want = {(x, y) for x in range(window[0], window[1] + 1) for y in range(window[2], window[3] + 1)}
+        assert sorted((r.ix, r.iy) for r in found.collect()) == sorted(want) and "z" not in found.columns
+    for window in ((-20, 20, -20, 20), (100, 140, 200, 210)):
+        found = readers.scan_pixels(spark, at, "R", "2023-01-01", "2025-01-01", window)
+        assert scanned_rows(found) <= 12_000  # of 160000
+
+
+def test_z_codes_and_ranges(spark):
+    rng = random.Random(2)
+    cells = [(rng.randrange(-(1 << 30), 1 << 30), rng.randrange(-(1 << 30), 1 << 30)) for _ in range(50)] + [(0, 0), (-1, -1), (-(1 << 30), (1 << 30) - 1)]
+    got = {(r.x, r.y): r.z for r in spark.createDataFrame(cells, "x long, y long").withColumn("z", geo.z_code(F.col("x"), F.col("y"))).collect()}
+    code = lambda x, y: sum((((x + (1 << 30)) >> b & 1) << 2 * b) | (((y + (1 << 30)) >> b & 1) << 2 * b + 1) for b in range(31))
+    assert got == {c: code(*c) for c in cells}
+    for window in ((3, 17, -9, 4), (0, 0, 0, 0), (-300, 1000, 5, 2000)):
+        for most in (8, 64, 400):
+            ranges = geo.z_ranges(window, most)
+            assert len(ranges) <= most and all(a <= b for a, b in ranges) and all(b < c for (_, b), (c, _) in zip(ranges, ranges[1:]))
+            for x in range(window[0], window[1] + 1, 7):
+                for y in range(window[2], window[3] + 1, 7):
+                    assert any(a <= code(x, y) <= b for a, b in ranges)
+    assert geo.z_ranges((4, 3, 0, 1)) == []

@@ -59,6 +59,19 @@ def test_daily_stats_are_the_same_for_hot_regions(spark):
         assert a.keys() == b.keys() and all(b[k] == pytest.approx(v, nan_ok=True) for k, v in a.items())
 
 
+def test_masked_stats_are_those_of_every_mask_cell(spark):
+    rng = random.Random(11)
+    px = spark.createDataFrame([(d, x, y, rng.choice([None, -2.0, rng.random() * 6])) for d in ("d1", "d2") for x in range(12) for y in range(12) if rng.random() < 0.8], "date string, ix int, iy int, v double")
+    mask = spark.createDataFrame([(r, x, y, rng.randrange(2)) for r, a in (("a", 0), ("b", 5), ("far", 40)) for x in range(a, a + 9) for y in range(9)], "region string, ix int, iy int, m int")
+    every = mask.crossJoin(px.select("date").distinct()).join(px, ["date", "ix", "iy"], "left").where("m = 1")
+    want = {(r.region, r.date): r for r in lai.daily_stats(every, ["region", "date"], "wheat").collect()}
+    for small in (selection.SMALL, 10):
+        got = {(r.region, r.date): r for r in lai.daily_stats_on_mask(px, mask, "wheat", small=small).collect()}
+        assert got.keys() == want.keys()
+        for k, r in got.items():
+            assert all(r[c] == pytest.approx(want[k][c]) for c in (*lai.STATS, "n_pixels")), k
+
+
 def test_boxes_of_all_sizes_meet_once(spark):
     rng = random.Random(4)
 
