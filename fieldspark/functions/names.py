@@ -65,6 +65,7 @@ def reported_mean(mean: Column, production_kg: Column, area_ha: Column) -> Colum
 
 
 #: Names of the exported columns
+#: Column names as exported.
 EXPORT_NAMES = {
     "mean_yield_kg_ha": "estimated_mean_yield_kg_ha",
     "median_yield_kg_ha": "estimated_median_yield_kg_ha",

@@ -35,6 +35,7 @@ def met_lines(met: DataFrame, heads: DataFrame, columns: tuple[str, ...] = ("yea
     cell = lambda c: pad({"year": F.year("date"), "day": F.dayofyear("date")}.get(c, F.bround(F.col(c), 2) if c in met.columns else F.lit(None)).cast("string"))
     rows = met.select("region", (F.unix_date("date") + 1_000_000).alias("order"), F.concat_ws(" ", *[cell(c) for c in columns]).alias("line"))
     text = lambda s, *c: F.format_string(s, *c)
+    # fixed values: the header lines of the file format
     head: list[Column] = [
         F.lit("[weather.met.weather]"),
         text("latitude = %.2f  (DECIMAL DEGREES)", F.col("lat")),
