@@ -6,35 +6,40 @@ class, then of the word in it), and other words share one unknown word. The prob
 word in full is that of "unknown" times its add-one share among the tokens outside the vocabulary, so
 the model is a proper distribution over all token strings it has counts for plus one for the rest.
 
-Training: all training documents, dealt out to ROUNDS rounds and their trainers, each document to one;
-a trainer runs truncated backpropagation through time in numpy from the round's start, and the weights
-of a round's trainers are averaged. Scoring: documents stand in lanes one after another; the state is
-carried through a document from its first token to its last and cleared between documents.
+Training: all training documents, dealt out to rounds and their trainers, each document to one; a trainer
+takes TRAINER_TOKENS on average, so a corpus of u times as many gets 2 sqrt(u) rounds of sqrt(u) / 2 trainers.
+A trainer runs truncated backpropagation through time in numpy from where the round before ended; weights,
+moments of the descent and its clock are averaged over a round's trainers and go on to the next round.
+Scoring: documents stand in lanes one after another; the state is carried through a document from its first
+token to its last and cleared between documents.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.llm.words import slices, texts_of
-from fieldspark.session import materialize
+from fieldspark.session import materialize, shared_folder
 
 END = b""  # the end token: no word is empty
 CLASSES, CLASS = 64, 64
 VOCAB = CLASSES * CLASS  # with the end token and the unknown word
 INPUT, HIDDEN = 16, 24
-ROUNDS = 2  # the training documents are split over the rounds
-TRAINER_TOKENS = 500_000
+TRAINER_TOKENS = 250_000  # of one trainer in one round, on average
+FAN_IN = 16  # packed states that one task adds up
 KNOWN_COUNTS = 65_536  # tokens whose counts every task holds; the others' are joined
-SPAN, LANES, RATE = 16, 64, 4e-3
+STRETCH = 1024  # training documents are cut into stretches of so many tokens, which may go to several trainers
+SPAN, LANES = 32, 64
+RATE, SLOWING = 0.015, 1000.0  # the rate falls to a half after so many steps, to a third after twice as many
 LOG10 = float(np.log(10.0))
 
 
@@ -182,9 +187,10 @@ def log_probabilities(w: dict[str, np.ndarray], hidden: np.ndarray, target: np.n
 
 def lanes_of(docs: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(tokens, whether a document starts, document number) in lanes (steps x lanes, longest lane first), -1 where a lane is over."""
-    k = max(1, min(most, len(docs)))
+    sizes = np.array([len(d) for d in docs], np.int64)
+    longest = max(1, int(sizes.max(initial=1)))
+    k = max(1, min(most, len(docs), -(-2 * int(sizes.sum()) // longest)))  # more lanes would not be shorter, but empty
     load, lane = np.zeros(k, np.int64), [[] for _ in range(k)]
-    sizes = np.array([len(d) for d in docs])
     for i in np.argsort(-sizes, kind="stable"):
         j = int(load.argmin())
         lane[j].append(int(i))
@@ -257,34 +263,63 @@ def _softmax_loss(x: np.ndarray, at: np.ndarray, out: np.ndarray) -> float:
     return float((np.log(total) - x[rows, at]).sum())
 
 
+class Descent:
+    """A network in training: its weights, their first and second moments, and the steps taken."""
+
+    def __init__(self, flat: np.ndarray, first: np.ndarray | None = None, second: np.ndarray | None = None, steps: float = 0.0):
+        self.flat = np.array(flat, np.float32)
+        self.first = np.zeros_like(self.flat) if first is None else np.array(first, np.float32)
+        self.second = np.zeros_like(self.flat) if second is None else np.array(second, np.float32)
+        self.steps = steps
+
+    def packed(self) -> np.ndarray:
+        return np.concatenate([self.flat, self.first, self.second, [self.steps]]).astype(np.float32)
+
+    @classmethod
+    def unpacked(cls, x: np.ndarray) -> Descent:
+        n = len(x) // 3
+        return cls(x[:n], x[n : 2 * n], x[2 * n : 3 * n], float(x[-1]))
+
+
 def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: float = RATE) -> tuple[dict[str, np.ndarray], float]:
-    """One pass of truncated backpropagation: spans of SPAN steps, state carried on; (weights, mean loss in nats).
+    """(weights, mean loss in nats) after one pass over the documents from new moments."""
+    state = Descent(pack(w))
+    loss = descend(state, docs, end, rate)
+    return views(state.flat), loss
+
+
+def descend(state: Descent, docs: list[np.ndarray], end: int, rate: float = RATE) -> float:
+    """One pass of truncated backpropagation that moves state on: spans of SPAN steps, the network's state carried on; mean loss in nats.
 
     Only the recurrence goes step by step; what does not wait for it is taken for a whole span at once,
-    in arrays that all spans share.
+    in arrays that all spans share. Lanes that are over are left out of later spans.
     """
-    tokens, first, _ = lanes_of(docs, LANES)
-    flat = pack(w)
-    grad, m, v2, spare = (np.zeros_like(flat) for _ in range(4))
+    all_tokens, all_first, _ = lanes_of(docs, LANES)
+    flat, m, v2 = state.flat, state.first, state.second
+    grad, spare = np.zeros_like(flat), np.zeros_like(flat)
     w, g = views(flat), views(grad)
-    lanes = tokens.shape[1]
-    priors = np.concatenate([np.full((1, lanes), end, tokens.dtype), tokens[:-1]])
-    priors[(priors < 0) | first] = end
-    priors = priors.astype(np.uint16)
-    keep = (~first).astype(np.float32)[:, :, None]
-    kinds = np.where(tokens < 0, CLASSES, tokens // CLASS).astype(np.uint8)
-    places = (tokens % CLASS).astype(np.uint8)
-    full = min(SPAN, len(tokens)) * lanes
+    lanes = all_tokens.shape[1]
+    alive = (all_tokens >= 0).sum(axis=1)
+    full = min(SPAN, len(all_tokens)) * lanes
     new = lambda *shape: np.empty(shape, np.float32)
     e_all, hidden_all = np.ones((full, INPUT + 1), np.float32), np.ones((full, HIDDEN + 1), np.float32)
     x_all, u_all, du_all, rz_all, de_all = new(3, full, HIDDEN), new(3, full, HIDDEN), new(3, full, HIDDEN), new(2, full, HIDDEN), new(3, full, INPUT)
     before_all, cand_all, after_all, dn_all, dh_rows, back_all, part_all = (new(full, HIDDEN) for _ in range(7))
     logits_all, d_all = new(full, CLASS), new(full, CLASS)
-    gap, across = new(lanes, HIDDEN), new(3, lanes, HIDDEN)
-    h, loss, count, t = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, 0
-    for begin in range(0, len(tokens), SPAN):
-        kept, prior = keep[begin : begin + SPAN], priors[begin : begin + SPAN].ravel()
-        steps = len(kept)
+    gap_all, across_all = new(lanes, HIDDEN), new(3, lanes, HIDDEN)
+    h, loss, count, t = np.zeros((lanes, HIDDEN), np.float32), 0.0, 0, state.steps
+    for begin in range(0, len(all_tokens), SPAN):
+        lanes = int(alive[begin])
+        tokens, first = all_tokens[begin : begin + SPAN, :lanes], all_first[begin : begin + SPAN, :lanes]
+        keep = (~first).astype(np.float32)[:, :, None]
+        before_it = all_tokens[begin - 1, :lanes] if begin else np.full(lanes, end, all_tokens.dtype)
+        prior = np.concatenate([before_it[None], tokens[:-1]])
+        prior[(prior < 0) | first] = end
+        prior = prior.ravel().astype(np.uint16)
+        kind = np.where(tokens < 0, CLASSES, tokens // CLASS).astype(np.uint8).ravel()
+        places = (tokens % CLASS).astype(np.uint8).ravel()
+        h, gap, across = h[:lanes], gap_all[:lanes], across_all[:, :lanes]
+        steps = len(tokens)
         rows = steps * lanes
         e, x, u, du, rz, de = e_all[:rows], x_all[:, :rows], u_all[:, :rows], du_all[:, :rows], rz_all[:, :rows], de_all[:, :rows]
         before, cand, after, dn, dh_all = before_all[:rows], cand_all[:rows], after_all[:rows], dn_all[:rows], dh_rows[:rows]
@@ -292,7 +327,7 @@ def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: floa
         np.matmul(e, w["wx"], out=x)
         for s in range(steps):
             a, b = s * lanes, s * lanes + lanes
-            h = np.multiply(h, kept[s], out=before[a:b])
+            h = np.multiply(h, keep[s], out=before[a:b])
             us = np.matmul(h, w["uh"], out=u[:, a:b])
             r, z = _sigmoid(np.add(x[:2, a:b], us[:2], out=rz[:, a:b]))
             c = np.multiply(r, us[2], out=cand[a:b])
@@ -301,13 +336,12 @@ def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: floa
             np.subtract(h, c, out=gap)
             np.multiply(gap, z, out=gap)
             h = np.add(c, gap, out=after[a:b])
-        kind = kinds[begin : begin + SPAN].ravel()
         order = np.argsort(kind, kind="stable")  # by class, after which the places where a lane is over
         kind = kind[order]
         at = np.searchsorted(kind, np.arange(CLASSES + 1))
         n = int(at[-1])
         order, kind, at = order[:n], kind[:n], at.tolist()
-        place = places[begin : begin + SPAN].ravel()[order]
+        place = places[order]
         spans = [(c, a, b) for c, (a, b) in enumerate(zip(at[:-1], at[1:])) if b > a]
         hidden, logits, d, back, part = hidden_all[:n], logits_all[:n], d_all[:n], back_all[:n], part_all[:n]
         hidden[:, :HIDDEN] = after[order]
@@ -339,7 +373,7 @@ def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: floa
             dh *= z[a:b]
             for one in across:
                 dh += one
-            dh *= kept[i]
+            dh *= keep[i]
         np.matmul(e.T, du[:2], out=g["wx"][:2])
         np.matmul(e.T, dn, out=g["wx"][2])
         np.matmul(before.T, du, out=g["uh"])
@@ -355,8 +389,9 @@ def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: floa
         norm = float(np.sqrt(grad @ grad))
         t += 1
         count += n
-        step = np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t) / (1 + t / 2000))
-        grad *= np.float32(0.1 * min(1.0, 1.0 / max(norm, 1e-9)))  # its square carries the 0.01 of v2
+        step = np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t) / (1 + t / SLOWING))
+        # by the span's share of a full one, so a few last lanes do not move it far; 0.1: its square carries the 0.01 of v2
+        grad *= np.float32(0.1 * n / full * min(1.0, 1.0 / max(norm, 1e-9)))
         m *= np.float32(0.9)
         m += grad
         grad *= grad
@@ -367,7 +402,8 @@ def train(w: dict[str, np.ndarray], docs: list[np.ndarray], end: int, rate: floa
         np.divide(m, spare, out=spare)
         spare *= step
         flat -= spare
-    return w, loss / max(1, count)
+    state.steps = t
+    return loss / max(1, count)
 
 
 # --- Spark ---------------------------------------------------------------------------------------
@@ -389,62 +425,99 @@ class Vocabulary:
         self.counts = np.array([counts.get(END, 0), self.outside_tokens] + [counts.get(t, 0) for t in words[1:]], np.float64)
 
 
-_SEQUENCES = "round int, trainer long, doc_id long, ids binary"
+_SEQUENCES = "round int, trainer int, doc_id long, ids binary"
 
 
-def _sequences(vocab: Vocabulary, trainers: int):
-    """Training documents as ids of two bytes, each dealt to a round and a trainer; equal rows of a task are spread."""
+def _sequences(vocab: Vocabulary, trainers: int, rounds: int):
+    """Training documents as ids of two bytes, each stretch dealt to a round and a trainer; equal rows of a task are spread."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         find, unknown = vocab.ids.get, vocab.unknown
         for batch in slices(batches, 4096, 6 << 20):
-            rounds, dealt, doc_ids, ids = [], [], [], []
+            at_round, dealt, doc_ids, ids = [], [], [], []
             for d, key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), texts_of(batch)):
                 if is_held_out(d):
                     continue
-                at = (key + seen[key] * 0x9E3779B97F4A7C15) % (1 << 64)
-                seen[key] += 1
-                rounds.append(at % ROUNDS)
-                dealt.append((at >> 16) % trainers)
-                doc_ids.append(d)
-                ids.append(np.array([find(t, unknown) for t in tokens_of(text)], np.uint16).tobytes())
-            cols = [pa.array(rounds, pa.int32()), pa.array(dealt, pa.int64()), pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary())]
+                whole = np.array([find(t, unknown) for t in tokens_of(text)], np.uint16)
+                for begin in range(0, len(whole), STRETCH):
+                    at = (key + seen[key] * 0x9E3779B97F4A7C15) % (1 << 64)
+                    seen[key] += 1
+                    at_round.append(at % rounds)
+                    dealt.append((at >> 16) % trainers)
+                    doc_ids.append(d)
+                    ids.append(whole[begin : begin + STRETCH].tobytes())
+            cols = [pa.array(at_round, pa.int32()), pa.array(dealt, pa.int32()), pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _SEQUENCES.split(", ")])
 
     return run
 
 
-def training_sequences(docs: DataFrame, vocab: Vocabulary, trainers: int) -> DataFrame:
-    """round, trainer, doc_id, ids: a row for each training document."""
+def training_sequences(docs: DataFrame, vocab: Vocabulary, trainers: int, rounds: int = 2) -> DataFrame:
+    """round, trainer, doc_id, ids: a row for each stretch of STRETCH tokens of a training document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.withColumn("key", F.xxhash64("text", "doc_id")).mapInArrow(_sequences(vocab, trainers), _SEQUENCES)
+    return rows.withColumn("key", F.xxhash64("text", "doc_id")).mapInArrow(_sequences(vocab, trainers, rounds), _SEQUENCES)
+
+
+_STATE = "trainer int, state binary, n long"
+
 
+def _state_row(trainer: int, state: np.ndarray, n: int) -> pa.RecordBatch:
+    cols = [pa.array([trainer], pa.int32()), pa.array([state.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())]
+    return pa.RecordBatch.from_arrays(cols, ["trainer", "state", "n"])
 
-def _trainer(vocab: Vocabulary, flat: np.ndarray):
-    def run(rows):
-        rows = rows.sort_values(["doc_id", "ids"])
-        docs = [np.frombuffer(x, np.uint16).astype(np.int32) for x in rows["ids"]]
-        w, loss = train(unpack(flat), docs, vocab.ids[END])
-        return pd.DataFrame({"weights": [pack(w)], "loss": [loss], "n": [sum(map(len, docs))]})
+
+def _trainer(state: Descent, end: int):
+    """One trainer's turn; its task has its rows and no others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(-1 if d is None else d, i, t) for b in batches for t, d, i in zip(*(b.column(c).to_pylist() for c in ("trainer", "doc_id", "ids")))]
+        if rows:
+            rows.sort(key=lambda r: r[:2])
+            own = Descent(state.flat, state.first, state.second, state.steps)
+            descend(own, [np.frombuffer(i, np.uint16).astype(np.int32) for _, i, _ in rows], end)
+            yield _state_row(rows[0][2], own.packed(), sum(len(i) // 2 for _, i, _ in rows))
 
     return run
 
 
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean of a task's packed states, at most FAN_IN, by their tokens."""
+    rows = sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("trainer", "n", "state"))))
+    if rows:
+        n = sum(r[1] for r in rows)
+        total = sum(np.frombuffer(r[2], np.float32).astype(np.float64) * r[1] for r in rows)
+        yield _state_row(rows[0][0], total / max(1, n), n)
+
+
+def plan_of(tokens: int) -> tuple[int, int]:
+    """(rounds, trainers of each) for so many training tokens."""
+    units = max(1, -(-tokens // TRAINER_TOKENS))
+    rounds = max(2, math.ceil(2 * math.sqrt(units)))
+    return rounds, -(-units // rounds)
+
+
 def train_network(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """Weights after ROUNDS rounds of trainers and averages; the averages are taken by Spark, weight by weight."""
-    flat = pack(start_weights(vocab.counts))
-    trainers = max(2, -(-vocab.all_tokens // (ROUNDS * TRAINER_TOKENS)))
-    sequences = materialize(training_sequences(docs, vocab, trainers), "lm-sequences")
-    for r in range(ROUNDS):
-        part = sequences.where(F.col("round") == r).drop("round")
-        trained = part.groupBy("trainer").applyInPandas(_trainer(vocab, flat), "weights array<float>, loss double, n long")
-        trained = materialize(trained, "lm-weights")
-        mean = trained.select("n", F.posexplode("weights").alias("i", "w")).groupBy("i").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w"))
-        got = mean.toPandas()  # one row a weight: their number is fixed
-        if len(got):
-            flat = got.sort_values("i")["w"].to_numpy(np.float32)
-    return flat
+    """Weights after all rounds. A round reads its own files only and is one job: deal, train, and average packed states by FAN_IN.
+
+    What goes to a task or the driver is a state (three numbers a weight), whatever the number of trainers.
+    """
+    spark = docs.sparkSession
+    state = Descent(pack(start_weights(vocab.counts)))
+    rounds, trainers = plan_of(vocab.all_tokens)
+    at = f"{shared_folder(spark)}/lm-sequences-{uuid.uuid4().hex}"
+    training_sequences(docs, vocab, trainers, rounds).repartitionById(rounds, "round").write.partitionBy("round").parquet(at)
+    sequences = spark.read.schema(_SEQUENCES).parquet(at)
+    for r in range(rounds):
+        part = sequences.where(F.col("round") == r).select("trainer", "doc_id", "ids")
+        means = part.repartitionById(trainers, "trainer").mapInArrow(_trainer(state, vocab.ids[END]), _STATE)
+        left, share = trainers, 1
+        while left > 1:
+            left, share = -(-left // FAN_IN), share * FAN_IN
+            means = means.repartitionById(left, F.floor(F.col("trainer") / share).cast("int")).mapInArrow(_mean, _STATE)
+        for row in means.collect():  # one, or none in a round without documents
+            state = Descent.unpacked(np.frombuffer(row["state"], np.float32))
+    return state.flat
 
 
 _PARTS = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, unknown long, rare array<binary>, rare_n array<int>"

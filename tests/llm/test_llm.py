@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -582,6 +583,69 @@ def test_lm_learns_from_every_training_document(spark):
         assert not np.array_equal(m.train_network(docs, vocab), start)
 
 
+def test_lm_rounds_and_means():
+    import pyarrow as pa
+
+    from fieldspark.llm import lm_scoring as m
+
+    for tokens in (0, 1, 10**6, 10**8, 10**10, 10**13):
+        rounds, trainers = m.plan_of(tokens)
+        assert rounds * trainers * m.TRAINER_TOKENS >= tokens and rounds >= 2
+        assert rounds >= 2 * math.sqrt(tokens / m.TRAINER_TOKENS)
+    rng = np.random.default_rng(4)
+    states = rng.normal(size=(9, 3 * 11 + 1)).astype(np.float32)
+    n = rng.integers(1, 1000, 9)
+    batches = [m._state_row(i, x, int(k)) for i, (x, k) in enumerate(zip(states, n))]
+    want = np.average(states.astype(np.float64), axis=0, weights=n)
+    whole = list(m._mean(iter(batches)))[0]
+    assert np.allclose(np.frombuffer(whole["state"][0].as_py(), np.float32), want, atol=1e-6) and whole["n"][0].as_py() == n.sum()
+    assert list(m._mean(iter(batches[::-1])))[0].equals(whole)  # whatever the order of arrival
+    halves = [b for part in (batches[:4], batches[4:]) for b in m._mean(iter(part))]
+    assert np.allclose(np.frombuffer(list(m._mean(iter(halves)))[0]["state"][0].as_py(), np.float32), want, atol=1e-5)
+    assert list(m._mean(iter([]))) == [] and list(m._trainer(m.Descent(states[0]), 0)(iter([]))) == []
+    back = m.Descent.unpacked(m.Descent(states[0], states[1], states[2], 7.0).packed())
+    assert np.array_equal(back.first, states[1]) and back.steps == 7.0
+    assert isinstance(batches[0], pa.RecordBatch)
+
+
+def test_lm_long_documents_fill_no_empty_lanes():
+    from fieldspark.llm import lm_scoring as m
+
+    docs = [np.ones(50_000, np.int32)] + [np.ones(9, np.int32)] * 300
+    tokens, first, number = m.lanes_of(docs, 512)
+    assert tokens.size <= 4 * 52_700 and (tokens >= 0).sum() == 52_700 and first.sum() == 301
+    assert np.array_equal(np.bincount(number[number >= 0]), [len(d) for d in docs])
+    vocab = m.Vocabulary([(b"a", 9), (b"", 1)], 10, 2)
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_arrays([pa.array([3]), pa.array(["a " * 5000]), pa.array([17])], ["doc_id", "text", "key"])
+    got = list(m._sequences(vocab, 4, 3)(iter([rows])))[0].to_pydict()
+    assert sum(len(x) // 2 for x in got["ids"]) == 5001 and max(map(len, got["ids"])) == 2 * m.STRETCH
+    assert len(set(zip(got["round"], got["trainer"]))) > 1
+
+
+def held_out_gain(spark, folder):
+    """log10 a token that held-out documents gain over the unigram."""
+    from pyspark.sql import functions as F
+
+    from fieldspark.llm.queries import queries
+
+    got = queries()["op7_lm_scoring"](spark, folder).where("held_out")
+    return got.agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()[0]
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="no tables")
+def test_lm_gain_grows_with_the_corpus_not_with_the_trainer(spark, monkeypatch):
+    from fieldspark.llm import lm_scoring as m
+
+    small, large = (held_out_gain(spark, f"/root/testdata/{sf}") for sf in ("sf0.01", "sf0.1"))
+    assert small > 0.1 and large > small + 0.05, (small, large)
+    monkeypatch.setattr(m, "TRAINER_TOKENS", 100_000)
+    again = held_out_gain(spark, "/root/testdata/sf0.1")
+    print(small, large, again)
+    assert again > large - 0.03, (large, again)
+
+
 def brute_kernel(s, t, n=3, lam=0.8):
     total = 0.0
     for a in itertools.combinations(range(len(s)), n):
