@@ -1,7 +1,7 @@
 """Quality rules: fixed base rules, then a calibrated classifier on hashed n-grams.
 
 The classifier is a logistic regression over hashed word unigrams and bigrams (with one more for "same
-word again") and byte 4-grams, each kind as shares of the text. It is fitted on a bounded sample of
+word again") and character 4-grams (of code points), each kind as shares of the text. It is fitted on a bounded sample of
 labelled rows, calibrated on a part of the sample kept apart, and scores texts in Arrow batches.
 """
 
@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldspark.llm.words import IS_WHITE, running_hash, slice_hashes, slices, texts_of, window_hashes, word_hashes, words_of
+from fieldspark.llm.words import IS_WHITE, ragged, running_hash, slice_hashes, slices, texts_of, window_hashes, word_hashes, words_of
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SAMPLE_ROWS, SAMPLE_BYTES = 1500, 32_000_000  # of each label
 KEEP_AT = 0.5  # least calibrated probability of good quality
 BUCKETS = 1 << 15  # of each kind of feature
+GRAM_HASH = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)  # any odd numbers
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -63,6 +64,23 @@ def base_failed(f: dict[str, np.ndarray]) -> np.ndarray:
     return (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * f["n_words"])
 
 
+def code_points(raw: np.ndarray, text_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of joined UTF-8 texts, where each text's begin, and their number last)."""
+    if not len(raw) or raw.max() < 0x80:
+        return raw.astype(np.uint32), text_at
+    lead = np.flatnonzero((raw & 0xC0) != 0x80)
+    points = raw[lead].astype(np.uint32)
+    long = np.flatnonzero(points >= 0xC0)
+    first, at = points[long], lead[long]
+    more = np.uint32(1) + (first >= 0xE0) + (first >= 0xF0)  # bytes that follow
+    first &= np.uint32(0x3F) >> more
+    for k in (1, 2, 3):
+        on = np.flatnonzero(more >= k)
+        first[on] = first[on] << np.uint32(6) | (raw[np.minimum(at[on] + k, len(raw) - 1)] & 0x3F)
+    points[long] = first
+    return points, np.searchsorted(lead, text_at)
+
+
 def hashed_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, bucket, share) of n-grams, not yet summed: three kinds of BUCKETS, shares of a kind sum to 1."""
     w = words_of(texts)
@@ -71,12 +89,11 @@ def hashed_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     pairs, first = window_hashes(w, words, 2)
     same = words[first] == words[first + 1] if len(first) else np.zeros(0, bool)
     pairs = np.where(same, np.uint64(0), pairs)
-    raw = w.raw.astype(np.uint32)
-    grams = raw[:-3] | raw[1:-2] << 8 | raw[2:-1] << 16 | raw[3:] << 24 if len(raw) > 3 else np.zeros(0, np.uint32)
-    grams = (grams * np.uint32(0x9E3779B1)) >> np.uint32(17)
-    gram_text = np.repeat(np.arange(len(texts)), np.diff(w.text_at))[: len(grams)]
-    inside = np.arange(4, len(grams) + 4) <= w.text_at[gram_text + 1]  # none reaches into the next text
-    grams, gram_text = grams[inside], gram_text[inside]
+    letters, letter_at = code_points(w.raw, w.text_at)
+    n = max(0, len(letters) - 3)
+    grams = sum(letters[k : k + n] * GRAM_HASH[k] for k in range(4)) >> np.uint32(17)
+    sizes = np.maximum(np.diff(letter_at) - 3, 0)  # none reaches into the next text
+    grams, gram_text = grams[ragged(letter_at[:-1], sizes)], np.repeat(np.arange(len(texts)), sizes)
     kinds = [(of, (words & np.uint64(BUCKETS - 1)).astype(np.int64)), (of[first], (pairs & np.uint64(BUCKETS - 1)).astype(np.int64)), (gram_text, grams.astype(np.int64))]
     text = np.concatenate([t for t, _ in kinds])
     bucket = np.concatenate([b + k * BUCKETS for k, (_, b) in enumerate(kinds)])

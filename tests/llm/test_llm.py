@@ -477,6 +477,45 @@ def test_quality_of_a_text_does_not_depend_on_its_neighbours():
     assert np.allclose(model.probability(texts), alone, atol=1e-9)
 
 
+def test_quality_grams_are_of_code_points():
+    from fieldspark.llm.quality_rules import BUCKETS, code_points, hashed_features
+    from fieldspark.llm.words import words_of
+
+    texts = ["abc", "été ΣΑΣ 日本語 😀 x", "", "plain text", "\u0000\x7f\u0080\u07ff\u0800\uffff\U00010000\U0010ffff", "приветы"]
+    w = words_of([t.encode() for t in texts])
+    points, at = code_points(w.raw, w.text_at)
+    got = ["".join(map(chr, points[at[i] : at[i + 1]].tolist())) for i in range(len(texts))]
+    ends = {g[len(t) :] for g, t in zip(got, texts)}
+    assert all(g.startswith(t) for g, t in zip(got, texts)) and len(ends) == 1  # each text and its closing byte
+    text, bucket, share = hashed_features([t.encode() for t in texts])
+    grams = bucket >= 2 * BUCKETS
+    more = len(ends.pop())
+    for i, t in enumerate(texts):
+        mine = grams & (text == i)
+        assert mine.sum() == max(0, len(t) + more - 3)  # one to a start, whatever its bytes
+        assert not mine.any() or abs(share[mine].sum() - 1) < 1e-9
+    same, _, _ = (x[(text == 5) & grams] for x in (bucket, text, share))
+    alone = hashed_features(["приветы".encode()])
+    assert np.array_equal(np.sort(same), np.sort(alone[1][alone[1] >= 2 * BUCKETS]))
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="no tables")
+def test_quality_of_labelled_rows_outside_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    from fieldspark.llm.quality_rules import score_quality, train_quality
+    from fieldspark.session import table
+
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    apart = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    model = train_quality(docs, labels.where(~apart))
+    rows = score_quality(docs, model).join(labels.where(apart).select("doc_id", F.col("quality").cast("int").alias("good")), "doc_id").where("not base_failed")
+    count = {(r["good"], r["kept"]): r["count"] for r in rows.groupBy("good", "kept").count().collect()}
+    print(count)
+    assert count.get((1, False), 0) <= 0.01 * count[1, True]  # measured: 0 of 1696
+    assert count.get((0, True), 0) <= 0.05 * count[0, False]  # measured: 4 of 136, with byte 4-grams the same four
+
+
 def test_lm_scores(spark, docs, empty):
     from fieldspark.llm.lm_scoring import is_held_out, lm_scores
 
