@@ -2,19 +2,21 @@
 
 A split of a word into tokens is its encoding exactly if every two neighbours would also be encoded
 as these two. So the last token of a prefix's encoding decides how it can go on: for each prefix the
-programme finds the one last token that fits the encoding of what is before it, and stores the count,
+programme finds the one last token that fits the encoding of what is before it, and keeps the count,
 once for prefixes that end the word (the last token carries the end mark) and once for those that go
-on. The count of every prefix of a text follows from its words' programmes and a running sum, and
-answers questions of truncation and budget without encoding again.
+on. The counts at all prefixes of a run of text between spaces are stored, a byte a prefix; a text's
+count, its cut at a budget and the count of any of its beginnings are look-ups in them and a running
+sum, without encoding again.
 
-Prefixes are of the text as the tokenizer normalises it (NFC, lower case).
+The programme works on text as the tokenizer normalises it (NFC, lower case); stored counts are those
+of the bytes as they stand.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,10 @@ from fieldspark.llm.words import slices, texts_of
 
 LIMIT = 2048
 END = "</w>"
+#: Marks and jamo, which may compose with what is before them.
+JOINED = regex.compile(r"[\p{M}\u1160-\u11ff]")
+#: In place of a count: no beginning ends here.
+INSIDE = (1 << 31) - 1
 #: Fixed value: the tokenizer's own pattern for words.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -49,17 +55,23 @@ class PrefixCounter:
         self.vocab = model["vocab"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.rank = {tuple(m): i for i, m in enumerate(pairs)}
+        self.made = {x + y: (i, x, y) for (x, y), i in self.rank.items()}
+        self.in_order = len(self.made) == len(self.rank) and all(
+            self.made.get(part, (-1,))[0] < i for i, *parts in self.made.values() for part in parts
+        )
+        self.alone: dict[str, bool] = {}
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
-        self.special_bytes = [s.encode() for s in self.specials]
         self.letters = byte_letters()
-        self.body = {t for t in self.vocab if not t.endswith(END)}
-        self.body_end = {t.removesuffix(END) for t in self.vocab if t.endswith(END)}
-        self.longest = max(map(len, self.body | self.body_end))
+        self.kind: dict[str, int] = {}  # 1: goes on, 2: ends a word, 3: both
+        for t in self.vocab:
+            piece = t.removesuffix(END)
+            self.kind[piece] = self.kind.get(piece, 0) | (1 if piece == t else 2)
+        self.longest = max(map(len, self.kind))
         self.most = most
         self.fits: dict[tuple[str, str], bool] = {}
         self.fits_end: dict[tuple[str, str], bool] = {}
-        self.counts: dict[bytes, int] = {}
+        self.arrays: dict[bytes, bytes | np.ndarray] = {}
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Plain merging, for single tokens and pairs only."""
@@ -73,51 +85,75 @@ class PrefixCounter:
             symbols[i : i + 2] = ["".join(symbols[i : i + 2])]
         return symbols
 
+    def encodes(self, left: str, right: str) -> bool:
+        """Whether the letters of two tokens (left may be empty) are encoded as these two.
+
+        Both are undone step by step, the later step first; where symbols that meet at the border would
+        have merged before the next step, they are not. This needs merges that make each token in one
+        way and after its parts, as training gives them; else all is merged.
+        """
+        alone = self.alone.get(right)
+        if alone is None:
+            alone = self.alone[right] = self.merge(symbols_of(right)) == [right]
+        if not left or not alone:
+            return alone
+        if not self.in_order:
+            return self.merge([*symbols_of(left), *symbols_of(right)]) == [left, right]
+        rank, made, never = self.rank.get, self.made.get, (-1, "", "")
+        until_left = until_right = 1 << 60
+        while True:
+            r = rank((left, right))
+            if r is not None and r < until_left and r <= until_right:
+                return False
+            m_left, m_right = made(left, never), made(right, never)
+            if m_left[0] > m_right[0]:
+                until_left, left = m_left[0], m_left[2]
+            elif m_right[0] >= 0:
+                until_right, right = m_right[0], m_right[1]
+            else:
+                return True
+
     def fit(self, left: str, right: str) -> bool:
         """Whether left then right (left may be empty) is an encoding, right not ending the word."""
         if len(self.fits) > 1_000_000:
             self.fits.clear()
-        known = self.fits[left, right] = self.merge([*left, *right]) == ([left, right] if left else [right])
+        known = self.fits[left, right] = self.encodes(left, right)
         return known
 
     def fit_end(self, left: str, right: str) -> bool:
         """The same for a right that ends the word."""
         if len(self.fits_end) > 1_000_000:
             self.fits_end.clear()
-        whole = self.merge([*left, *right[:-1], right[-1] + END])
-        known = self.fits_end[left, right] = whole == ([left, right + END] if left else [right + END])
+        known = self.fits_end[left, right] = self.encodes(left, right + END)
         return known
 
-    def word(self, letters: str, every: bool = True) -> list[int]:
-        """Counts of the first 1, 2, ... letters as whole words; every=False: of all letters only."""
-        body, body_end, fits, fits_end, longest, n = self.body, self.body_end, self.fits.get, self.fits_end.get, self.longest, len(letters)
+    def word(self, letters: str) -> list[int]:
+        """Counts of the first 1, 2, ... letters as whole words."""
+        kind, fits, fits_end, longest, n = self.kind.get, self.fits.get, self.fits_end.get, self.longest, len(letters)
         last, counts, ended = [""], [0], []
         for i in range(1, n + 1):
-            first = i - longest if i > longest else 0
-            if every or i == n:
-                for j in range(first, i):
-                    piece = letters[j:i]
-                    if piece in body_end:
-                        before = last[j]
-                        if before is not None:
+            end, go = None, None if i < n else ""
+            for j in range(i - longest if i > longest else 0, i):
+                piece = letters[j:i]
+                as_part = kind(piece)
+                if as_part:
+                    before = last[j]
+                    if before is not None:
+                        if as_part & 2 and end is None:
                             ok = fits_end((before, piece))
                             if self.fit_end(before, piece) if ok is None else ok:
-                                ended.append(counts[j] + 1)
-                                break
-            if i < n:
-                for j in range(first, i):
-                    piece = letters[j:i]
-                    if piece in body:
-                        before = last[j]
-                        if before is not None:
+                                end = counts[j] + 1
+                                if go is not None:
+                                    break
+                        if as_part & 1 and go is None:
                             ok = fits((before, piece))
                             if self.fit(before, piece) if ok is None else ok:
-                                last.append(piece)
-                                counts.append(counts[j] + 1)
-                                break
-                else:  # no encoding ends here without the end mark
-                    last.append(None)
-                    counts.append(0)
+                                go, n_go = piece, counts[j] + 1
+                                if end is not None:
+                                    break
+            ended.append(end)
+            last.append(go)  # None: no encoding ends here without the end mark
+            counts.append(0 if go is None or i == n else n_go)
         return ended
 
     def _letters(self, piece: str) -> str:
@@ -142,60 +178,113 @@ class PrefixCounter:
         for m in PIECES.finditer(text):
             out += [base] * (m.start() - at)
             piece = m[0]
-            if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():  # shortened, it is a quote and letters
-                quote = self.word(self._letters("'"))[-1]
-                steps = [quote] + [quote + self.word(self._letters(piece[1:k]))[-1] for k in range(2, len(piece))] + [self.word(self._letters(piece))[-1]]
+            if piece.isascii() and piece.isalpha():
+                steps = self.array(piece.encode())[1:]
+            elif piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():  # shortened, it is a quote and letters
+                quote = self.word("'")[-1]
+                steps = [quote] + [quote + self.word(piece[1:k])[-1] for k in range(2, len(piece))] + [self.word(piece)[-1]]
             else:
                 by_byte = self.word(self._letters(piece))
                 steps = by_byte if piece.isascii() else [by_byte[e - 1] for e in np.cumsum([len(c.encode()) for c in piece]).tolist()]
-            out += [base + s for s in steps]
+            out += [base + s for s in steps] if base else steps
             base += steps[-1]
             at = m.end()
         return out + [base] * (len(text) - at)
 
-    def run(self, run: bytes) -> int:
-        """Count of a run of text between spaces; kept for the next time."""
-        n = self.counts.get(run)
-        if n is None:
-            if any(s in run for s in self.special_bytes):
-                n = self.prefixes(run.decode("utf-8"))[-1]
-            elif run.isalpha() and run.isascii():
-                n = self.word(run.lower().decode(), False)[-1]
-            else:
-                n = sum(self.word(self._letters(p), False)[-1] for p in PIECES.findall(normalise(run.decode("utf-8"))))
-            if len(run) < 100:
-                if len(self.counts) > self.most:
-                    self.counts.clear()
-                self.counts[run] = n
-        return n
-
-    def cut(self, run: bytes, room: int) -> int:
-        """Bytes of the longest beginning of a run within room tokens, by the counts at its prefixes; letters that compose stay together."""
-        text = run.decode("utf-8")
-        counts, best, at, n_bytes = self.prefixes(text), 0, 0, 0
-        pieces, special = [], self.special.findall(text) if self.special else []
+    def by_byte(self, text: str) -> list[int]:
+        """Counts of the first 0, 1, 2, ... bytes of the text as it stands; INSIDE where a letter or a special string would be cut."""
+        counts = self.prefixes(text)
+        plain = not (self.special and self.special.search(text))
+        if plain and text.isascii():
+            return counts
+        if plain and len(counts) == len(text) + 1 and not JOINED.search(text):  # each letter stays one
+            out = [0]
+            for c, n in zip(text, counts[1:]):
+                if c >= "\x80":
+                    out += [INSIDE] * (len(c.encode()) - 1)
+                out.append(n)
+            return out
+        out, at = [0], 0
+        special = self.special.findall(text) if self.special else []
         for k, part in enumerate(self.special.splititer(text) if self.special else [text]):
-            starts = [i for i, c in enumerate(part) if i == 0 or not (unicodedata.category(c)[0] == "M" or "\u1160" <= c <= "\u11ff")]
-            pieces += [(len(normalise(part[i:j])), part[i:j]) for i, j in zip(starts, [*starts[1:], len(part)])]
-            pieces += [(1, x) for x in special[k : k + 1]]
-        for steps, piece in pieces:
-            at, n_bytes = at + steps, n_bytes + len(piece.encode("utf-8"))
-            if counts[at] <= room:
-                best = n_bytes
-        return best
-
-    def text(self, text: bytes, limit: int | None = None) -> tuple[int, int]:
-        """(tokens of the whole text, bytes of the longest beginning within limit tokens)."""
-        known, slow = self.counts.get, self.run
+            starts = [i for i, c in enumerate(part) if i == 0 or not JOINED.match(c)]
+            steps = [(len(normalise(part[i:j])), part[i:j]) for i, j in zip(starts, [*starts[1:], len(part)])]
+            for n, piece in [*steps, *((1, x) for x in special[k : k + 1])]:
+                at += n
+                out += [INSIDE] * (len(piece.encode("utf-8")) - 1)
+                out.append(counts[at])
+        return out
+
+    def array(self, run: bytes) -> bytes | np.ndarray:
+        """Counts at the first 0, 1, 2, ... bytes of a run of text between spaces, stored for the next time.
+
+        One byte a count in short runs, where the greatest byte stands for INSIDE.
+        """
+        found = self.arrays.get(run)
+        if found is None:
+            ascii_run = run.isascii()
+            low = run.lower() if ascii_run and run.isalpha() else run
+            if low != run:
+                found = self.array(low)
+            else:
+                counts = [0, *self.word(run.decode())] if ascii_run and run.isalpha() else self.by_byte(run.decode("utf-8"))
+                whole = ascii_run and INSIDE not in counts
+                if len(run) < 80 and (whole or max(c for c in counts if c != INSIDE) < 255):
+                    found = bytes(counts) if whole else bytes([255 if c == INSIDE else c for c in counts])
+                else:
+                    found = np.array(counts, np.int32)
+            if len(run) < 80:
+                if len(self.arrays) > self.most:
+                    self.arrays.clear()
+                self.arrays[run] = found
+        return found
+
+    def text(self, text: bytes, limit: int | None = None, at: Sequence[int] = ()) -> tuple[int, int, list[int]]:
+        """(tokens of the whole text, bytes of the longest beginning within limit tokens, tokens of the first so many bytes).
+
+        All three are looked up in the stored counts of the runs. A beginning that would cut a letter (with
+        the marks on it) or a special string ends before it.
+        """
+        known, slow = self.arrays.get, self.array
         runs = text.replace(b"\n", b" ").replace(b"\t", b" ").split(b" ")
-        counts = [slow(r) if n is None else n for r, n in zip(runs, map(known, runs))]
-        total = sum(counts)
-        if limit is None or total <= limit:
-            return total, len(text)
-        fits = int(np.searchsorted(np.cumsum(counts), limit, side="right"))
-        before = sum(map(len, runs[:fits]))
-        inside = self.cut(runs[fits], limit - sum(counts[:fits]))
-        return total, before + (fits + inside if inside else max(0, fits - 1))
+        arrays = [slow(r) if a is None else a for r, a in zip(runs, map(known, runs))]
+        totals = [int(a[-1]) for a in arrays]
+        total = sum(totals)
+        over = limit is not None and total > limit
+        inner = [n for n in at if n < len(text)]
+        if not over and not inner:
+            return total, len(text), [total] * len(at)
+        sums = np.cumsum([0, *totals])
+        starts = np.cumsum([0, *(len(r) + 1 for r in runs)])
+        fit = len(text)
+        if over:
+            k = int(np.searchsorted(sums[1:], limit, side="right"))
+            inside = int(np.flatnonzero(as_counts(arrays[k]) <= limit - sums[k])[-1])
+            fit = int(starts[k]) + inside if inside or not k else int(starts[k]) - 1
+        tokens = []
+        for n in at:
+            if n >= len(text):
+                tokens.append(total)
+            else:
+                k = int(np.searchsorted(starts, n, side="right")) - 1
+                counts = as_counts(arrays[k])[: n - int(starts[k]) + 1]
+                tokens.append(int(sums[k] + counts[np.flatnonzero(counts != INSIDE)[-1]]))
+        return total, fit, tokens
+
+
+def as_counts(stored: bytes | np.ndarray) -> np.ndarray:
+    """A run's stored counts as numbers."""
+    if isinstance(stored, np.ndarray):
+        return stored
+    counts = np.frombuffer(stored, np.uint8).astype(np.int32)
+    counts[counts == 255] = INSIDE
+    return counts
+
+
+def symbols_of(token: str) -> list[str]:
+    """A token's letters, the last with the end mark if the token has it."""
+    piece = token.removesuffix(END)
+    return [*piece] if piece == token else [*piece[:-1], piece[-1] + END]
 
 
 def normalise(text: str) -> str:
@@ -213,26 +302,37 @@ def prefix_counter(path: str) -> PrefixCounter:
     return _COUNTERS[path]
 
 
-SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_bytes long"
+SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_bytes long, tokens_at array<long>"
+#: Lengths of beginnings whose tokens are given, in bytes.
+AT_BYTES = (256, 1024, 4096, 16384)
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, n_bytes (UTF-8), n_tokens, over_limit, fit_bytes, one row per row.
+def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, at_bytes: Sequence[int] = AT_BYTES) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, n_bytes (UTF-8), n_tokens, over_limit, fit_bytes, tokens_at, one row per row.
 
     fit_bytes: where the text can be cut to stay within limit tokens, also inside a run without spaces.
-    Null text counts as empty (0, 0, false, 0); null doc_id stays null; equal rows give equal rows;
-    other columns are ignored; an empty table gives no rows. No shuffle; memory is bound by the cache.
+    tokens_at: tokens of the text's first at_bytes bytes (fewer where a letter would be cut; of the whole
+    text where it is shorter). All come from the stored counts of the runs' beginnings.
+    Null text counts as empty (0, 0, false, 0, zeros); null doc_id stays null; equal rows give equal rows;
+    other columns are ignored; an empty table gives no rows. No shuffle; memory is bound by the store of
+    counts (emptied at `most` runs) and the longest text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counter(tokenizer_path)
         for batch in slices(batches):
             texts = texts_of(batch)
-            found = [counter.text(t, limit) for t in texts]
-            n = [x for x, _ in found]
+            n, fit, at = zip(*(counter.text(t, limit, at_bytes) for t in texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, texts), pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_()), pa.array([x for _, x in found], pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_bytes"],
+                [
+                    batch.column(0),
+                    pa.array(map(len, texts), pa.int64()),
+                    pa.array(n, pa.int64()),
+                    pa.array([x > limit for x in n], pa.bool_()),
+                    pa.array(fit, pa.int64()),
+                    pa.array(at, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_bytes", "tokens_at"],
             )
 
     from pyspark.sql import functions as F

@@ -223,7 +223,7 @@ def test_token_cut_inside_a_run():
     t, c = Tokenizer.from_file(path), PrefixCounter(path)
     count = lambda s: len(t.encode(s, add_special_tokens=False).ids)
     for text in ["日本語の文字を切る" * 9, "aGVsbG8gd29ybGQx" * 9, "some words, then " + "Unbroken.Run/of-parts" * 8, "e\u0301a\u0308İΣ" * 20]:
-        n, fit = c.text(text.encode(), 30)
+        n, fit, _ = c.text(text.encode(), 30)
         ends = [len(text[:i].encode()) for i in range(len(text) + 1)]
         assert n == count(text) > 30 and fit in ends and fit > 0
         i = ends.index(fit)
@@ -231,6 +231,47 @@ def test_token_cut_inside_a_run():
         assert all(count(text[:j]) > 30 for j in range(i + 3, len(text) + 1))
 
 
+def test_token_counts_of_beginnings():
+    from tokenizers import Tokenizer
+
+    from fieldspark.llm.token_counts import PrefixCounter
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, c = Tokenizer.from_file(path), PrefixCounter(path)
+    count = lambda s: len(t.encode(s, add_special_tokens=False).ids)
+    texts = ["", "  two  spaces\tand\nlines ", "Don't we'll 'tis x's!! 1234", "naïve façade straße 日本語 Ωμέγα", "Word word, wording WORDS (re-word)", "unbroken" * 40]
+    for text in texts:
+        ends = [len(text[:i].encode()) for i in range(len(text) + 1)]
+        for limit in (None, 3):
+            assert c.text(text.encode(), limit, ends)[2] == [count(text[:i]) for i in range(len(text) + 1)]
+    long = "x" + "é" * 100
+    assert c.text(long.encode(), None, [2, 3, 4])[2] == [count("x"), count("xé"), count("xé")]  # no letter is cut
+    marks = "e\u0301e\u0301 x"
+    assert c.text(marks.encode(), None, [1, 2, 3])[2] == [0, 0, count("é")]
+    special = "a<|endoftext|>b"
+    assert c.text(special.encode(), None, [1, 5, 14, 15])[2] == [count("a"), count("a"), count("a<|endoftext|>"), count(special)]
+
+
+def test_neighbouring_tokens_are_undone_as_they_merge():
+    from fieldspark.llm.token_counts import PrefixCounter, symbols_of
+
+    c = PrefixCounter(public_tokenizers.path("word_bpe_49k.json"))
+    assert c.in_order
+    rng, tokens = random.Random(5), [x for x in c.vocab if not x.startswith("<|")]
+    body = [x for x in tokens if not x.endswith("</w>") and c.encodes("", x)]
+    seen = Counter()
+    for _ in range(20000):
+        left, right = rng.choice(body), rng.choice(tokens)
+        if rng.random() < 0.5:  # cut from a token, so that borders would merge
+            whole = rng.choice(tokens).removesuffix("</w>")
+            k = rng.randrange(len(whole))
+            left, right = whole[:k] if whole[:k] in c.vocab and c.encodes("", whole[:k]) else left, whole[k:] if whole[k:] in c.vocab else right
+        want = c.merge([*symbols_of(left), *symbols_of(right)]) == [left, right]
+        assert c.encodes(left, right) == want
+        seen[want] += 1
+    assert min(seen.values()) > 1000
+
+
 def lower(text):
     return (text or "").encode().lower()
 
