@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from fieldspark.llm.words import slices, texts_of
 
 LIMIT = 2048
 END = "</w>"
+HEAD = 5
 #: Marks and jamo, which may compose with what is before them.
 JOINED = regex.compile(r"[\p{M}\u1160-\u11ff]")
 #: In place of a count: no beginning ends here.
@@ -60,6 +62,7 @@ class PrefixCounter:
             self.made.get(part, (-1,))[0] < i for i, *parts in self.made.values() for part in parts
         )
         self.alone: dict[str, bool] = {}
+        self.heads: dict[str, tuple[tuple, tuple, tuple]] = {}
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         self.letters = byte_letters()
@@ -128,11 +131,26 @@ class PrefixCounter:
         return known
 
     def word(self, letters: str) -> list[int]:
-        """Counts of the first 1, 2, ... letters as whole words."""
+        """Counts of the first 1, 2, ... letters as whole words. Words with the same first letters share their programme."""
+        state = ("",), (0,), ()
+        if len(letters) > HEAD:
+            head = letters[:HEAD]
+            state = self.heads.get(head)
+            if state is None:
+                own = [""], [0], []
+                self.programme(head, *own, True)
+                if len(self.heads) > 100_000:
+                    self.heads.clear()
+                state = self.heads[head] = tuple(map(tuple, own))
+        last, counts, ended = map(list, state)
+        self.programme(letters, last, counts, ended, False)
+        return ended
+
+    def programme(self, letters: str, last: list, counts: list, ended: list, more: bool) -> None:
+        """Goes on to all letters: last token and count of each prefix, and the count if it ends there; more: letters may follow."""
         kind, fits, fits_end, longest, n = self.kind.get, self.fits.get, self.fits_end.get, self.longest, len(letters)
-        last, counts, ended = [""], [0], []
-        for i in range(1, n + 1):
-            end, go = None, None if i < n else ""
+        for i in range(len(last), n + 1):
+            end, go = None, None if i < n or more else ""
             for j in range(i - longest if i > longest else 0, i):
                 piece = letters[j:i]
                 as_part = kind(piece)
@@ -153,8 +171,7 @@ class PrefixCounter:
                                     break
             ended.append(end)
             last.append(go)  # None: no encoding ends here without the end mark
-            counts.append(0 if go is None or i == n else n_go)
-        return ended
+            counts.append(n_go if go else 0)
 
     def _letters(self, piece: str) -> str:
         if piece.isascii() and piece.isprintable():
@@ -185,7 +202,7 @@ class PrefixCounter:
                 steps = [quote] + [quote + self.word(piece[1:k])[-1] for k in range(2, len(piece))] + [self.word(piece)[-1]]
             else:
                 by_byte = self.word(self._letters(piece))
-                steps = by_byte if piece.isascii() else [by_byte[e - 1] for e in np.cumsum([len(c.encode()) for c in piece]).tolist()]
+                steps = by_byte if piece.isascii() else [by_byte[e - 1] for e in ends_of(piece)]
             out += [base + s for s in steps] if base else steps
             base += steps[-1]
             at = m.end()
@@ -193,16 +210,15 @@ class PrefixCounter:
 
     def by_byte(self, text: str) -> list[int]:
         """Counts of the first 0, 1, 2, ... bytes of the text as it stands; INSIDE where a letter or a special string would be cut."""
-        counts = self.prefixes(text)
-        plain = not (self.special and self.special.search(text))
+        plain = not any(x in text for x in self.specials)
+        counts = [0, *self._plain_prefixes(text, 0)] if plain else self.prefixes(text)
         if plain and text.isascii():
             return counts
         if plain and len(counts) == len(text) + 1 and not JOINED.search(text):  # each letter stays one
-            out = [0]
-            for c, n in zip(text, counts[1:]):
-                if c >= "\x80":
-                    out += [INSIDE] * (len(c.encode()) - 1)
-                out.append(n)
+            out = [INSIDE] * (len(text.encode()) + 1)
+            out[0] = 0
+            for e, n in zip(ends_of(text), counts[1:]):
+                out[e] = n
             return out
         out, at = [0], 0
         special = self.special.findall(text) if self.special else []
@@ -281,6 +297,11 @@ def as_counts(stored: bytes | np.ndarray) -> np.ndarray:
     return counts
 
 
+def ends_of(text: str) -> list[int]:
+    """Where each letter ends in UTF-8."""
+    return list(accumulate(1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4 for c in text))
+
+
 def symbols_of(token: str) -> list[str]:
     """A token's letters, the last with the end mark if the token has it."""
     piece = token.removesuffix(END)
