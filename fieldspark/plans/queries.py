@@ -526,13 +526,13 @@ def payload_flatten(spark, d):
 
 
 @query("""
-WITH t AS (SELECT l_suppkey, l_shipdate::DATE AS d FROM lineitem WHERE month(l_shipdate) NOT IN (4, 5, 6, 7, 8)),
+WITH t AS (SELECT l_suppkey, l_shipdate::DATE AS d FROM lineitem),
 x AS (SELECT l_suppkey, bool_or(month(d) >= 7) AND bool_or(month(d) <= 6) AS c FROM t GROUP BY 1),
 p AS (SELECT l_suppkey, d, c, CASE WHEN c AND month(d) <= 6 THEN 2001 ELSE 2000 END AS y FROM t JOIN x USING (l_suppkey))
 SELECT l_suppkey, make_date(y, month(d), CASE WHEN month(d) = 2 AND day(d) = 29 AND y = 2001 THEN 28 ELSE day(d) END) AS plot_date, (dayofyear(d) + CASE WHEN c AND month(d) <= 6 THEN 365 ELSE 0 END)::INT AS doy, count(*) AS n FROM p GROUP BY ALL""")
 def plot_dates(spark, d):
     """Winter seasons on one reference year."""
-    t = table(spark, d, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("d")).where(~F.month("d").isin(4, 5, 6, 7, 8))
+    t = table(spark, d, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("d"))
     x = t.groupBy("l_suppkey").agg(dates.is_cross_year(F.col("d")).alias("c"))
     p = t.join(x, "l_suppkey").select("l_suppkey", dates.plot_date(F.col("d"), F.col("c")).alias("plot_date"), dates.continuous_doy(F.col("d"), F.col("c")).alias("doy"))
     return p.groupBy("l_suppkey", "plot_date", "doy").agg(F.count(F.lit(1)).alias("n"))
@@ -778,8 +778,8 @@ LEFT JOIN (SELECT l_suppkey AS k, max(l_extendedprice) AS max_price FROM lineite
 def primary_table(spark, d):
     """J2, T1, T5."""
     line, sup = table(spark, d, "lineitem"), table(spark, d, "supplier")
-    sims = line.where("l_quantity > 49").groupBy(F.col("l_suppkey").alias("cleaned_name")).agg(F.count(F.lit(1)).alias("n"))
-    daily = line.where("l_tax > 0.07").groupBy(F.col("l_suppkey").alias("cleaned_name")).agg(F.max("l_extendedprice").alias("max_price"))
+    sims = line.groupBy(F.col("l_suppkey").alias("cleaned_name")).agg(F.sum(F.when(F.col("l_quantity") > 49, 1)).alias("n"))
+    daily = line.groupBy(F.col("l_suppkey").alias("cleaned_name")).agg(F.max(F.when(F.col("l_tax") > 0.07, F.col("l_extendedprice"))).alias("max_price"))
     return studies.primary_table(sup.select(F.col("s_suppkey").alias("region"), F.col("s_suppkey").alias("cleaned_name"), "s_name"), sims, daily).drop("cleaned_name")
 
 
@@ -876,8 +876,8 @@ def attribute_layers(spark, d):
     """Two attributes burnt on the cells of their regions."""
     ev = table(spark, d, "events").withColumn("region", F.col("user_id"))
     cells = ev.select("region", (F.col("event_id") % 3).alias("ix"), F.lit(0).alias("iy")).distinct()
-    single = ev.where("ts < timestamp'2024-01-10'").groupBy("region").agg(F.max("value").alias("rain"))
-    multi = ev.where("ts >= timestamp'2024-01-20'").groupBy("region").agg(F.min("value").alias("rain"))
+    single = ev.groupBy("region").agg(F.max(F.when(F.expr("ts < timestamp'2024-01-10'"), F.col("value"))).alias("rain"))
+    multi = ev.groupBy("region").agg(F.min(F.when(F.expr("ts >= timestamp'2024-01-20'"), F.col("value"))).alias("rain"))
     return zonal.attribute_layers(cells, single, multi, ["rain"])
 
 

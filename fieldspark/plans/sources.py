@@ -144,7 +144,7 @@ WITH t AS (SELECT l_suppkey, sum(l_quantity) AS kg, max(CASE WHEN l_tax > 0.06 T
 SELECT s_suppkey, coalesce(trunc(kg)::INT, -1) AS estimated_total_production_kg, round(coalesce(kg, 0) / 1000, 3) AS estimated_total_production_ton, coalesce(round(v + 0.001, 2), -1.0) AS estimated_mean_yield_kg_ha FROM supplier LEFT JOIN t ON s_suppkey = l_suppkey""")
 def exported_columns(spark, d):
     """Exported names, -1 for missing, whole numbers cut, tons to three decimals."""
-    t = table(spark, d, "lineitem").where("l_returnflag = 'A'").groupBy("l_suppkey").agg(F.sum("l_quantity").alias("kg"), F.max(F.when(F.col("l_tax") > 0.06, F.col("l_extendedprice"))).alias("v"))
+    t = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_quantity"))).alias("kg"), F.max(F.when((F.col("l_returnflag") == "A") & (F.col("l_tax") > 0.06), F.col("l_extendedprice"))).alias("v"))
     j = table(spark, d, "supplier").join(t, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     out = j.select("s_suppkey", names.export_missing(F.col("kg")).alias("total_production_kg"), names.kg_to_tons(F.coalesce("kg", F.lit(0.0))).alias("total_production_ton"), names.export_missing(names.half_even(F.col("v") + 0.001), 2).alias("mean_yield_kg_ha"))
     return names.export_names(out)
