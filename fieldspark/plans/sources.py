@@ -384,7 +384,8 @@ def zonal_statistics(spark, d):
     line = table(spark, d, "lineitem")
     cell = [F.floor("l_quantity").cast("int").alias("ix"), F.round(F.col("l_discount") * 100).cast("int").alias("iy")]
     cover = line.groupBy(F.col("l_suppkey").alias("region"), *cell).agg(((1 + F.max("l_tax") * 37) / 7).alias("weight"))
-    px = line.where("l_returnflag = 'N'").groupBy(*cell).agg(F.avg(F.when(F.col("l_tax") > 0.01, F.col("l_extendedprice"))).alias("v"), F.lit(1).alias("covered"))
+    raster = F.col("l_returnflag") == "N"
+    px = line.groupBy(*cell).agg(F.avg(F.when(raster & (F.col("l_tax") > 0.01), F.col("l_extendedprice"))).alias("v"), F.max(F.when(raster, 1)).alias("covered"))
     return zonal.zonal_stats(px, cover, 0.04)
 
 
