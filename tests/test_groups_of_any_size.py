@@ -48,6 +48,18 @@ def test_weighted_median_of_one_group(spark, small):
     assert got == {"nation": v, "b": 1.0, "c": 3.0, None: 5.0}
 
 
+@pytest.mark.parametrize("small", [selection.SMALL, 8])
+def test_weighted_median_at_exactly_half(spark, small):
+    rng, rows = random.Random(12), []
+    for g in range(300):
+        lower = [(1 + rng.randrange(9) / 100 * 37) / 7 for _ in range(21)]
+        upper = rng.sample(lower, 21)  # the other half of the weight, added up in another order
+        rows += [(g, float(i), w) for i, w in enumerate(lower + upper)]
+    rng.shuffle(rows)
+    got = evaluate.weighted_median(spark.createDataFrame(rows, "k int, v double, w double"), ["k"], "v", "w", small=small).collect()
+    assert {r.k: r.weighted_median for r in got} == {g: 20.0 for g in range(300)}
+
+
 def test_daily_stats_are_the_same_for_hot_regions(spark):
     rng = random.Random(1)
     rows = [(rng.choice(["a", "a", "a", "b", None]), "2024-01-0%d" % rng.randrange(1, 4), rng.choice([None, -1.0, round(rng.random() * 8, 2)]), rng.randrange(2)) for _ in range(2000)]
