@@ -8,7 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from fieldspark.operators import evaluate, geo, lai, selection, zonal
+from fieldspark.operators import evaluate, geo, lai, selection, weather, zonal
 from fieldspark.session import shared_folder
 from fieldspark.streaming import ledger
 
@@ -150,3 +150,13 @@ def test_existing_output_wins(spark):
     assert zonal.target_resolution(grids.limit(0), same, there).collect() == [("albers", 20.0)]
     with pytest.raises(Exception, match="reference system"):
         zonal.target_resolution(grids, same, spark.createDataFrame([("a", None, 5.0)], there.schema)).collect()
+
+
+def test_last_years_hold_no_key_in_one_task(spark):
+    rows = [(k, dt.date(y, m, 28), y * 100 + m) for k in ("a", None) for y in (2019, 2020, 2021) for m in (2, 8)] + [("b", None, 1), ("c", dt.date(2000, 2, 29), 2)]
+    got = weather.last_years(spark.createDataFrame(rows, "k string, day date, n int"), ["k"], "day", 1)
+    assert got.columns == ["k", "day", "n"]
+    want = [(k, y * 100 + m) for k in ("a", None) for y, m in ((2020, 8), (2021, 2), (2021, 8))] + [("c", 2)]
+    assert sorted(((r.k, r.n) for r in got.collect()), key=str) == sorted(want, key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
