@@ -9,6 +9,7 @@ from fieldspark.functions import dates
 from fieldspark.functions.pixels import adjust_for_crop, drop_negative
 from fieldspark.operators.selection import SMALL, largest_group, medians
 from fieldspark.operators.series import akima_filled, dealt_out, every_day_of, gathered, smoothed
+from fieldspark.session import materialize
 
 STATS = ["lai_mean", "lai_median", "lai_std", "lai_mean_adj", "lai_median_adj", "lai_std_adj"]
 
@@ -132,6 +133,7 @@ def daily_stats_on_mask(lai: DataFrame, mask: DataFrame, crop: str | None = None
 
 def means_by_plot_date(daily: DataFrame, keys: list[str], day: str, value: str) -> DataFrame:
     """Means by year and reference date; whether a season crosses New Year is told by each key's dates."""
-    cross = daily.groupBy(*keys).agg(dates.is_cross_year(F.col(day)).alias("__cross"))
+    # written first, so that Spark knows its size: few keys go to the rows, and no task holds a key's rows
+    cross = materialize(daily.groupBy(*keys).agg(dates.is_cross_year(F.col(day)).alias("__cross")), "cross-year")
     d = daily.join(cross, keys).withColumn("plot_date", dates.plot_date(F.col(day), F.col("__cross")))
     return d.groupBy(*keys, F.year(day).alias("year"), "plot_date").agg(F.avg(value).alias(value))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fieldspark.functions import dates, names, pixels
 from fieldspark.operators import checks, evaluate, geo, lai, series, simulation, studies, weather, zonal
 from fieldspark.plans.registry import query
-from fieldspark.session import table
+from fieldspark.session import materialize, table
 from fieldspark.sources import readers, sinks
 
 
@@ -533,8 +533,10 @@ SELECT l_suppkey, make_date(y, month(d), CASE WHEN month(d) = 2 AND day(d) = 29
 def plot_dates(spark, d):
     """Winter seasons on one reference year."""
     t = table(spark, d, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("d"))
-    x = t.groupBy("l_suppkey").agg(dates.is_cross_year(F.col("d")).alias("c"))
+    x = materialize(t.groupBy("l_suppkey").agg(dates.is_cross_year(F.col("d")).alias("c")), "cross-year")
     p = t.join(x, "l_suppkey").select("l_suppkey", dates.plot_date(F.col("d"), F.col("c")).alias("plot_date"), dates.continuous_doy(F.col("d"), F.col("c")).alias("doy"))
+    # there are nearly as many days of suppliers as rows: as many tasks more as there are rows more
+    p = p.repartition(max(spark.sparkContext.defaultParallelism, t.count() // 500_000 + 1), "l_suppkey", "plot_date", "doy")
     return p.groupBy("l_suppkey", "plot_date", "doy").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -160,3 +160,14 @@ def test_last_years_hold_no_key_in_one_task(spark):
     assert sorted(((r.k, r.n) for r in got.collect()), key=str) == sorted(want, key=str)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortMergeJoin" not in plan
+
+
+def test_plot_dates_are_not_gathered_by_key(spark):
+    rows = [("a", dt.date(2020, 2, 29), 1.0), ("a", dt.date(2020, 9, 1), 2.0), ("a", dt.date(2020, 9, 1), 4.0), ("b", dt.date(2021, 3, 1), 5.0), (None, dt.date(2021, 3, 1), 6.0)]
+    got = lai.means_by_plot_date(spark.createDataFrame(rows, "k string, d date, v double"), ["k"], "d", "v")
+    want = {("a", 2020, dt.date(2001, 2, 28), 1.0), ("a", 2020, dt.date(2000, 9, 1), 3.0), ("b", 2021, dt.date(2000, 3, 1), 5.0)}
+    assert {(r.k, r.year, r.plot_date, r.v) for r in got.collect()} == want
+    from fieldspark.plans.registry import all_queries
+
+    for df in (got, all_queries()["plot_dates"](spark, "/root/testdata/sf0.001")):
+        assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
