@@ -171,3 +171,16 @@ def test_plot_dates_are_not_gathered_by_key(spark):
 
     for df in (got, all_queries()["plot_dates"](spark, "/root/testdata/sf0.001")):
         assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_boxes_are_compared_once(spark, monkeypatch):
+    tiled = []
+    monkeypatch.setattr(geo, "_tiles", lambda df, levels, _f=geo._tiles: tiled.append(_f(df, levels)) or tiled[-1])
+    schema = "name int, xmin double, ymin double, xmax double, ymax double"
+    a = [(i, 0.0, 0.0, 1.0, 1.0) for i in range(600)] + [(None, 0.0, 0.0, 1.0, 1.0), (9000, 5.0, 5.0, 6.0, 6.0)]
+    b = [(i, 0.5, -0.0, 3.0, 0.5) for i in range(300)] + [(None, 0.5, 0.0, 3.0, 0.5), (9001, 0.9, 0.9, 5.1, 5.1), (9002, 0.0, 2.0, 3.0, 2.0)]
+    got = geo.overlaps(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema))
+    names = [i for i, *_ in a if i != 9000]
+    want = [(i, j) for i in names for j in [*range(300), None, 9001]] + [(9000, 9001)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert all(x.count() < 300 for x in tiled)
