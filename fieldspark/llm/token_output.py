@@ -28,10 +28,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,32 +70,48 @@ class _Model:
     def __init__(self, lanes: int, known: np.ndarray, freq: np.ndarray):
         self.lanes = lanes
         self.tables = np.zeros(2 * lanes * SLOTS, np.uint32)  # an entry: predicted id and two bits of confidence
-        self.base = np.arange(2 * lanes, dtype=np.int64) * SLOTS
+        # entries of one slot stand together, as do the probabilities of one pair: common contexts are common in all lanes
+        self.base = np.arange(2 * lanes, dtype=np.int64)
         # two probabilities of 16 bits for each pair of confidences: order-2 right; else order-1 right
-        start = np.array([2000 + 15000 * (k >> 2) for k in range(16)] * lanes + [2000 + 12000 * (k & 3) for k in range(16)] * lanes)
-        self.right, self.mix_base = start.astype(np.int32), np.arange(2 * lanes, dtype=np.int64) * 16
+        start = np.array([[[2000 + 15000 * (k >> 2)], [2000 + 12000 * (k & 3)]] for k in range(16)], np.int32)
+        self.right = np.repeat(start, lanes, axis=2).ravel()
         self.last, self.last2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        self.slot = np.empty(2 * lanes, np.int64)
+        self.m = np.empty(2 * lanes, np.int64)
         self.known, self.freq = known.astype(np.uint32), freq.astype(np.uint64)
         self.start = np.r_[0, np.cumsum(freq, dtype=np.uint64)].astype(np.uint64)
         self.place = np.zeros(IDS, np.uint16)
         self.place[known] = np.arange(len(known))
 
-    def predict(self):
-        n, a = self.lanes, self.last * np.uint32(40503)
-        self.slot[:n] = a >> np.uint32(17)
-        self.slot[n:] = (a + self.last2 * np.uint32(60493)) >> np.uint32(18)
-        self.slot &= SLOTS - 1
-        self.at = self.base + self.slot
+    def slots(self, last: np.ndarray, last2: np.ndarray) -> np.ndarray:
+        """Entries' places after these last ids (lanes, or steps x lanes), order 1 and order 2 side by side."""
+        n, a = self.lanes, last * np.uint32(40503)
+        out = np.empty((*last.shape[:-1], 2 * n), np.int64)
+        out[..., :n] = a >> np.uint32(17)
+        out[..., n:] = (a + last2 * np.uint32(60493)) >> np.uint32(18)
+        out &= SLOTS - 1
+        out *= 2 * n
+        out += self.base
+        return out
+
+    def predict(self, at: np.ndarray | None = None):
+        """at: slots of the last ids, if known already."""
+        n = self.lanes
+        self.at = self.slots(self.last, self.last2) if at is None else at
         self.entry = self.tables.take(self.at)
         self.guess, self.sure = self.entry >> np.uint32(2), self.entry & np.uint32(3)
         self.id1, self.id2 = self.guess[:n], self.guess[n:]
-        pair = self.sure[n:] << np.uint32(2) | self.sure[:n]
-        self.m = self.mix_base + np.concatenate((pair, pair))
+        pair = self.sure[n:] << np.uint32(2)
+        pair |= self.sure[:n]
+        np.multiply(pair, 2 * n, out=self.m[:n])
+        self.m[n:] = self.m[:n]
+        self.m += self.base
         self.q = self.right.take(self.m)
         share = self.q >> (16 - FLAG_BITS)
         self.w2 = share[:n]
-        self.w1 = 1 + (((1 << FLAG_BITS) - 2 - self.w2) * share[n:] >> FLAG_BITS)  # so that neither has a share too
+        self.w1 = ((1 << FLAG_BITS) - 2) - self.w2
+        self.w1 *= share[n:]
+        self.w1 >>= FLAG_BITS
+        self.w1 += 1  # so that neither has a share too
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray):
         """ids: uint32."""
@@ -103,10 +121,16 @@ class _Model:
         step -= self.q
         step >>= 5
         step[n:] *= ~hit2
-        self.right[self.m] = self.q + step
+        step += self.q
+        self.right[self.m] = step
         both = np.concatenate((ids, ids))
-        missed = np.where(self.sure > 1, self.entry - np.uint32(2), both << np.uint32(2))
-        self.tables[self.at] = np.where(self.guess == both, self.entry + (self.sure < 3), missed)
+        right = self.guess == both
+        both <<= np.uint32(2)
+        fresh = self.entry - np.uint32(2)
+        np.copyto(fresh, both, where=self.sure < 2)
+        self.entry += self.sure < 3
+        np.copyto(fresh, self.entry, where=right)
+        self.tables[self.at] = fresh
         self.last2, self.last = self.last, ids
 
     def by_slot(self) -> np.ndarray:
@@ -114,26 +138,28 @@ class _Model:
         return np.repeat(np.arange(len(self.known), dtype=np.uint16), self.freq.astype(np.int64))
 
 
-_LOW32, _U32, _UFLAG, _UBITS = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(FLAG_BITS), np.uint64(BITS)
+_LOW32, _U32, _UBITS, _UBOTH = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(BITS), np.uint64(FLAG_BITS + BITS)
+_SLAB = 32  # steps whose slots are found in one go
 
 
 class _Range:
     """Carry-less range coder of 64 bits with words of 32, one to a lane.
 
-    A step narrows each range at most twice (FLAG_BITS and BITS bits), then words go out where the range is
+    A step narrows each range by FLAG_BITS + BITS bits at most, then words go out where the range is
     within 32 bits; one that straddles two words is cut to the first.
     """
 
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
 
-    def narrow(self, r, start, size):
-        self.low += start.astype(np.uint64) * r
-        self.range = r * size.astype(np.uint64)
-
-    def narrow_some(self, lanes, r, start, size):
-        self.low[lanes] += start.astype(np.uint64) * r
-        self.range[lanes] = r * size.astype(np.uint64)
+    def narrow(self, r: np.ndarray, flag: np.ndarray, width: np.ndarray, start: np.ndarray, size: np.ndarray):
+        """To the id's part (start, size of 2**BITS) of what was seen (flag >> BITS, width of 2**FLAG_BITS); r: range >> FLAG_BITS + BITS."""
+        at = start * width
+        at += flag
+        at *= r
+        self.low += at
+        width *= size
+        np.multiply(width, r, out=self.range)
 
     def full(self):
         """(lanes whose word is due, those words)."""
@@ -145,10 +171,14 @@ class _Range:
         return go, low >> _U32
 
 
-def _split(model: _Model, hit2: np.ndarray, hit1: np.ndarray, miss: np.ndarray):
-    """(start, size) of 2**FLAG_BITS of what each lane saw."""
-    upto = model.w2 + model.w1
-    return model.w2 * hit1 + upto * miss, np.where(miss, (1 << FLAG_BITS) - upto, np.where(hit2, model.w2, model.w1))
+def _split(model: _Model, hit2: np.ndarray, hit1: np.ndarray, miss: np.ndarray, upto: np.ndarray):
+    """(start, size) of 2**FLAG_BITS of what each lane saw; upto: what the hits have."""
+    flag = model.w2 * hit1
+    np.copyto(flag, upto, where=miss)
+    width = (1 << FLAG_BITS) - upto
+    np.copyto(width, model.w2, where=hit2)
+    np.copyto(width, model.w1, where=hit1)
+    return flag, width
 
 
 def encode_blocks(ids: np.ndarray, lanes: int, base: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[int, list[bytes], np.ndarray]:
@@ -162,16 +192,26 @@ def encode_blocks(ids: np.ndarray, lanes: int, base: tuple[np.ndarray, np.ndarra
     grid = np.ascontiguousarray(grid.reshape(lanes, n).T)
     # lanes side by side, as they fill up alike
     out, filled = np.zeros((n + 3, lanes), "<u4"), np.zeros(lanes, np.int64)
+    before = np.zeros((n + 2, lanes), np.uint32)
+    before[2:] = grid
+    whole = np.uint64(1 << BITS)
     for step in range(n):
         now = grid[step]
-        model.predict()
+        if step % _SLAB == 0:
+            slots = model.slots(before[step + 1 : step + 1 + _SLAB][: n - step], before[step : step + _SLAB][: n - step])
+            places = model.place[grid[step : step + _SLAB]]
+            starts, sizes = model.start.take(places), model.freq.take(places)
+        model.predict(slots[step % _SLAB])
         hit2 = now == model.id2
-        hit1 = (now == model.id1) & ~hit2
-        miss = ~(hit2 | hit1)
-        coder.narrow(coder.range >> _UFLAG, *_split(model, hit2, hit1, miss))
-        rest = miss.nonzero()[0]
-        place = model.place[now[rest]]
-        coder.narrow_some(rest, coder.range[rest] >> _UBITS, model.start[place], model.freq[place])
+        hit1 = now == model.id1
+        hit1 &= ~hit2
+        hit = hit2 | hit1
+        miss = ~hit
+        start, size = starts[step % _SLAB], sizes[step % _SLAB]
+        start *= miss
+        np.copyto(size, whole, where=hit)
+        flag, width = (x.astype(np.uint64) for x in _split(model, hit2, hit1, miss, model.w2 + model.w1))
+        coder.narrow(coder.range >> _UBOTH, flag << _UBITS, width, start, size)
         go, words = coder.full()
         at = filled[go]
         out[at, go] = words
@@ -180,7 +220,7 @@ def encode_blocks(ids: np.ndarray, lanes: int, base: tuple[np.ndarray, np.ndarra
     for k in (_U32, np.uint64(0)):
         out[filled, np.arange(lanes)] = coder.low >> k & _LOW32
         filled += 1
-    out = np.ascontiguousarray(out.T)
+    out = np.ascontiguousarray(out[: filled.max()].T)
     codes = [out[i, : filled[i]].tobytes() for i in range(lanes)]
     data = ids.astype("<u4")
     crc = np.array([zlib.crc32(data[i * n : (i + 1) * n]) for i in range(lanes)], "<u4")
@@ -196,21 +236,29 @@ def decode_blocks(n_ids: int, block_len: int, sizes: np.ndarray, crc: np.ndarray
     model, coder = _Model(lanes, *base), _Range(lanes)
     by_slot = model.by_slot()
     code = words.take(first, mode="clip").astype(np.uint64) << _U32 | words.take(first + 1, mode="clip").astype(np.uint64)
-    out = np.empty((block_len, lanes), np.uint32)
+    out = np.empty((block_len, lanes + 32), np.uint16)[:, :lanes]  # columns of 2**k bytes a row would share few cache lines
+    whole = np.uint64(1 << BITS)
     for step in range(block_len):
         model.predict()
-        r = coder.range >> _UFLAG
-        place = ((code - coder.low) // r).astype(np.int64)
-        hit2 = place < model.w2
-        miss = place >= model.w2 + model.w1
+        r = coder.range >> _UBOTH
+        value = code - coder.low
+        value //= r
+        np.minimum(value, np.uint64((1 << FLAG_BITS + BITS) - 1), out=value)
+        flags = (value >> _UBITS).astype(np.int32)
+        upto = model.w2 + model.w1
+        hit2, miss = flags < model.w2, flags >= upto
         hit1 = ~(hit2 | miss)
-        coder.narrow(r, *_split(model, hit2, hit1, miss))
-        now = np.where(hit2, model.id2, model.id1)
-        rest = miss.nonzero()[0]
-        r = coder.range[rest] >> _UBITS
-        place = by_slot[np.minimum((code[rest] - coder.low[rest]) // r, np.uint64((1 << BITS) - 1)).astype(np.int64)]
-        coder.narrow_some(rest, r, model.start[place], model.freq[place])
-        now[rest] = model.known[place]
+        flag, width = (x.astype(np.uint64) for x in _split(model, hit2, hit1, miss, upto))
+        flag <<= _UBITS
+        value -= flag
+        value //= width
+        place = by_slot.take(value.view(np.int64))
+        start, size, now = model.start.take(place), model.freq.take(place), model.known.take(place)
+        start *= miss
+        np.copyto(size, whole, where=~miss)
+        np.copyto(now, model.id2, where=hit2)
+        np.copyto(now, model.id1, where=hit1)
+        coder.narrow(r, flag, width, start, size)
         go, _ = coder.full()
         code[go] = code[go] << _U32 | words.take(at[go], mode="clip").astype(np.uint64)
         at[go] += 1
@@ -223,90 +271,168 @@ def decode_blocks(n_ids: int, block_len: int, sizes: np.ndarray, crc: np.ndarray
     return ids
 
 
+_SPACED = regex.compile(" |" + PIECES.pattern)
+_LATIN_END = "\u0250"
+_CHUNK = 4096  # runs or pieces that go to the library in one call
+
+
 class WordIds:
-    """Ids of texts by the tokenizers library, each distinct run between white space encoded once.
+    """Ids of texts by the tokenizers library, each distinct piece of a word encoded once.
 
     The tokenizer drops white space and merges nothing across it, so a text's ids are those of its
-    runs. Text is cut at space and \\x09-\\x0D; other white space is left to the normaliser.
+    runs. Text is cut at space and \\x09-\\x0D; other white space is left to the normaliser. A run is
+    normalised and cut into pieces as the library does it, and the library's model merges each distinct
+    piece, many in one call: pieces end with a token that carries the suffix of a word's end.
     """
 
     def __init__(self, path: str, most: int = 700_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library, self.most = Tokenizer.from_file(path), most
-        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special_bytes, self.special_id = [x.encode() for x in self.specials], self.library.token_to_id(self.specials[-1]) if self.specials else None
-        self.tokenize, self.letters = self.library.model.tokenize, byte_letters()
+        self.special_bytes = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.letters = str.maketrans(dict(enumerate(byte_letters())) | {10: "\n", 32: " "})
+        self.library.model._resize_cache(0)  # pieces come once
+        self.merger = Tokenizer(self.library.model)  # of pieces that are normalised, cut and in byte letters already
+        self.merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        suffix = self.library.model.end_of_word_suffix
+        self.is_last = np.zeros(self.library.get_vocab_size(), bool)
+        self.is_last[[i for t, i in self.library.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         self.clear()
+        self.clear_pieces()
 
     def clear(self):
         self.known: dict[bytes, int] = {}
-        self.flat, self.start, self.n = np.zeros(1 << 16, np.uint16), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.used = self.held = 0
+        self.runs_ids = _Lists()
+
+    def clear_pieces(self):
+        self.pieces: dict[str, int] = {" ": 0}
+        self.piece_ids = _Lists()
+        self.piece_ids.add(np.zeros(0, np.int64), np.zeros(1, np.int64))
+
+    def _whole(self, run: bytes) -> list[int]:
+        return self.library.encode(run.decode("utf-8"), add_special_tokens=False).ids
+
+    def _cut(self, runs: list[bytes]) -> list[str] | None:
+        """Pieces of runs without special strings, in byte letters, with " " between runs; None if white space within runs blurs that."""
+        text = b" ".join(runs).decode("utf-8")
+        if text.isascii():  # the normaliser only lower-cases it
+            items = _SPACED.findall(text.lower())
+            return items if text.isprintable() else self._in_letters(items)
+        if len(text.split()) != len(runs):
+            return None
+        text = self.library.normalizer.normalize_str(text)
+        if max(text) < _LATIN_END:  # all know these as letters, digits or others
+            items = _SPACED.findall(text)
+            return self._in_letters(items) if items.count(" ") == len(runs) - 1 else None
+        spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), "<u4") == 32)
+        found = self.library.pre_tokenizer.pre_tokenize_str(text)
+        if len(spaces) != len(runs) - 1:
+            return None
+        items = np.empty(len(found) + len(spaces), object)
+        at = np.searchsorted(np.fromiter((span[0] for _, span in found), np.int64, len(found)), spaces) + np.arange(len(spaces))
+        is_piece = np.ones(len(items), bool)
+        is_piece[at] = False
+        items[at] = " "
+        items[is_piece] = [piece for piece, _ in found]
+        return items.tolist()
+
+    def _in_letters(self, items: list[str]) -> list[str]:
+        """Byte letters; no piece has a line feed."""
+        return "\n".join(items).encode("utf-8").decode("latin-1").translate(self.letters).split("\n")
+
+    def _merge(self, pieces: list[str]):
+        """Ids of new pieces into the store."""
+        for i in range(0, len(pieces), _CHUNK):
+            some = pieces[i : i + _CHUNK]
+            ids = np.array(self.merger.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.flatnonzero(self.is_last[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):  # no suffix tells where pieces end
+                each = [[t.id for t in self.merger.model.tokenize(x)] for x in some]
+                ids, ends = np.array([k for x in each for k in x], np.int64), np.cumsum([len(x) for x in each])
+            first = self.piece_ids.add(ids, np.diff(ends, prepend=0))
+            self.pieces.update(zip(some, range(first, first + len(some))))
 
     def _ids(self, runs: list[bytes]) -> list[list[int]]:
-        """ASCII runs go straight to the library's model, after its own normalisation; all others through all of the library,
-        those without special strings many at once, with a special string between them."""
-        out: list = [None] * len(runs)
-        others = []
-        for k, run in enumerate(runs):
-            if any(mark in run for mark in self.special_bytes):
-                out[k] = self.library.encode(run.decode("utf-8"), add_special_tokens=False).ids
-            elif not run.isascii():
-                others.append(k)
-            elif run.isalpha():
-                out[k] = [t.id for t in self.tokenize(run.lower().decode())]
-            else:
-                out[k] = [t.id for p in PIECES.findall(run.lower().decode()) for t in self.tokenize("".join([self.letters[b] for b in p.encode()]))]
-        for i in range(0, len(others), 256):
-            some = others[i : i + 256]
-            texts = [runs[k].decode("utf-8") for k in some]
-            found = self._apart(texts) if self.specials else None
-            for k, ids in zip(some, found or [self.library.encode(t, add_special_tokens=False).ids for t in texts]):
-                out[k] = ids
-        return out
+        items = self._cut(runs)
+        if items is None:
+            return [self._whole(r) for r in runs]
+        which = np.fromiter(map(self.pieces.get, items, repeat(-1)), np.int64, len(items))
+        new = np.flatnonzero(which < 0).tolist()
+        if new:
+            self._merge(list(dict.fromkeys(items[k] for k in new)))
+            which[new] = [self.pieces[items[k]] for k in new]
+        total, ids = np.r_[0, np.cumsum(self.piece_ids.n[which])], self.piece_ids.take(which).tolist()
+        ends = [*total[np.flatnonzero(which == 0)].tolist(), len(ids)]
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _add(self, runs: list[bytes]) -> np.ndarray:
+        """Places of new runs in the store. ASCII runs, others, and those with special strings or white space within go apart."""
+        plain, others, odd = [], [], []
+        for r in runs:
+            (plain if r.isascii() else others).append(r)
+        for some in (plain, others):
+            joined = b" ".join(some)
+            if any(mark in joined for mark in self.special_bytes):
+                odd += [r for r in some if any(mark in r for mark in self.special_bytes)]
+                some[:] = [r for r in some if not any(mark in r for mark in self.special_bytes)]
+        if len(b" ".join(others).decode("utf-8").split()) != len(others):
+            odd += [r for r in others if len(r.decode("utf-8").split()) != 1]
+            others = [r for r in others if len(r.decode("utf-8").split()) == 1]
+        latin, wide = [], []  # to U+023F, and beyond
+        for r in others:
+            (latin if max(r) <= 0xC8 else wide).append(r)
+        chunks = [some[i : i + _CHUNK] for some in (plain, latin, wide) for i in range(0, len(some), _CHUNK)]
+        for some, ids in chain(((c, self._ids(c)) for c in chunks), (([r], [self._whole(r)]) for r in odd)):
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            first = self.runs_ids.add(np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n)
+            self.known.update(zip(some, range(first, first + len(some))))
+        return np.fromiter(map(self.known.get, runs), np.int64, len(runs))
+
+    def encode(self, texts: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        if self.runs_ids.held > self.most:
+            self.clear()
+        if self.piece_ids.held > self.most:
+            self.clear_pieces()
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_binary())
+        found = pc.ascii_split_whitespace(texts.cast(pa.large_string()))  # a text that begins or ends with white space has an empty run there
+        n_runs = pc.list_value_length(found).to_numpy()
+        coded = found.flatten().dictionary_encode()
+        runs = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        which = np.fromiter(map(self.known.get, runs, repeat(-1)), np.int64, len(runs))
+        new = np.flatnonzero(which < 0)
+        if len(new):
+            which[new] = self._add([runs[k] for k in new.tolist()])
+        own, at = _Lists(), coded.indices.to_numpy()
+        own.add(self.runs_ids.take(which), self.runs_ids.n[which])
+        total, ends = np.r_[0, np.cumsum(own.n[at])], np.cumsum(n_runs)
+        return own.take(at), total[ends] - total[ends - n_runs]
+
+
+class _Lists:
+    """Lists of ids, one after another in arrays that grow."""
+
+    def __init__(self):
+        self.flat, self.start, self.n = np.zeros(1 << 16, np.uint16), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = self.held = 0
 
-    def _apart(self, texts: list[str]) -> list[list[int]] | None:
-        ids = np.array(self.library.encode(f" {self.specials[-1]} ".join(texts), add_special_tokens=False).ids, np.int64)
-        ends = np.flatnonzero(ids == self.special_id)
-        if len(ends) != len(texts) - 1:
-            return None
-        return [x.tolist() for x in np.split(ids, np.stack((ends, ends + 1), 1).ravel())[::2]]
-
-    def _add(self, runs: list[bytes]):
-        ids = self._ids(runs)
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(n.sum()))
-        if len(flat) and flat.max() >= IDS:
-            raise ValueError(f"id {flat.max()} does not fit: ids are below {IDS}")
-        while self.used + len(flat) > len(self.flat):
+    def add(self, ids: np.ndarray, n: np.ndarray) -> int:
+        """The place of the first."""
+        if len(ids) and ids.max() >= IDS:
+            raise ValueError(f"id {ids.max()} does not fit: ids are below {IDS}")
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
         while self.held + len(n) > len(self.n):
             self.start, self.n = np.r_[self.start, np.zeros_like(self.start)], np.r_[self.n, np.zeros_like(self.n)]
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.start[self.held : self.held + len(n)] = self.used + np.cumsum(n) - n
-        self.n[self.held : self.held + len(n)] = n
-        self.known.update(zip(runs, range(self.held, self.held + len(n))))
-        self.held += len(n)
-        self.used += len(flat)
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
-        if self.held > self.most:
-            self.clear()
-        runs = [t.split() for t in texts]
-        n_runs = np.fromiter(map(len, runs), np.int64, len(runs))
-        flat = list(chain.from_iterable(runs))
-        which = list(map(self.known.get, flat))
-        if None in which:
-            self._add(list({r for r, i in zip(flat, which) if i is None}))
-            which = list(map(self.known.get, flat))
-        which = np.array(which, np.int64)
-        n = self.n[which]
-        ids = self.flat[ragged(self.start[which], n)]
-        total = np.r_[0, np.cumsum(n)]
-        ends = np.cumsum(n_runs)
-        return ids, total[ends] - total[ends - n_runs]
+        first, end = self.held, self.held + len(n)
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[first:end] = self.used + np.cumsum(n) - n
+        self.n[first:end] = n
+        self.held, self.used = end, self.used + len(ids)
+        return first
+
+    def take(self, which: np.ndarray) -> np.ndarray:
+        return self.flat[ragged(self.start[which], self.n[which])]
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -354,8 +480,8 @@ def _write_part(path: str, end_id: int):
         part, number = TaskContext.get().partitionId(), 0
         coder = word_ids(path)
         doc_ids, tokens, ids, held = [], [], [], 0
-        for batch in slices(batches, 256):
-            found, n = coder.encode([b"" if x is None else x for x in batch.column(1).cast(pa.large_binary()).to_pylist()])
+        for batch in slices(batches, 4096, 3 << 20):
+            found, n = coder.encode(pc.fill_null(batch.column(1), ""))
             ends = np.cumsum(n)
             ids.append(np.insert(found, ends, end_id))
             doc_ids += batch.column(0).to_pylist()

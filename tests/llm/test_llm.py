@@ -142,6 +142,24 @@ def test_ids_of_every_code_point_are_the_librarys(words_49k):
             assert ids[a:b].tolist() == x.ids, (t, hex(ord(t[0])))
 
 
+def test_a_piece_is_merged_once_whatever_stands_around_it(words_49k):
+    from fieldspark.llm.token_output import WordIds
+
+    w = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    w.encode(["Thereupon, THEREUPON. (thereupon)".encode(), "éTUDE étude. «Étude thereupon! 2thereupon's".encode()])
+    # thereupon , . ( ) étude « ! 2 's
+    assert w.piece_ids.held - 1 == 10
+    texts = [
+        "", " ", "\n\t a  b ", "it's 'S 's.'s ''s 'll'll I'VE", "a<|endoftext|>b <|endoftext|> <|startoftext|>", "a\u00a0b \u3000 c\u2028", "\u00a0", "é\u00a0é \u2003 é",
+        "a\x1cb \x1f \x7f\x00x", "e\u0301 \u0301e J\u030c J\u030cx İİ ΣΑΣ Σ", "é<|endoftext|>é é", "x" * 5000, "日本語 日本語。 12é3", "<|ENDOFTEXT|> <|endoftext", "ﬀ ǅ K Ω",
+    ]
+    for part in [texts, texts[::-1], *([t] for t in texts)]:
+        for coder in (words_49k, WordIds(public_tokenizers.path("word_bpe_49k.json"), most=3)):
+            ids, n = coder.encode([t.encode() for t in part])
+            ends = np.cumsum(n)
+            assert [ids[a:b].tolist() for a, b in zip(ends - n, ends)] == [words_49k.library.encode(t, add_special_tokens=False).ids for t in part]
+
+
 def test_ids_beyond_sixteen_bits_are_an_error(words_49k, docs):
     from fieldspark.llm import token_output as o
 
