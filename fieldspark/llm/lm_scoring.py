@@ -21,13 +21,15 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.words import slices, texts_of
+from fieldspark.llm.words import column_of, slices, texts_of
 from fieldspark.session import materialize, shared_folder
 
 END = b""  # the end token: no word is empty
@@ -48,6 +50,30 @@ def tokens_of(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def coded_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct tokens, the place there of each token of all texts, number of tokens of each text), as tokens_of has them.
+
+    Arrow cuts the words and numbers them, so what is done in Python is done once for a batch's distinct tokens.
+    """
+    found = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    n = pc.list_value_length(found).to_numpy()
+    coded = pc.ascii_lower(found.flatten()).dictionary_encode()  # not the texts: of a slice, Arrow lower-cases the wrong bytes
+    at, tokens = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary())
+    end = pc.index(tokens, pa.scalar(END, pa.large_binary())).as_py()
+    if end < 0:
+        end, tokens = len(tokens), pa.concat_arrays([tokens, pa.array([END], pa.large_binary())])
+    else:  # texts that begin or end with white space have empty words there
+        keep = at != end
+        total, ends = np.r_[0, np.cumsum(keep)], np.cumsum(n)
+        at, n = at[keep], total[ends] - total[ends - n]
+    return tokens, np.insert(at, np.cumsum(n), end), n + 1
+
+
+def places(find, tokens: pa.Array, otherwise: int) -> np.ndarray:
+    """What find (a dictionary's get) has for each token."""
+    return np.fromiter(map(find, tokens.to_pylist(), repeat(otherwise)), np.int64, len(tokens))
+
+
 def is_held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
@@ -56,19 +82,11 @@ def is_held_out(doc_id: int | None) -> bool:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
-
-    for batch in slices(batches):
-        for d, t in zip(batch.column(0).to_pylist(), texts_of(batch)):
-            if not is_held_out(d):
-                seen.update(tokens_of(t))
-        if len(seen) > 400_000:
-            yield out()
-            seen = Counter()
-    yield out()
+    for batch in slices(batches, 1 << 20, 16 << 20):
+        batch = batch.filter(pa.array([not is_held_out(d) for d in batch.column(0).to_pylist()], pa.bool_()))
+        if batch.num_rows:
+            tokens, at, _ = coded_tokens(column_of(batch, "text"))
+            yield pa.RecordBatch.from_arrays([tokens.cast(pa.binary()), pa.array(np.bincount(at, minlength=len(tokens)))], ["token", "n"])
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -175,11 +193,13 @@ def log_probabilities(w: dict[str, np.ndarray], hidden: np.ndarray, target: np.n
     """Natural logarithms of the targets' probabilities, a row of hidden for each."""
     order = np.argsort((target // CLASS).astype(np.uint8), kind="stable")
     hidden, kind, place = _with_one(hidden[order]), target[order] // CLASS, target[order] % CLASS
-    sums = _chosen(hidden @ w["wc"], kind)
+    logits = hidden @ w["wc"]
+    sums = _chosen(logits, kind)
     at = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
     for c, (a, b) in enumerate(zip(at[:-1], at[1:])):
         if b > a:
-            sums[a:b] += _chosen(hidden[a:b] @ w["wo"][c], place[a:b])
+            np.matmul(hidden[a:b], w["wo"][c], out=logits[a:b])
+    sums += _chosen(logits, place)
     out = np.empty_like(sums)
     out[order] = sums
     return out
@@ -533,34 +553,30 @@ def _score(vocab: Vocabulary, flat: np.ndarray):
         place = {t: i for i, (t, _) in enumerate(vocab.common)}
         word = np.array([vocab.ids.get(t, vocab.unknown) for t, _ in vocab.common] + [vocab.unknown], np.int32)
         find, end = place.get, vocab.ids[END]
-        end_known = END in place
         log_all = float(np.log10(vocab.all_tokens + vocab.distinct + 1))
         for batch in slices(batches, 4096, 6 << 20):
-            ids, sequences = batch.column(0).to_pylist(), []
-            n_tokens, known, base, unknown, rares, rare_n = [], [], [], [], [], []
-            for text in texts_of(batch):
-                tokens = tokens_of(text)
-                at = np.array([find(t, -1) for t in tokens], np.int64)
-                sequence = word[at]
-                if not end_known:
-                    sequence[-1] = end
-                sequences.append(sequence)
-                seen = at >= 0
-                logs = log_c[at[seen]]
-                outside = sequence == vocab.unknown
-                few = Counter([tokens[i] for i in np.flatnonzero(~seen).tolist()])
-                n_tokens.append(len(tokens))
-                known.append(int(seen.sum()))
-                base.append(float(logs.sum()) - len(tokens) * log_all)
-                unknown.append((int(outside.sum()), float(log_c[at[seen & outside]].sum())))
-                rares.append(list(few))
-                rare_n.append(list(few.values()))
+            ids = batch.column(0).to_pylist()
+            tokens, at, n = coded_tokens(column_of(batch, "text"))
+            found = places(find, tokens, -1)
+            kind = word[found]
+            kind[pc.index(tokens, pa.scalar(END, pa.large_binary())).as_py()] = end
+            logs, seen, outside = np.where(found >= 0, log_c[found] if len(log_c) else 0.0, 0.0), found >= 0, kind == vocab.unknown
+            doc, ends = np.repeat(np.arange(len(ids)), n), np.cumsum(n)
+            sequences = np.split(kind[at], ends[:-1])
+            sums = lambda x: np.bincount(doc, x[at], len(ids))
+            known, base = sums(seen).astype(np.int64), sums(logs) - n * log_all
+            unknown, inside = sums(outside).astype(np.int64), sums(logs * outside)
+            few = ~seen[at]
+            pairs, times = np.unique(doc[few] * len(tokens) + at[few], return_counts=True)
+            offsets = pa.array(np.searchsorted(pairs, np.arange(len(ids) + 1) * len(tokens)).astype(np.int32))
+            rares = pa.ListArray.from_arrays(offsets, tokens.take(pa.array(pairs % len(tokens))).cast(pa.binary()))
+            rare_n = pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))
             scores = score_documents(weights, sequences, end) / LOG10
             share = float(np.log10(vocab.outside_tokens + vocab.outside_distinct + 1))
-            model = [s + logs - n * share for s, (n, logs) in zip(scores.tolist(), unknown)]
+            model = scores + inside - unknown * share
             cols = [
-                pa.array(np.arange(row, row + len(ids))), batch.column(0), pa.array([is_held_out(d) for d in ids], pa.bool_()), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(model, pa.float64()), pa.array([n for n, _ in unknown], pa.int64()), pa.array(rares, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32())),
+                pa.array(np.arange(row, row + len(ids))), batch.column(0), pa.array([is_held_out(d) for d in ids], pa.bool_()), pa.array(n, pa.int64()), pa.array(known),
+                pa.array(base), pa.array(model), pa.array(unknown), rares, rare_n,
             ]
             row += len(ids)
             yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in _PARTS.split(", ")])

@@ -160,6 +160,16 @@ def test_a_piece_is_merged_once_whatever_stands_around_it(words_49k):
             assert [ids[a:b].tolist() for a, b in zip(ends - n, ends)] == [words_49k.library.encode(t, add_special_tokens=False).ids for t in part]
 
 
+def test_ids_of_a_slice_of_texts(words_49k):
+    import pyarrow as pa
+
+    full = pa.array([f"W{i} é{i}x " * (1 + i % 7) for i in range(90)], pa.string())
+    for part in (full, full[10:40], full[50:]):
+        ids, n = words_49k.encode(part)
+        ends = np.cumsum(n)
+        assert [ids[a:b].tolist() for a, b in zip(ends - n, ends)] == [words_49k.library.encode(t, add_special_tokens=False).ids for t in part.to_pylist()]
+
+
 def test_ids_beyond_sixteen_bits_are_an_error(words_49k, docs):
     from fieldspark.llm import token_output as o
 
@@ -597,6 +607,21 @@ def test_lm_scores(spark, docs, empty):
     assert lm_scores(empty).count() == 0
 
 
+def test_lm_tokens_of_a_batch_are_those_of_each_text():
+    import pyarrow as pa
+
+    from fieldspark.llm import lm_scoring as m
+
+    texts = ["", None, " ", "a b A", "  Ab\t\x0b\x0cÄB ab\u00a0c ", "x\x1cy \x1f", "b"]
+    whole = pa.array(["zz Zz", *texts], pa.string())
+    full = pa.array([f"W{i} x " * (1 + i % 7) for i in range(90)], pa.string())
+    for batch in (whole, whole[1:], whole[4:5], whole[:0], full, full[10:40], full[50:]):
+        tokens, at, n = m.coded_tokens(batch)
+        names, ends = tokens.to_pylist(), np.cumsum(n)
+        assert len(set(names)) == len(names)
+        assert [[names[k] for k in at[a:b]] for a, b in zip(ends - n, ends)] == [m.tokens_of((t or "").encode()) for t in batch.to_pylist()]
+
+
 def test_commonest_tokens_when_one_step_of_counts_has_too_many(spark):
     from fieldspark.llm.lm_scoring import commonest
 
