@@ -184,3 +184,24 @@ def test_equal_boxes_are_compared_once(spark, monkeypatch):
     want = [(i, j) for i in names for j in [*range(300), None, 9001]] + [(9000, 9001)]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
     assert all(x.count() < 300 for x in tiled)
+
+
+def test_rows_of_equal_boxes_are_shuffled_once(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(geo, "materialize", lambda df, name, _f=geo.materialize: stored.append(df) or _f(df, name))
+    monkeypatch.setattr(geo, "GATHERED", 50, raising=False)
+    monkeypatch.setattr(geo, "TASK_NAMES", 50, raising=False)
+    schema = "name int, xmin double, ymin double, xmax double, ymax double"
+    a = [(12 * i + k, float(k), 0.0, k + 1.5, 1.0) for i in range(40) for k in range(12)] + [(1000 + i, 2.0, 0.0, 2.5, 4.0) for i in range(700)] + [(None, 2.0, 0.0, 2.5, 4.0)] * 3
+    b = [(3 * i + k, 4.0 * k, 0.5, 4.0 * k + 3, 2.0) for i in range(300) for k in range(3)] + [(None, 0.0, 0.5, 3.0, 2.0)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where boxes that occur often are many themselves
+    try:
+        got = geo.overlaps(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema))
+        pairs = got.collect()
+        assert got.rdd.getNumPartitions() > len(a) // 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = [(p[0], q[0]) for p in a for q in b if max(p[1], q[1]) < min(p[3], q[3]) and max(p[2], q[2]) < min(p[4], q[4])]
+    assert sorted(map(tuple, pairs), key=str) == sorted(want, key=str)
+    assert all("SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString() for df in (*stored, got))
+    assert sum("names" in df.columns for df in stored) == 1  # of the two sides only the one that is broadcast is stored
